@@ -223,8 +223,9 @@ _DEPENDS = {
 }
 
 
-def with_fixtures(body: str, *names: str) -> str:
-    """Prefix ``body`` with the CTEs it needs (dependencies first)."""
+def with_fixtures(body: str, *names: str, extra: tuple = ()) -> str:
+    """Prefix ``body`` with the CTEs it needs (dependencies first), then the
+    ``extra`` (name, sql) CTEs in order."""
     order: list[str] = []
     for n in names:
         for d in _DEPENDS.get(n, []):
@@ -232,5 +233,6 @@ def with_fixtures(body: str, *names: str) -> str:
                 order.append(d)
         if n not in order:
             order.append(n)
-    ctes = ",\n".join(f"{n} AS ({FIXTURE_CTES[n]})" for n in order)
+    parts = [f"{n} AS ({FIXTURE_CTES[n]})" for n in order] + [f"{n} AS ({q})" for n, q in extra]
+    ctes = ",\n".join(parts)
     return f"WITH {ctes}\n{body}" if ctes else body

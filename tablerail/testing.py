@@ -37,6 +37,8 @@ def _canon(v) -> str:
         if pd.isna(v):
             return "∅"
         return pd.Timestamp(v).tz_localize(None).isoformat() if pd.Timestamp(v).tzinfo else pd.Timestamp(v).isoformat()
+    if isinstance(v, _dt.date):
+        return pd.Timestamp(v).isoformat()
     if isinstance(v, bool):
         return "true" if v else "false"
     if hasattr(v, "item") and not isinstance(v, (list, tuple, dict)):
