@@ -289,3 +289,9 @@ def stage_gate(claimed: DataFrame, expected_stage: str) -> tuple[DataFrame, Data
     """FLT6: split claimed rows into (at the expected stage, elsewhere)."""
     at = F.coalesce(F.col("stage") == F.lit(expected_stage), F.lit(False))
     return claimed.where(at), claimed.where(~at)
+
+
+def persist_states(control: DataFrame, states: DataFrame, now, bounded_rows: int | None = None) -> DataFrame:
+    """FSM5: persist state rows – gate normalised (FSM4), then upserted by key (UPS1)."""
+    s = states.withColumn("task_state", normalized_gate(F.col("stage"), F.col("status"), F.col("task_state")))
+    return upsert(control, s, S.PIPELINE_CONTROL, now, incoming_rows=bounded_rows, validate=False)
