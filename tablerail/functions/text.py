@@ -129,3 +129,9 @@ def cell_text(col, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
         return F.to_json(c)
     return c.cast("string")
+
+
+def has_visible_text(col) -> Column:
+    """Not NULL and not only whitespace (of the full class)."""
+    c = _c(col)
+    return c.isNotNull() & (F.length(F.regexp_replace(c, f"{WS_CLASS}+", "")) > 0)

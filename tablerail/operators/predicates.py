@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablerail import schemas as S
-from tablerail.functions.text import WS_CLASS
+from tablerail.functions.text import has_visible_text
 from tablerail.session import ts
 
 log = logging.getLogger(__name__)
@@ -49,8 +49,7 @@ def claimable(stage: str, statuses, now) -> Column:
 
 def has_text(col: str | Column = "clean_text") -> Column:
     """FLT2: text present and not blank (blank = only whitespace of the class)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c.isNotNull() & (F.length(F.regexp_replace(c, f"{WS_CLASS}+", "")) > 0)
+    return has_visible_text(col)
 
 
 def active_gate() -> Column:

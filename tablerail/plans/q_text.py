@@ -1 +1,242 @@
-"""placeholder"""
+"""Registered text, prompt and response-handling queries (M4, M5) over
+``documents`` and ``pages``."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tablerail.functions import payload as PL
+from tablerail.functions import prompts as PR
+from tablerail.functions import text as TX
+from tablerail.operators import predicates as P
+from tablerail.plans.catalog import register
+from tablerail.plans.fixtures import control_base, read_table, with_fixtures
+from tablerail.session import TEST_NOW, ts
+from tablerail.sources.pages import TableFetcher, page_rows
+
+WS = TX.WS_CHARS_RE2
+
+
+def clean_sql(x: str) -> str:
+    """STR1 in DuckDB (RE2 spelling of the whitespace class)."""
+    s = f"regexp_replace({x}, 'requireLazy\\([^)]+\\)', '', 'g')"
+    s = f"regexp_replace({s}, '(?s)<script[^>]*>.*?</script>', '', 'g')"
+    s = f"regexp_replace({s}, 'https?://[^{WS}]+', '', 'g')"
+    s = f"regexp_replace({s}, '[{WS}]+', ' ', 'g')"
+    return f"trim({s}, ' ')"
+
+
+def markup_sql(x: str) -> str:
+    """STR2 tag rules in DuckDB; entities: the four the page data holds."""
+    s = f"regexp_replace({x}, '(?s)<!--.*?-->', '', 'g')"
+    for tag in TX.HIDDEN_ELEMENTS:
+        s = f"regexp_replace({s}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'g')"
+    s = f"regexp_replace({s}, '(?i)</?(?:{'|'.join(TX.BLOCK_ELEMENTS)})\\b[^>]*>', chr(10), 'g')"
+    s = f"regexp_replace({s}, '(?s)<[A-Za-z/!?][^>]*>', '', 'g')"
+    for ent, ch in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
+        s = f"replace({s}, '{ent}', '{ch}')"
+    return s
+
+
+def visible_sql(x: str) -> str:
+    return f"({x} IS NOT NULL AND length(regexp_replace({x}, '[{WS}]+', '', 'g')) > 0)"
+
+
+def page_text(spark, sf_dir):
+    p = read_table(spark, sf_dir, "pages")
+    return p.select("url", TX.clean_page_text(TX.html_to_text(F.col("html"))).alias("clean_text"))
+
+
+PAGE_TEXT_SQL = f"SELECT url, {clean_sql(markup_sql('html'))} AS clean_text FROM pages"
+
+
+# ---------------------------------------------------------------- STR1, STR2, SNK1, FLT2
+@register("str1_clean_documents", f"SELECT doc_id, {clean_sql('text')} AS clean_text FROM documents")
+def str1_clean_documents(spark, sf_dir):
+    """STR1: cleaner over every document (JS fragments, scripts, URLs, whitespace)."""
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", TX.clean_page_text("text").alias("clean_text"))
+
+
+@register("str2_page_text", PAGE_TEXT_SQL)
+def str2_page_text(spark, sf_dir):
+    """STR2 + STR1: visible text of every page, cleaned."""
+    return page_text(spark, sf_dir)
+
+
+@register("snk1_page_rows", f"SELECT url, 0 AS iteration, CAST(NULL AS INTEGER) AS status_code, "
+          "CAST(NULL AS VARCHAR) AS html, CASE WHEN ok THEN clean END AS clean_text, "
+          f"TIMESTAMP '{TEST_NOW}' AS fetched_at, CASE WHEN NOT ok THEN 'FETCH_FAILED' END AS fetch_error, "
+          "CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at, ok FROM ("
+          f"SELECT url, {clean_sql('t')} AS clean, {visible_sql('t')} AS ok FROM (SELECT url, {markup_sql('html')} "
+          "AS t FROM pages) x) y")
+def snk1_page_rows(spark, sf_dir):
+    """SRC8 (table fetcher) + SNK1: fetched pages → web_page rows (success decided on raw text)."""
+    p = read_table(spark, sf_dir, "pages")
+    keys = p.select("url", F.lit(0).alias("iteration"))
+    return page_rows(TableFetcher(p).fetch(keys), TEST_NOW)
+
+
+@register("flt2_has_text", f"SELECT doc_id FROM documents WHERE {visible_sql(clean_sql('text'))}")
+def flt2_has_text(spark, sf_dir):
+    """FLT2: documents whose cleaned text is not blank (the rest would be rejected before prompting)."""
+    d = read_table(spark, sf_dir, "documents")
+    return d.where(P.has_text(TX.clean_page_text("text"))).select("doc_id")
+
+
+# ---------------------------------------------------------------- STR3–STR5, STR8–STR10
+LANG = "regexp_extract(html, 'lang=\"([^\"]*)\"', 1)"
+
+
+def _tags_raw_spark(p):
+    lang = F.regexp_extract("html", r'lang="([^"]*)"', 1)
+    dom = TX.url_domain("url")
+    csv = F.concat_ws(", ", lang, F.lit(" "), dom)
+    js = F.concat(F.lit('["'), lang, F.lit('", " ", "'), dom, F.lit(' "]'))
+    return F.when(F.col("page_id") % 2 == 0, csv).otherwise(js)
+
+
+TAGS_RAW_SQL = (f"CASE WHEN page_id % 2 = 0 THEN concat_ws(', ', {LANG}, ' ', split_part(url, '/', 3)) "
+                f"ELSE concat('[\"', {LANG}, '\", \" \", \"', split_part(url, '/', 3), ' \"]') END")
+_STRIP_X = f"regexp_replace(x, '^[{WS}]+|[{WS}]+$', '', 'g')"
+
+
+@register("str3_str4_tags", "SELECT url, raw, CASE WHEN len(t) > 0 THEN array_to_string(t, ',') END AS tags FROM ("
+          f"SELECT url, raw, list_filter(list_transform(CASE WHEN regexp_matches(raw, '^\\s*\\[') THEN "
+          f"from_json(raw, '[\"VARCHAR\"]') ELSE string_split(raw, ',') END, lambda x: {_STRIP_X}), lambda x: x <> '') AS t "
+          f"FROM (SELECT url, {TAGS_RAW_SQL} AS raw FROM pages) r) s")
+def str3_str4_tags(spark, sf_dir):
+    """STR3 + STR4: tags as CSV text or JSON-array text → trimmed non-blank list → comma-joined."""
+    p = read_table(spark, sf_dir, "pages")
+    r = p.select("url", _tags_raw_spark(p).alias("raw"))
+    return r.select("url", "raw", TX.join_tags(TX.normalize_tags("raw")).alias("tags"))
+
+
+@register("str5_domain", "SELECT url, split_part(url, '/', 3) AS domain FROM pages")
+def str5_domain(spark, sf_dir):
+    """STR5: domain of each page URL."""
+    return read_table(spark, sf_dir, "pages").select("url", TX.url_domain("url").alias("domain"))
+
+
+PROVIDER_RAW_SQL = ("CASE lang WHEN 'en' THEN ' OpenAI ' WHEN 'fr' THEN 'anthropic' WHEN 'de' THEN 'Mistral' "
+                    "ELSE lang END")
+
+
+@register("str8_provider", f"SELECT doc_id, raw, CASE WHEN lower(trim(raw)) IN ('openai','anthropic','mistral','llama') "
+          f"THEN lower(trim(raw)) ELSE 'openai' END AS llm_provider FROM (SELECT doc_id, {PROVIDER_RAW_SQL} AS raw "
+          "FROM documents) d")
+def str8_provider(spark, sf_dir):
+    """STR8: provider names normalised, unknown → openai."""
+    d = read_table(spark, sf_dir, "documents")
+    raw = (F.when(F.col("lang") == "en", " OpenAI ").when(F.col("lang") == "fr", "anthropic")
+           .when(F.col("lang") == "de", "Mistral").otherwise(F.col("lang")))
+    return d.select("doc_id", raw.alias("raw")).withColumn("llm_provider", TX.normalize_provider("raw"))
+
+
+@register("str9_prepend_note", with_fixtures(
+    "SELECT url, iteration, CASE WHEN notes IS NULL OR notes = '' THEN '[2024-01-15T00:00:00] checked' ELSE "
+    f"regexp_replace('[2024-01-15T00:00:00] checked' || chr(10) || notes, '[{WS}]+$', '') END AS notes "
+    "FROM control_base", "control_base"))
+def str9_prepend_note(spark, sf_dir):
+    """STR9: timestamped note on top of the old notes."""
+    c = control_base(spark, sf_dir)
+    return c.select("url", "iteration", TX.prepend_note("notes", ts(TEST_NOW), "checked").alias("notes"))
+
+
+@register("str10_cell_json", "SELECT doc_id, to_json([lang, source]) AS cell FROM documents")
+def str10_cell_json(spark, sf_dir):
+    """STR10: nested cell → compact JSON text."""
+    d = read_table(spark, sf_dir, "documents")
+    arr = F.array("lang", "source")
+    return d.select("doc_id", TX.cell_text(arr, d.select(arr).schema[0].dataType).alias("cell"))
+
+
+# ---------------------------------------------------------------- STR6 prompts
+@register("str6_prompt_json", "SELECT url, " + PR.render_sql(PR.SUMMARIZE_JSON_TEMPLATE, url="url", content="clean_text")
+          + f" AS prompt FROM ({PAGE_TEXT_SQL}) p")
+def str6_prompt_json(spark, sf_dir):
+    """STR6: JSON-summary prompt for every cleaned page."""
+    t = page_text(spark, sf_dir)
+    return t.select("url", PR.render(PR.SUMMARIZE_JSON_TEMPLATE, url="url", content="clean_text").alias("prompt"))
+
+
+@register("str6_prompt_title", "SELECT doc_id, " + PR.render_sql(PR.EXTRACT_TITLE_TEMPLATE, content="text")
+          + " AS prompt FROM documents")
+def str6_prompt_title(spark, sf_dir):
+    """STR6: title prompt (content only) for every document."""
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", PR.render(PR.EXTRACT_TITLE_TEMPLATE, content="text").alias("prompt"))
+
+
+# ---------------------------------------------------------------- LLM4–LLM7, STR7
+def _w(i: int):
+    return F.regexp_replace(F.split_part(F.col("text"), F.lit(" "), F.lit(i)), "[^A-Za-z0-9]", "")
+
+
+def doc_responses(spark, sf_dir):
+    """Model-like responses built from documents in six shapes (valid, repairable,
+    wrong types, prose only, array, full object)."""
+    d = read_table(spark, sf_dir, "documents")
+    w1, w2, w3 = _w(1), _w(2), _w(3)
+    k = F.col("doc_id") % 6
+    q = F.lit('"')
+    resp = (F.when(k == 0, F.concat(F.lit('{"title":"'), w1, F.lit('","bullets":["'), w2, F.lit('","'), w3, F.lit('"]}')))
+            .when(k == 1, F.concat(F.lit('Here you go:\n{"title":"'), w1, F.lit('","bullets":["'), w2, F.lit('","'), w3,
+                                   F.lit('",],}\nThanks')))
+            .when(k == 2, F.concat(F.lit('{"bullets":["'), w1, F.lit('",'), F.col("n_chars").cast("string"), F.lit("]}")))
+            .when(k == 3, F.concat(F.lit("no json "), w1))
+            .when(k == 4, F.concat(F.lit('[{"title":"'), w1, F.lit('"}]')))
+            .otherwise(F.concat(F.lit('{"title":"'), w1, F.lit('","key_points":["'), w2, F.lit('"],"sections":{'), q, w3,
+                                F.lit('":["'), w1, F.lit('"," "]}}'))))
+    return d.select("doc_id", resp.alias("response"))
+
+
+_W_SQL = {i: f"regexp_replace(split_part(text, ' ', {i}), '[^A-Za-z0-9]', '', 'g')" for i in (1, 2, 3)}
+
+
+def _lines(*parts: str) -> str:
+    return "trim(concat(" + ", ".join(parts) + "), chr(10))"
+
+
+def _if(cond: str, val: str) -> str:
+    return f"CASE WHEN {cond} THEN {val} ELSE '' END"
+
+
+NL = "chr(10)"
+_TXT0 = _lines(_if("w1 <> ''", f"w1 || {NL} || {NL}"), _if("w2 <> ''", f"'- ' || w2 || {NL}"),
+               _if("w3 <> ''", f"'- ' || w3 || {NL}"), NL)
+_TXT5 = _lines(_if("w1 <> ''", f"w1 || {NL} || {NL}"), _if("w2 <> ''", f"'- ' || w2 || {NL}"), NL,
+               _if("w3 <> ''", f"w3 || ':' || {NL}"), _if("w1 <> ''", f"'  - ' || w1 || {NL}"), NL)
+PAYLOAD_SQL = (
+    "SELECT doc_id, "
+    "CASE k WHEN 2 THEN 'bullets' WHEN 3 THEN 'no_json' WHEN 4 THEN 'not_object' END AS error, "
+    "CASE WHEN k IN (0, 1) THEN '{\"title\":\"' || w1 || '\",\"bullets\":[\"' || w2 || '\",\"' || w3 || '\"]}' "
+    "WHEN k = 5 THEN '{\"title\":\"' || w1 || '\",\"bullets\":[],\"key_points\":[\"' || w2 || '\"],\"sections\":{\"' "
+    "|| w3 || '\":[\"' || w1 || '\",\" \"]}}' END AS summary_json, "
+    f"CASE WHEN k IN (0, 1) THEN nullif({_TXT0}, '') WHEN k = 5 THEN nullif({_TXT5}, '') END AS summary_text "
+    f"FROM (SELECT doc_id, doc_id % 6 AS k, {_W_SQL[1]} AS w1, {_W_SQL[2]} AS w2, {_W_SQL[3]} AS w3 FROM documents) d")
+
+
+@register("llm4_6_validate_payloads", PAYLOAD_SQL)
+def llm4_6_validate_payloads(spark, sf_dir):
+    """LLM4–LLM6 + STR7: extract/repair JSON, check response and summary types, derive the text."""
+    v = PL.validate_responses(doc_responses(spark, sf_dir))
+    return v.select("doc_id", "error", "summary_json", "summary_text")
+
+
+@register("llm5_generic_json", "SELECT doc_id, CASE k WHEN 3 THEN 'no_json' END AS error FROM "
+          "(SELECT doc_id, doc_id % 6 AS k FROM documents) d")
+def llm5_generic_json(spark, sf_dir):
+    """LLM5 with json_type generic: any object or array passes."""
+    v = PL.validate_responses(doc_responses(spark, sf_dir), json_type="generic")
+    return v.select("doc_id", "error")
+
+
+@register("llm7_tabular", "SELECT doc_id, 1 AS line_no, lang, n_chars, source, FALSE AS malformed FROM documents")
+def llm7_tabular(spark, sf_dir):
+    """LLM7: CSV responses (header + one line per document) → typed rows."""
+    d = read_table(spark, sf_dir, "documents")
+    csv = F.concat(F.lit("lang,n_chars,source\n"), F.col("lang"), F.lit(","), F.col("n_chars").cast("string"),
+                   F.lit(","), F.col("source"))
+    r = d.select("doc_id", csv.alias("response"))
+    return PL.parse_tabular(r, "response", "lang string, n_chars bigint, source string", ("doc_id",))

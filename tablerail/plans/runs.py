@@ -14,12 +14,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablerail import schemas as S
 from tablerail.functions.text import prepend_note
-from tablerail.operators.control import PK, _join_keys, lease_expiry, worklist
+from tablerail.operators.control import PK, _join_keys, worklist
 from tablerail.operators.predicates import BROADCAST_ROWS, include_urls, lease_free, ready_gate
 from tablerail.session import ts
 
@@ -80,9 +80,10 @@ def claim_outcome(control: DataFrame, keys: DataFrame, worker_id: str, now, stag
     fail = F.col("_claimed") & ~ok
     j = j.withColumn("_okrow", ok)
     new_vals = {}
+    released = _released()
     for c in set(ok_values) | set(fail_values) | {"is_claimed", "worker_id", "lease_until", "updated_at"}:
-        okv = ok_values.get(c, _RELEASED.get(c, F.col(c)))
-        fv = fail_values.get(c, _RELEASED.get(c, F.col(c)))
+        okv = ok_values.get(c, released.get(c, F.col(c)))
+        fv = fail_values.get(c, released.get(c, F.col(c)))
         if c == "updated_at":
             okv = fv = ts(now)
         new_vals[c] = F.when(F.col("_okrow"), okv).when(fail, fv).otherwise(F.col(c))
@@ -97,8 +98,9 @@ def claim_outcome(control: DataFrame, keys: DataFrame, worker_id: str, now, stag
     return out.select(*cols), outcomes.unionByName(missing)
 
 
-_RELEASED = {"is_claimed": F.lit(False), "worker_id": F.lit(None).cast("string"),
-             "lease_until": F.lit(None).cast("timestamp_ntz")}
+def _released() -> dict:
+    return {"is_claimed": F.lit(False), "worker_id": F.lit(None).cast("string"),
+            "lease_until": F.lit(None).cast("timestamp_ntz")}
 
 
 def run_url_stage(control: DataFrame, now, worker_id: str, max_batch: int | None = None,
@@ -134,7 +136,3 @@ def stage_worklist(control: DataFrame, stage: str, now, max_concurrent: int | No
     keys = worklist(control, stage, statuses, now, max_rows=limit)
     keys = include_urls(keys, filter_urls, bounded_rows=limit)
     return keys, _bounded(limit)
-
-
-def lease_column(now, minutes) -> Column:
-    return lease_expiry(now, minutes)
