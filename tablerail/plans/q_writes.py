@@ -239,12 +239,11 @@ CO_SQL["is_claimed"] = (
 def _co(name, fn):
     sql = with_fixtures(f"SELECT event_id, {name} AS raw, {CO_SQL[name]} AS value FROM {RAW}", RAW)
 
-    @register(f"co_{name}", sql)
     def q(spark, sf_dir):
         r = raw_control_fx(spark, sf_dir)
         return r.select("event_id", F.col(name).alias("raw"), fn(r).alias("value"))
-    q.__doc__ = f"Coercion of control column {name}."
-    return q
+    q.__doc__ = f"Coercion of the control column {name} from dirty text."
+    return register(f"co_{name}", sql)(q)
 
 
 co1_iteration = _co("iteration", lambda r: CO.coerce_iteration("iteration"))
