@@ -23,7 +23,7 @@ from tablerail import schemas as S
 from tablerail.functions.text import prepend_note, strip_ws
 from tablerail.operators.predicates import BROADCAST_ROWS, claimable, lease_free, ready_gate
 from tablerail.operators.queries import newest_by_updated, urls_by_filters, latest_state
-from tablerail.operators.upsert import upsert
+from tablerail.operators.upsert import prepare_batch, upsert
 from tablerail.session import ts
 
 PK = ["url", "iteration"]
@@ -149,12 +149,14 @@ def worklist(control: DataFrame, stage: str, statuses=("NEW",), now=None, max_ro
     last, then url, iteration), limited to ``max_rows`` (0/None = no limit).
 
     With a limit Spark plans ``TakeOrderedAndProject``: every partition keeps
-    its best ``max_rows`` rows, so the result is a bounded set."""
+    its best ``max_rows`` rows, so the result is a bounded set.  Without one
+    the claimable set is returned unsorted (no global sort of the table)."""
     rows = control.where(claimable(stage, statuses, now)).select("url", "iteration", "created_at")
+    if not max_rows:
+        # the whole claimable set: a set needs no global sort
+        return rows.select("url", "iteration")
     rows = rows.orderBy(F.col("created_at").asc_nulls_last(), F.col("url").asc(), F.col("iteration").asc())
-    if max_rows:
-        rows = rows.limit(int(max_rows))
-    return rows.select("url", "iteration")
+    return rows.limit(int(max_rows)).select("url", "iteration")
 
 
 def claim(control: DataFrame, keys: DataFrame, worker_id: str, now, lease_minutes: int = S.LEASE_DEFAULT_MIN,
@@ -282,7 +284,10 @@ def sync_from_registry(url_table: DataFrame, control: DataFrame, now, iteration:
         F.lit(False).alias("is_claimed"),
         ts(now).alias("created_at"),
     )
-    return upsert(base, new_rows, S.PIPELINE_CONTROL, now, validate=False)
+    # every new row has a key absent from ``base`` (anti-joined, or its iteration
+    # was dropped), so the upsert reduces to an append: no second join
+    batch = prepare_batch(new_rows, S.PIPELINE_CONTROL, now, validate=False)
+    return base.select(*S.PIPELINE_CONTROL.columns).unionByName(batch)
 
 
 def stage_gate(claimed: DataFrame, expected_stage: str) -> tuple[DataFrame, DataFrame]:

@@ -80,10 +80,10 @@ def _norm(vals) -> list[str]:
 
 def _distinct_urls(rows: DataFrame, order: list[Column], limit: int | None) -> DataFrame:
     g = rows.groupBy("url").agg(F.max("updated_at").alias("_u"), F.max("created_at").alias("_c"))
-    g = g.orderBy(*order, F.col("url").asc())
-    if limit is not None:
-        g = g.limit(int(limit))
-    return g.select("url")
+    if limit is None:
+        # the full set: ordering only matters to a consumer that collects it
+        return g.select("url")
+    return g.orderBy(*order, F.col("url").asc()).limit(int(limit)).select("url")
 
 
 def urls_by_filters(control: DataFrame, *, status=None, stage=None, active_only: bool = True,
@@ -117,14 +117,14 @@ def urls_by_stage_and_status(control: DataFrame, stage: str, *, status=("NEW",),
 
 def urls_by_status(control: DataFrame, status: str, limit: int | None = None) -> DataFrame:
     """AGG4c: distinct URLs with one status; ordered by URL before an optional limit."""
-    out = control.where(F.col("status") == F.lit(str(status).upper())).select("url").distinct().orderBy("url")
-    return out.limit(int(limit)) if limit else out
+    out = control.where(F.col("status") == F.lit(str(status).upper())).select("url").distinct()
+    return out.orderBy("url").limit(int(limit)) if limit else out
 
 
 def urls_by_stage(control: DataFrame, stage: str, limit: int | None = None) -> DataFrame:
     """AGG4d: distinct URLs at one stage."""
-    out = control.where(F.col("stage") == F.lit(str(stage).upper())).select("url").distinct().orderBy("url")
-    return out.limit(int(limit)) if limit else out
+    out = control.where(F.col("stage") == F.lit(str(stage).upper())).select("url").distinct()
+    return out.orderBy("url").limit(int(limit)) if limit else out
 
 
 def registry_urls(url_table: DataFrame) -> DataFrame:

@@ -91,8 +91,12 @@ def claim_outcome(control: DataFrame, keys: DataFrame, worker_id: str, now, stag
     outcomes = out.where(F.col("_hit").isNotNull()).select(
         *PK, F.col("_claimed").alias("claimed"), F.col("_at").alias("at_stage"), F.col("_okrow").alias("ok"),
         F.col("stage").alias("final_stage"), F.col("status").alias("final_status"))
-    # keys listed but gone from the table count as found, not claimed
-    missing = keys.select(*PK).join(control.select(*PK), PK, "left_anti").select(
+    # keys listed but gone from the table count as found, not claimed; the anti
+    # join is against the hit keys (at most |keys| rows), never the whole table
+    hits = out.where(F.col("_hit").isNotNull()).select(*PK)
+    if bounded_rows is not None:
+        hits = F.broadcast(hits)
+    missing = keys.select(*PK).join(hits, PK, "left_anti").select(
         *PK, F.lit(False).alias("claimed"), F.lit(False).alias("at_stage"), F.lit(False).alias("ok"),
         F.lit(None).cast("string").alias("final_stage"), F.lit(None).cast("string").alias("final_status"))
     return out.select(*cols), outcomes.unionByName(missing)
