@@ -41,6 +41,20 @@ def run_page_stage(control: DataFrame, web_page: DataFrame, fetcher, now, worker
     return StageRun(new_control, outcomes, {"web_page": new_pages, "fetched": pages})
 
 
+def claimed_pages(work: DataFrame, web_page: DataFrame, bounded_rows: int | None = None) -> DataFrame:
+    """JN6: each claimed key with its newest ``web_page`` row (WIN2); keys
+    without a page get ``page_found = false`` (they end as ERROR).  Only the
+    narrow page columns are read; a bounded key set is broadcast into the
+    page-table scan."""
+    wk = F.broadcast(work.select(*PK)) if bounded_rows is not None else work.select(*PK)
+    pages = web_page.select("url", "iteration", "clean_text", "created_at", "updated_at", "fetched_at") \
+        .join(wk, PK, "left_semi")
+    newest = newest_page(pages).select(*PK, "clean_text", F.col("created_at").alias("page_created_at"),
+                                       F.lit(True).alias("page_found"))
+    return work.select(*PK).join(newest, PK, "left").withColumn(
+        "page_found", F.coalesce(F.col("page_found"), F.lit(False)))
+
+
 def run_summary_stage(control: DataFrame, web_page: DataFrame, web_summary: DataFrame, client_factory,
                       params: InferenceParams, now, worker_id: str, *, max_concurrent: int | None = 3,
                       filter_urls: DataFrame | None = None, retry_errors: bool = False,
@@ -54,10 +68,8 @@ def run_summary_stage(control: DataFrame, web_page: DataFrame, web_summary: Data
     if bounded is None:
         keys = materialize(keys, scratch_dir)
     work = claimed_keys(control, keys, now, "WEB_SUMMARY", bounded)
-    wk = F.broadcast(work) if bounded is not None else work
-    page = newest_page(web_page.select("url", "iteration", "clean_text", "created_at", "updated_at", "fetched_at")
-                       .join(wk, PK, "left_semi"))
-    ready = page.where(has_text("clean_text"))
+    page = claimed_pages(work, web_page, bounded)
+    ready = page.where(F.col("page_found") & has_text("clean_text"))
     prompts = ready.select(*PK, render(SUMMARIZE_JSON_TEMPLATE, url=F.col("url"), content=F.col("clean_text"))
                            .alias("prompt"))
     if params.partitions is None and max_concurrent:
