@@ -4,6 +4,7 @@ entity decoding, which runs as an Arrow-batched pandas UDF."""
 from __future__ import annotations
 
 import html as _html
+import html.entities  # noqa: F401  (the HTML5 entity table)
 
 import pandas as pd
 from pyspark.sql import Column
@@ -73,9 +74,31 @@ def strip_markup(col) -> Column:
     return c
 
 
+# Named character references decoded in the JVM (their characters come from
+# the standard HTML5 entity table); any other reference goes to Python.
+COMMON_ENTITIES = ("lt", "gt", "quot", "apos", "nbsp", "copy", "reg", "middot", "hellip", "mdash", "ndash",
+                   "lsquo", "rsquo", "ldquo", "rdquo", "bull", "trade", "euro", "laquo", "raquo", "amp")
+
+
+def unescape_entities(col) -> Column:
+    """HTML character references → characters, with stdlib ``html.unescape`` rules.
+
+    A row whose only references are common named ones is decoded by ``replace``
+    in the JVM (``&amp;`` last, so decoding stays single-pass); only rows with
+    other references (numeric, rare names, missing semicolons) are handed to
+    the Arrow UDF, and the UDF receives NULL for every other row."""
+    c = _c(col)
+    simple = r"&(?:" + "|".join(COMMON_ENTITIES) + ");"
+    needs_python = F.regexp_replace(c, simple, "").contains("&")
+    jvm = c
+    for name in COMMON_ENTITIES:
+        jvm = F.replace(jvm, F.lit(f"&{name};"), F.lit(_html.entities.html5[f"{name};"]))
+    return F.when(~needs_python, jvm).otherwise(decode_entities(F.when(needs_python, c)))
+
+
 def html_to_text(col) -> Column:
     """STR2: visible text of a page by fixed text rules (not a renderer: no CSS/JS)."""
-    return decode_entities(strip_markup(col))
+    return unescape_entities(strip_markup(col))
 
 
 def normalize_tags(col, dtype: T.DataType | None = None) -> Column:

@@ -100,3 +100,11 @@ def test_prepend_note(spark):
 def test_render_missing_field(bad):
     with pytest.raises(KeyError):
         render(bad)
+
+
+def test_unescape_matches_stdlib(spark):
+    import html
+    cases = ["&amp;lt;", "&copy", "&#233;&#x41;", "&unknown; &amp;", "&amp;amp;", "a & b", "&nbsp;x&hellip;",
+             "&lt;p&gt;", "plain", None, "&AMP;", "&ampx;", "&#0;", "&#128;"]
+    got = _one(spark, TX.unescape_entities, cases)
+    assert got == [None if c is None else html.unescape(c) for c in cases]
