@@ -9,7 +9,7 @@ from tablerail.operators import control as C
 from tablerail.plans import runs as R
 from tablerail.plans.catalog import register
 from tablerail.plans.fixtures import control_base, control_fx, url_fx, with_fixtures
-from tablerail.plans.q_reads import SIGNUP_URLS_SQL, signup_urls
+from tablerail.plans.q_reads import HOT_SQL, SIGNUP_URLS_SQL, control_hot, signup_urls
 from tablerail.session import TEST_NOW, TEST_WORKER
 
 NOW = f"TIMESTAMP '{TEST_NOW}'"
@@ -315,3 +315,16 @@ def agg9_run_counters_race(spark, sf_dir):
         "is_claimed": F.lit(True), "worker_id": F.lit("w-other"),
         "lease_until": C.lease_expiry(TEST_NOW, 60)})
     return R.run_url_stage(c, TEST_NOW, TEST_WORKER, claim_view=raced).counters()
+
+
+FSM6_HOT_SQL = "WITH hot AS (" + HOT_SQL + ") " + _select(
+    {"stage": NEXT_SQL, "status": "'NEW'", "task_state": GATE_NEW, "updated_at": NOW},
+    "(url, iteration) IN (SELECT (url, iteration) FROM hot QUALIFY row_number() OVER (PARTITION BY url "
+    "ORDER BY updated_at DESC NULLS LAST, iteration DESC) = 1) AND status = 'COMPLETED' AND stage <> 'DONE'",
+    table="hot")
+
+
+@register("fsm6_advance_completed_hot", FSM6_HOT_SQL)
+def fsm6_advance_completed_hot(spark, sf_dir):
+    """FSM6 with one hot URL: keyed update joins on (url, iteration), so the hot URL spreads."""
+    return C.advance_completed(control_hot(spark, sf_dir), TEST_NOW).control

@@ -371,3 +371,46 @@ def src6_control_rows(spark, sf_dir):
 def src7_current_stage(spark, sf_dir):
     """SRC7: current stage per URL."""
     return Q.current_stage(control_fx(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- skew: one URL holds ~40% of all rows
+HOT_URL = "https://u.example/hot"
+HOT_SQL = with_fixtures(
+    f"SELECT CASE WHEN e.event_type IN ('view', 'click') THEN '{HOT_URL}' ELSE c.url END AS url, "
+    "CASE WHEN e.event_type IN ('view', 'click') THEN CAST(c.event_id AS INTEGER) ELSE c.iteration END AS iteration, "
+    "c.stage, c.status, c.task_state, c.is_claimed, c.worker_id, c.lease_until, c.source_file, c.notes, "
+    "c.created_at, c.updated_at FROM control_fx_id c JOIN events e ON c.event_id = e.event_id", "control_fx_id")
+
+
+def control_hot(spark, sf_dir):
+    """Control rows where every view/click event belongs to one URL (iteration = event id)."""
+    c = control_fx(spark, sf_dir, with_event_id=True, with_flags=False)
+    e = read_table(spark, sf_dir, "events").select("event_id", "event_type")
+    hot = F.col("event_type").isin("view", "click")
+    return c.join(e, "event_id").select(
+        F.when(hot, F.lit(HOT_URL)).otherwise(F.col("url")).alias("url"),
+        F.when(hot, F.col("event_id").cast("int")).otherwise(F.col("iteration")).alias("iteration"),
+        *[c for c in S.PIPELINE_CONTROL.columns if c not in ("url", "iteration")])
+
+
+@register("win1_latest_state_hot", f"SELECT * FROM ({HOT_SQL}) h QUALIFY row_number() OVER (PARTITION BY url ORDER BY "
+          "COALESCE(updated_at, created_at, TIMESTAMP '1970-01-01') DESC, iteration DESC) = 1")
+def win1_latest_state_hot(spark, sf_dir):
+    """WIN1 with one hot URL (~40% of rows): partial group limit before the shuffle."""
+    return Q.latest_state(control_hot(spark, sf_dir))
+
+
+@register("agg8_group_by_url_hot", "SELECT url, CAST(iteration // 1000 AS BIGINT) AS part, CAST(COUNT(*) AS BIGINT) "
+          "AS n_rows, string_agg(concat_ws(':', CAST(iteration AS VARCHAR), coalesce(stage, ''), coalesce(status, ''), "
+          f"coalesce(task_state, '')), ';' ORDER BY iteration) AS items FROM ({HOT_SQL}) h GROUP BY url, iteration // 1000")
+def agg8_group_by_url_hot(spark, sf_dir):
+    """AGG8 with one hot URL: its rows are cut into slices of at most 1,000."""
+    return Q.group_by_url(control_hot(spark, sf_dir))
+
+
+@register("agg1_progress_hot", f"SELECT url = '{HOT_URL}' AS hot, stage, status, CAST(COUNT(*) AS BIGINT) AS count "
+          f"FROM ({HOT_SQL}) h GROUP BY ALL")
+def agg1_progress_hot(spark, sf_dir):
+    """AGG1 split by hot/other URL: partial aggregation keeps the hot key off one task."""
+    c = control_hot(spark, sf_dir)
+    return c.groupBy((F.col("url") == HOT_URL).alias("hot"), "stage", "status").agg(F.count(F.lit(1)).alias("count"))

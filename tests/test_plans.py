@@ -48,3 +48,23 @@ def test_text_cleaning_has_no_python(spark):
     from tablerail.functions.text import clean_page_text
     d = read_table(spark, SF001, "documents").select(clean_page_text("text"))
     assert "Python" not in plan(d) and "ArrowEval" not in plan(d)
+
+
+def test_hot_url_is_sliced_and_limited(spark):
+    from tablerail.plans.q_reads import HOT_URL, control_hot
+    c = control_hot(spark, SF001)
+    hot_rows = c.where(F.col("url") == HOT_URL).count()
+    assert hot_rows > c.count() / 3
+    parts = Q.group_by_url(c).where(F.col("url") == HOT_URL).collect()
+    assert sum(r.n_rows for r in parts) == hot_rows and max(r.n_rows for r in parts) <= 1000
+    p = plan(Q.latest_state(c))
+    assert "WindowGroupLimit" in p
+    assert Q.latest_state(c).where(F.col("url") == HOT_URL).count() == 1
+
+
+def test_keyed_update_hashes_on_full_key(spark):
+    from tablerail.plans.q_reads import control_hot
+    import re
+    p = plan(C.advance_completed(control_hot(spark, SF001), TEST_NOW).control)
+    # the join shuffles on (url, iteration); only the per-URL top-1 partitions by url alone
+    assert re.search(r"hashpartitioning\(url#\d+, iteration#\d+", p)
