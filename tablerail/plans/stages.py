@@ -28,8 +28,6 @@ def run_page_stage(control: DataFrame, web_page: DataFrame, fetcher, now, worker
 
     ``max_concurrent=None`` processes every claimable row (no batch cap)."""
     keys, bounded = stage_worklist(control, "WEB_PAGE", now, max_concurrent, retry_errors, filter_urls)
-    if bounded is None:
-        keys = materialize(keys, scratch_dir)
     work = claimed_keys(control, keys, now, "WEB_PAGE", bounded)
     # fetching has side effects: persist before anything branches on it
     pages = materialize(page_rows(fetch_pages(work, fetcher, bounded), now, keep_html), scratch_dir)
@@ -65,8 +63,6 @@ def run_summary_stage(control: DataFrame, web_page: DataFrame, web_summary: Data
     DONE/NEW/PAUSED, anything else → ERROR."""
     check_provider(params.provider)
     keys, bounded = stage_worklist(control, "WEB_SUMMARY", now, max_concurrent, retry_errors, filter_urls)
-    if bounded is None:
-        keys = materialize(keys, scratch_dir)
     work = claimed_keys(control, keys, now, "WEB_SUMMARY", bounded)
     page = claimed_pages(work, web_page, bounded)
     ready = page.where(F.col("page_found") & has_text("clean_text"))
