@@ -93,14 +93,24 @@ def unescape_entities(col) -> Column:
     jvm = c
     for name in COMMON_ENTITIES:
         jvm = F.replace(jvm, F.lit(f"&{name};"), F.lit(_html.entities.html5[f"{name};"]))
-    return F.when(~needs_python, jvm).otherwise(decode_entities(F.when(needs_python, c)))
+    return (F.when(~c.contains("&"), c)
+            .when(~needs_python, jvm)
+            .otherwise(decode_entities(F.when(needs_python, c))))
 
 
 def html_to_text(col) -> Column:
-    """STR2: visible text of a page by fixed text rules (not a renderer: no CSS/JS)."""
+    """STR2: visible text of a page by fixed text rules (not a renderer: no CSS/JS).
+
+    The input is referenced several times; on a DataFrame prefer
+    ``with_page_text`` so the tag stripping runs once per row."""
     return unescape_entities(strip_markup(col))
 
 
+def with_page_text(df, html_col: str = "html", out: str = "page_text"):
+    """STR2 as two projections: markup stripped once, then entities decoded."""
+    return df.withColumn(out, strip_markup(html_col)).withColumn(out, unescape_entities(out))
+
+
 def normalize_tags(col, dtype: T.DataType | None = None) -> Column:
     """STR3: tags as list, CSV string, JSON-array text or NULL → trimmed non-blank array."""
     c = _c(col)

@@ -44,7 +44,8 @@ def visible_sql(x: str) -> str:
 
 def page_text(spark, sf_dir):
     p = read_table(spark, sf_dir, "pages")
-    return p.select("url", TX.clean_page_text(TX.html_to_text(F.col("html"))).alias("clean_text"))
+    t = TX.with_page_text(p.select("url", "html"), "html", "text")
+    return t.select("url", TX.clean_page_text("text").alias("clean_text"))
 
 
 PAGE_TEXT_SQL = f"SELECT url, {clean_sql(markup_sql('html'))} AS clean_text FROM pages"

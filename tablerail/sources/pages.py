@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablerail import schemas as S
-from tablerail.functions.text import clean_page_text, has_visible_text, html_to_text
+from tablerail.functions.text import clean_page_text, has_visible_text, with_page_text
 from tablerail.session import ts
 
 FETCH_SCHEMA = T.StructType([
@@ -95,8 +95,7 @@ def page_rows(fetched: DataFrame, now, keep_html: bool = False) -> DataFrame:
     Success is decided on the visible text before cleaning (Q33): a page whose
     text is only URLs still counts as fetched with an empty ``clean_text``.
     A failed or empty fetch gives one ``FETCH_FAILED`` row (Q29)."""
-    text = html_to_text(F.col("html"))
-    staged = fetched.withColumn("_text", text)
+    staged = with_page_text(fetched, "html", "_text")
     ok = F.col("html").isNotNull() & F.col("error").isNull() & has_visible_text(F.col("_text"))
     return staged.select(
         "url", "iteration",
