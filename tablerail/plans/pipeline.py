@@ -34,6 +34,9 @@ class Pipeline:
 
     def __post_init__(self):
         self.store = TableStore(self.spark, self.root)
+        # side-effect results (fetches, model responses) go next to the tables: a shared folder
+        if self.scratch_dir is None:
+            self.scratch_dir = f"{self.root.rstrip('/')}/_scratch"
 
     def _now(self) -> str:
         return self.now or utc_now_str()

@@ -65,6 +65,15 @@ class TableStore:
         w.parquet(f"{self.root}/{table}/v={n}")
         return n
 
+    def vacuum(self, table: str, keep: int = 2) -> list[int]:
+        """Delete all but the newest ``keep`` committed versions (readers of an
+        older version must have finished); returns the versions removed."""
+        vs = self._versions(table)
+        drop = vs[:-keep] if keep > 0 else vs
+        for v in drop:
+            self._fs.delete(self._Path(f"{self.root}/{table}/v={v}"), True)
+        return drop
+
     def bootstrap(self, tables=None) -> dict[str, bool]:
         """SNK4: create every registered table that is missing (empty, with its schema);
         unknown names give False."""

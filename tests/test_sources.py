@@ -91,3 +91,13 @@ def test_page_rows_failures(spark):
     # text made only of a URL still counts as fetched, with empty clean text (Q33)
     assert rows["u3"].ok and rows["u3"].clean_text == ""
     assert not rows["u4"].ok and rows["u4"].fetch_error == "FETCH_FAILED"
+
+
+def test_store_vacuum(spark, scratch):
+    store = TableStore(spark, os.path.join(scratch, "tables"))
+    store.bootstrap(["url"])
+    rows = spark.createDataFrame([("u", "s", None, None, None)], S.URL.schema)
+    for _ in range(3):
+        store.write("url", rows)
+    assert store.vacuum("url", keep=2) == [0, 1]
+    assert store.read("url").count() == 1
