@@ -8,7 +8,7 @@ from tablerail import schemas as S
 from tablerail.operators import control as C
 from tablerail.plans import runs as R
 from tablerail.plans.catalog import register
-from tablerail.plans.fixtures import control_base, control_fx, url_fx, with_fixtures
+from tablerail.plans.fixtures import control_base, url_fx, with_fixtures
 from tablerail.plans.q_reads import HOT_SQL, SIGNUP_URLS_SQL, control_hot, signup_urls
 from tablerail.session import TEST_NOW, TEST_WORKER
 
