@@ -41,3 +41,21 @@ def test_cli_parser():
     from tablerail.__main__ import build_parser
     a = build_parser().parse_args(["--store", "/x", "scrape", "--max", "3", "--retry-errors"])
     assert (a.command, a.max, a.retry_errors) == ("scrape", 3, True)
+
+
+def test_cli_end_to_end(spark, scratch, capsys):
+    from tablerail.__main__ import main
+    pages = read_table(spark, SF001, "pages")
+    pages_path = os.path.join(scratch, "crawl.parquet")
+    pages.select("url", "html").write.parquet(pages_path)
+    seeds = os.path.join(scratch, "seeds.json")
+    with open(seeds, "w") as f:
+        json.dump({"urls": [{"url": r.url, "tags": "a, b"} for r in pages.select("url").collect()]}, f)
+    store = os.path.join(scratch, "store")
+    for argv in (["bootstrap"], ["ingest", seeds], ["sync"], ["urls"],
+                 ["scrape", "--all-rows", "--pages-table", pages_path], ["summarize", "--all-rows"]):
+        main(["--store", store] + argv)
+    capsys.readouterr()
+    main(["--store", store, "progress"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out == [{"stage": "DONE", "status": "NEW", "count": 50}]
