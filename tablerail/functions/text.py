@@ -165,6 +165,6 @@ def cell_text(col, dtype: T.DataType) -> Column:
 
 
 def has_visible_text(col) -> Column:
-    """Not NULL and not only whitespace (of the full class)."""
-    c = _c(col)
-    return c.isNotNull() & (F.length(F.regexp_replace(c, f"{WS_CLASS}+", "")) > 0)
+    """Not NULL and not only whitespace (of the full class): one regex search
+    that stops at the first visible character; NULL text gives false."""
+    return F.coalesce(_c(col).rlike(NON_WS_CLASS), F.lit(False))

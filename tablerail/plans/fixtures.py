@@ -8,11 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablerail.session import ts
+from tablerail.session import spread, ts
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, cpu_heavy: bool = False) -> DataFrame:
+    """A driver table.  ``cpu_heavy``: the rows feed regex/JSON work, so a scan
+    with fewer splits than the cluster has cores is spread first (``spread``)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if cpu_heavy else df
 
 
 def _iteration_by_user(events: DataFrame) -> F.Column:

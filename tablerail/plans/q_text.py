@@ -43,7 +43,7 @@ def visible_sql(x: str) -> str:
 
 
 def page_text(spark, sf_dir):
-    p = read_table(spark, sf_dir, "pages")
+    p = read_table(spark, sf_dir, "pages", cpu_heavy=True)
     t = TX.with_page_text(p.select("url", "html"), "html", "text")
     return t.select("url", TX.clean_page_text("text").alias("clean_text"))
 
@@ -55,7 +55,7 @@ PAGE_TEXT_SQL = f"SELECT url, {clean_sql(markup_sql('html'))} AS clean_text FROM
 @register("str1_clean_documents", f"SELECT doc_id, {clean_sql('text')} AS clean_text FROM documents")
 def str1_clean_documents(spark, sf_dir):
     """STR1: cleaner over every document (JS fragments, scripts, URLs, whitespace)."""
-    d = read_table(spark, sf_dir, "documents")
+    d = read_table(spark, sf_dir, "documents", cpu_heavy=True)
     return d.select("doc_id", TX.clean_page_text("text").alias("clean_text"))
 
 
@@ -81,7 +81,7 @@ def snk1_page_rows(spark, sf_dir):
 @register("flt2_has_text", f"SELECT doc_id FROM documents WHERE {visible_sql(clean_sql('text'))}")
 def flt2_has_text(spark, sf_dir):
     """FLT2: documents whose cleaned text is not blank (the rest would be rejected before prompting)."""
-    d = read_table(spark, sf_dir, "documents")
+    d = read_table(spark, sf_dir, "documents", cpu_heavy=True)
     return d.where(P.has_text(TX.clean_page_text("text"))).select("doc_id")
 
 
@@ -177,7 +177,7 @@ def _w(i: int):
 def doc_responses(spark, sf_dir):
     """Model-like responses built from documents in six shapes (valid, repairable,
     wrong types, prose only, array, full object)."""
-    d = read_table(spark, sf_dir, "documents")
+    d = read_table(spark, sf_dir, "documents", cpu_heavy=True)
     w1, w2, w3 = _w(1), _w(2), _w(3)
     k = F.col("doc_id") % 6
     q = F.lit('"')

@@ -70,9 +70,10 @@ def run_summary_stage(control: DataFrame, web_page: DataFrame, web_summary: Data
                            .alias("prompt"))
     if params.partitions is None and max_concurrent:
         params = InferenceParams(**{**params.__dict__, "partitions": max_concurrent})
-    # model calls cost money: persist the responses before validating/branching
-    responses = materialize(infer(prompts, "prompt", client_factory, params), scratch_dir)
-    rows = summary_rows(responses, params, now)
+    # model calls cost money: persist the validated responses before branching,
+    # so neither branch (summary table, control update) repeats a call or the
+    # JSON checks
+    rows = materialize(summary_rows(infer(prompts, "prompt", client_factory, params), params, now), scratch_dir)
     good = rows.where(F.col("error").isNull()).drop("error")
     new_summary = upsert(web_summary, good, S.WEB_SUMMARY, now, incoming_rows=bounded, validate=False)
     ok = rows.select(*PK, F.col("error").isNull().alias("ok"))

@@ -85,3 +85,18 @@ def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never a local checkpoint."""
     checkpoint_dir(df.sparkSession, fallback_dir)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy row work (regex cleaning, JSON checks) at least one
+    partition per core.
+
+    Meant for a file scan: a few large files with one row group each are read
+    by one task apiece.  A scan with enough splits (any table at cluster scale)
+    is returned unchanged, so no shuffle is added there; otherwise the rows are
+    dealt round-robin over ``min_partitions`` (default: the cluster's
+    parallelism).  Filters and projections above still reach the scan."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

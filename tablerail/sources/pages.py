@@ -44,6 +44,13 @@ class TableFetcher:
             pages = self.pages.join(F.broadcast(k.select("url").distinct()), "url", "left_semi")
         else:
             pages = self.pages
+            # The key set is narrow but every key expands into a page to clean.
+            # Hash it on the join key into the shuffle width: a sort-merge join
+            # reuses this partitioning (only the page side is exchanged), and
+            # a broadcast of a small page table keeps it, so the cleaning that
+            # follows never runs in the one task AQE would coalesce keys into.
+            n = int(k.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            k = k.repartition(n, "url")
         j = k.join(pages, "url", "left")
         return j.select("url", "iteration",
                         F.when(F.col("html").isNotNull(), F.lit(200)).cast("int").alias("status_code"),
