@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablerail import schemas as S
 from tablerail.operators.predicates import active_gate, filter_predicate, ready_gate
@@ -37,6 +38,45 @@ def top1_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def group_ordinal(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "ordinal",
+                  pieces: int | None = None) -> DataFrame:
+    """``row_number() - 1`` inside each group under ``order`` (ascending, NULLs
+    last, a total order), without putting a group into one task.
+
+    A window partitioned by the group alone sorts a hot group in one task.
+    Here each group is cut into at most ``pieces`` (default: the shuffle
+    width) pieces by equal-width buckets of the first order column between
+    its minimum and maximum (one aggregate row brought to the driver), so a
+    group holding a third of the table spreads over many tasks.  A piece is a
+    pure function of the row's own values, so every branch of the plan (and
+    every retry) agrees on it.  A row's ordinal is its rank inside its
+    (group, piece) plus the sizes of the same group's earlier pieces: a
+    running sum over a table of at most ``pieces`` rows per group."""
+    spark = df.sparkSession
+    n = int(pieces or spark.conf.get("spark.sql.shuffle.partitions"))
+    first = F.col(order[0])
+    if isinstance(df.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType)):
+        # microseconds since the epoch: exact and free of time-zone folds
+        first = F.timestamp_diff("MICROSECOND", ts(EPOCH), first)
+    v = first.cast("double")
+    lo, hi = df.agg(F.min(v), F.max(v)).first()
+    if lo is None or hi is None or hi <= lo:
+        bucket = F.lit(0)
+    else:
+        bucket = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * n).cast("int"), F.lit(n - 1))
+    bucket = F.coalesce(bucket, F.lit(n))  # NULLs sort last
+    b = df.withColumn("_piece", bucket)
+    rank = F.row_number().over(Window.partitionBy(*group, "_piece").orderBy(*[_order(c, False) for c in order])) - 1
+    sizes = b.groupBy(*group, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_piece").alias("_p"),
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    cond = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group] + [F.col("_piece") == F.col("_p")]
+    j = b.withColumn("_rank", rank).join(offsets, cond, "inner")
+    return j.withColumn(out, F.col("_off") + F.col("_rank")).drop(
+        "_piece", "_rank", "_p", "_off", *[f"_g_{g}" for g in group])
+
+
 def activity_key() -> Column:
     """DT4: latest-activity timestamp ``coalesce(updated_at, created_at, epoch)``."""
     return F.coalesce(F.col("updated_at").cast("timestamp_ntz"), F.col("created_at").cast("timestamp_ntz"),

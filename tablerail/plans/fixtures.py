@@ -18,22 +18,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, cpu_heavy: bool = Fa
     return spread(df) if cpu_heavy else df
 
 
-def _iteration_by_user(events: DataFrame) -> F.Column:
-    from pyspark.sql import Window
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return (F.row_number().over(w) - 1).cast("int")
+def _with_iteration(events: DataFrame) -> DataFrame:
+    """Each user's events numbered 0, 1, … by (ts, event_id): the iteration of
+    the control row.  A user may hold a third of all events, so the numbering
+    is the skew-safe ``group_ordinal``, not a window over the user."""
+    from tablerail.operators.queries import group_ordinal
+    return group_ordinal(events, ["user_id"], ["ts", "event_id"], "_iteration")
 
 
 def control_fx(spark: SparkSession, sf_dir: str, with_event_id: bool = False,
                with_flags: bool = True) -> DataFrame:
     """One control row per event: ``(url, iteration)`` unique."""
-    e = read_table(spark, sf_dir, "events")
+    e = _with_iteration(read_table(spark, sf_dir, "events"))
     eid = F.col("event_id")
     et = F.col("event_type")
     purchase = et == "purchase"
     cols = [
         F.concat(F.lit("https://u.example/"), F.col("user_id").cast("string")).alias("url"),
-        _iteration_by_user(e).alias("iteration"),
+        F.col("_iteration").cast("int").alias("iteration"),
         F.when(eid % 4 == 0, "URL").when(eid % 4 == 1, "WEB_PAGE").when(eid % 4 == 2, "WEB_SUMMARY")
          .otherwise("DONE").alias("stage"),
         F.when(et == "view", "NEW").when(et == "click", "COMPLETED").when(et == "purchase", "IN_PROGRESS")

@@ -68,3 +68,21 @@ def test_keyed_update_hashes_on_full_key(spark):
     p = plan(C.advance_completed(control_hot(spark, SF001), TEST_NOW).control)
     # the join shuffles on (url, iteration); only the per-URL top-1 partitions by url alone
     assert re.search(r"hashpartitioning\(url#\d+, iteration#\d+", p)
+
+
+def test_group_ordinal_matches_row_number_on_a_hot_group(spark):
+    import re
+    from pyspark.sql import Window
+    e = read_table(spark, SF001, "events")
+    # one user holds every view and click (~40% of the rows); a few NULL users too
+    e = e.withColumn("user_id", F.when(F.col("event_type").isin("view", "click"), F.lit(-1))
+                     .when(F.col("event_id") % 97 == 0, F.lit(None)).otherwise(F.col("user_id")))
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    brute = e.select("event_id", (F.row_number().over(w) - 1).alias("it"))
+    got = Q.group_ordinal(e, ["user_id"], ["ts", "event_id"], "it", pieces=16)
+    mine = got.select("event_id", "it")
+    assert mine.count() == e.count()
+    assert brute.exceptAll(mine).count() == 0 and mine.exceptAll(brute).count() == 0
+    # the ranking window is partitioned by (user, piece), never by the user alone
+    p = plan(got)
+    assert re.search(r"row_number\(\) windowspecdefinition\(user_id#\d+L, _piece#\d+", p)
