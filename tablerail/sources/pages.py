@@ -45,12 +45,13 @@ class TableFetcher:
         else:
             pages = self.pages
             # The key set is narrow but every key expands into a page to clean.
-            # Hash it on the join key into the shuffle width: a sort-merge join
-            # reuses this partitioning (only the page side is exchanged), and
-            # a broadcast of a small page table keeps it, so the cleaning that
-            # follows never runs in the one task AQE would coalesce keys into.
+            # Hash it on the whole key into the shuffle width, so the cleaning
+            # that follows never runs in the one task AQE would coalesce a
+            # small key set into, and a URL with many iterations is spread: a
+            # broadcast page table keeps this partitioning; a large one gets a
+            # sort-merge join on url whose own shuffle AQE may split for skew.
             n = int(k.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            k = k.repartition(n, "url")
+            k = k.repartition(n, "url", "iteration")
         j = k.join(pages, "url", "left")
         return j.select("url", "iteration",
                         F.when(F.col("html").isNotNull(), F.lit(200)).cast("int").alias("status_code"),
