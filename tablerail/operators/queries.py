@@ -46,7 +46,7 @@ def group_ordinal(df: DataFrame, group: Sequence[str], order: Sequence[str], out
     A window partitioned by the group alone sorts a hot group in one task.
     Here each group is cut into at most ``pieces`` (default: the shuffle
     width) pieces by equal-width buckets of the first order column between
-    its minimum and maximum (one aggregate row brought to the driver), so a
+    its minimum and maximum (scalar subqueries, one aggregate), so a
     group holding a third of the table spreads over many tasks.  A piece is a
     pure function of the row's own values, so every branch of the plan (and
     every retry) agrees on it.  A row's ordinal is its rank inside its
@@ -59,12 +59,11 @@ def group_ordinal(df: DataFrame, group: Sequence[str], order: Sequence[str], out
         # microseconds since the epoch: exact and free of time-zone folds
         first = F.timestamp_diff("MICROSECOND", ts(EPOCH), first)
     v = first.cast("double")
-    lo, hi = df.agg(F.min(v), F.max(v)).first()
-    if lo is None or hi is None or hi <= lo:
-        bucket = F.lit(0)
-    else:
-        bucket = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * n).cast("int"), F.lit(n - 1))
-    bucket = F.coalesce(bucket, F.lit(n))  # NULLs sort last
+    # scalar subqueries (planned into the query, merged into one aggregate)
+    lo, hi = df.agg(F.min(v)).scalar(), df.agg(F.max(v)).scalar()
+    width = F.floor((v - lo) / (hi - lo) * n).cast("int")
+    bucket = F.when(hi > lo, F.least(width, F.lit(n - 1))).otherwise(F.lit(0))
+    bucket = F.when(v.isNull(), F.lit(n)).otherwise(bucket)  # NULLs sort last
     b = df.withColumn("_piece", bucket)
     rank = F.row_number().over(Window.partitionBy(*group, "_piece").orderBy(*[_order(c, False) for c in order])) - 1
     sizes = b.groupBy(*group, "_piece").agg(F.count(F.lit(1)).alias("_n"))

@@ -87,7 +87,7 @@ def incoming_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_control_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty text cells for the coercion operators."""
-    e = read_table(spark, sf_dir, "events")
+    e = read_table(spark, sf_dir, "events", cpu_heavy=True)
     eid = F.col("event_id")
     et = F.col("event_type")
 
