@@ -66,11 +66,13 @@ def control_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incoming_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upsert batch: every tenth event; one in twenty hits an existing key."""
+    """Upsert batch: one row per ``view`` event (a category, so the batch grows
+    with the table); even event ids hit their existing key, odd ones are new keys."""
     c = control_fx(spark, sf_dir, with_event_id=True, with_flags=False)
-    return c.where(F.col("event_id") % 10 == 0).select(
+    views = read_table(spark, sf_dir, "events").where(F.col("event_type") == "view").select("event_id")
+    return c.join(views, "event_id", "left_semi").select(
         "url",
-        F.when(F.col("event_id") % 20 == 0, F.col("iteration")).otherwise(F.col("iteration") + 100000)
+        F.when(F.col("event_id") % 2 == 0, F.col("iteration")).otherwise(F.col("iteration") + 100000)
          .alias("iteration"),
         F.lit("WEB_PAGE").alias("stage"),
         F.lit("NEW").alias("status"),
@@ -177,11 +179,11 @@ CONTROL_BASE_SQL = (
 )
 
 INCOMING_FX_SQL = """
-SELECT url, CASE WHEN event_id % 20 = 0 THEN iteration ELSE iteration + 100000 END AS iteration,
+SELECT url, CASE WHEN event_id % 2 = 0 THEN iteration ELSE iteration + 100000 END AS iteration,
  'WEB_PAGE' AS stage, 'NEW' AS status, 'READY' AS task_state, false AS is_claimed,
  CAST(NULL AS VARCHAR) AS worker_id, CAST(NULL AS TIMESTAMP) AS lease_until, 'seed.json' AS source_file,
  CAST(NULL AS VARCHAR) AS notes, CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at
-FROM control_fx_id WHERE event_id % 10 = 0
+FROM control_fx_id WHERE event_id IN (SELECT event_id FROM events WHERE event_type = 'view')
 """
 
 RAW_CONTROL_FX_SQL = """
