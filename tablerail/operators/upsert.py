@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tablerail import schemas as S
 from tablerail.operators.align import align, stamp
 from tablerail.operators.predicates import BROADCAST_ROWS, assert_unique_pk
-from tablerail.session import ts
+from tablerail.session import checkpoint_dir, ts
 
 POLICIES = ("pk_scoped", "full_replace", "none", "replace_by_pk")
 
@@ -41,6 +41,18 @@ def _use_broadcast(incoming_rows: int | None) -> bool:
     return incoming_rows is not None and incoming_rows <= BROADCAST_ROWS
 
 
+def reuse_bounded(batch: DataFrame) -> DataFrame:
+    """A bounded batch (at most ``BROADCAST_ROWS`` rows) read several times is
+    computed once: a reliable checkpoint in the shared ``spark.checkpoint.dir``
+    (it survives executor loss; never a local checkpoint).  Without a
+    configured folder the batch is left as a plan and recomputed per use."""
+    sc = batch.sparkSession.sparkContext
+    if not (batch.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()):
+        return batch
+    checkpoint_dir(batch.sparkSession)
+    return batch.checkpoint(eager=True)
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, table: S.TableSpec | str, now, *,
            policy: str = "pk_scoped", incoming_rows: int | None = None, validate: bool = True,
            stamp_policy: dict | None = None, params: dict | None = None) -> DataFrame:
@@ -56,7 +68,12 @@ def upsert(existing: DataFrame, incoming: DataFrame, table: S.TableSpec | str, n
     spec = S.table_spec(table)
     if policy not in POLICIES:
         raise ValueError(f"unknown dedup policy: {policy!r}")
-    batch = prepare_batch(incoming, spec, now, stamp_policy=stamp_policy, params=params, validate=validate)
+    batch = prepare_batch(incoming, spec, now, stamp_policy=stamp_policy, params=params, validate=False)
+    if _use_broadcast(incoming_rows):
+        # a counted batch feeds the key check and up to three joins: compute it once
+        batch = reuse_bounded(batch)
+    if validate and spec.primary_keys:
+        assert_unique_pk(batch, spec.primary_keys)
     existing = existing.select(*spec.columns)
     pk = list(spec.primary_keys)
     if policy == "full_replace":
