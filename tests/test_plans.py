@@ -86,3 +86,26 @@ def test_group_ordinal_matches_row_number_on_a_hot_group(spark):
     # the ranking window is partitioned by (user, piece), never by the user alone
     p = plan(got)
     assert re.search(r"row_number\(\) windowspecdefinition\(user_id#\d+L, _piece#\d+", p)
+
+
+def test_spread_only_when_the_scan_has_too_few_splits(spark):
+    from tablerail.session import spread
+    one = read_table(spark, SF001, "documents")  # one file, one row group
+    assert one.rdd.getNumPartitions() == 1
+    s = spread(one)
+    assert s.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert "RoundRobinPartitioning" in plan(s)
+    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert "Exchange" not in plan(spread(many))
+
+
+def test_fetch_keys_hash_on_the_whole_key(spark):
+    import re
+    from tablerail.sources.pages import TableFetcher
+    pages = read_table(spark, SF001, "pages")
+    # one URL with many iterations: the keys must not all land on one partition
+    hot = pages.select("url").first()[0]
+    keys = spark.range(200).select(F.lit(hot).alias("url"), F.col("id").cast("int").alias("iteration"))
+    got = TableFetcher(pages).fetch(keys)
+    assert re.search(r"hashpartitioning\(url#\d+, iteration#\d+", plan(got))
+    assert got.count() == 200 and got.where(F.col("html").isNull()).count() == 0
