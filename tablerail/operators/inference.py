@@ -185,8 +185,12 @@ def infer(df: DataFrame, prompt_col: str, client_factory: Callable[[], object],
     return src.mapInPandas(_client_partition(client_factory, params, share, prompt_col), T.StructType(fields))
 
 
-def summary_rows(responses: DataFrame, params: InferenceParams, now) -> DataFrame:
-    """LLM4–LLM6 + STR7 + LLM8: validated responses → ``web_summary`` rows plus ``error``.
+RAW_RESPONSE_COLUMNS = ("response", "call_error", "attempts")
+
+
+def summary_rows(responses: DataFrame, params: InferenceParams, now, keep_raw: bool = False) -> DataFrame:
+    """LLM4–LLM6 + STR7 + LLM8: validated responses → ``web_summary`` rows plus ``error``
+    (and, with ``keep_raw``, the raw ``response``, ``call_error`` and ``attempts``).
 
     A row is a failure when the call failed or the payload is invalid."""
     from tablerail.session import ts
@@ -203,4 +207,5 @@ def summary_rows(responses: DataFrame, params: InferenceParams, now) -> DataFram
         ts(now).alias("created_at"),
         ts(now).alias("updated_at"),
         err.alias("error"),
+        *([F.col(c) for c in RAW_RESPONSE_COLUMNS] if keep_raw else []),
     )

@@ -51,7 +51,10 @@ def group_ordinal(df: DataFrame, group: Sequence[str], order: Sequence[str], out
     pure function of the row's own values, so every branch of the plan (and
     every retry) agrees on it.  A row's ordinal is its rank inside its
     (group, piece) plus the sizes of the same group's earlier pieces: a
-    running sum over a table of at most ``pieces`` rows per group."""
+    running sum over a table of at most ``pieces`` rows per group.  The split
+    is by value, so rows of one group that share (nearly) one value of the
+    first order column stay in one piece; that window spills and finishes,
+    it is just not split further."""
     spark = df.sparkSession
     n = int(pieces or spark.conf.get("spark.sql.shuffle.partitions"))
     first = F.col(order[0])

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tablerail import schemas as S
 from tablerail.functions.prompts import SUMMARIZE_JSON_TEMPLATE, render
 from tablerail.operators.control import PK, sync_from_registry
-from tablerail.operators.inference import InferenceParams, OfflineClient, check_provider, infer, summary_rows
+from tablerail.operators.inference import (RAW_RESPONSE_COLUMNS, InferenceParams, OfflineClient, check_provider,
+                                           infer, summary_rows)
 from tablerail.operators.predicates import has_text
 from tablerail.operators.queries import newest_page
 from tablerail.operators.upsert import upsert
@@ -73,7 +74,10 @@ def run_summary_stage(control: DataFrame, web_page: DataFrame, web_summary: Data
     # model calls cost money: persist the validated responses before branching,
     # so neither branch (summary table, control update) repeats a call or the
     # JSON checks
-    rows = materialize(summary_rows(infer(prompts, "prompt", client_factory, params), params, now), scratch_dir)
+    checked = materialize(summary_rows(infer(prompts, "prompt", client_factory, params), params, now,
+                                       keep_raw=True), scratch_dir)
+    rows = checked.drop(*RAW_RESPONSE_COLUMNS)
+    responses = checked.select(*PK, *RAW_RESPONSE_COLUMNS)
     good = rows.where(F.col("error").isNull()).drop("error")
     new_summary = upsert(web_summary, good, S.WEB_SUMMARY, now, incoming_rows=bounded, validate=False)
     ok = rows.select(*PK, F.col("error").isNull().alias("ok"))
@@ -81,7 +85,7 @@ def run_summary_stage(control: DataFrame, web_page: DataFrame, web_summary: Data
     fail_values = {"status": F.lit("ERROR")}
     new_control, outcomes = claim_outcome(control, keys, worker_id, now, "WEB_SUMMARY", lease_minutes, ok,
                                           ok_values, fail_values, bounded)
-    return StageRun(new_control, outcomes, {"web_summary": new_summary, "responses": rows})
+    return StageRun(new_control, outcomes, {"web_summary": new_summary, "responses": responses, "checked": rows})
 
 
 @dataclass
