@@ -74,8 +74,9 @@ def include_urls(df: DataFrame, urls: DataFrame | None, bounded_rows: int | None
     return df.join(keys, "url", "left_semi")
 
 
-# Largest key set we broadcast when its size is proven (url + iteration ≈ 100 B/row).
-BROADCAST_ROWS = 2_000_000
+# Largest key set we broadcast when its size is proven.  Only key columns
+# (url, iteration ≈ 100 B/row) are broadcast, never whole rows: ≈ 100 MB at most.
+BROADCAST_ROWS = 1_000_000
 
 
 def filter_predicate(spec: S.TableSpec | str, **filters) -> Column:

@@ -4,9 +4,10 @@ A table is immutable data; an "upsert" returns the next version of the table.
 Plans:
 
 * ``incoming_rows`` known and ≤ ``BROADCAST_ROWS`` (a worklist batch, a seed
-  file): the batch is broadcast, the existing table is read once without a
-  shuffle (left join for updates, a semi join to find the few matched keys,
-  an anti join of the batch against those keys for inserts).
+  file): only the batch's key columns are broadcast; the existing table is
+  read without a shuffle and split into untouched rows (anti join) and the
+  few matched ones (semi join), whose keys and ``created_at`` are broadcast
+  back onto the batch.  No whole row is ever broadcast.
 * otherwise one ``full_outer`` join on the whole primary key; both sides are
   hash-partitioned on every key column, so one hot URL with many iterations
   still spreads, and AQE splits skewed partitions.
@@ -110,23 +111,37 @@ def _upsert_full_outer(existing: DataFrame, batch: DataFrame, spec: S.TableSpec,
 
 
 def _upsert_broadcast(existing: DataFrame, batch: DataFrame, spec: S.TableSpec, now, batch_rows: int) -> DataFrame:
+    """Counted batch: no whole row is broadcast and the table is not shuffled.
+
+    The batch's keys are broadcast; the table splits into rows the batch does
+    not touch (anti join) and the matched ones (semi join, at most |batch|).
+    Of a matched row only its key and ``created_at`` survive the update, so
+    those (bounded, narrow) are broadcast back onto the batch."""
     pk = list(spec.primary_keys)
-    b = F.broadcast(batch.withColumn("_new", F.lit(True))).alias("n")
-    e = existing.alias("o")
-    cond = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in pk]
-    matched = F.col("n._new").isNotNull()
+    keys = F.broadcast(batch.select(*pk))
+    untouched = existing.join(keys, pk, "left_anti")
+    old = F.broadcast(_old_keys(existing.join(keys, pk, "left_semi"), pk))
+    return untouched.unionByName(_batch_rows(batch.join(old, pk, "left"), spec, now))
+
+
+def _old_keys(existing: DataFrame, pk: Sequence[str]) -> DataFrame:
+    return existing.select(*pk, F.col("created_at").alias("_old_created"), F.lit(True).alias("_hit"))
+
+
+def _batch_rows(j: DataFrame, spec: S.TableSpec, now) -> DataFrame:
+    """Batch rows after the write: a matched key keeps its old ``created_at``
+    (Q16: every other column comes from the batch, NULL included);
+    ``updated_at = now`` for all."""
+    hit = F.col("_hit").isNotNull()
     cols = []
     for c in spec.columns:
-        n, o = F.col(f"n.{c}"), F.col(f"o.{c}")
-        if c in pk or c == "created_at":
-            cols.append(o.alias(c))
+        if c == "created_at":
+            cols.append(F.when(hit, F.col("_old_created")).otherwise(F.col(c)).alias(c))
         elif c == "updated_at":
-            cols.append(F.when(matched, ts(now)).otherwise(o).alias(c))
+            cols.append(ts(now).alias(c))
         else:
-            cols.append(F.when(matched, n).otherwise(o).alias(c))
-    updated = e.join(b, cond, "left").select(*cols)
-    inserted = insert_only_new(existing, batch, pk, batch_rows).withColumn("updated_at", ts(now))
-    return updated.unionByName(inserted)
+            cols.append(F.col(c))
+    return j.select(*cols)
 
 
 def matched_keys(existing: DataFrame, batch: DataFrame, pk: Sequence[str], batch_rows: int | None) -> DataFrame:
@@ -162,17 +177,10 @@ def update_matched(existing: DataFrame, incoming: DataFrame, table: S.TableSpec
     spec = S.table_spec(table)
     batch = prepare_batch(incoming, spec, now)
     pk = list(spec.primary_keys)
-    b = batch.alias("n")
     if _use_broadcast(incoming_rows):
-        b = F.broadcast(b)
-    e = existing.select(*spec.columns).alias("o")
-    cond = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in pk]
-    cols = []
-    for c in spec.columns:
-        if c in pk or c == "created_at":
-            cols.append(F.col(f"o.{c}").alias(c))
-        elif c == "updated_at":
-            cols.append(ts(now).alias(c))
-        else:
-            cols.append(F.col(f"n.{c}").alias(c))
-    return e.join(b, cond, "inner").select(*cols)
+        # keys out, matched keys (+ created_at) back: nothing wide is broadcast, the table is not shuffled
+        hit = existing.join(F.broadcast(batch.select(*pk)), pk, "left_semi")
+        old = F.broadcast(_old_keys(hit, pk))
+    else:
+        old = _old_keys(existing, pk)
+    return _batch_rows(batch.join(old, pk, "inner"), spec, now)
