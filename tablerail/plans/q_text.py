@@ -27,15 +27,17 @@ def clean_sql(x: str) -> str:
 
 
 def markup_sql(x: str) -> str:
-    """STR2 tag rules in DuckDB; entities: the four the page data holds."""
+    """STR2 tag rules in DuckDB; entities: the ones the page data holds
+    (``&amp`` also without its semicolon, as HTML5 decodes it)."""
     s = f"regexp_replace({x}, '(?s)<!--.*?-->', '', 'g')"
     for tag in TX.HIDDEN_ELEMENTS:
         s = f"regexp_replace({s}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'g')"
     s = f"regexp_replace({s}, '(?i)</?(?:{'|'.join(TX.BLOCK_ELEMENTS)})\\b[^>]*>', chr(10), 'g')"
     s = f"regexp_replace({s}, '(?s)<[A-Za-z/!?][^>]*>', '', 'g')"
-    for ent, ch in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
+    for ent, ch in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"')):
         s = f"replace({s}, '{ent}', '{ch}')"
-    return s
+    # last, in one left-to-right pass, so a decoded '&' never starts a new reference
+    return f"regexp_replace({s}, '&amp;?', '&', 'g')"
 
 
 def visible_sql(x: str) -> str:
