@@ -240,6 +240,7 @@ def advance_completed(control: DataFrame, now) -> Updated:
     return keyed_update(control, latest.select(*PK), F.lit(True), values)
 
 
+# Fixed value: the note text a retried row carries, verbatim.
 RETRY_NOTE = "auto-reset from ERROR by state_sync.retry_error_one"
 
 

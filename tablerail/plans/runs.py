@@ -23,6 +23,7 @@ from tablerail.operators.control import PK, _join_keys, worklist
 from tablerail.operators.predicates import BROADCAST_ROWS, include_urls, lease_free, ready_gate
 from tablerail.session import ts
 
+# Fixed value: the note text of a row the URL runner moved on, verbatim.
 URL_DONE_NOTE = "URL stage done"
 
 
