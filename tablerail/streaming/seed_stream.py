@@ -39,7 +39,9 @@ def run_seed_stream(spark: SparkSession, source_dir: str, store_root: str, check
     def apply(batch: DataFrame, epoch_id: int) -> None:
         rows = flatten_seeds(_entries(batch)).dropDuplicates(["url"])
         current = store.read("url")
-        store.write("url", upsert(current, rows, S.URL, now, validate=False))
+        # a micro-batch is usually small: counted, it takes the keys-only broadcast plan
+        n = rows.count()
+        store.write("url", upsert(current, rows, S.URL, now, incoming_rows=n, validate=False))
 
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
