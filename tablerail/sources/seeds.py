@@ -68,7 +68,8 @@ def flatten_seeds(entries: DataFrame) -> DataFrame:
 
 def ingest_seed_files(spark: SparkSession, paths: str | list[str], url_table: DataFrame, now,
                       policy: str = "pk_scoped") -> DataFrame:
-    """SRC3: seed files → registry upsert.  Missing paths are skipped with a warning."""
+    """SRC3: seed files → registry upsert.  Missing paths are skipped with a
+    warning; a URL listed twice with different source or tags raises."""
     plist = [paths] if isinstance(paths, str) else list(paths)
     present = [p for p in plist if _path_exists(spark, p)]
     for p in plist:
@@ -76,5 +77,7 @@ def ingest_seed_files(spark: SparkSession, paths: str | list[str], url_table: Da
             log.warning("seed file not found, skipped: %s", p)
     if not present:
         return url_table
-    rows = flatten_seeds(read_seed_entries(spark, present)).dropDuplicates(["url"])
-    return upsert(url_table, rows, S.URL, now, policy=policy, validate=False)
+    # as one upsert batch: identical entries collapse, the same URL with
+    # different source/tags is a primary-key conflict and raises (VAL1)
+    rows = flatten_seeds(read_seed_entries(spark, present))
+    return upsert(url_table, rows, S.URL, now, policy=policy)

@@ -101,3 +101,15 @@ def test_store_vacuum(spark, scratch):
         store.write("url", rows)
     assert store.vacuum("url", keep=2) == [0, 1]
     assert store.read("url").count() == 1
+
+
+def test_ingest_collapses_copies_and_rejects_conflicts(spark, scratch):
+    import pytest
+    empty = spark.createDataFrame([], S.URL.schema)
+    _write(os.path.join(scratch, "x.json"), [{"url": "https://a.example/1", "tags": ["t"]}])
+    _write(os.path.join(scratch, "y.json"), [{"url": " https://a.example/1 ", "tags": ["t"]}])
+    out = ingest_seed_files(spark, [os.path.join(scratch, "x.json"), os.path.join(scratch, "y.json")], empty, TEST_NOW)
+    assert out.count() == 1
+    _write(os.path.join(scratch, "z.json"), [{"url": "https://a.example/1", "tags": ["other"]}])
+    with pytest.raises(ValueError, match="duplicate primary keys"):
+        ingest_seed_files(spark, [os.path.join(scratch, "x.json"), os.path.join(scratch, "z.json")], empty, TEST_NOW)
