@@ -1,11 +1,18 @@
-"""The corpus pipeline: stages over ``documents``, each reading what the stage
-before it wrote."""
+"""The corpus pipeline: quality, near-duplicates, personal data, mixture, packing.
+
+Each stage reads what the one before it wrote; all but the last return the
+columns of ``documents``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablerail.llm import common, simhash
+from tablerail.llm import common, mixing, packing, pii, quality, queries, simhash
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier (trained on their labelled rows) accepts."""
+    return quality.keep_good(docs, quality.fit(docs, common.read(spark, sf_dir, "labels")), threshold=0.7)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,9 +20,31 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_first(docs, words=3, max_bits=2)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts replaced by its kind; n_chars follows the text."""
+    return pii.redact(docs, pii.train(docs), length_column="n_chars")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled to the raked source, language and topic targets."""
+    return mixing.sample(docs, share=0.7, power=0.8, seed="mix")
+
+
+def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The remaining documents packed into windows of 2048 tokens."""
+    return packing.digests(packing.pack(docs, queries.vocabulary(), window=2048))
+
+
+STAGES = [
+    ("quality_filter", quality_filter),
+    ("near_dedup", near_dedup),
+    ("redact_pii", redact_pii),
+    ("mix_sources", mix_sources),
+    ("pack_windows", pack_windows),
+]
 
-# learned models, fingerprints and a solver: no SQL form; tested against brute force
+# a learned model, fingerprints and boosted trees: no SQL form; the tests hold
+# every stage against brute force
 ORACLE_SQL = None
 
 

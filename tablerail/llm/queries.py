@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablerail.llm import kdtree, sharding, simhash, vptree
+from tablerail.llm import kdtree, mixing, packing, pii, quality, sharding, simhash, toxicity, vptree, warc
 from tablerail.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,20 @@ def query(name: str, sql: str | None = None) -> Callable:
     return add
 
 
+def vocabulary() -> packing.Vocabulary:
+    """The byte-level vocabulary of the installed public tokenizers."""
+    import public_tokenizers
+    return packing.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                              public_tokenizers.PATTERN, closing=1)
+
+
+@query("op1_quality")
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by supervised subword embeddings."""
+    docs = read(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.fit(docs, read(spark, sf_dir, "labels")), threshold=0.7)
+
+
 @query("op2_shards")
 def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feistel shuffle of all documents into 24 shards (law "rows")."""
@@ -37,12 +51,39 @@ def op3_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(v, v.where(F.col("vec_id") % 20 == 0), k=20, factor=4.0)
 
 
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by the learned lexicon."""
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.classify(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")), threshold=0.5)
+
+
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents, three-word shingles, two bits."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=3, max_bits=2)
 
 
+@query("op6_mixing", mixing.oracle_sql(share=0.7, power=0.8, seed="mix"))
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents sampled to raked source, language and topic targets."""
+    rows = mixing.sample(read(spark, sf_dir, "documents"), share=0.7, power=0.8, seed="mix", with_details=True)
+    return rows.select("doc_id", F.col("m_source").alias("source"), F.col("m_lang").alias("lang"),
+                       F.col("m_topic").alias("topic"), "tokens", F.round("probability", 6).alias("probability"))
+
+
+@query("op7_warc", """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, CAST(p.payload_bytes AS BIGINT) AS payload_bytes, p.payload_digest,
+       CASE WHEN f.first < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first < p.page_id THEN f.first END AS refers_to
+FROM p LEFT JOIN f ON p.payload_bytes >= 100 AND p.payload_digest = f.payload_digest""")
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives, indexed, and read back by URL."""
+    return warc.round_trip(spark, read(spark, sf_dir, "pages"), least=100)
+
+
 @query("op8_kdtree", """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
            FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
@@ -57,3 +98,16 @@ def op8_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact five highest integer inner products."""
     v = read(spark, sf_dir, "embeddings")
     return kdtree.top_k(v, v.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+@query("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: checked base spans and selected candidates."""
+    docs = read(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into windows of 2048 tokens."""
+    return packing.digests(packing.pack(read(spark, sf_dir, "documents"), vocabulary(), window=2048))
