@@ -2,7 +2,7 @@
 
 Commands mirror the pipeline: ``bootstrap``, ``ingest``, ``sync``, ``urls``,
 ``scrape``, ``summarize``, ``all``, ``advance-completed``, ``progress``.
-The model client is ``module:callable`` (default: the offline client)."""
+The model client is ``module:callable``; commands that call a model require it."""
 
 from __future__ import annotations
 
@@ -11,10 +11,7 @@ import importlib
 import json
 
 
-def _client(spec: str | None):
-    if not spec:
-        from tablerail.operators.inference import OfflineClient
-        return OfflineClient
+def _client(spec: str):
     mod, _, name = spec.partition(":")
     return getattr(importlib.import_module(mod), name)
 
@@ -23,7 +20,18 @@ def _fetcher(spark, args):
     from tablerail.sources.pages import HttpFetcher, TableFetcher
     if args.pages_table:
         return TableFetcher(spark.read.parquet(args.pages_table))
-    return HttpFetcher(concurrency=args.max or 5)
+    return HttpFetcher(partitions=args.fetch_tasks)
+
+
+def _fetch_arguments(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--pages-table", default=None, help="parquet table (url, html) used as the fetcher")
+    p.add_argument("--fetch-tasks", type=int, default=None, help="tasks the URLs are dealt over (default: shuffle width)")
+
+
+def _model_arguments(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--provider", default="openai", choices=["openai", "anthropic"])
+    p.add_argument("--model", default=None)
+    p.add_argument("--client", required=True, help="model client factory as module:callable")
 
 
 def build_parser() -> argparse.ArgumentParser:
@@ -41,22 +49,19 @@ def build_parser() -> argparse.ArgumentParser:
     u.add_argument("--max", type=int, default=None)
     for name in ("scrape", "summarize"):
         s = sub.add_parser(name)
-        s.add_argument("--max", type=int, default=5, help="concurrency; the batch is 4x this (0 → 1000)")
-        s.add_argument("--all-rows", action="store_true", help="process every claimable row")
+        s.add_argument("--max-rows", type=int, default=None, help="process at most so many rows (default: all)")
         s.add_argument("--retry-errors", action="store_true")
-        s.add_argument("--pages-table", default=None, help="parquet table (url, html) used as the fetcher")
-        s.add_argument("--provider", default="openai", choices=["openai", "anthropic"])
-        s.add_argument("--model", default=None)
-        s.add_argument("--client", default=None, help="model client factory as module:callable")
+        if name == "scrape":
+            _fetch_arguments(s)
+        else:
+            _model_arguments(s)
     a = sub.add_parser("all")
     a.add_argument("--seeds", nargs="*", default=None)
-    a.add_argument("--max-scrape", type=int, default=5)
-    a.add_argument("--max-summarize", type=int, default=5)
+    a.add_argument("--max-scrape", type=int, default=None, help="pages fetched at most (default: all)")
+    a.add_argument("--max-summarize", type=int, default=None, help="pages summarised at most (default: all)")
     a.add_argument("--retry-errors", action="store_true")
-    a.add_argument("--pages-table", default=None)
-    a.add_argument("--provider", default="openai", choices=["openai", "anthropic"])
-    a.add_argument("--model", default=None)
-    a.add_argument("--client", default=None)
+    _fetch_arguments(a)
+    _model_arguments(a)
     sub.add_parser("advance-completed")
     sub.add_parser("progress")
     return p
@@ -79,10 +84,10 @@ def main(argv=None) -> None:
     elif cmd == "urls":
         out = pipe.run_urls(args.max)
     elif cmd == "scrape":
-        out = pipe.scrape(_fetcher(spark, args), None if args.all_rows else args.max, args.retry_errors)
+        out = pipe.scrape(_fetcher(spark, args), args.max_rows, args.retry_errors)
     elif cmd == "summarize":
         params = InferenceParams(provider=args.provider, model_id=args.model or DEFAULT_MODEL)
-        out = pipe.summarize(_client(args.client), params, None if args.all_rows else args.max, args.retry_errors)
+        out = pipe.summarize(_client(args.client), params, args.max_rows, args.retry_errors)
     elif cmd == "all":
         params = InferenceParams(provider=args.provider, model_id=args.model or DEFAULT_MODEL)
         out = pipe.run_all(args.seeds, _fetcher(spark, args), _client(args.client), params,

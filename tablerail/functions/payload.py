@@ -170,9 +170,16 @@ def validate_responses(df: DataFrame, text_col: str = "response", expected: str
                        json_type: str = "web_summary") -> DataFrame:
     """LLM4 → LLM5 → LLM6 → STR7 on a response column.
 
-    Adds ``error`` (NULL = valid), ``summary_json`` and ``summary_text``."""
+    Adds ``error`` (NULL = valid), ``summary_json`` and ``summary_text``.  For
+    ``str`` and ``code`` the response itself is the text and any is valid; JSON
+    checks apply to ``json`` only (tabular responses go to ``parse_tabular``)."""
     if json_type not in JSON_TYPES:
         raise ValueError(f"unsupported json_type: {json_type!r}")
+    if expected not in RESPONSE_TYPES:
+        raise ValueError(f"unsupported response type: {expected!r}")
+    if expected != "json":
+        none = F.lit(None).cast("string")
+        return df.withColumns({"error": none, "summary_json": none, "summary_text": _c(text_col)})
     out = extract_json(df, text_col, "payload")
     err = response_error(F.col("payload"), expected)
     if json_type == "web_summary":
@@ -188,16 +195,35 @@ def validate_responses(df: DataFrame, text_col: str = "response", expected: str
     return out.drop("payload", "payload_text")
 
 
+# A record: runs outside quotes and whole quoted strings, up to a line end.  A
+# field: a quoted string ("" is a quote in it) or all up to the next comma.
+CSV_RECORD = r'(?:[^"\r\n]++|"(?:[^"]++|"")*+"?+)++'
+
+
+def csv_fields(record: Column) -> Column:
+    """The fields of one CSV record, quotes resolved."""
+    whole = F.regexp_extract_all(record, F.lit(r'(?:^|,)("(?:[^"]++|"")*+"[^,]*+|[^,]*+)'), F.lit(1))
+    return F.transform(whole, lambda f: F.when(f.startswith('"'), F.replace(
+        F.regexp_replace(f, r'(?s)^"((?:[^"]++|"")*+)".*$', "$1"), F.lit('""'), F.lit('"'))).otherwise(f))
+
+
 def parse_tabular(df: DataFrame, text_col: str, schema: T.StructType | str, key_cols: tuple[str, ...] = ()) -> DataFrame:
-    """LLM7: CSV text (header line first) → one row per data line.
+    """LLM7: CSV text (header record first) → one row per data record.
 
-    Output: key columns, ``line_no`` and the parsed fields; ``malformed`` marks
-    lines whose field count differs from the schema."""
+    Columns go by the header's names (any order; a name of the schema that the
+    header lacks is NULL); quoted fields may hold commas, quotes and line ends;
+    blank lines count for nothing.  Output: key columns, ``line_no`` (record
+    number from 1) and the fields; ``malformed`` marks records whose field count
+    differs from the header's, or that hold a value not of its column's type."""
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    n = len(st.fields)
-    lines = df.select(*key_cols, F.posexplode(F.split(_c(text_col), r"\r?\n")).alias("line_no", "line"))
-    lines = lines.where((F.col("line_no") > 0) & (F.trim(F.col("line")) != ""))
-    parsed = F.from_csv(F.col("line"), st.simpleString())
-    return lines.select(*key_cols, "line_no", parsed.alias("row"),
-                        (F.size(F.split(F.col("line"), ",")) != n).alias("malformed")).select(
-        *key_cols, "line_no", "row.*", "malformed")
+    records = df.select(*key_cols, F.regexp_extract_all(_c(text_col), F.lit(CSV_RECORD), F.lit(0)).alias("_r"))
+    records = records.select(*key_cols, F.transform(csv_fields(F.element_at("_r", 1)), lambda x: F.trim(x)).alias("_h"),
+                             F.posexplode("_r").alias("line_no", "_line"))
+    rows = records.where(F.col("line_no") > 0).withColumn("_v", csv_fields(F.col("_line")))
+    values, bad = {}, F.size("_v") != F.size("_h")
+    for f in st.fields:
+        at = F.array_position("_h", f.name).cast("int")
+        text = F.when(at > 0, F.nullif(F.try_element_at("_v", F.when(at > 0, at).otherwise(1)), F.lit("")))
+        values[f.name] = text if isinstance(f.dataType, T.StringType) else F.trim(text).try_cast(f.dataType)
+        bad = bad | (text.isNotNull() & values[f.name].isNull())
+    return rows.select(*key_cols, "line_no", *[v.alias(k) for k, v in values.items()], F.coalesce(bad, F.lit(True)).alias("malformed"))

@@ -64,11 +64,13 @@ def decode_entities(s: pd.Series) -> pd.Series:
 
 def strip_markup(col) -> Column:
     """STR2 without entity decoding: comments and hidden elements removed, block
-    tags become a newline, all other tags vanish."""
+    tags become a newline, all other tags vanish.
+
+    Comments and hidden elements go in one left-to-right pass, so a "<!--" inside
+    a script opens no comment and a "<script>" inside a comment no script."""
     c = _c(col)
-    c = F.regexp_replace(c, r"(?s)<!--.*?-->", "")
-    for tag in HIDDEN_ELEMENTS:
-        c = F.regexp_replace(c, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
+    hidden = "|".join(rf"<{tag}\b[^>]*>.*?</{tag}\s*>" for tag in HIDDEN_ELEMENTS)
+    c = F.regexp_replace(c, rf"(?is)<!--.*?-->|{hidden}", "")
     c = F.regexp_replace(c, r"(?i)</?(?:" + "|".join(BLOCK_ELEMENTS) + r")\b[^>]*>", "\n")
     c = F.regexp_replace(c, r"(?s)<[A-Za-z/!?][^>]*>", "")
     return c
@@ -119,7 +121,8 @@ def normalize_tags(col, dtype: T.DataType | None = None) -> Column:
     else:
         s = c.cast("string")
         as_json = F.from_json(s, T.ArrayType(T.StringType()))
-        arr = F.when(F.regexp_like(s, F.lit(r"^\s*\[")), as_json).otherwise(F.split(s, ","))
+        # text in brackets that is no JSON array ("[draft], bio") is CSV after all
+        arr = F.when(F.regexp_like(s, F.lit(r"^\s*\[")), F.coalesce(as_json, F.split(s, ","))).otherwise(F.split(s, ","))
     trimmed = F.transform(arr, lambda x: strip_ws(x))
     return F.filter(trimmed, lambda x: x.isNotNull() & (x != ""))
 

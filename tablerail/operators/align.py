@@ -18,8 +18,8 @@ log = logging.getLogger(__name__)
 
 def align(df: DataFrame, target: S.TableSpec | str | Sequence[str], strict: bool = False,
           dedup: bool = True) -> DataFrame:
-    """PRJ1: drop extra columns, add missing ones as NULL (``strict`` → error),
-    reorder, nested values → JSON text, NaN → NULL, drop exact duplicate rows.
+    """PRJ1: drop extra columns, add missing ones with the table's default, else
+    NULL (``strict`` → error), reorder, nested values → JSON text, NaN → NULL, drop exact duplicate rows.
 
     With a ``TableSpec`` every column is also cast to its declared type."""
     spec = None
@@ -39,7 +39,8 @@ def align(df: DataFrame, target: S.TableSpec | str | Sequence[str], strict: bool
     for c in columns:
         want = spec.dtype(c) if spec is not None else None
         if c not in present:
-            out.append(F.lit(None).cast(want or T.StringType()).alias(c))
+            value = spec.defaults.get(c) if spec is not None else None
+            out.append(F.lit(value).cast(want or T.StringType()).alias(c))
             continue
         have = present[c]
         col = F.col(c)

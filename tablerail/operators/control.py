@@ -6,10 +6,9 @@ the next version of the table (plus, where useful, the affected rows).  A
 claim, release or step that the reference runs as one SQL ``UPDATE`` per URL
 is here one keyed pass over the whole table.
 
-Key sets coming from a bounded worklist (``bounded_rows`` ≤ BROADCAST_ROWS)
-are broadcast, so the control table is scanned once with no shuffle; key sets
-of unknown size are joined by a shuffle on the full primary key (url,
-iteration), which spreads a hot URL over all partitions."""
+Key sets are joined on the full primary key (url, iteration), which spreads a
+hot URL over all partitions.  There is one plan for every size: the adaptive
+planner broadcasts a key set it has measured to be small."""
 
 from __future__ import annotations
 
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tablerail import schemas as S
 from tablerail.functions.text import prepend_note, strip_ws
-from tablerail.operators.predicates import BROADCAST_ROWS, claimable, lease_free, ready_gate
+from tablerail.operators.predicates import claimable, lease_free, ready_gate
 from tablerail.operators.queries import newest_by_updated, urls_by_filters, latest_state
 from tablerail.operators.upsert import prepare_batch, upsert
 from tablerail.session import ts
@@ -125,28 +124,40 @@ def mark_status(df: DataFrame, status: str, now, note: str | None = None) -> Dat
 # Keyed updates (JN7)
 # ---------------------------------------------------------------------------
 
-def _join_keys(control: DataFrame, keys: DataFrame, payload: Sequence[str] = (),
-               bounded_rows: int | None = None) -> DataFrame:
-    k = keys.select(*PK, *payload).withColumn("_hit", F.lit(True))
-    if bounded_rows is not None and bounded_rows <= BROADCAST_ROWS:
-        k = F.broadcast(k)
-    return control.join(k, PK, "left")
+def unique_keys(keys: DataFrame, payload: Sequence[str] = ()) -> DataFrame:
+    """One row per key: repeated keys collapse, and a key that is listed with
+    two different payloads raises.  The grouping is on the whole key, so the
+    join that follows needs no further exchange of this side."""
+    if not payload:
+        return keys.select(*PK).distinct()
+    values = F.struct(*payload)
+    g = keys.groupBy(*PK).agg(F.min(values).alias("_least"), F.max(values).alias("_most"))
+    one = F.when(F.col("_least") == F.col("_most"), F.col("_least")).otherwise(F.raise_error(F.concat(
+        F.lit("conflicting values for key "), F.coalesce("url", F.lit("NULL")), F.lit(" "),
+        F.coalesce(F.col("iteration").cast("string"), F.lit("NULL")))))
+    return g.select(*PK, one.alias("_one")).select(*PK, *[F.col("_one")[p].alias(p) for p in payload])
+
+
+def _join_keys(control: DataFrame, keys: DataFrame, payload: Sequence[str] = ()) -> DataFrame:
+    """Control rows with ``_hit`` (and the payload) of the key set; a key listed
+    twice still hits its row once."""
+    return control.join(unique_keys(keys, payload).withColumn("_hit", F.lit(True)), PK, "left")
 
 
 def keyed_update(control: DataFrame, keys: DataFrame, cond: Column, values: dict, *,
-                 payload: Sequence[str] = (), bounded_rows: int | None = None) -> Updated:
+                 payload: Sequence[str] = ()) -> Updated:
     """Apply ``values`` to control rows whose key is in ``keys`` and ``cond`` holds."""
     cols = control.columns
-    j = _join_keys(control, keys, payload, bounded_rows)
+    j = _join_keys(control, keys, payload)
     hit = F.col("_hit").isNotNull() & F.coalesce(cond, F.lit(False))
     j = j.withColumn("_apply", hit)
     j = j.withColumns({k: F.when(F.col("_apply"), v).otherwise(F.col(k)) for k, v in values.items()})
     return Updated(j.select(*cols), j.where(F.col("_apply")).select(*cols))
 
 
-def worklist(control: DataFrame, stage: str, statuses=("NEW",), now=None, max_rows: int | None = 1000) -> DataFrame:
+def worklist(control: DataFrame, stage: str, statuses=("NEW",), now=None, max_rows: int | None = None) -> DataFrame:
     """WRK1: claimable (url, iteration) keys, oldest first (``created_at`` NULLs
-    last, then url, iteration), limited to ``max_rows`` (0/None = no limit).
+    last, then url, iteration); all of them unless the caller asks for ``max_rows``.
 
     With a limit Spark plans ``TakeOrderedAndProject``: every partition keeps
     its best ``max_rows`` rows, so the result is a bounded set.  Without one
@@ -159,8 +170,7 @@ def worklist(control: DataFrame, stage: str, statuses=("NEW",), now=None, max_ro
     return rows.limit(int(max_rows)).select("url", "iteration")
 
 
-def claim(control: DataFrame, keys: DataFrame, worker_id: str, now, lease_minutes: int = S.LEASE_DEFAULT_MIN,
-          bounded_rows: int | None = None) -> Updated:
+def claim(control: DataFrame, keys: DataFrame, worker_id: str, now, lease_minutes: int = S.LEASE_DEFAULT_MIN) -> Updated:
     """LSE1: claim keys whose gate is READY and lease free (stage/status not tested, Q3)."""
     values = {
         "is_claimed": F.lit(True),
@@ -169,7 +179,7 @@ def claim(control: DataFrame, keys: DataFrame, worker_id: str, now, lease_minute
         "status": F.lit("IN_PROGRESS"),
         "updated_at": ts(now),
     }
-    return keyed_update(control, keys, ready_gate() & lease_free(now), values, bounded_rows=bounded_rows)
+    return keyed_update(control, keys, ready_gate() & lease_free(now), values)
 
 
 def lease_expiry(now, minutes: int) -> Column:
@@ -177,16 +187,14 @@ def lease_expiry(now, minutes: int) -> Column:
     return ts(now) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(int(minutes)))
 
 
-def renew(control: DataFrame, keys: DataFrame, worker_id: str, now, lease_minutes: int = S.LEASE_DEFAULT_MIN,
-          bounded_rows: int | None = None) -> Updated:
+def renew(control: DataFrame, keys: DataFrame, worker_id: str, now, lease_minutes: int = S.LEASE_DEFAULT_MIN) -> Updated:
     """LSE2: extend the lease of rows held (and claimed) by ``worker_id``."""
     cond = (F.col("worker_id") == F.lit(worker_id)) & (F.col("is_claimed") == F.lit(True))
     return keyed_update(control, keys, cond, {"lease_until": lease_expiry(now, lease_minutes),
-                                              "updated_at": ts(now)}, bounded_rows=bounded_rows)
+                                              "updated_at": ts(now)})
 
 
-def release(control: DataFrame, keys: DataFrame, worker_id: str, now, final_status: str | None = None,
-            bounded_rows: int | None = None) -> Updated:
+def release(control: DataFrame, keys: DataFrame, worker_id: str, now, final_status: str | None = None) -> Updated:
     """LSE3: holder only – clear the lease and set the final status.
 
     ``final_status`` is one status for all keys, or ``None`` to read it per key
@@ -194,17 +202,17 @@ def release(control: DataFrame, keys: DataFrame, worker_id: str, now, final_stat
     payload = () if final_status is not None else ("final_status",)
     st = F.lit(final_status) if final_status is not None else F.col("final_status")
     values = {**_cleared_lease(), "status": st, "updated_at": ts(now)}
-    return keyed_update(control, keys, F.col("worker_id") == F.lit(worker_id), values,
-                        payload=payload, bounded_rows=bounded_rows)
+    return keyed_update(control, keys, F.col("worker_id") == F.lit(worker_id), values, payload=payload)
 
 
-def finalize(control: DataFrame, keys: DataFrame, worker_id: str, now, bounded_rows: int | None = None) -> Updated:
+def finalize(control: DataFrame, keys: DataFrame, worker_id: str, now) -> Updated:
     """LSE4: ``keys`` carries ``ok`` and ``notes``.  A non-empty note replaces the
     row's notes whoever holds it (Q15); then the holder's lease is released as
     COMPLETED (ok) or ERROR."""
     cols = control.columns
-    j = _join_keys(control, keys, ("ok", "notes_new"), bounded_rows) if "notes_new" in keys.columns else \
-        _join_keys(control, keys.withColumnRenamed("notes", "notes_new"), ("ok", "notes_new"), bounded_rows)
+    if "notes_new" not in keys.columns:
+        keys = keys.withColumnRenamed("notes", "notes_new")
+    j = _join_keys(control, keys, ("ok", "notes_new"))
     hit = F.col("_hit").isNotNull()
     has_note = hit & F.col("notes_new").isNotNull() & (F.col("notes_new") != "")
     holder = hit & F.coalesce(F.col("worker_id") == F.lit(worker_id), F.lit(False))
@@ -256,7 +264,9 @@ def advance_all_completed(control: DataFrame, now) -> Updated:
     each, its latest READY row (WIN1) is stepped (FSM3).  URLs without a READY
     row are skipped (Q32)."""
     urls = urls_by_filters(control, status=["COMPLETED"], active_only=True)
-    targets = latest_state(control.join(urls, "url", "left_semi"), ready_only=True).select(*PK)
+    # one row per URL first (partial group limit before the shuffle), then the
+    # URLs: a hot URL's rows never meet in one task
+    targets = latest_state(control, ready_only=True).select(*PK).join(urls, "url", "left_semi")
     changes, vals = step_values(now)
     return keyed_update(control, targets, changes, vals)
 
@@ -272,7 +282,8 @@ def sync_from_registry(url_table: DataFrame, control: DataFrame, now, iteration:
     urls = url_table.select(strip_ws("url").alias("url")).where(F.col("url").isNotNull()).distinct()
     base = control
     if mode == "replace":
-        base = control.where(F.col("iteration") != F.lit(int(iteration)))
+        # rows without an iteration are not of that iteration: they stay
+        base = control.where(~F.col("iteration").eqNullSafe(F.lit(int(iteration))))
     else:
         existing = control.where(F.col("iteration") == F.lit(int(iteration))).select("url")
         urls = urls.join(existing, "url", "left_anti")
@@ -287,7 +298,7 @@ def sync_from_registry(url_table: DataFrame, control: DataFrame, now, iteration:
     )
     # every new row has a key absent from ``base`` (anti-joined, or its iteration
     # was dropped), so the upsert reduces to an append: no second join
-    batch = prepare_batch(new_rows, S.PIPELINE_CONTROL, now, validate=False)
+    batch = prepare_batch(new_rows, S.PIPELINE_CONTROL, now)
     return base.select(*S.PIPELINE_CONTROL.columns).unionByName(batch)
 
 
@@ -297,7 +308,7 @@ def stage_gate(claimed: DataFrame, expected_stage: str) -> tuple[DataFrame, Data
     return claimed.where(at), claimed.where(~at)
 
 
-def persist_states(control: DataFrame, states: DataFrame, now, bounded_rows: int | None = None) -> DataFrame:
+def persist_states(control: DataFrame, states: DataFrame, now) -> DataFrame:
     """FSM5: persist state rows – gate normalised (FSM4), then upserted by key (UPS1)."""
     s = states.withColumn("task_state", normalized_gate(F.col("stage"), F.col("status"), F.col("task_state")))
-    return upsert(control, s, S.PIPELINE_CONTROL, now, incoming_rows=bounded_rows, validate=False)
+    return upsert(control, s, S.PIPELINE_CONTROL, now)

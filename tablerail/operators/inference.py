@@ -9,15 +9,13 @@ result before branching on it (see ``plans.stages``)."""
 
 from __future__ import annotations
 
-import json
 import random
-import re
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,28 +116,9 @@ def call_with_retry(fn: Callable[[], str], limiter: RateLimiter, max_attempts: i
     return None, "no attempt", 0
 
 
-class OfflineClient:
-    """Deterministic stand-in for a model: answers the JSON summary prompt
-    from the page text it contains (first sentence as title, the next ones as
-    bullets).  Used by tests and offline runs; no network."""
-
-    rate_per_minute = None  # local, no provider quota
-    _content = re.compile(r"CONTENT:\n(.*?)\n\n(?:Output Format:|Instructions:|Output:)", re.S)
-    _sentence = re.compile(r"[^.!?]+[.!?]?")
-
-    def __init__(self, provider: str = "openai", model_id: str = DEFAULT_MODEL):
-        self.provider, self.model_id = provider, model_id
-
-    def complete(self, system: str, prompt: str, temperature: float, max_tokens: int) -> str:
-        m = self._content.search(prompt)
-        text = m.group(1) if m else prompt
-        sents = [s.strip() for s in self._sentence.findall(text) if s.strip()]
-        if not sents:
-            return "I could not find any content to summarise."
-        body = {"title": sents[0][:80], "bullets": sents[1:4] or sents[:1]}
-        if len(sents) > 4:
-            body["key_points"] = [max(sents, key=len)]
-        return json.dumps(body, ensure_ascii=False)
+# Prompts handed to one client call loop at a time: what a task has answered is
+# passed on after so many calls, and so little waits in memory.
+YIELD_ROWS = 64
 
 
 def _client_partition(client_factory, params: InferenceParams, rate_share: float | None, prompt_col: str):
@@ -148,7 +127,7 @@ def _client_partition(client_factory, params: InferenceParams, rate_share: float
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = client_factory()
         limiter = RateLimiter(rate_share)
-        for pdf in batches:
+        for pdf in (b.iloc[k:k + YIELD_ROWS] for b in batches for k in range(0, len(b), YIELD_ROWS)):
             responses, errors, attempts = [], [], []
             for prompt in pdf[prompt_col].tolist():
                 r, e, n = call_with_retry(
@@ -165,12 +144,14 @@ def _client_partition(client_factory, params: InferenceParams, rate_share: float
     return run
 
 
-def infer(df: DataFrame, prompt_col: str, client_factory: Callable[[], object], params: InferenceParams,
-          keep: tuple[str, ...] = ("url", "iteration")) -> DataFrame:
+def infer(df: DataFrame, prompt: Column | str, client_factory: Callable[[], object], params: InferenceParams,
+          keep: tuple[str, ...] = ("url", "iteration"), stored: DataFrame | None = None) -> DataFrame:
     """LLM2 + LLM3: one model call per row of ``df``.
 
-    Output: ``keep`` columns, ``response``, ``call_error``, ``attempts``.  The
-    prompt column is dropped after the call (it is wide)."""
+    ``prompt``: a column name or an expression over ``df``; it is evaluated after
+    the rows are dealt out, so no rendered prompt is shuffled.  ``stored``: keys
+    already answered by an earlier run; they are not called again.  Output:
+    ``keep`` columns, ``response``, ``call_error``, ``attempts``."""
     provider = check_provider(params.provider)
     params = InferenceParams(**{**params.__dict__, "provider": provider})
     parts = params.partitions or df.sparkSession.sparkContext.defaultParallelism
@@ -178,13 +159,54 @@ def infer(df: DataFrame, prompt_col: str, client_factory: Callable[[], object],
     client_rate = getattr(client_factory, "rate_per_minute", "provider")
     rate = params.rate_per_minute or (RATE_PER_MINUTE.get(provider) if client_rate == "provider" else client_rate)
     share = (rate / parts) if rate else None
-    src = df.select(*keep, prompt_col).repartition(parts, *keep)
+    if stored is not None:
+        df = df.join(stored.select(*keep), list(keep), "left_anti")
+    prompt_col = "_prompt"
+    src = df.repartition(parts, *keep).select(*keep, (F.col(prompt) if isinstance(prompt, str) else prompt).alias(prompt_col))
     fields = [src.schema[k] for k in keep] + [
         T.StructField("response", T.StringType()), T.StructField("call_error", T.StringType()),
         T.StructField("attempts", T.IntegerType())]
     return src.mapInPandas(_client_partition(client_factory, params, share, prompt_col), T.StructType(fields))
 
 
+def _path(spark, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def infer_stored(df: DataFrame, prompt: Column | str, client_factory: Callable[[], object], params: InferenceParams,
+                 folder: str, slices: int = 16, keep: tuple[str, ...] = ("url", "iteration")) -> DataFrame:
+    """``infer`` in ``slices`` by the hash of the key, each stored when done.
+
+    A run that dies leaves its finished slices; the next run with the same
+    ``folder`` calls only for keys that are not stored (failed calls count as
+    not answered).  At most one slice's calls are ever repeated."""
+    spark = df.sparkSession
+    schema = T.StructType([df.schema[k] for k in keep] + [
+        T.StructField("response", T.StringType()), T.StructField("call_error", T.StringType()),
+        T.StructField("attempts", T.IntegerType())])
+
+    def stored() -> DataFrame | None:
+        p, fs = _path(spark, folder)
+        return spark.read.schema(schema).parquet(folder) if fs.exists(p) else None
+
+    done = stored()
+    todo = df if done is None else df.join(done.where("call_error IS NULL").select(*keep).distinct(), list(keep), "left_anti")
+    for k in range(slices):
+        part = todo.where(F.pmod(F.xxhash64(*keep), F.lit(slices)) == k)
+        infer(part, prompt, client_factory, params, keep).write.mode("append").parquet(folder)
+    # a key may have a failed call stored beside a later answer: the answer counts
+    best = F.min(F.struct(F.col("call_error").isNotNull().alias("failed"), "response", "call_error", "attempts")).alias("b")
+    answers = stored().join(df.select(*keep), list(keep), "left_semi")
+    return answers.groupBy(*keep).agg(best).select(*keep, "b.response", "b.call_error", "b.attempts")
+
+
+def forget_answers(spark, folder: str) -> None:
+    """Remove stored answers once their results are kept elsewhere."""
+    p, fs = _path(spark, folder)
+    fs.delete(p, True)
+
+
 RAW_RESPONSE_COLUMNS = ("response", "call_error", "attempts")
 
 

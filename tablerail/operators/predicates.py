@@ -62,21 +62,14 @@ def ready_gate() -> Column:
     return F.col("task_state") == F.lit("READY")
 
 
-def include_urls(df: DataFrame, urls: DataFrame | None, bounded_rows: int | None = None) -> DataFrame:
+def include_urls(df: DataFrame, urls: DataFrame | None) -> DataFrame:
     """FLT7: keep rows whose ``url`` is in ``urls`` (a one-column DataFrame).
 
-    The key list is broadcast only when the caller proves a bound."""
+    A user list has no known bound, so it is never broadcast by hint; the
+    adaptive planner broadcasts what it has measured to be small."""
     if urls is None:
         return df
-    keys = urls.select("url").distinct()
-    if bounded_rows is not None and bounded_rows <= BROADCAST_ROWS:
-        keys = F.broadcast(keys)
-    return df.join(keys, "url", "left_semi")
-
-
-# Largest key set we broadcast when its size is proven.  Only key columns
-# (url, iteration ≈ 100 B/row) are broadcast, never whole rows: ≈ 100 MB at most.
-BROADCAST_ROWS = 1_000_000
+    return df.join(urls.select("url").distinct(), "url", "left_semi")
 
 
 def filter_predicate(spec: S.TableSpec | str, **filters) -> Column:

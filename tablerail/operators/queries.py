@@ -202,20 +202,19 @@ def exact_dedup(df: DataFrame) -> DataFrame:
 GROUP_CHUNK = 1000
 
 
-def group_by_url(control: DataFrame, columns: Sequence[str] = ("stage", "status", "task_state"),
-                 chunk: int = GROUP_CHUNK) -> DataFrame:
-    """AGG8: rows of each URL as one ordered object.
+def group_by_url(control: DataFrame, columns: Sequence[str] | None = None, chunk: int = GROUP_CHUNK) -> DataFrame:
+    """AGG8: the rows of each URL as ordered objects: url, part, n_rows, items.
 
-    The group is cut by iteration range (``iteration div chunk``): since
-    (url, iteration) is the key, no output row holds more than ``chunk`` rows,
+    ``items`` is an array of structs with all columns (or ``columns``), in order
+    of iteration.  A URL has one row per range of ``chunk`` iterations: part p
+    holds iterations p * chunk to (p + 1) * chunk - 1, parts follow each other, and
+    since (url, iteration) is the key none holds more than ``chunk`` items,
     however many iterations one URL has."""
-    item = F.struct(F.col("iteration"), *[F.col(c) for c in columns])
+    columns = list(columns or control.columns)
+    item = F.struct(F.col("iteration").alias("_at"), F.struct(*columns).alias("row"))
     g = (control.withColumn("part", F.floor(F.col("iteration") / F.lit(chunk)).cast("bigint"))
-         .groupBy("url", "part")
-         .agg(F.count(F.lit(1)).alias("n_rows"), F.sort_array(F.collect_list(item)).alias("items")))
-    text = F.array_join(F.transform("items", lambda x: F.concat_ws(
-        ":", x["iteration"].cast("string"), *[F.coalesce(x[c].cast("string"), F.lit("")) for c in columns])), ";")
-    return g.select("url", "part", "n_rows", text.alias("items"))
+         .groupBy("url", "part").agg(F.count(F.lit(1)).alias("n_rows"), F.sort_array(F.collect_list(item)).alias("items")))
+    return g.select("url", "part", "n_rows", F.transform("items", lambda x: x["row"]).alias("items"))
 
 
 # ---------------------------------------------------------------------------
@@ -300,15 +299,18 @@ def resolve_order(df: DataFrame, table: S.TableSpec | str, order_by=None) -> lis
 
 def load_table(df: DataFrame, table: S.TableSpec | str, *, order_by=None, columns="*", **filters) -> DataFrame:
     """SRC4: filter (FLT3) → project → order (SRT3).  The filter reaches the
-    parquet scan; only the selected columns are read."""
+    parquet scan; only the selected columns are read.
+
+    A table has no order of its own, so it is sorted only on request:
+    ``order_by`` a list of terms, or ``"default"`` for the table's configured
+    order (for a caller that shows or limits the rows)."""
     spec = S.table_spec(table)
     out = df.where(filter_predicate(spec, **filters))
-    order = resolve_order(out, spec, order_by)
+    if order_by is not None:
+        out = out.orderBy(*resolve_order(out, spec, None if order_by == "default" else order_by))
     if columns not in ("*", None):
-        cols = [columns] if isinstance(columns, str) else list(columns)
-        out = out.orderBy(*order).select(*cols)
-        return out
-    return out.orderBy(*order)
+        out = out.select(*([columns] if isinstance(columns, str) else list(columns)))
+    return out
 
 
 def select_for_urls(df: DataFrame, table: S.TableSpec | str, urls: DataFrame, columns: Sequence[str] | str = "*",
@@ -331,8 +333,10 @@ def select_for_urls(df: DataFrame, table: S.TableSpec | str, urls: DataFrame, co
 
 def control_rows_for_urls(control: DataFrame, urls: DataFrame, latest_iteration_only: bool = False) -> DataFrame:
     """SRC6 (bulk form): control rows of the given URLs; optionally the highest iteration only."""
-    rows = control.join(urls.select("url").distinct(), "url", "left_semi")
-    return highest_iteration(rows) if latest_iteration_only else rows
+    # the highest iteration per URL is taken first (partial group limit), so a hot
+    # URL's rows never meet in one task
+    rows = highest_iteration(control) if latest_iteration_only else control
+    return rows.join(urls.select("url").distinct(), "url", "left_semi")
 
 
 def current_stage(control: DataFrame) -> DataFrame:

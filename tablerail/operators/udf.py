@@ -30,8 +30,19 @@ def stage_history(pdf: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def rehydrate_by_url(df: DataFrame, fn=stage_history, schema: T.StructType = SLICE_SCHEMA,
-                     chunk: int = 1000) -> DataFrame:
-    """UDF1: ``fn`` over each (url, iteration-range) slice."""
-    return (df.withColumn("part", F.floor(F.col("iteration") / F.lit(chunk)).cast("bigint"))
-            .groupBy("url", "part").applyInPandas(fn, schema))
+def rehydrate_by_url(df: DataFrame, fn=stage_history, schema: T.StructType = SLICE_SCHEMA, chunk: int = 1000,
+                     combine=None, combined: T.StructType | str | None = None) -> DataFrame:
+    """UDF1: ``fn`` over each (url, iteration-range) slice; then, if given,
+    ``combine`` over the outputs of all slices of a URL (in order of ``part``),
+    which sees the whole URL as its slices' small results (schema ``combined``)."""
+    slices = (df.withColumn("part", F.floor(F.col("iteration") / F.lit(chunk)).cast("bigint"))
+              .groupBy("url", "part").applyInPandas(fn, schema))
+    if combine is None:
+        return slices
+    return slices.groupBy("url").applyInPandas(lambda pdf: combine(pdf.sort_values("part")), combined or schema)
+
+
+def whole_history(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Example combine step: one object per URL from its slices' objects."""
+    return pd.DataFrame({"url": [pdf["url"].iloc[0]], "part": [0], "n_rows": [int(pdf["n_rows"].sum())],
+                         "stages": [",".join(pdf["stages"])], "last_iteration": [int(pdf["last_iteration"].max())]})

@@ -1,16 +1,11 @@
 """Keyed writes as set operations (UPS1–UPS4, JN1–JN4).
 
 A table is immutable data; an "upsert" returns the next version of the table.
-Plans:
-
-* ``incoming_rows`` known and ≤ ``BROADCAST_ROWS`` (a worklist batch, a seed
-  file): only the batch's key columns are broadcast; the existing table is
-  read without a shuffle and split into untouched rows (anti join) and the
-  few matched ones (semi join), whose keys and ``created_at`` are broadcast
-  back onto the batch.  No whole row is ever broadcast.
-* otherwise one ``full_outer`` join on the whole primary key; both sides are
-  hash-partitioned on every key column, so one hot URL with many iterations
-  still spreads, and AQE splits skewed partitions.
+There is one plan per write, whatever the sizes: the batch is exchanged once on
+its whole primary key; in that grouping equal rows collapse, rows that share a
+key but differ raise, and keys with a NULL raise; the join with the table on the
+same key follows without another exchange of the batch.  Hashing every key
+column spreads one URL with many iterations.
 """
 
 from __future__ import annotations
@@ -22,40 +17,55 @@ from pyspark.sql import functions as F
 
 from tablerail import schemas as S
 from tablerail.operators.align import align, stamp
-from tablerail.operators.predicates import BROADCAST_ROWS, assert_unique_pk
-from tablerail.session import checkpoint_dir, ts
+from tablerail.session import ts
 
 POLICIES = ("pk_scoped", "full_replace", "none", "replace_by_pk")
 
 
-def prepare_batch(incoming: DataFrame, table: S.TableSpec | str, now, *, stamp_policy: dict | None = None,
-                  params: dict | None = None, validate: bool = True) -> DataFrame:
-    """Stamp → align (exact duplicates collapse) → primary-key check."""
-    spec = S.table_spec(table)
-    batch = align(stamp(incoming, spec, now, stamp_policy, params), spec)
-    if validate and spec.primary_keys:
-        assert_unique_pk(batch, spec.primary_keys)
-    return batch
+def _shown(pk: Sequence[str]):
+    return F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit("NULL"))) for k in pk])
 
 
-def _use_broadcast(incoming_rows: int | None) -> bool:
-    return incoming_rows is not None and incoming_rows <= BROADCAST_ROWS
+def one_row_per_key(batch: DataFrame, pk: Sequence[str]) -> DataFrame:
+    """``batch`` with one row per key (one exchange, on the key).
 
+    Equal rows collapse; a key with different rows, or with a NULL in it (also
+    one that could not be cast), raises when the plan runs."""
+    rest = [c for c in batch.columns if c not in pk]
+    values = F.struct(*rest) if rest else F.lit(True)
+    g = batch.groupBy(*pk).agg(F.min(values).alias("_least"), F.max(values).alias("_most"))
+    null_key = F.lit(False)
+    for k in pk:
+        null_key = null_key | F.col(k).isNull()
+    one = (F.when(null_key, F.raise_error(F.concat(F.lit("NULL in primary key: "), _shown(pk))))
+           .when(F.col("_least") == F.col("_most"), F.col("_least"))
+           .otherwise(F.raise_error(F.concat(F.lit("duplicate primary keys with different rows: "), _shown(pk)))))
+    out = g.select(*pk, one.alias("_one"))
+    return out.select(*[F.col(c) if c in pk else F.col("_one")[c].alias(c) for c in batch.columns])
 
-def reuse_bounded(batch: DataFrame) -> DataFrame:
-    """A bounded batch (at most ``BROADCAST_ROWS`` rows) read several times is
-    computed once: a reliable checkpoint in the shared ``spark.checkpoint.dir``
-    (it survives executor loss; never a local checkpoint).  Without a
-    configured folder the batch is left as a plan and recomputed per use."""
-    sc = batch.sparkSession.sparkContext
-    if not (batch.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()):
-        return batch
-    checkpoint_dir(batch.sparkSession)
-    return batch.checkpoint(eager=True)
+
+def key_rejects(incoming: DataFrame, table: S.TableSpec | str) -> DataFrame:
+    """Rows of a raw batch that no upsert accepts: ``reason`` names the key
+    column that is NULL, or holds text that is not of the column's type."""
+    spec = S.table_spec(table)
+    have = set(incoming.columns)
+    reason = F.lit(None).cast("string")
+    for k in reversed([k for k in spec.primary_keys if k in have]):
+        reason = (F.when(F.col(k).isNull(), F.lit(f"{k} is NULL"))
+                  .when(F.col(k).try_cast(spec.dtype(k)).isNull(), F.lit(f"{k} is not a {spec.dtype(k).simpleString()}"))
+                  .otherwise(reason))
+    return incoming.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
+def prepare_batch(incoming: DataFrame, table: S.TableSpec | str, now, *, stamp_policy: dict | None = None,
+                  params: dict | None = None) -> DataFrame:
+    """Stamp → align → one row per primary key (see ``one_row_per_key``)."""
+    spec = S.table_spec(table)
+    batch = align(stamp(incoming, spec, now, stamp_policy, params), spec, dedup=not spec.primary_keys)
+    return one_row_per_key(batch, spec.primary_keys) if spec.primary_keys else batch
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, table: S.TableSpec | str, now, *,
-           policy: str = "pk_scoped", incoming_rows: int | None = None, validate: bool = True,
+def upsert(existing: DataFrame, incoming: DataFrame, table: S.TableSpec | str, now, *, policy: str = "pk_scoped",
            stamp_policy: dict | None = None, params: dict | None = None) -> DataFrame:
     """Apply ``incoming`` to ``existing`` under a dedup policy and return the new table.
 
@@ -69,22 +79,15 @@ def upsert(existing: DataFrame, incoming: DataFrame, table: S.TableSpec | str, n
     spec = S.table_spec(table)
     if policy not in POLICIES:
         raise ValueError(f"unknown dedup policy: {policy!r}")
-    batch = prepare_batch(incoming, spec, now, stamp_policy=stamp_policy, params=params, validate=False)
-    if _use_broadcast(incoming_rows):
-        # a counted batch feeds the key check and up to three joins: compute it once
-        batch = reuse_bounded(batch)
-    if validate and spec.primary_keys:
-        assert_unique_pk(batch, spec.primary_keys)
+    batch = prepare_batch(incoming, spec, now, stamp_policy=stamp_policy, params=params)
     existing = existing.select(*spec.columns)
     pk = list(spec.primary_keys)
     if policy == "full_replace":
         return batch
     if policy == "none":
-        return existing.unionByName(insert_only_new(existing, batch, pk, incoming_rows))
+        return existing.unionByName(insert_only_new(existing, batch, pk))
     if policy == "replace_by_pk":
-        return delete_matching(existing, batch, pk, incoming_rows).unionByName(batch)
-    if _use_broadcast(incoming_rows):
-        return _upsert_broadcast(existing, batch, spec, now, incoming_rows)
+        return delete_matching(existing, batch, pk).unionByName(batch)
     return _upsert_full_outer(existing, batch, spec, now)
 
 
@@ -110,20 +113,6 @@ def _upsert_full_outer(existing: DataFrame, batch: DataFrame, spec: S.TableSpec,
     return j.select(*cols)
 
 
-def _upsert_broadcast(existing: DataFrame, batch: DataFrame, spec: S.TableSpec, now, batch_rows: int) -> DataFrame:
-    """Counted batch: no whole row is broadcast and the table is not shuffled.
-
-    The batch's keys are broadcast; the table splits into rows the batch does
-    not touch (anti join) and the matched ones (semi join, at most |batch|).
-    Of a matched row only its key and ``created_at`` survive the update, so
-    those (bounded, narrow) are broadcast back onto the batch."""
-    pk = list(spec.primary_keys)
-    keys = F.broadcast(batch.select(*pk))
-    untouched = existing.join(keys, pk, "left_anti")
-    old = F.broadcast(_old_keys(existing.join(keys, pk, "left_semi"), pk))
-    return untouched.unionByName(_batch_rows(batch.join(old, pk, "left"), spec, now))
-
-
 def _old_keys(existing: DataFrame, pk: Sequence[str]) -> DataFrame:
     return existing.select(*pk, F.col("created_at").alias("_old_created"), F.lit(True).alias("_hit"))
 
@@ -144,43 +133,18 @@ def _batch_rows(j: DataFrame, spec: S.TableSpec, now) -> DataFrame:
     return j.select(*cols)
 
 
-def matched_keys(existing: DataFrame, batch: DataFrame, pk: Sequence[str], batch_rows: int | None) -> DataFrame:
-    """JN1 helper: keys of ``batch`` present in ``existing`` (at most |batch| rows)."""
-    keys = batch.select(*pk)
-    if _use_broadcast(batch_rows):
-        keys = F.broadcast(keys)
-    return existing.select(*pk).join(keys, list(pk), "left_semi")
-
-
-def insert_only_new(existing: DataFrame, batch: DataFrame, pk: Sequence[str], batch_rows: int | None = None) -> DataFrame:
-    """JN2/JN3/UPS3: batch rows whose key is not in ``existing``.
-
-    With a bounded batch the existing keys are first cut down to the matched
-    ones (semi join against the broadcast batch), then the batch anti-joins
-    that small set: the big table is never shuffled."""
-    if _use_broadcast(batch_rows):
-        return batch.join(F.broadcast(matched_keys(existing, batch, pk, batch_rows)), list(pk), "left_anti")
+def insert_only_new(existing: DataFrame, batch: DataFrame, pk: Sequence[str]) -> DataFrame:
+    """JN2/JN3/UPS3: batch rows whose key is not in ``existing``."""
     return batch.join(existing.select(*pk), list(pk), "left_anti")
 
 
-def delete_matching(existing: DataFrame, batch: DataFrame, pk: Sequence[str], batch_rows: int | None = None) -> DataFrame:
+def delete_matching(existing: DataFrame, batch: DataFrame, pk: Sequence[str]) -> DataFrame:
     """JN4: existing rows whose key is not in ``batch``."""
-    keys = batch.select(*pk)
-    if _use_broadcast(batch_rows):
-        keys = F.broadcast(keys)
-    return existing.join(keys, list(pk), "left_anti")
+    return existing.join(batch.select(*pk), list(pk), "left_anti")
 
 
-def update_matched(existing: DataFrame, incoming: DataFrame, table: S.TableSpec | str, now, *,
-                   incoming_rows: int | None = None) -> DataFrame:
+def update_matched(existing: DataFrame, incoming: DataFrame, table: S.TableSpec | str, now) -> DataFrame:
     """JN1: the existing rows that an upsert updates, after the update."""
     spec = S.table_spec(table)
-    batch = prepare_batch(incoming, spec, now)
     pk = list(spec.primary_keys)
-    if _use_broadcast(incoming_rows):
-        # keys out, matched keys (+ created_at) back: nothing wide is broadcast, the table is not shuffled
-        hit = existing.join(F.broadcast(batch.select(*pk)), pk, "left_semi")
-        old = F.broadcast(_old_keys(hit, pk))
-    else:
-        old = _old_keys(existing, pk)
-    return _batch_rows(batch.join(old, pk, "inner"), spec, now)
+    return _batch_rows(prepare_batch(incoming, spec, now).join(_old_keys(existing, pk), pk, "inner"), spec, now)

@@ -1,6 +1,6 @@
 """The pipeline over stored tables: each command reads the current version of
-the tables it needs, runs the set-based operators and writes the next
-versions (the runner's unit of work is a stage over the whole claimed set).
+the tables it needs, runs the set-based operators and writes the buckets that
+changed (the runner's unit of work is a stage over the whole claimed set).
 
 This is what the reference's command line does (``scrape``, ``summarize``,
 ``all``, ``advance-completed``), on versioned parquet tables instead of one
@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablerail import schemas as S
 from tablerail.operators.control import advance_all_completed, sync_from_registry
-from tablerail.operators.inference import InferenceParams, OfflineClient
+from tablerail.operators.inference import InferenceParams
 from tablerail.operators.queries import progress_counts
 from tablerail.plans.runs import run_url_stage
+from tablerail.operators.upsert import upsert
 from tablerail.plans.stages import run_page_stage, run_summary_stage
 from tablerail.session import utc_now_str
 from tablerail.sources.seeds import ingest_seed_files
-from tablerail.sources.store import TableStore
+from tablerail.sources.store import TableStore, release_materialized
 
 
 @dataclass
@@ -52,13 +53,13 @@ class Pipeline:
     # -- commands -------------------------------------------------------------
     def ingest(self, seed_paths) -> int:
         """SRC3: seed files → registry upsert; returns the version written."""
-        out = ingest_seed_files(self.spark, seed_paths, self.table("url"), self._now())
-        return self.store.write("url", out)
+        empty = self.spark.createDataFrame([], S.URL.schema)
+        return self.register_urls(ingest_seed_files(self.spark, seed_paths, empty, self._now()))
 
     def register_urls(self, rows: DataFrame) -> int:
         """Upsert registry rows produced by Spark (``url``, ``source``, ``tags``)."""
-        from tablerail.operators.upsert import upsert
-        return self.store.write("url", upsert(self.table("url"), rows, S.URL, self._now(), validate=False))
+        now = self._now()
+        return self.store.upsert("url", rows, lambda old, batch: upsert(old, batch, S.URL, now))
 
     def sync(self, iteration: int = 0, mode: str = "append") -> int:
         """SYNC1: registry → control rows at URL/NEW/READY."""
@@ -69,42 +70,51 @@ class Pipeline:
         """RUN1 (+AGG9 counters)."""
         run = run_url_stage(self.table("pipeline_control"), self._now(), f"{self.worker_prefix}-urls", max_batch)
         counters = run.counters().collect()[0].asDict()
-        self.store.write("pipeline_control", run.control)
+        self._store_control(run)
         return counters
 
-    def scrape(self, fetcher, max_concurrent: int | None = 5, retry_errors: bool = False,
+    def _store_control(self, run) -> None:
+        """Write the buckets of the rows a run claimed, then drop its intermediate folders."""
+        self.store.replace_rows("pipeline_control", run.control, run.outcomes.where("claimed"))
+        release_materialized(self.spark)
+
+    def scrape(self, fetcher, max_rows: int | None = None, retry_errors: bool = False,
                filter_urls: DataFrame | None = None) -> dict:
-        """RUN2: WEB_PAGE → WEB_SUMMARY for one batch (``max_concurrent × 4`` rows; None = all)."""
+        """RUN2: WEB_PAGE → WEB_SUMMARY for every claimable row, or at most ``max_rows``."""
         run = run_page_stage(self.table("pipeline_control"), self.table("web_page"), fetcher, self._now(),
-                             f"{self.worker_prefix}-pages", max_concurrent=max_concurrent, filter_urls=filter_urls,
+                             f"{self.worker_prefix}-pages", max_rows=max_rows, filter_urls=filter_urls,
                              retry_errors=retry_errors, scratch_dir=self.scratch_dir)
-        self.store.write("web_page", run.extra["web_page"])
+        now = self._now()
+        self.store.upsert("web_page", run.extra["fetched"].drop("ok"), lambda old, rows: upsert(old, rows, S.WEB_PAGE, now))
         counters = run.counters().collect()[0].asDict()
-        self.store.write("pipeline_control", run.control)
+        self._store_control(run)
         return counters
 
-    def summarize(self, client_factory=OfflineClient, params: InferenceParams | None = None,
-                  max_concurrent: int | None = 5, retry_errors: bool = False,
-                  filter_urls: DataFrame | None = None) -> dict:
-        """RUN3: WEB_SUMMARY → DONE for one batch."""
+    def summarize(self, client_factory, params: InferenceParams | None = None, max_rows: int | None = None,
+                  retry_errors: bool = False, filter_urls: DataFrame | None = None) -> dict:
+        """RUN3: WEB_SUMMARY → DONE for every claimable row, or at most ``max_rows``."""
         run = run_summary_stage(self.table("pipeline_control"), self.table("web_page"), self.table("web_summary"),
                                 client_factory, params or InferenceParams(), self._now(),
-                                f"{self.worker_prefix}-summaries", max_concurrent=max_concurrent,
-                                filter_urls=filter_urls, retry_errors=retry_errors, scratch_dir=self.scratch_dir)
-        self.store.write("web_summary", run.extra["web_summary"])
+                                f"{self.worker_prefix}-summaries", max_rows=max_rows,
+                                filter_urls=filter_urls, retry_errors=retry_errors, scratch_dir=self.scratch_dir,
+                                answers=f"{self.root.rstrip('/')}/_answers")
+        now = self._now()
+        self.store.upsert("web_summary", run.extra["good"], lambda old, rows: upsert(old, rows, S.WEB_SUMMARY, now))
         counters = run.counters().collect()[0].asDict()
-        self.store.write("pipeline_control", run.control)
+        self._store_control(run)
         return counters
 
     def advance_completed(self) -> int:
         """FSM8: step every URL with a COMPLETED row (latest READY row)."""
-        return self.store.write("pipeline_control",
-                                advance_all_completed(self.table("pipeline_control"), self._now()).control)
-
-    def run_all(self, seed_paths=None, fetcher=None, client_factory=OfflineClient,
-                params: InferenceParams | None = None, max_scrape: int | None = 5, max_summarize: int | None = 5,
-                retry_errors: bool = False) -> dict:
-        """RUN4: bootstrap, ingest, sync, URL runner, one page batch, one summary batch."""
+        out = advance_all_completed(self.table("pipeline_control"), self._now())
+        return self.store.replace_rows("pipeline_control", out.control, out.rows)
+
+    def run_all(self, seed_paths=None, fetcher=None, client_factory=None, params: InferenceParams | None = None,
+                max_scrape: int | None = None, max_summarize: int | None = None, retry_errors: bool = False) -> dict:
+        """RUN4: bootstrap, ingest, sync, URL runner, page stage, summary stage; all rows
+        unless a limit is given.  The summary stage needs a model client."""
+        if client_factory is None:
+            raise ValueError("a full run needs a model client")
         self.bootstrap()
         if seed_paths:
             self.ingest(seed_paths)

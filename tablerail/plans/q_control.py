@@ -72,10 +72,18 @@ def lse1_claimed_rows(spark, sf_dir):
                    "ORDER BY created_at NULLS LAST, url, iteration LIMIT 20) w) "
                    f"AND task_state = 'READY' AND {FREE}"), "control_base"))
 def lse1_claim_bounded(spark, sf_dir):
-    """WRK1 → LSE1 with the runner batch (20 keys, broadcast): the table is read once, not shuffled."""
+    """WRK1 → LSE1 with an explicit batch of 20 keys."""
     c = control_base(spark, sf_dir)
     wl = C.worklist(c, "WEB_PAGE", ["NEW"], TEST_NOW, max_rows=20)
-    return C.claim(c, wl, TEST_WORKER, TEST_NOW, bounded_rows=20).control
+    return C.claim(c, wl, TEST_WORKER, TEST_NOW).control
+
+
+@register("lse1_claim_dup_keys", with_fixtures(_select(CLAIM, CLAIM_COND), "control_base"))
+def lse1_claim_dup_keys(spark, sf_dir):
+    """LSE1 with a key list that names every key twice: each row is still updated once."""
+    c = control_base(spark, sf_dir)
+    keys = _keys(c, "WEB_PAGE")
+    return C.claim(c, keys.unionAll(keys), TEST_WORKER, TEST_NOW).control
 
 
 @register("dt1_lease_expiry", with_fixtures(
@@ -328,3 +336,16 @@ FSM6_HOT_SQL = "WITH hot AS (" + HOT_SQL + ") " + _select(
 def fsm6_advance_completed_hot(spark, sf_dir):
     """FSM6 with one hot URL: keyed update joins on (url, iteration), so the hot URL spreads."""
     return C.advance_completed(control_hot(spark, sf_dir), TEST_NOW).control
+
+
+FSM8_HOT_SQL = "WITH hot AS (" + HOT_SQL + ") " + _select(
+    {"stage": f"CASE WHEN stage = 'DONE' THEN stage ELSE {NEXT_SQL} END",
+     "status": "CASE WHEN stage = 'DONE' THEN status ELSE 'NEW' END",
+     "task_state": "CASE WHEN stage IN ('DONE', 'WEB_SUMMARY') THEN 'PAUSED' ELSE 'READY' END",
+     **RELEASED, "updated_at": NOW}, FSM8_TARGET.replace("control_base", "hot"), table="hot")
+
+
+@register("fsm8_advance_all_hot", FSM8_HOT_SQL)
+def fsm8_advance_all_hot(spark, sf_dir):
+    """FSM8 with one hot URL: one row per URL is chosen before the shuffle."""
+    return C.advance_all_completed(control_hot(spark, sf_dir), TEST_NOW).control

@@ -43,11 +43,18 @@ def agg1_progress(spark, sf_dir):
 
 # ---------------------------------------------------------------- WRK1, SRT1, FLT1
 @register("wrk1_worklist", with_fixtures(
-    f"SELECT url, iteration FROM control_fx WHERE stage = 'WEB_PAGE' AND status IN ('NEW') AND {FLT1_SQL} "
-    "ORDER BY created_at NULLS LAST, url, iteration LIMIT 1000", "control_fx"))
+    f"SELECT url, iteration FROM control_fx WHERE stage = 'WEB_PAGE' AND status IN ('NEW') AND {FLT1_SQL}", "control_fx"))
 def wrk1_worklist(spark, sf_dir):
-    """WRK1 + SRT1: claimable keys at WEB_PAGE/NEW, oldest first, default cap 1000."""
-    return C.worklist(control_fx(spark, sf_dir), "WEB_PAGE", ["NEW"], TEST_NOW, max_rows=1000)
+    """WRK1: every claimable key at WEB_PAGE/NEW."""
+    return C.worklist(control_fx(spark, sf_dir), "WEB_PAGE", ["NEW"], TEST_NOW)
+
+
+@register("wrk1_worklist_top", with_fixtures(
+    f"SELECT url, iteration FROM control_fx WHERE stage = 'WEB_PAGE' AND status IN ('NEW') AND {FLT1_SQL} "
+    "ORDER BY created_at NULLS LAST, url, iteration LIMIT 100", "control_fx"))
+def wrk1_worklist_top(spark, sf_dir):
+    """WRK1 + SRT1 with an explicit limit: the 100 oldest claimable keys."""
+    return C.worklist(control_fx(spark, sf_dir), "WEB_PAGE", ["NEW"], TEST_NOW, max_rows=100)
 
 
 @register("wrk1_worklist_retry", with_fixtures(
@@ -58,13 +65,6 @@ def wrk1_worklist_retry(spark, sf_dir):
     return C.worklist(control_fx(spark, sf_dir), "URL", ["NEW", "ERROR", "IN_PROGRESS"], TEST_NOW, max_rows=None)
 
 
-@register("wrk1_worklist_empty_status", with_fixtures(
-    "SELECT url, iteration FROM control_fx WHERE FALSE", "control_fx"))
-def wrk1_worklist_empty_status(spark, sf_dir):
-    """WRK1: an empty status list lists nothing."""
-    return C.worklist(control_fx(spark, sf_dir), "URL", [], TEST_NOW)
-
-
 @register("flt1_claimable", with_fixtures(
     f"SELECT {CONTROL_COLS} FROM control_base WHERE stage = 'WEB_SUMMARY' AND status IN ('NEW','ERROR') "
     f"AND {FLT1_SQL}", "control_base"))
@@ -83,13 +83,6 @@ def flt3_filters(spark, sf_dir):
                         status=["new", "ERROR"], version="v1", worker_id=None)
 
 
-@register("flt3_empty_in", with_fixtures(
-    f"SELECT {CONTROL_COLS} FROM control_base WHERE FALSE", "control_base"))
-def flt3_empty_in(spark, sf_dir):
-    """FLT3: an empty IN-list is FALSE."""
-    return Q.load_table(control_base(spark, sf_dir), S.PIPELINE_CONTROL, status=[])
-
-
 NULLGATE_SQL = with_fixtures(
     f"SELECT {CONTROL_COLS} FROM control_base UNION ALL "
     "SELECT url, iteration + 200000, stage, status, CAST(NULL AS VARCHAR), is_claimed, worker_id, lease_until, "
@@ -119,12 +112,21 @@ def flt5_ready(spark, sf_dir):
     return control_nullgate(spark, sf_dir).where(P.ready_gate())
 
 
+@register("flt7_include_list_all", with_fixtures(
+    f"SELECT url, iteration FROM control_fx WHERE stage = 'WEB_PAGE' AND status IN ('NEW','ERROR','IN_PROGRESS') "
+    f"AND {FLT1_SQL} AND url IN ({SIGNUP_URLS_SQL})", "control_fx"))
+def flt7_include_list_all(spark, sf_dir):
+    """FLT7 over the whole worklist."""
+    wl = C.worklist(control_fx(spark, sf_dir), "WEB_PAGE", ["NEW", "ERROR", "IN_PROGRESS"], TEST_NOW)
+    return P.include_urls(wl, signup_urls(spark, sf_dir))
+
+
 @register("flt7_include_list", with_fixtures(
     f"SELECT w.url, w.iteration FROM (SELECT url, iteration FROM control_fx WHERE stage = 'WEB_PAGE' "
     f"AND status IN ('NEW','ERROR','IN_PROGRESS') AND {FLT1_SQL} ORDER BY created_at NULLS LAST, url, iteration "
     f"LIMIT 20) w WHERE w.url IN ({SIGNUP_URLS_SQL})", "control_fx"))
 def flt7_include_list(spark, sf_dir):
-    """FLT7 (Q5): the worklist limit (runner default 5*4) applies before the URL include list."""
+    """FLT7 (Q5): an explicit worklist limit applies before the URL include list."""
     wl = C.worklist(control_fx(spark, sf_dir), "WEB_PAGE", ["NEW", "ERROR", "IN_PROGRESS"], TEST_NOW, max_rows=20)
     return P.include_urls(wl, signup_urls(spark, sf_dir))
 
@@ -242,14 +244,26 @@ def agg7_exact_dedup(spark, sf_dir):
     return Q.exact_dedup(control_base(spark, sf_dir).unionByName(err))
 
 
+# every column of every row, NULL as \N, so that NULL and '' differ
+GROUPED_SQL = ("SELECT url, CAST(iteration // 1000 AS BIGINT) AS part, CAST(COUNT(*) AS BIGINT) AS n_rows, string_agg(concat_ws('|', "
+               + ", ".join(f"coalesce({'strftime(' + c + ', chr(37) || chr(89) || chr(45) || chr(37) || chr(109) || chr(45) || chr(37) || chr(100))' if c in ('lease_until', 'created_at', 'updated_at') else 'CAST(' + c + ' AS VARCHAR)'}, '\\N')"
+                           for c in S.PIPELINE_CONTROL.columns) + "), ';' ORDER BY iteration) AS items FROM ({table}) t GROUP BY url, iteration // 1000")
+
+
+def grouped_text(grouped):
+    """The lists of objects as text (for comparison with SQL)."""
+    def cell(x, c):
+        day = c in ("lease_until", "created_at", "updated_at")
+        return F.coalesce(F.date_format(x[c], "yyyy-MM-dd") if day else x[c].cast("string"), F.lit("\\N"))
+    return grouped.withColumn("items", F.array_join(F.transform("items", lambda x: F.concat_ws(
+        "|", *[cell(x, c) for c in S.PIPELINE_CONTROL.columns])), ";"))
+
+
 @register("agg8_group_by_url", with_fixtures(
-    "SELECT url, CAST(iteration // 1000 AS BIGINT) AS part, CAST(COUNT(*) AS BIGINT) AS n_rows, "
-    "string_agg(concat_ws(':', CAST(iteration AS VARCHAR), coalesce(stage, ''), coalesce(status, ''), "
-    "coalesce(task_state, '')), ';' ORDER BY iteration) AS items FROM control_fx GROUP BY url, iteration // 1000",
-    "control_fx"))
+    GROUPED_SQL.format(table="control_base"), "control_base"))
 def agg8_group_by_url(spark, sf_dir):
-    """AGG8: each URL's rows as one ordered object (cut by iteration range)."""
-    return Q.group_by_url(control_fx(spark, sf_dir))
+    """AGG8: each URL's rows, all columns, as one ordered list of objects (in parts by iteration range)."""
+    return grouped_text(Q.group_by_url(control_base(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- WIN1–WIN5
@@ -400,12 +414,10 @@ def win1_latest_state_hot(spark, sf_dir):
     return Q.latest_state(control_hot(spark, sf_dir))
 
 
-@register("agg8_group_by_url_hot", "SELECT url, CAST(iteration // 1000 AS BIGINT) AS part, CAST(COUNT(*) AS BIGINT) "
-          "AS n_rows, string_agg(concat_ws(':', CAST(iteration AS VARCHAR), coalesce(stage, ''), coalesce(status, ''), "
-          f"coalesce(task_state, '')), ';' ORDER BY iteration) AS items FROM ({HOT_SQL}) h GROUP BY url, iteration // 1000")
+@register("agg8_group_by_url_hot", GROUPED_SQL.format(table=HOT_SQL))
 def agg8_group_by_url_hot(spark, sf_dir):
-    """AGG8 with one hot URL: its rows are cut into slices of at most 1,000."""
-    return Q.group_by_url(control_hot(spark, sf_dir))
+    """AGG8 with one hot URL: its rows are cut into parts of at most 1,000."""
+    return grouped_text(Q.group_by_url(control_hot(spark, sf_dir)))
 
 
 @register("agg1_progress_hot", f"SELECT url = '{HOT_URL}' AS hot, stage, status, CAST(COUNT(*) AS BIGINT) AS count "
@@ -414,3 +426,13 @@ def agg1_progress_hot(spark, sf_dir):
     """AGG1 split by hot/other URL: partial aggregation keeps the hot key off one task."""
     c = control_hot(spark, sf_dir)
     return c.groupBy((F.col("url") == HOT_URL).alias("hot"), "stage", "status").agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("src6_control_rows_hot", f"SELECT * FROM ({HOT_SQL}) h WHERE url = '{HOT_URL}' OR url IN ({SIGNUP_URLS_SQL}) "
+          "QUALIFY row_number() OVER (PARTITION BY url ORDER BY iteration DESC) = 1")
+def src6_control_rows_hot(spark, sf_dir):
+    """SRC6 with one hot URL: the highest iteration is taken before the shuffle."""
+    c = control_hot(spark, sf_dir)
+    # the hot URL is in the list because rows of it are in the table
+    hot = c.where(F.col("url") == HOT_URL).select("url").distinct()
+    return Q.control_rows_for_urls(c, signup_urls(spark, sf_dir).unionByName(hot), latest_iteration_only=True)

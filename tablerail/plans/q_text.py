@@ -26,13 +26,17 @@ def clean_sql(x: str) -> str:
     return f"trim({s}, ' ')"
 
 
+# elements that break lines, from the HTML standard's rendering section
+BLOCKS = ("address article aside blockquote body br dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
+          "h5 h6 header hr html li main nav ol p pre section summary table td th tr ul").replace(" ", "|")
+
+
 def markup_sql(x: str) -> str:
     """STR2 tag rules in DuckDB; entities: the ones the page data holds
     (``&amp`` also without its semicolon, as HTML5 decodes it)."""
-    s = f"regexp_replace({x}, '(?s)<!--.*?-->', '', 'g')"
-    for tag in TX.HIDDEN_ELEMENTS:
-        s = f"regexp_replace({s}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'g')"
-    s = f"regexp_replace({s}, '(?i)</?(?:{'|'.join(TX.BLOCK_ELEMENTS)})\\b[^>]*>', chr(10), 'g')"
+    hidden = "|".join(f"<{tag}\\b[^>]*>.*?</{tag}\\s*>" for tag in "head script style noscript template".split())
+    s = f"regexp_replace({x}, '(?is)<!--.*?-->|{hidden}', '', 'g')"
+    s = f"regexp_replace({s}, '(?i)</?(?:{BLOCKS})\\b[^>]*>', chr(10), 'g')"
     s = f"regexp_replace({s}, '(?s)<[A-Za-z/!?][^>]*>', '', 'g')"
     for ent, ch in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"')):
         s = f"replace({s}, '{ent}', '{ch}')"
@@ -67,6 +71,18 @@ def str2_page_text(spark, sf_dir):
     return page_text(spark, sf_dir)
 
 
+_ODD = "'<body><script>var a=\"<!--\";</script><p>KEEP</p><!-- <script> -->' || html || '<p>TAIL</p></body>'"
+
+
+@register("str2_script_comment", f"SELECT url, {clean_sql(markup_sql(_ODD))} AS clean_text FROM pages")
+def str2_script_comment(spark, sf_dir):
+    """STR2 on pages with a "<!--" inside a script and a "<script>" inside a comment around their markup."""
+    p = read_table(spark, sf_dir, "pages", cpu_heavy=True)
+    odd = F.concat(F.lit('<body><script>var a="<!--";</script><p>KEEP</p><!-- <script> -->'), F.col("html"), F.lit("<p>TAIL</p></body>"))
+    t = TX.with_page_text(p.select("url", odd.alias("html")), "html", "text")
+    return t.select("url", TX.clean_page_text("text").alias("clean_text"))
+
+
 @register("snk1_page_rows", f"SELECT url, 0 AS iteration, CAST(NULL AS INTEGER) AS status_code, "
           "CAST(NULL AS VARCHAR) AS html, CASE WHEN ok THEN clean END AS clean_text, "
           f"TIMESTAMP '{TEST_NOW}' AS fetched_at, CASE WHEN NOT ok THEN 'FETCH_FAILED' END AS fetch_error, "
@@ -94,18 +110,18 @@ LANG = "regexp_extract(html, 'lang=\"([^\"]*)\"', 1)"
 def _tags_raw_spark(p):
     lang = F.regexp_extract("html", r'lang="([^"]*)"', 1)
     dom = TX.url_domain("url")
-    csv = F.concat_ws(", ", lang, F.lit(" "), dom)
+    csv = F.concat_ws(", ", F.concat(F.lit("[draft] "), lang), F.lit(" "), dom)
     js = F.concat(F.lit('["'), lang, F.lit('", " ", "'), dom, F.lit(' "]'))
     return F.when(F.col("page_id") % 2 == 0, csv).otherwise(js)
 
 
-TAGS_RAW_SQL = (f"CASE WHEN page_id % 2 = 0 THEN concat_ws(', ', {LANG}, ' ', split_part(url, '/', 3)) "
+TAGS_RAW_SQL = (f"CASE WHEN page_id % 2 = 0 THEN concat_ws(', ', '[draft] ' || {LANG}, ' ', split_part(url, '/', 3)) "
                 f"ELSE concat('[\"', {LANG}, '\", \" \", \"', split_part(url, '/', 3), ' \"]') END")
 _STRIP_X = f"regexp_replace(x, '^[{WS}]+|[{WS}]+$', '', 'g')"
 
 
 @register("str3_str4_tags", "SELECT url, raw, CASE WHEN len(t) > 0 THEN array_to_string(t, ',') END AS tags FROM ("
-          f"SELECT url, raw, list_filter(list_transform(CASE WHEN regexp_matches(raw, '^\\s*\\[') THEN "
+          f"SELECT url, raw, list_filter(list_transform(CASE WHEN regexp_matches(raw, '^\\s*\\[\"') THEN "
           f"from_json(raw, '[\"VARCHAR\"]') ELSE string_split(raw, ',') END, lambda x: {_STRIP_X}), lambda x: x <> '') AS t "
           f"FROM (SELECT url, {TAGS_RAW_SQL} AS raw FROM pages) r) s")
 def str3_str4_tags(spark, sf_dir):
@@ -173,7 +189,10 @@ def str6_prompt_title(spark, sf_dir):
 
 # ---------------------------------------------------------------- LLM4–LLM7, STR7
 def _w(i: int):
-    return F.regexp_replace(F.split_part(F.col("text"), F.lit(" "), F.lit(i)), "[^A-Za-z0-9]", "")
+    """Letters and digits of the first line, of the whole text, and of the last word."""
+    part = {1: F.split_part(F.col("text"), F.lit("\n"), F.lit(1)), 2: F.col("text"),
+            3: F.regexp_extract("text", "([^ ]*)$", 1)}[i]
+    return F.trim(F.regexp_replace(part, "[^A-Za-z0-9]+", " "))
 
 
 def doc_responses(spark, sf_dir):
@@ -195,7 +214,8 @@ def doc_responses(spark, sf_dir):
     return spread(d.select("doc_id", resp.alias("response")))
 
 
-_W_SQL = {i: f"regexp_replace(split_part(text, ' ', {i}), '[^A-Za-z0-9]', '', 'g')" for i in (1, 2, 3)}
+_W_SQL = {i: f"trim(regexp_replace({x}, '[^A-Za-z0-9]+', ' ', 'g'))" for i, x in (
+    (1, "split_part(text, chr(10), 1)"), (2, "text"), (3, "regexp_extract(text, '([^ ]*)$', 1)"))}
 
 
 def _lines(*parts: str) -> str:
@@ -236,11 +256,26 @@ def llm5_generic_json(spark, sf_dir):
     return v.select("doc_id", "error")
 
 
-@register("llm7_tabular", "SELECT doc_id, 1 AS line_no, lang, n_chars, source, FALSE AS malformed FROM documents")
+@register("llm5_text", "SELECT doc_id, CAST(NULL AS VARCHAR) AS error, CAST(NULL AS VARCHAR) AS summary_json, text AS summary_text FROM documents")
+def llm5_text(spark, sf_dir):
+    """LLM5: a text (or code) response is kept as it is."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("response"))
+    return PL.validate_responses(d, expected="str").select("doc_id", "error", "summary_json", "summary_text")
+
+
+_CSV = {
+    "plain": "'lang,n_chars,source' || chr(10) || lang || ',' || n_chars || ',' || source",
+    "turned": "'source, lang,extra,n_chars' || chr(13) || chr(10) || '\"' || source || ', \"\"x\"\"\",' || lang || ',1,' || n_chars || chr(10)",
+    "bad": "'lang,n_chars,source' || chr(10) || lang || ',many,' || source || chr(10) || chr(10) || lang || ',' || n_chars",
+}
+_CSV_TEXT = f"CASE doc_id % 3 WHEN 0 THEN {_CSV['plain']} WHEN 1 THEN {_CSV['turned']} ELSE {_CSV['bad']} END"
+
+
+@register("llm7_tabular", "SELECT doc_id, 1 AS line_no, lang, CASE WHEN doc_id % 3 < 2 THEN n_chars END AS n_chars, CASE WHEN "
+          "doc_id % 3 = 1 THEN source || ', \"x\"' ELSE source END AS source, doc_id % 3 = 2 AS malformed FROM documents UNION ALL "
+          "SELECT doc_id, 2, lang, n_chars, NULL, TRUE FROM documents WHERE doc_id % 3 = 2")
 def llm7_tabular(spark, sf_dir):
-    """LLM7: CSV responses (header + one line per document) → typed rows."""
+    """LLM7: CSV responses with other column orders, quoted commas and quotes, blank lines, wrong types and short records."""
     d = read_table(spark, sf_dir, "documents")
-    csv = F.concat(F.lit("lang,n_chars,source\n"), F.col("lang"), F.lit(","), F.col("n_chars").cast("string"),
-                   F.lit(","), F.col("source"))
-    r = d.select("doc_id", csv.alias("response"))
+    r = d.select("doc_id", F.expr(_CSV_TEXT).alias("response"))
     return PL.parse_tabular(r, "response", "lang string, n_chars bigint, source string", ("doc_id",))

@@ -49,6 +49,29 @@ def prj1_align(spark, sf_dir):
     return A.align(messy.unionByName(messy), S.PIPELINE_CONTROL)
 
 
+@register("prj1_defaults", with_fixtures(
+    "SELECT DISTINCT url, 0 AS iteration, stage, 'NEW' AS status, 'READY' AS task_state, FALSE AS is_claimed, worker_id, "
+    "lease_until, source_file, notes, created_at, updated_at FROM incoming_fx", "incoming_fx"))
+def prj1_defaults(spark, sf_dir):
+    """PRJ1: missing columns get the table's defaults (iteration, status, gate, claim)."""
+    inc = incoming_fx(spark, sf_dir).drop("iteration", "status", "task_state", "is_claimed")
+    return A.align(inc, S.PIPELINE_CONTROL)
+
+
+@register("ups1_null_key_rejects", with_fixtures(
+    "SELECT url, raw AS iteration, CASE WHEN url IS NULL THEN 'url is NULL' WHEN raw IS NULL THEN 'iteration is NULL' "
+    "ELSE 'iteration is not a int' END AS reason FROM (SELECT CASE WHEN iteration % 7 = 0 THEN NULL ELSE url END AS url, "
+    "CASE WHEN iteration % 5 = 0 THEN NULL WHEN iteration % 5 = 1 THEN 'abc' ELSE CAST(iteration AS VARCHAR) END AS raw "
+    "FROM incoming_fx) t WHERE url IS NULL OR raw IS NULL OR raw = 'abc'", "incoming_fx"))
+def ups1_null_key_rejects(spark, sf_dir):
+    """UPS1: rows that no upsert accepts, with the key column at fault."""
+    it = F.col("iteration")
+    raw = incoming_fx(spark, sf_dir).select(
+        F.when(it % 7 != 0, F.col("url")).alias("url"),
+        F.when(it % 5 == 0, None).when(it % 5 == 1, "abc").otherwise(it.cast("string")).alias("iteration"))
+    return U.key_rejects(raw, S.PIPELINE_CONTROL)
+
+
 @register("prj2_align_strict", with_fixtures("SELECT DISTINCT * FROM incoming_fx", "incoming_fx"))
 def prj2_align_strict(spark, sf_dir):
     """PRJ2: strict alignment of a complete batch (missing columns would raise)."""
@@ -97,7 +120,7 @@ def prj7_add_metadata(spark, sf_dir):
                               f"SELECT b.* REPLACE ({NOW} AS updated_at) FROM b WHERE NOT EXISTS "
                               f"(SELECT 1 FROM control_base x WHERE {MATCH})"))
 def ups1_upsert(spark, sf_dir):
-    """UPS1: pk_scoped upsert (full outer join plan, batch size unknown)."""
+    """UPS1: pk_scoped upsert."""
     return U.upsert(control_base(spark, sf_dir), incoming_fx(spark, sf_dir), S.PIPELINE_CONTROL, TEST_NOW)
 
 
@@ -105,10 +128,9 @@ def ups1_upsert(spark, sf_dir):
                                       f"SELECT b.* REPLACE ({NOW} AS updated_at) FROM b WHERE NOT EXISTS "
                                       f"(SELECT 1 FROM control_base x WHERE {MATCH})"))
 def ups1_upsert_bounded(spark, sf_dir):
-    """UPS1 with a counted batch: broadcast plan, the table is not shuffled."""
+    """UPS1 of a batch whose every row comes twice: equal rows collapse in the key exchange."""
     inc = incoming_fx(spark, sf_dir)
-    n = inc.count()
-    return U.upsert(control_base(spark, sf_dir), inc, S.PIPELINE_CONTROL, TEST_NOW, incoming_rows=n)
+    return U.upsert(control_base(spark, sf_dir), inc.unionByName(inc), S.PIPELINE_CONTROL, TEST_NOW)
 
 
 @register("ups2_full_replace", _sql("SELECT * FROM b"))
@@ -148,8 +170,9 @@ def jn2_anti_insert(spark, sf_dir):
 @register("jn3_anti_insert_bounded", _sql(NEW_ONLY))
 def jn3_anti_insert_bounded(spark, sf_dir):
     """JN3 with a bounded batch: matched keys found by a broadcast semi join first."""
+    # the batch a runner would insert: claimed rows only, a narrow key set
     batch = U.prepare_batch(incoming_fx(spark, sf_dir), S.PIPELINE_CONTROL, TEST_NOW)
-    return U.insert_only_new(control_base(spark, sf_dir), batch, ["url", "iteration"], batch_rows=10_000)
+    return U.insert_only_new(control_base(spark, sf_dir).where(F.col("url").isNotNull()), batch, ["url", "iteration"])
 
 
 @register("jn4_delete_matching", _sql(UNTOUCHED_SQL))

@@ -14,13 +14,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablerail import schemas as S
 from tablerail.functions.text import prepend_note
 from tablerail.operators.control import PK, _join_keys, worklist
-from tablerail.operators.predicates import BROADCAST_ROWS, include_urls, lease_free, ready_gate
+from tablerail.operators.predicates import claimable, include_urls, lease_free, ready_gate
 from tablerail.session import ts
 
 # Fixed value: the note text of a row the URL runner moved on, verbatim.
@@ -41,36 +41,47 @@ class StageRun:
         return o.agg(
             F.count(F.lit(1)).alias("found"),
             F.count_if(F.col("claimed")).alias("claimed"),
-            F.count_if(F.col("claimed") & F.col("at_stage")).alias("completed"),
+            # completed: the stage's work succeeded, not merely that it was tried
+            F.count_if(F.col("claimed") & F.col("at_stage") & F.col("ok")).alias("completed"),
             F.count_if(F.col("claimed") & F.col("ok")).alias("enqueued_next"),
         )
 
 
-def batch_limit(max_concurrent: int | None) -> int | None:
-    """Worklist size of a stage run: 4 × concurrency, 1000 when that is 0; ``None`` = whole table."""
-    if max_concurrent is None:
-        return None
-    return max_concurrent * 4 or 1000
+@dataclass(frozen=True)
+class Listing:
+    """What a runner listed: a condition on control rows (the whole claimable
+    set, decided in the pass that updates them) or, where a limit, an include
+    list or another table version needs it, an explicit key set."""
 
+    condition: Column | None = None
+    keys: DataFrame | None = None
 
-def _bounded(n: int | None) -> int | None:
-    return n if n is not None and n <= BROADCAST_ROWS else None
+    def hit(self, control: DataFrame) -> DataFrame:
+        """``control`` with ``_hit`` where a row is listed."""
+        if self.keys is not None:
+            return _join_keys(control, self.keys)
+        return control.withColumn("_hit", F.when(F.coalesce(self.condition, F.lit(False)), F.lit(True)))
 
 
-def claim_outcome(control: DataFrame, keys: DataFrame, worker_id: str, now, stage: str,
-                  lease_minutes: int, work_ok: DataFrame | None, ok_values: dict, fail_values: dict,
-                  bounded_rows: int | None) -> tuple[DataFrame, DataFrame]:
-    """Claim ``keys`` in ``control`` and apply each claimed key's end state.
+def list_claimable(control: DataFrame, stage: str, statuses: list[str], now, max_rows: int | None = None,
+                   filter_urls: DataFrame | None = None, own_version: bool = True) -> Listing:
+    """WRK1 for a runner: every claimable row, or at most ``max_rows`` (the limit
+    holds before the URL include list, Q5)."""
+    if not max_rows and filter_urls is None and own_version:
+        return Listing(condition=claimable(stage, statuses, now))
+    return Listing(keys=include_urls(worklist(control, stage, statuses, now, max_rows=max_rows), filter_urls))
+
+
+def claim_outcome(control: DataFrame, listed: Listing, now, stage: str, work_ok: DataFrame | None, ok_values: dict,
+                  fail_values: dict) -> tuple[DataFrame, DataFrame]:
+    """Claim the listed rows of ``control`` and apply each claimed key's end state.
 
     ``work_ok`` is (url, iteration, ok) for keys whose work ran; claimed keys
     at ``stage`` without a row count as failed.  Returns (new control, outcomes)."""
     cols = control.columns
-    j = _join_keys(control, keys, (), bounded_rows)
+    j = listed.hit(control)
     if work_ok is not None:
-        w = work_ok.select(*PK, F.col("ok").alias("_ok"))
-        if bounded_rows is not None:
-            w = F.broadcast(w)
-        j = j.join(w, PK, "left")
+        j = j.join(work_ok.select(*PK, F.col("ok").alias("_ok")), PK, "left")
     else:
         j = j.withColumn("_ok", F.lit(True))
     hit = F.col("_hit").isNotNull()
@@ -92,15 +103,13 @@ def claim_outcome(control: DataFrame, keys: DataFrame, worker_id: str, now, stag
     outcomes = out.where(F.col("_hit").isNotNull()).select(
         *PK, F.col("_claimed").alias("claimed"), F.col("_at").alias("at_stage"), F.col("_okrow").alias("ok"),
         F.col("stage").alias("final_stage"), F.col("status").alias("final_status"))
-    # keys listed but gone from the table count as found, not claimed; the anti
-    # join is against the hit keys (at most |keys| rows), never the whole table
-    hits = out.where(F.col("_hit").isNotNull()).select(*PK)
-    if bounded_rows is not None:
-        hits = F.broadcast(hits)
-    missing = keys.select(*PK).join(hits, PK, "left_anti").select(
-        *PK, F.lit(False).alias("claimed"), F.lit(False).alias("at_stage"), F.lit(False).alias("ok"),
-        F.lit(None).cast("string").alias("final_stage"), F.lit(None).cast("string").alias("final_status"))
-    return out.select(*cols), outcomes.unionByName(missing)
+    if listed.keys is not None:
+        # keys listed but gone from the table count as found, not claimed
+        gone = listed.keys.select(*PK).join(control.select(*PK), PK, "left_anti")
+        outcomes = outcomes.unionByName(gone.select(
+            *PK, F.lit(False).alias("claimed"), F.lit(False).alias("at_stage"), F.lit(False).alias("ok"),
+            F.lit(None).cast("string").alias("final_stage"), F.lit(None).cast("string").alias("final_status")))
+    return out.select(*cols), outcomes
 
 
 def _released() -> dict:
@@ -109,35 +118,31 @@ def _released() -> dict:
 
 
 def run_url_stage(control: DataFrame, now, worker_id: str, max_batch: int | None = None,
-                  lease_minutes: int = S.LEASE_URL_RUNNER_MIN, claim_view: DataFrame | None = None) -> StageRun:
-    """RUN1: URL → WEB_PAGE for claimable URL/NEW rows.
+                  claim_view: DataFrame | None = None) -> StageRun:
+    """RUN1: URL → WEB_PAGE for claimable URL/NEW rows; all of them unless
+    ``max_batch`` is given.  Without a limit this is one narrow pass, no shuffle.
 
     ok: WEB_PAGE / NEW / READY, lease cleared, note ``[ts] URL stage done``;
     claimed but not at URL: ERROR, lease cleared."""
-    limit = max_batch if (max_batch is not None and max_batch > 0) else None
-    keys = worklist(control, "URL", ["NEW"], now, max_rows=limit)
+    listed = list_claimable(control, "URL", ["NEW"], now, max_batch, own_version=claim_view is None)
     target = control if claim_view is None else claim_view
     ok_values = {"stage": F.lit("WEB_PAGE"), "status": F.lit("NEW"), "task_state": F.lit("READY"),
                  "notes": prepend_note("notes", ts(now), URL_DONE_NOTE)}
     fail_values = {"status": F.lit("ERROR")}
-    new_control, outcomes = claim_outcome(target, keys, worker_id, now, "URL", lease_minutes, None,
-                                          ok_values, fail_values, _bounded(limit))
+    new_control, outcomes = claim_outcome(target, listed, now, "URL", None, ok_values, fail_values)
     return StageRun(new_control, outcomes, {})
 
 
-def claimed_keys(control: DataFrame, keys: DataFrame, now, stage: str, bounded_rows: int | None) -> DataFrame:
-    """Keys of ``keys`` that a claim would take and that sit at ``stage`` (the work set)."""
-    j = _join_keys(control, keys, (), bounded_rows)
-    return j.where(F.col("_hit").isNotNull() & ready_gate() & lease_free(now) & (F.col("stage") == stage)) \
-        .select(*PK)
+def claimed_keys(control: DataFrame, listed: Listing | DataFrame, now, stage: str) -> DataFrame:
+    """Keys of the listing that a claim would take and that sit at ``stage`` (the work set)."""
+    if isinstance(listed, DataFrame):
+        listed = Listing(keys=listed)
+    return listed.hit(control).where(
+        F.col("_hit").isNotNull() & ready_gate() & lease_free(now) & (F.col("stage") == stage)).select(*PK)
 
 
-def stage_worklist(control: DataFrame, stage: str, now, max_concurrent: int | None, retry_errors: bool,
-                   filter_urls: DataFrame | None) -> tuple[DataFrame, int | None]:
-    """Worklist of a work stage: NEW (plus ERROR, IN_PROGRESS when retrying),
-    limited before the URL include list (Q5)."""
+def stage_listing(control: DataFrame, stage: str, now, max_rows: int | None, retry_errors: bool,
+                  filter_urls: DataFrame | None) -> Listing:
+    """Listing of a work stage: NEW (plus ERROR, IN_PROGRESS when retrying)."""
     statuses = ["NEW", "ERROR", "IN_PROGRESS"] if retry_errors else ["NEW"]
-    limit = batch_limit(max_concurrent)
-    keys = worklist(control, stage, statuses, now, max_rows=limit)
-    keys = include_urls(keys, filter_urls, bounded_rows=limit)
-    return keys, _bounded(limit)
+    return list_claimable(control, stage, statuses, now, max_rows, filter_urls)

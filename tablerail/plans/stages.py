@@ -10,44 +10,40 @@ from pyspark.sql import functions as F
 from tablerail import schemas as S
 from tablerail.functions.prompts import SUMMARIZE_JSON_TEMPLATE, render
 from tablerail.operators.control import PK, sync_from_registry
-from tablerail.operators.inference import (RAW_RESPONSE_COLUMNS, InferenceParams, OfflineClient, check_provider,
-                                           infer, summary_rows)
+from tablerail.operators.inference import (RAW_RESPONSE_COLUMNS, InferenceParams, check_provider, forget_answers,
+                                           infer, infer_stored, summary_rows)
 from tablerail.operators.predicates import has_text
 from tablerail.operators.queries import newest_page
 from tablerail.operators.upsert import upsert
-from tablerail.plans.runs import StageRun, claim_outcome, claimed_keys, run_url_stage, stage_worklist
+from tablerail.plans.runs import StageRun, claim_outcome, claimed_keys, run_url_stage, stage_listing
 from tablerail.sources.pages import fetch_pages, page_rows
 from tablerail.sources.store import materialize
 
 
 def run_page_stage(control: DataFrame, web_page: DataFrame, fetcher, now, worker_id: str, *,
-                   max_concurrent: int | None = 5, filter_urls: DataFrame | None = None, retry_errors: bool = False,
-                   lease_minutes: int = S.LEASE_STAGE_RUNNER_MIN, keep_html: bool = False,
-                   scratch_dir: str | None = None) -> StageRun:
+                   max_rows: int | None = None, filter_urls: DataFrame | None = None, retry_errors: bool = False,
+                   keep_html: bool = False, scratch_dir: str | None = None) -> StageRun:
     """RUN2 (WEB_PAGE → WEB_SUMMARY): list, claim, fetch, clean, store pages,
     then per key: ok → WEB_SUMMARY/NEW/READY, fetch failed or wrong stage → ERROR.
 
-    ``max_concurrent=None`` processes every claimable row (no batch cap)."""
-    keys, bounded = stage_worklist(control, "WEB_PAGE", now, max_concurrent, retry_errors, filter_urls)
-    work = claimed_keys(control, keys, now, "WEB_PAGE", bounded)
+    Every claimable row is processed unless ``max_rows`` is given."""
+    listed = stage_listing(control, "WEB_PAGE", now, max_rows, retry_errors, filter_urls)
+    work = claimed_keys(control, listed, now, "WEB_PAGE")
     # fetching has side effects: persist before anything branches on it
-    pages = materialize(page_rows(fetch_pages(work, fetcher, bounded), now, keep_html), scratch_dir)
-    new_pages = upsert(web_page, pages.drop("ok"), S.WEB_PAGE, now, incoming_rows=bounded, validate=False)
+    pages = materialize(page_rows(fetch_pages(work, fetcher), now, keep_html), scratch_dir)
+    new_pages = upsert(web_page, pages.drop("ok"), S.WEB_PAGE, now)
     ok_values = {"stage": F.lit("WEB_SUMMARY"), "status": F.lit("NEW"), "task_state": F.lit("READY")}
     fail_values = {"status": F.lit("ERROR")}
-    new_control, outcomes = claim_outcome(control, keys, worker_id, now, "WEB_PAGE", lease_minutes,
-                                          pages.select(*PK, "ok"), ok_values, fail_values, bounded)
+    new_control, outcomes = claim_outcome(control, listed, now, "WEB_PAGE", pages.select(*PK, "ok"), ok_values, fail_values)
     return StageRun(new_control, outcomes, {"web_page": new_pages, "fetched": pages})
 
 
-def claimed_pages(work: DataFrame, web_page: DataFrame, bounded_rows: int | None = None) -> DataFrame:
+def claimed_pages(work: DataFrame, web_page: DataFrame) -> DataFrame:
     """JN6: each claimed key with its newest ``web_page`` row (WIN2); keys
     without a page get ``page_found = false`` (they end as ERROR).  Only the
-    narrow page columns are read; a bounded key set is broadcast into the
-    page-table scan."""
-    wk = F.broadcast(work.select(*PK)) if bounded_rows is not None else work.select(*PK)
+    narrow page columns are read."""
     pages = web_page.select("url", "iteration", "clean_text", "created_at", "updated_at", "fetched_at") \
-        .join(wk, PK, "left_semi")
+        .join(work.select(*PK), PK, "left_semi")
     newest = newest_page(pages).select(*PK, "clean_text", F.col("created_at").alias("page_created_at"),
                                        F.lit(True).alias("page_found"))
     return work.select(*PK).join(newest, PK, "left").withColumn(
@@ -55,37 +51,41 @@ def claimed_pages(work: DataFrame, web_page: DataFrame, bounded_rows: int | None
 
 
 def run_summary_stage(control: DataFrame, web_page: DataFrame, web_summary: DataFrame, client_factory,
-                      params: InferenceParams, now, worker_id: str, *, max_concurrent: int | None = 3,
+                      params: InferenceParams, now, worker_id: str, *, max_rows: int | None = None,
                       filter_urls: DataFrame | None = None, retry_errors: bool = False,
-                      lease_minutes: int = S.LEASE_STAGE_RUNNER_MIN, scratch_dir: str | None = None) -> StageRun:
+                      scratch_dir: str | None = None, answers: str | None = None) -> StageRun:
     """RUN3 (WEB_SUMMARY → DONE): list, claim, join the newest page row (JN6),
     reject blank text (FLT2), prompt (STR6), call the model (LLM2/3), validate
     (LLM4–6), derive text (STR7), store summaries (LLM8); per key: ok →
-    DONE/NEW/PAUSED, anything else → ERROR."""
+    DONE/NEW/PAUSED, anything else → ERROR.  Every claimable row is processed
+    unless ``max_rows`` is given.  ``answers``: a folder where answers are stored
+    slice by slice, so that a run that died repeats no stored call."""
     check_provider(params.provider)
-    keys, bounded = stage_worklist(control, "WEB_SUMMARY", now, max_concurrent, retry_errors, filter_urls)
-    work = claimed_keys(control, keys, now, "WEB_SUMMARY", bounded)
-    page = claimed_pages(work, web_page, bounded)
-    ready = page.where(F.col("page_found") & has_text("clean_text"))
-    prompts = ready.select(*PK, render(SUMMARIZE_JSON_TEMPLATE, url=F.col("url"), content=F.col("clean_text"))
-                           .alias("prompt"))
-    if params.partitions is None and max_concurrent:
-        params = InferenceParams(**{**params.__dict__, "partitions": max_concurrent})
+    listed = stage_listing(control, "WEB_SUMMARY", now, max_rows, retry_errors, filter_urls)
+    work = claimed_keys(control, listed, now, "WEB_SUMMARY")
+    page = claimed_pages(work, web_page)
+    ready = page.where(F.col("page_found") & has_text("clean_text")).select(*PK, "clean_text")
+    # the cleaned text is dealt out; the template is filled in after that shuffle
+    prompt = render(SUMMARIZE_JSON_TEMPLATE, url=F.col("url"), content=F.col("clean_text"))
     # model calls cost money: persist the validated responses before branching,
     # so neither branch (summary table, control update) repeats a call or the
     # JSON checks
-    checked = materialize(summary_rows(infer(prompts, "prompt", client_factory, params), params, now,
-                                       keep_raw=True), scratch_dir)
+    if answers:
+        said = infer_stored(ready, prompt, client_factory, params, f"{answers.rstrip('/')}/{worker_id}")
+    else:
+        said = infer(ready, prompt, client_factory, params)
+    checked = materialize(summary_rows(said, params, now, keep_raw=True), scratch_dir)
+    if answers:
+        forget_answers(checked.sparkSession, f"{answers.rstrip('/')}/{worker_id}")
     rows = checked.drop(*RAW_RESPONSE_COLUMNS)
     responses = checked.select(*PK, *RAW_RESPONSE_COLUMNS)
     good = rows.where(F.col("error").isNull()).drop("error")
-    new_summary = upsert(web_summary, good, S.WEB_SUMMARY, now, incoming_rows=bounded, validate=False)
+    new_summary = upsert(web_summary, good, S.WEB_SUMMARY, now)
     ok = rows.select(*PK, F.col("error").isNull().alias("ok"))
     ok_values = {"stage": F.lit("DONE"), "status": F.lit("NEW"), "task_state": F.lit("PAUSED")}
     fail_values = {"status": F.lit("ERROR")}
-    new_control, outcomes = claim_outcome(control, keys, worker_id, now, "WEB_SUMMARY", lease_minutes, ok,
-                                          ok_values, fail_values, bounded)
-    return StageRun(new_control, outcomes, {"web_summary": new_summary, "responses": responses, "checked": rows})
+    new_control, outcomes = claim_outcome(control, listed, now, "WEB_SUMMARY", ok, ok_values, fail_values)
+    return StageRun(new_control, outcomes, {"web_summary": new_summary, "responses": responses, "checked": rows, "good": good})
 
 
 @dataclass
@@ -99,13 +99,16 @@ class FullRun:
 
 def run_all(registry_rows: DataFrame, fetcher, now, *, url_table: DataFrame | None = None,
             control: DataFrame | None = None, web_page: DataFrame | None = None,
-            web_summary: DataFrame | None = None, client_factory=OfflineClient,
-            params: InferenceParams | None = None, max_concurrent: int | None = 5, append_only_urls: bool = True,
+            web_summary: DataFrame | None = None, client_factory=None,
+            params: InferenceParams | None = None, max_rows: int | None = None, append_only_urls: bool = True,
             worker_prefix: str = "run", scratch_dir: str | None = None) -> FullRun:
-    """RUN4: ingest registry rows, sync control, then URL → page → summary.
+    """RUN4: ingest registry rows, sync control, then URL → page → summary; all
+    rows unless ``max_rows`` limits each stage's batch.  A model client is required.
 
     Every table version is materialised before the next stage reads it, so a
     lost executor only recomputes the current stage."""
+    if client_factory is None:
+        raise ValueError("a full run needs a model client")
     spark = registry_rows.sparkSession
     params = params or InferenceParams()
 
@@ -117,18 +120,17 @@ def run_all(registry_rows: DataFrame, fetcher, now, *, url_table: DataFrame | No
     web_page = web_page if web_page is not None else empty(S.WEB_PAGE)
     web_summary = web_summary if web_summary is not None else empty(S.WEB_SUMMARY)
 
-    url_table = materialize(upsert(url_table, registry_rows, S.URL, now, validate=False), scratch_dir)
+    url_table = materialize(upsert(url_table, registry_rows, S.URL, now), scratch_dir)
     control = materialize(sync_from_registry(url_table, control, now,
                                              mode="append" if append_only_urls else "replace"), scratch_dir)
-    r1 = run_url_stage(control, now, f"{worker_prefix}-urls",
-                       max_batch=None if max_concurrent is None else 0)
+    r1 = run_url_stage(control, now, f"{worker_prefix}-urls")
     control = materialize(r1.control, scratch_dir)
-    r2 = run_page_stage(control, web_page, fetcher, now, f"{worker_prefix}-pages", max_concurrent=max_concurrent,
+    r2 = run_page_stage(control, web_page, fetcher, now, f"{worker_prefix}-pages", max_rows=max_rows,
                         scratch_dir=scratch_dir)
     control = materialize(r2.control, scratch_dir)
     web_page = materialize(r2.extra["web_page"], scratch_dir)
     r3 = run_summary_stage(control, web_page, web_summary, client_factory, params, now, f"{worker_prefix}-summaries",
-                           max_concurrent=max_concurrent, scratch_dir=scratch_dir)
+                           max_rows=max_rows, scratch_dir=scratch_dir)
     control = materialize(r3.control, scratch_dir)
     web_summary = materialize(r3.extra["web_summary"], scratch_dir)
     return FullRun(url_table, control, web_page, web_summary, {"urls": r1, "pages": r2, "summaries": r3})

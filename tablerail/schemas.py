@@ -145,9 +145,3 @@ def table_spec(name_or_spec) -> TableSpec:
         return REGISTRY[str(name_or_spec)]
     except KeyError:
         raise ValueError(f"unknown table: {name_or_spec!r}") from None
-
-
-def validate_rail() -> None:
-    """The rail holds every stage exactly once."""
-    assert len(set(STAGES)) == len(STAGES)
-    assert set(NEXT_STAGE) == set(STAGES)

@@ -4,7 +4,8 @@ checkpoint folder."""
 from __future__ import annotations
 
 import datetime as _dt
-import os
+import re
+import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,26 +68,22 @@ def utc_now_str() -> str:
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder for lineage cuts.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (tests, local
-    runs) is ``fallback`` set on the context."""
+    Read from ``spark.checkpoint.dir``; only when it is unset is ``fallback`` set
+    on the context (Spark makes the folder, on whatever file system it is).  A
+    session inside one process may do without both: it gets a temporary folder."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(d)
         return d
     if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-    os.makedirs(fallback, exist_ok=True)
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        fallback = tempfile.mkdtemp(prefix="tablerail-")
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
 
 
-def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never a local checkpoint."""
-    checkpoint_dir(df.sparkSession, fallback_dir)
-    return df.checkpoint(eager=True)
-
-
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Give CPU-heavy row work (regex cleaning, JSON checks) at least one
     partition per core.

@@ -32,48 +32,59 @@ FETCH_SCHEMA = T.StructType([
 
 
 class TableFetcher:
-    """Fetch = look the URL up in a table of crawled pages (url unique)."""
+    """Fetch = look the URL up in a table of crawled pages.
 
-    def __init__(self, pages: DataFrame, url_col: str = "url", html_col: str = "html"):
-        self.pages = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    A URL crawled more than once counts once: the page with the greatest
+    ``version`` column if one is named, else the greatest html text (so the
+    choice depends on the data alone)."""
 
-    def fetch(self, keys: DataFrame, bounded_rows: int | None = None) -> DataFrame:
+    def __init__(self, pages: DataFrame, url_col: str = "url", html_col: str = "html", version_col: str | None = None):
+        rank = F.struct(*([F.col(version_col)] if version_col else []), F.col(html_col).alias("html"))
+        # partial maxima before the shuffle: a URL crawled very often is no hot task
+        self.pages = (pages.groupBy(F.col(url_col).alias("url")).agg(F.max(rank).alias("_best"))
+                      .select("url", F.col("_best.html").alias("html")))
+
+    def fetch(self, keys: DataFrame) -> DataFrame:
         k = keys.select("url", "iteration")
-        if bounded_rows is not None:
-            # a bounded claim: cut the page table down with a broadcast semi join first
-            pages = self.pages.join(F.broadcast(k.select("url").distinct()), "url", "left_semi")
-        else:
-            pages = self.pages
-            # The key set is narrow but every key expands into a page to clean.
-            # Hash it on the whole key into the shuffle width, so the cleaning
-            # that follows never runs in the one task AQE would coalesce a
-            # small key set into, and a URL with many iterations is spread: a
-            # broadcast page table keeps this partitioning; a large one gets a
-            # sort-merge join on url whose own shuffle AQE may split for skew.
-            n = int(k.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            k = k.repartition(n, "url", "iteration")
-        j = k.join(pages, "url", "left")
+        # The key set is narrow but every key expands into a page to clean.
+        # Hash it on the whole key into the shuffle width, so the cleaning
+        # that follows never runs in the one task AQE would coalesce a
+        # small key set into, and a URL with many iterations is spread: a
+        # broadcast page table keeps this partitioning; a large one gets a
+        # sort-merge join on url whose own shuffle AQE may split for skew.
+        n = int(k.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        k = k.repartition(n, "url", "iteration")
+        j = k.join(self.pages, "url", "left")
         return j.select("url", "iteration",
                         F.when(F.col("html").isNotNull(), F.lit(200)).cast("int").alias("status_code"),
                         "html", F.when(F.col("html").isNull(), F.lit("not found")).alias("error"))
 
 
 class HttpFetcher:
-    """HTTP GET per URL on executors; ``concurrency`` partitions fetch in parallel."""
+    """HTTP GET per URL on executors.
+
+    The keys are dealt over ``partitions`` tasks (default: the shuffle width);
+    how many run at a time, and so fetch in parallel, is the cluster's number of
+    cores.  Bodies are passed on every ``YIELD_ROWS`` pages, so few wait in
+    memory.  ``open_url(request, timeout)`` can be replaced (tests)."""
+
+    YIELD_ROWS = 32
 
-    def __init__(self, concurrency: int = 5, timeout_s: float = 8.0, user_agent: str = "tablerail/0.1"):
-        self.concurrency, self.timeout_s, self.user_agent = concurrency, timeout_s, user_agent
+    def __init__(self, partitions: int | None = None, timeout_s: float = 8.0, user_agent: str = "tablerail/0.1",
+                 open_url=None):
+        self.partitions, self.timeout_s, self.user_agent = partitions, timeout_s, user_agent
+        self.open_url = open_url
 
     def _run(self):
-        timeout, agent = self.timeout_s, self.user_agent
+        timeout, agent, open_url, rows = self.timeout_s, self.user_agent, self.open_url or _open, self.YIELD_ROWS
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
+            for pdf in (b.iloc[k:k + rows] for b in batches for k in range(0, len(b), rows)):
                 codes, bodies, errors = [], [], []
                 for url in pdf["url"].tolist():
                     try:
                         req = urllib.request.Request(url, headers={"User-Agent": agent})
-                        with urllib.request.urlopen(req, timeout=timeout) as r:  # noqa: S310 - user-supplied crawl list
+                        with open_url(req, timeout) as r:
                             raw = r.read()
                             charset = r.headers.get_content_charset() or "utf-8"
                             codes.append(int(r.status))
@@ -87,14 +98,19 @@ class HttpFetcher:
                                     "html": bodies, "error": errors})
         return run
 
-    def fetch(self, keys: DataFrame, bounded_rows: int | None = None) -> DataFrame:
-        src = keys.select("url", "iteration").repartition(self.concurrency, "url", "iteration")
+    def fetch(self, keys: DataFrame) -> DataFrame:
+        n = self.partitions or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        src = keys.select("url", "iteration").repartition(n, "url", "iteration")
         return src.mapInPandas(self._run(), FETCH_SCHEMA)
 
 
-def fetch_pages(keys: DataFrame, fetcher, bounded_rows: int | None = None) -> DataFrame:
+def _open(request, timeout: float):
+    return urllib.request.urlopen(request, timeout=timeout)  # noqa: S310 - user-supplied crawl list
+
+
+def fetch_pages(keys: DataFrame, fetcher) -> DataFrame:
     """SRC8: fetch the pages of ``keys`` with a pluggable fetcher."""
-    return fetcher.fetch(keys, bounded_rows)
+    return fetcher.fetch(keys)
 
 
 def page_rows(fetched: DataFrame, now, keep_html: bool = False) -> DataFrame:

@@ -2,7 +2,9 @@
 
 Accepted shapes per file: a JSON array of ``{url, source?, tags?}`` or an
 object ``{"urls": [...]}``.  Many files are one read; mixed ``tags`` (list in
-one file, CSV string in another) arrive as text and are normalised by STR3."""
+one file, CSV string in another) arrive as text and are normalised by STR3.
+Files are read whole and parsed to VARIANT, so one bad file or entry is known by
+its name and place and hides no other."""
 
 from __future__ import annotations
 
@@ -19,39 +21,65 @@ from tablerail.operators.upsert import upsert
 log = logging.getLogger(__name__)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.globStatus(p)) and len(fs.globStatus(p)) > 0
-
-
-def read_seed_entries(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """SRC1: seed entries ``(url, source, tags)`` from one or many JSON files.
-
-    ``tags`` stays as read (array or text); unsupported shapes raise."""
-    raw = spark.read.option("multiLine", True).json(paths)
-    cols = set(raw.columns)
-    if "_corrupt_record" in cols and len(cols) == 1:
-        raise ValueError(f"unsupported seed JSON in {paths}")
-    parts = []
-    if "urls" in cols:
-        entries = raw.where(F.col("urls").isNotNull()).select(F.explode("urls").alias("e")).select("e.*")
-        parts.append(entries)
-    if "url" in cols:
-        parts.append(raw.where(F.col("url").isNotNull()).select(*[c for c in ("url", "source", "tags") if c in cols]))
-    if not parts:
-        raise ValueError(f"unsupported seed JSON in {paths}: expected a list of objects or a {{'urls': [...]}} wrapper")
-    out = None
-    for p in parts:
-        p = p.select(
-            F.col("url").cast("string").alias("url"),
-            (F.col("source").cast("string") if "source" in p.columns else F.lit(None).cast("string")).alias("source"),
-            (F.to_json(F.col("tags")) if "tags" in p.columns and isinstance(p.schema["tags"].dataType, T.ArrayType)
-             else (F.col("tags").cast("string") if "tags" in p.columns else F.lit(None).cast("string"))).alias("tags"),
-        )
-        out = p if out is None else out.unionByName(p)
-    return out
+def _matched(spark: SparkSession, path: str) -> bool:
+    """Whether a path or glob names anything (one file system call)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p))
+
+
+def seed_items(files: DataFrame) -> DataFrame:
+    """Entries of whole seed files (file, value): file, pos, url, source, tags and
+    ``reason`` (NULL for a good entry).  A file that is no JSON, or of another
+    shape, is one row with a reason; so is each entry without a usable url."""
+    doc = F.try_parse_json("value")
+    kind = F.regexp_extract(F.schema_of_variant("_doc"), "^([A-Z]+)", 1)
+    wrapped = F.try_variant_get("_doc", "$.urls", "array<variant>")
+    listed = F.when(kind == "ARRAY", F.try_variant_get("_doc", "$", "array<variant>")).when(kind == "OBJECT", wrapped)
+    files = files.select("file", doc.alias("_doc")).select("file", "_doc", listed.alias("_items"))
+    bad_file = (F.when(F.col("_doc").isNull(), F.lit("not valid JSON"))
+                .when(F.col("_items").isNull(), F.lit("neither a list of entries nor {urls: [...]}")))
+    rows = files.select("file", bad_file.alias("_bad"), F.posexplode_outer("_items").alias("pos", "_item"))
+    rows = rows.where(F.col("_bad").isNotNull() | F.col("_item").isNotNull() | F.col("pos").isNotNull())
+
+    def text_of(name: str):
+        return F.try_variant_get("_item", f"$.{name}", "string")
+
+    entry_kind = F.regexp_extract(F.schema_of_variant("_item"), "^([A-Z]+)", 1)
+    url_kind = F.regexp_extract(F.schema_of_variant(F.try_variant_get("_item", "$.url", "variant")), "^([A-Z]+)", 1)
+    reason = (F.when(F.col("_bad").isNotNull(), F.col("_bad"))
+              .when(F.coalesce(entry_kind, F.lit("")) != "OBJECT", F.lit("entry is not an object"))
+              .when((F.coalesce(url_kind, F.lit("")) != "STRING") | (F.coalesce(strip_ws(text_of("url")), F.lit("")) == ""),
+                    F.lit("url is missing or blank")))
+    listed_tags = F.to_json(F.try_variant_get("_item", "$.tags", "array<string>"))
+    return rows.select("file", "pos", text_of("url").alias("url"), text_of("source").alias("source"),
+                       F.coalesce(listed_tags, text_of("tags")).alias("tags"), reason.alias("reason"))
+
+
+def seed_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(file, value): seed files as whole texts."""
+    return spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
+
+
+def read_seed_entries(spark: SparkSession, paths: str | list[str], bad: str = "raise") -> DataFrame:
+    """SRC1 + PRJ6: seed entries ``(url, source, tags)`` from one or many JSON files.
+
+    ``tags`` is text (CSV or a JSON array).  A bad file or entry raises when the
+    rows are computed; with ``bad="skip"`` it is left to ``seed_rejects``."""
+    if bad not in ("raise", "skip"):
+        raise ValueError(f"unknown mode: {bad!r}")
+    items = seed_items(seed_files(spark, paths))
+    if bad == "skip":
+        items = items.where(F.col("reason").isNull())
+    else:
+        # part of the url itself, so that no projection can drop the check
+        items = items.withColumn("url", F.when(F.col("reason").isNull(), F.col("url")).otherwise(F.raise_error(
+            F.concat(F.lit("bad seed in "), F.col("file"), F.lit(": "), F.col("reason")))))
+    return items.select("url", "source", "tags")
+
+
+def seed_rejects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The files and entries that are no seeds: file, pos (NULL: the whole file), reason."""
+    return seed_items(seed_files(spark, paths)).where(F.col("reason").isNotNull()).select("file", "pos", "reason")
 
 
 def read_typed_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -67,11 +95,12 @@ def flatten_seeds(entries: DataFrame) -> DataFrame:
 
 
 def ingest_seed_files(spark: SparkSession, paths: str | list[str], url_table: DataFrame, now,
-                      policy: str = "pk_scoped") -> DataFrame:
+                      policy: str = "pk_scoped", bad: str = "raise") -> DataFrame:
     """SRC3: seed files → registry upsert.  Missing paths are skipped with a
-    warning; a URL listed twice with different source or tags raises."""
+    warning; bad files and entries raise (or are skipped, see ``seed_rejects``); a
+    URL listed twice with different source or tags raises."""
     plist = [paths] if isinstance(paths, str) else list(paths)
-    present = [p for p in plist if _path_exists(spark, p)]
+    present = [p for p in plist if _matched(spark, p)]
     for p in plist:
         if p not in present:
             log.warning("seed file not found, skipped: %s", p)
@@ -79,5 +108,5 @@ def ingest_seed_files(spark: SparkSession, paths: str | list[str], url_table: Da
         return url_table
     # as one upsert batch: identical entries collapse, the same URL with
     # different source/tags is a primary-key conflict and raises (VAL1)
-    rows = flatten_seeds(read_seed_entries(spark, present))
+    rows = flatten_seeds(read_seed_entries(spark, present, bad))
     return upsert(url_table, rows, S.URL, now, policy=policy)

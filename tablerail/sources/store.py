@@ -1,78 +1,156 @@
 """Table storage on immutable files (SNK2–SNK4) and lineage cuts.
 
-Each table is a directory of versions ``<root>/<table>/v=<n>``; a writer
-writes version n+1 completely and only then is it read, so a path being read
-is never overwritten (single writer assumed; with a transactional table
-format the same DataFrames go into ``MERGE``).  ``web_page`` and
-``web_summary`` are partitioned by ``iteration`` (low cardinality, always in
-the key); never by URL."""
+The rows of a table are dealt into buckets by the hash of the primary key.  A
+write puts whole new buckets into a folder of its own; a version is a small
+manifest that names the folder of each bucket.  An upsert reads and rewrites the
+buckets its keys fall into and no others.  Nothing that is being read is ever
+overwritten (a single writer is assumed; with a transactional table format the
+same DataFrames go into ``MERGE``); a write that dies leaves an unnamed folder
+behind, which ``vacuum`` removes, and the next write goes ahead."""
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablerail import schemas as S
 from tablerail.session import checkpoint_dir
 
-PARTITION_BY = {"web_page": ["iteration"], "web_summary": ["iteration"]}
 _VERSION = re.compile(r"^v=(\d+)$")
+BUCKET = "_bucket"
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    """Tables under ``root``.  ``buckets``: how finely a table is cut, fixed when
+    its first version is written (16 for tests and small tables; choose it so that
+    a bucket is some hundred MB)."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
+        self._io = jvm.org.apache.commons.io.IOUtils
+        self._utf8 = jvm.java.nio.charset.StandardCharsets.UTF_8
         self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
+    # -- versions -------------------------------------------------------------
     def _versions(self, table: str) -> list[int]:
         p = self._Path(f"{self.root}/{table}")
         if not self._fs.exists(p):
             return []
-        out = []
-        for st in self._fs.listStatus(p):
-            m = _VERSION.match(st.getPath().getName())
-            if m and self._fs.exists(self._Path(f"{st.getPath().toString()}/_SUCCESS")):
-                out.append(int(m.group(1)))
-        return sorted(out)
-
-    def exists(self, table: str) -> bool:
-        return bool(self._versions(table))
+        found = (_VERSION.match(st.getPath().getName()) for st in self._fs.listStatus(p))
+        return sorted(int(m.group(1)) for m in found if m)
 
-    def path(self, table: str, version: int | None = None) -> str:
+    def _manifest(self, table: str, version: int | None = None) -> dict:
         vs = self._versions(table)
         if not vs:
             raise FileNotFoundError(f"table {table} has no committed version under {self.root}")
-        return f"{self.root}/{table}/v={vs[-1] if version is None else version}"
+        stream = self._fs.open(self._Path(f"{self.root}/{table}/v={vs[-1] if version is None else version}"))
+        try:
+            return json.loads(self._io.toString(stream, self._utf8))
+        finally:
+            stream.close()
+
+    def _commit(self, table: str, manifest: dict) -> int:
+        """Name the buckets' folders in the next version: written aside, then
+        renamed, so a version is there wholly or not at all."""
+        vs = self._versions(table)
+        n = (vs[-1] + 1) if vs else 0
+        aside = self._Path(f"{self.root}/{table}/_new-{uuid.uuid4().hex}")
+        out = self._fs.create(aside)
+        try:
+            self._io.write(json.dumps(manifest), out, self._utf8)
+        finally:
+            out.close()
+        if not self._fs.rename(aside, self._Path(f"{self.root}/{table}/v={n}")):
+            raise RuntimeError(f"version {n} of {table} was written by someone else")
+        return n
+
+    def exists(self, table: str) -> bool:
+        return bool(self._versions(table))
+
+    # -- buckets --------------------------------------------------------------
+    @staticmethod
+    def _bucket(spec: S.TableSpec, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(*spec.primary_keys), F.lit(buckets)).cast("int")
 
-    def read(self, table: str) -> DataFrame:
+    def _put(self, table: str, df: DataFrame, buckets: int) -> str:
+        """Write rows by bucket into a new folder; returns its name."""
         spec = S.table_spec(table)
-        return self.spark.read.schema(spec.schema).parquet(self.path(table)).select(*spec.columns)
+        folder = f"data-{uuid.uuid4().hex}"
+        rows = df.select(*spec.columns).withColumn(BUCKET, self._bucket(spec, buckets))
+        # one file a bucket; the bucket is a hash of the whole key, so none is hot
+        rows.repartition(buckets, BUCKET).write.mode("error").partitionBy(BUCKET).parquet(f"{self.root}/{table}/{folder}")
+        return folder
 
-    def write(self, table: str, df: DataFrame) -> int:
-        """Write the next version; returns its number."""
+    def _get(self, table: str, folders: dict[int, str]) -> DataFrame:
         spec = S.table_spec(table)
-        vs = self._versions(table)
-        n = (vs[-1] + 1) if vs else 0
-        w = df.select(*spec.columns).write.mode("error")
-        parts = PARTITION_BY.get(spec.name)
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(f"{self.root}/{table}/v={n}")
-        return n
+        paths = [f"{self.root}/{table}/{f}/{BUCKET}={b}" for b, f in sorted(folders.items())]
+        there = [p for p in paths if self._fs.exists(self._Path(p))]  # a bucket without rows has no folder
+        if not there:
+            return self.spark.createDataFrame([], spec.schema)
+        return self.spark.read.schema(spec.schema).parquet(*there).select(*spec.columns)
+
+    # -- tables ---------------------------------------------------------------
+    def read(self, table: str, version: int | None = None) -> DataFrame:
+        m = self._manifest(table, version)
+        return self._get(table, {int(b): f for b, f in m["folders"].items()})
+
+    def write(self, table: str, df: DataFrame) -> int:
+        """Write the whole table as the next version; returns its number."""
+        buckets = self._manifest(table)["buckets"] if self.exists(table) else self.buckets
+        folder = self._put(table, df, buckets)
+        return self._commit(table, {"buckets": buckets, "folders": {b: folder for b in range(buckets)}})
+
+    def touched(self, table: str, keys: DataFrame) -> list[int]:
+        """The buckets that ``keys`` (with the key columns) fall into."""
+        spec, m = S.table_spec(table), self._manifest(table)
+        return sorted(r[0] for r in keys.select(self._bucket(spec, m["buckets"])).distinct().collect())  # buckets at most
+
+    def upsert(self, table: str, batch: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+        """Write ``apply(existing rows, batch)`` for the batch's buckets only.
+
+        ``apply`` sees the whole rows of those buckets and must not move a key."""
+        m = self._manifest(table)
+        hit = self.touched(table, batch)
+        if not hit:
+            return self._versions(table)[-1]
+        folders = {int(b): f for b, f in m["folders"].items()}
+        folder = self._put(table, apply(self._get(table, {b: folders[b] for b in hit}), batch), m["buckets"])
+        return self._commit(table, {"buckets": m["buckets"], "folders": folders | {b: folder for b in hit}})
+
+    def replace_rows(self, table: str, new_table: DataFrame, changed: DataFrame) -> int:
+        """Write the buckets of the ``changed`` keys from ``new_table``, a next
+        version of the whole table that differs at those keys only."""
+        m = self._manifest(table)
+        hit = self.touched(table, changed)
+        if not hit:
+            return self._versions(table)[-1]
+        rows = new_table.where(self._bucket(S.table_spec(table), m["buckets"]).isin(hit))
+        folder = self._put(table, rows, m["buckets"])
+        return self._commit(table, {"buckets": m["buckets"], "folders": m["folders"] | {str(b): folder for b in hit}})
 
     def vacuum(self, table: str, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` committed versions (readers of an
-        older version must have finished); returns the versions removed."""
+        """Delete all but the newest ``keep`` versions (readers of an older one must
+        have finished) and every data folder that no remaining version names,
+        those of dead writes too; returns the versions removed."""
+        if keep < 1:
+            raise ValueError("keep at least the live version")
         vs = self._versions(table)
-        drop = vs[:-keep] if keep > 0 else vs
-        for v in drop:
-            self._fs.delete(self._Path(f"{self.root}/{table}/v={v}"), True)
-        return drop
+        old, live = vs[:-keep], vs[-keep:]
+        named = {f for v in live for f in self._manifest(table, v)["folders"].values()}
+        for v in old:
+            self._fs.delete(self._Path(f"{self.root}/{table}/v={v}"), False)
+        for st in self._fs.listStatus(self._Path(f"{self.root}/{table}")):
+            name = st.getPath().getName()
+            if name.startswith(("data-", "_new-")) and name not in named:
+                self._fs.delete(st.getPath(), True)
+        return old
 
     def bootstrap(self, tables=None) -> dict[str, bool]:
         """SNK4: create every registered table that is missing (empty, with its schema);
@@ -88,6 +166,9 @@ class TableStore:
         return out
 
 
+_MATERIALIZED: list[str] = []
+
+
 def materialize(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
@@ -98,7 +179,16 @@ def materialize(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
     base = checkpoint_dir(spark, fallback_dir)
     path = f"{base.rstrip('/')}/tablerail-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    _MATERIALIZED.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_materialized(spark: SparkSession) -> None:
+    """Remove the folders ``materialize`` wrote in this process; call it once the
+    results that read them have been stored."""
+    while _MATERIALIZED:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_MATERIALIZED.pop())
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def dump_page_text(df: DataFrame, path: str, fmt: str = "json") -> None:

@@ -1,49 +1,74 @@
 """Incremental seed ingest (STM1): new seed files in a folder are picked up by
 a Structured Streaming file source and upserted, micro-batch by micro-batch,
-into the versioned ``url`` table.  The upsert is keyed, so a replayed batch
-(after a failure between write and commit) changes nothing."""
+into the stored ``url`` table.  The upsert is keyed, so a replayed batch (after a
+failure between write and commit) changes nothing.  Bad files and entries, and
+URLs listed twice with different values, go to a reject table beside the store
+instead of stopping the stream or vanishing."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablerail import schemas as S
 from tablerail.operators.upsert import upsert
-from tablerail.sources.seeds import flatten_seeds
+from tablerail.sources.seeds import flatten_seeds, seed_items
 from tablerail.sources.store import TableStore
 
 _ENTRY = T.StructType([T.StructField("url", T.StringType()), T.StructField("source", T.StringType()),
                        T.StructField("tags", T.StringType())])
 # A seed file is an array of entries (read as rows) or a {"urls": [...]} object.
 SEED_FILE_SCHEMA = T.StructType(list(_ENTRY.fields) + [T.StructField("urls", T.ArrayType(_ENTRY))])
+REJECTS = "file string, pos int, url string, reason string"
 
 
 def _entries(batch: DataFrame) -> DataFrame:
-    from pyspark.sql import functions as F
     wrapped = batch.where(F.col("urls").isNotNull()).select(F.explode("urls").alias("e")).select("e.*")
     flat = batch.where(F.col("url").isNotNull()).select("url", "source", "tags")
     return flat.unionByName(wrapped)
 
 
+def split_conflicts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows to apply, conflicting URLs): equal rows collapse, a URL with
+    different rows is applied not at all."""
+    values = F.struct("source", "tags")
+    g = rows.groupBy("url").agg(F.min(values).alias("least"), F.max(values).alias("most"))
+    same = F.col("least") == F.col("most")
+    return g.where(same).select("url", "least.source", "least.tags"), g.where(~same).select("url")
+
+
+def rejects_path(store_root: str) -> str:
+    return f"{store_root.rstrip('/')}/_seed_rejects"
+
+
 def run_seed_stream(spark: SparkSession, source_dir: str, store_root: str, checkpoint: str, now,
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """Process every seed file present now (``availableNow``) and return the registry table."""
+    """Process every seed file present now (``availableNow``) and return the
+    registry table; rejects are at ``rejects_path(store_root)``, one folder a batch
+    (a replayed batch writes its folder anew)."""
     store = TableStore(spark, store_root)
     store.bootstrap(["url"])
-    reader = spark.readStream.schema(SEED_FILE_SCHEMA).option("multiLine", True)
+    reader = spark.readStream.option("wholetext", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(source_dir)
+    stream = reader.text(source_dir).select(F.col("_metadata.file_path").alias("file"), "value")
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        rows = flatten_seeds(_entries(batch)).dropDuplicates(["url"])
-        current = store.read("url")
-        # a micro-batch is usually small: counted, it takes the keys-only broadcast plan
-        n = rows.count()
-        store.write("url", upsert(current, rows, S.URL, now, incoming_rows=n, validate=False))
+        items = seed_items(batch)
+        good, conflicts = split_conflicts(flatten_seeds(items.where(F.col("reason").isNull()).select("url", "source", "tags")))
+        store.upsert("url", good, lambda existing, rows: upsert(existing, rows, S.URL, now))
+        bad = items.where(F.col("reason").isNotNull()).select("file", "pos", "url", "reason").unionByName(conflicts.select(
+            F.lit(None).cast("string").alias("file"), F.lit(None).cast("int").alias("pos"), "url",
+            F.lit("conflicting entries for one url").alias("reason")))
+        bad.write.mode("overwrite").parquet(f"{rejects_path(store_root)}/batch={epoch_id}")
 
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return store.read("url")
+
+
+def read_rejects(spark: SparkSession, store_root: str) -> DataFrame:
+    """What the stream refused so far."""
+    return spark.read.schema(REJECTS).parquet(f"{rejects_path(store_root)}/batch=*")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import math
+import re
 
 import pandas as pd
 
@@ -73,3 +75,27 @@ def compare_frames(spark_pdf: pd.DataFrame, oracle_pdf: pd.DataFrame) -> tuple[b
         diff = [(x, y) for x, y in zip(ra, rb) if x != y][:2]
         return False, f"values differ, first: {diff}"
     return True, "match"
+
+
+class OfflineClient:
+    """Deterministic stand-in for a model, for tests and the registered runs (no
+    network there): answers the JSON summary prompt from the whole page text it
+    contains (first sentence as title, all others as bullets)."""
+
+    rate_per_minute = None  # local, no provider quota
+    _content = re.compile(r"CONTENT:\n(.*?)\n\n(?:Output Format:|Instructions:|Output:)", re.S)
+    _sentence = re.compile(r"[^.!?]+[.!?]?")
+
+    def __init__(self, provider: str = "openai", model_id: str = "offline"):
+        self.provider, self.model_id = provider, model_id
+
+    def complete(self, system: str, prompt: str, temperature: float, max_tokens: int) -> str:
+        m = self._content.search(prompt)
+        text = m.group(1) if m else prompt
+        sents = [s.strip() for s in self._sentence.findall(text) if s.strip()]
+        if not sents:
+            return "I could not find any content to summarise."
+        body = {"title": sents[0], "bullets": sents[1:] or sents[:1]}
+        if len(sents) > 4:
+            body["key_points"] = [max(sents, key=len)]
+        return json.dumps(body, ensure_ascii=False)

@@ -31,19 +31,47 @@ def test_upsert_twice_equals_once(spark):
 def test_upsert_plans_agree(spark):
     c, inc = control_base(spark, SF001), incoming_fx(spark, SF001)
     a = upsert(c, inc, S.PIPELINE_CONTROL, TEST_NOW)
-    b = upsert(c, inc, S.PIPELINE_CONTROL, TEST_NOW, incoming_rows=inc.count())
+    b = upsert(c, inc.unionByName(inc), S.PIPELINE_CONTROL, TEST_NOW)
     assert _rows(a) == _rows(b)
 
 
 def test_upsert_rejects_duplicate_keys(spark):
     c, inc = control_base(spark, SF001), incoming_fx(spark, SF001)
     dup = inc.unionByName(inc.limit(1).withColumn("notes", F.lit("other")))
-    try:
-        upsert(c, dup, S.PIPELINE_CONTROL, TEST_NOW)
-    except ValueError as e:
-        assert "duplicate primary keys" in str(e)
-    else:
-        raise AssertionError("expected ValueError")
+    import pytest
+    # raised by the same plan that writes, not by a separate job
+    with pytest.raises(Exception, match="duplicate primary keys"):
+        upsert(c, dup, S.PIPELINE_CONTROL, TEST_NOW).collect()
+
+
+def test_upsert_refuses_null_and_uncastable_keys(spark):
+    import pytest
+    old = spark.createDataFrame([], S.WEB_PAGE.schema)
+    for rows in ([("u", "abc")], [("u", None)], [(None, "1")]):
+        bad = spark.createDataFrame(rows, "url string, iteration string")
+        with pytest.raises(Exception, match="NULL in primary key"):
+            upsert(old, bad, S.WEB_PAGE, TEST_NOW).collect()
+    # a batch without the column gets the default
+    assert [r.iteration for r in upsert(old, spark.createDataFrame([("u",)], "url string"), S.WEB_PAGE, TEST_NOW).collect()] == [0]
+
+
+def test_conflicting_payloads_of_one_key_raise(spark):
+    import pytest
+    c = control_base(spark, SF001)
+    keys = c.select("url", "iteration").limit(1)
+    both = keys.withColumn("final_status", F.lit("ERROR")).unionByName(keys.withColumn("final_status", F.lit("COMPLETED")))
+    with pytest.raises(Exception, match="conflicting values for key"):
+        C.release(c, both, "w-1", TEST_NOW).control.collect()
+    assert C.release(c, both.where("final_status = 'ERROR'").unionAll(both.where("final_status = 'ERROR'")), "w-1", TEST_NOW).control.count() == c.count()
+
+
+def test_sync_replace_keeps_rows_without_iteration(spark):
+    cols = S.PIPELINE_CONTROL.schema
+    c = spark.createDataFrame([("u", None) + (None,) * 10, ("u", 0) + (None,) * 10], cols)
+    urls = spark.createDataFrame([("v",)], "url string")
+    got = sorted((r.url, r.iteration) for r in C.sync_from_registry(urls, c, TEST_NOW, mode="replace").collect() if r.iteration is not None)
+    assert got == [("v", 0)] and C.sync_from_registry(urls, c, TEST_NOW, mode="replace").where("iteration IS NULL").count() == 1
+
 
 
 def test_unknown_policy_raises(spark):

@@ -2,10 +2,16 @@
 import random
 
 import pytest
+import sys
 
-from tablerail.operators.inference import (BACKOFF_CAP, InferenceParams, OfflineClient, RateLimiter, RetriableError,
-                                           backoff_seconds, call_with_retry, check_provider, infer)
+from pyspark import cloudpickle
 
+from tablerail.operators.inference import (BACKOFF_CAP, InferenceParams, RateLimiter, RetriableError, backoff_seconds,
+                                           call_with_retry, check_provider, forget_answers, infer, infer_stored)
+from tablerail.testing import OfflineClient
+
+# workers cannot import test modules
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def test_backoff_bounds():
     rng = random.Random(1)
@@ -73,3 +79,40 @@ def test_offline_infer(spark):
     assert rows["u1"].response.startswith('{"title": "A b."')
     assert rows["u1"].call_error is None and rows["u1"].attempts == 1
     assert rows["u2"].response.startswith("I could not")
+
+
+class CountingClient:
+    """Writes a line per call; fails the whole task while a marker file is there."""
+
+    def __init__(self, log, trap):
+        self.log, self.trap = log, trap
+
+    def complete(self, system, prompt, temperature, max_tokens):
+        import os
+        with open(self.log, "a") as f:
+            f.write(prompt + "\n")
+        if prompt == "p13" and os.path.exists(self.trap):
+            os._exit(1)  # the worker dies: not an error of one row
+        return f"answer to {prompt}"
+
+
+def test_a_failed_run_repeats_no_stored_call(spark, scratch):
+    import os
+    from functools import partial
+    log, trap, folder = (os.path.join(scratch, x) for x in ("calls", "trap", "answers"))
+    open(trap, "w").close()
+    df = spark.range(40).selectExpr("concat('u', id) AS url", "0 AS iteration", "concat('p', id) AS prompt")
+    make, params = partial(CountingClient, log, trap), InferenceParams(partitions=2, rate_per_minute=1e9)
+    with pytest.raises(Exception):
+        infer_stored(df, "prompt", make, params, folder, slices=8).collect()
+    stored = {r.url for r in spark.read.parquet(folder).collect()} if os.path.exists(folder) else set()
+    before = open(log).read().split()
+    os.remove(trap)
+    out = infer_stored(df, "prompt", make, params, folder, slices=8).collect()
+    after = open(log).read().split()[len(before):]
+    assert {r.url: r.response for r in out} == {f"u{i}": f"answer to p{i}" for i in range(40)}
+    assert not {f"p{u[1:]}" for u in stored} & set(after) and len(after) == 40 - len(stored)
+    again = infer_stored(df, "prompt", make, params, folder, slices=8).count()
+    assert again == 40 and len(open(log).read().split()) == len(before) + len(after)
+    forget_answers(spark, folder)
+    assert not os.path.exists(folder)

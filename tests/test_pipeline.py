@@ -9,6 +9,7 @@ from tablerail.plans.fixtures import read_table
 from tablerail.plans.pipeline import Pipeline
 from tablerail.session import TEST_NOW
 from tablerail.sources.pages import TableFetcher
+from tablerail.testing import OfflineClient
 
 
 def test_batches_until_done(spark, scratch):
@@ -22,10 +23,10 @@ def test_batches_until_done(spark, scratch):
     pipe.sync()
     assert pipe.run_urls() == {"found": 50, "claimed": 50, "completed": 50, "enqueued_next": 50}
     fetcher = TableFetcher(pages)
-    # runner batches of 4 x 5 = 20 rows until nothing is left
-    found = [pipe.scrape(fetcher, max_concurrent=5)["found"] for _ in range(4)]
+    # explicit batches of 20 rows until nothing is left
+    found = [pipe.scrape(fetcher, max_rows=20)["found"] for _ in range(4)]
     assert found == [20, 20, 10, 0]
-    assert pipe.summarize(max_concurrent=None)["enqueued_next"] == 50
+    assert pipe.summarize(OfflineClient)["enqueued_next"] == 50
     counts = {(r.stage, r.status): r["count"] for r in pipe.progress().collect()}
     assert counts == {("DONE", "NEW"): 50}
     assert pipe.table("web_summary").count() == 50
@@ -39,8 +40,29 @@ def test_batches_until_done(spark, scratch):
 
 def test_cli_parser():
     from tablerail.__main__ import build_parser
-    a = build_parser().parse_args(["--store", "/x", "scrape", "--max", "3", "--retry-errors"])
-    assert (a.command, a.max, a.retry_errors) == ("scrape", 3, True)
+    import pytest
+    a = build_parser().parse_args(["--store", "/x", "scrape", "--max-rows", "3", "--retry-errors"])
+    assert (a.command, a.max_rows, a.retry_errors) == ("scrape", 3, True)
+    assert build_parser().parse_args(["--store", "/x", "scrape"]).max_rows is None
+    for command in ("summarize", "all"):  # no made-up summaries: a client is required
+        with pytest.raises(SystemExit):
+            build_parser().parse_args(["--store", "/x", command])
+
+
+def test_all_needs_no_page_table_and_reaches_every_page(spark, scratch, monkeypatch, capsys):
+    """``all`` from the command line: fetching without a page table, every row, no cap."""
+    from tablerail import __main__ as cli
+    from tablerail.sources import pages as pg
+    from test_sources import _stub_open
+    monkeypatch.setattr(pg, "_open", _stub_open)
+    seeds = os.path.join(scratch, "seeds.json")
+    with open(seeds, "w") as f:
+        json.dump([{"url": f"http://h/{i}"} for i in range(60)], f)
+    cli.main(["--store", os.path.join(scratch, "store"), "all", "--seeds", seeds, "--client", "tablerail.testing:OfflineClient"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["pages"] == {"found": 60, "claimed": 60, "completed": 60, "enqueued_next": 60}
+    # the stub's pages hold nothing but a URL, so no summary is made of them
+    assert out["summaries"]["found"] == 60 and out["summaries"]["completed"] == 0
 
 
 def test_cli_end_to_end(spark, scratch, capsys):
@@ -53,7 +75,7 @@ def test_cli_end_to_end(spark, scratch, capsys):
         json.dump({"urls": [{"url": r.url, "tags": "a, b"} for r in pages.select("url").collect()]}, f)
     store = os.path.join(scratch, "store")
     for argv in (["bootstrap"], ["ingest", seeds], ["sync"], ["urls"],
-                 ["scrape", "--all-rows", "--pages-table", pages_path], ["summarize", "--all-rows"]):
+                 ["scrape", "--pages-table", pages_path], ["summarize", "--client", "tablerail.testing:OfflineClient"]):
         main(["--store", store] + argv)
     capsys.readouterr()
     main(["--store", store, "progress"])

@@ -24,17 +24,52 @@ def test_worklist_is_top_k(spark):
     assert "TakeOrderedAndProject" in p
 
 
-def test_bounded_claim_broadcasts_keys(spark):
-    c = control_base(spark, SF001)
+def exchanges(df):
+    import re
+    return re.findall(r"Exchange (\w+)\(([^)]*)\)", plan(df))
+
+
+def test_upsert_exchanges_each_side_once_on_the_key(spark):
+    cols = S.PIPELINE_CONTROL.schema
+    old = spark.range(100).select(*[F.col("id").cast("string").cast(f.dataType).alias(f.name) if f.name in ("url", "iteration")
+                                    else F.lit(None).cast(f.dataType).alias(f.name) for f in cols.fields])
+    found = exchanges(upsert(old, old, S.PIPELINE_CONTROL, TEST_NOW))
+    assert len(found) == 2 and all(k == "hashpartitioning" and "url" in a and "iteration" in a for k, a in found)
+
+
+def test_unlimited_url_stage_is_one_narrow_pass(spark):
+    from tablerail.plans.runs import run_url_stage
+    c = spark.createDataFrame([], S.PIPELINE_CONTROL.schema)
+    run = run_url_stage(c, TEST_NOW, TEST_WORKER)
+    assert "Exchange" not in plan(run.control) and "Join" not in plan(run.control)
+    assert "Join" not in plan(run.outcomes)
+    assert "Join" in plan(run_url_stage(c, TEST_NOW, TEST_WORKER, max_batch=5).control)
+
+
+def test_nothing_is_broadcast_by_hint(spark):
+    from tablerail.operators.predicates import include_urls
+    c = spark.createDataFrame([], S.PIPELINE_CONTROL.schema)
     wl = C.worklist(c, "WEB_PAGE", ["NEW"], TEST_NOW, max_rows=20)
-    p = plan(C.claim(c, wl, TEST_WORKER, TEST_NOW, bounded_rows=20).control)
-    assert "BroadcastHashJoin" in p
+    listed = include_urls(wl, spark.range(5_000_000).select(F.col("id").cast("string").alias("url")))
+    logical = listed._jdf.queryExecution().logical().toString() + C.claim(c, listed, TEST_WORKER, TEST_NOW).control._jdf.queryExecution().logical().toString()
+    assert "UnresolvedHint" not in logical and "broadcast" not in logical.lower()
+
+
+def test_loader_sorts_only_on_request(spark):
+    c = control_base(spark, SF001)
+    assert "rangepartitioning" not in plan(Q.load_table(c, S.PIPELINE_CONTROL, stage="DONE"))
+    rows = Q.load_table(c, S.PIPELINE_CONTROL, order_by="created_at ASC, bogus DESC").collect()
+    assert [r.created_at for r in rows] == sorted(r.created_at for r in rows)
+    rows = Q.load_table(c, S.PIPELINE_CONTROL, order_by="default").collect()
+    at = [r.updated_at for r in rows]
+    assert [x for x in at if x] == sorted((x for x in at if x), reverse=True) and at[-1] is None
 
 
-def test_bounded_upsert_does_not_shuffle_the_table(spark):
-    c, inc = control_base(spark, SF001), incoming_fx(spark, SF001)
-    p = plan(upsert(c, inc, S.PIPELINE_CONTROL, TEST_NOW, incoming_rows=1000))
-    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+def test_hot_url_queries_limit_before_the_shuffle(spark):
+    from tablerail.plans.q_reads import control_hot, signup_urls
+    c = control_hot(spark, SF001)
+    for df in (C.advance_all_completed(c, TEST_NOW).control, Q.control_rows_for_urls(c, signup_urls(spark, SF001), True)):
+        assert "WindowGroupLimit" in plan(df) and "Partial" in plan(df)
 
 
 def test_filters_and_columns_reach_the_scan(spark):
@@ -57,6 +92,7 @@ def test_hot_url_is_sliced_and_limited(spark):
     assert hot_rows > c.count() / 3
     parts = Q.group_by_url(c).where(F.col("url") == HOT_URL).collect()
     assert sum(r.n_rows for r in parts) == hot_rows and max(r.n_rows for r in parts) <= 1000
+    assert all(r["items"][0].asDict().keys() == set(c.columns) for r in parts)
     p = plan(Q.latest_state(c))
     assert "WindowGroupLimit" in p
     assert Q.latest_state(c).where(F.col("url") == HOT_URL).count() == 1

@@ -1,8 +1,10 @@
 """Seed files, table store, dumps, the seed stream, the page fetcher."""
 import json
 import os
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tablerail import schemas as S
@@ -10,6 +12,9 @@ from tablerail.sources.pages import TableFetcher, page_rows
 from tablerail.sources.seeds import flatten_seeds, ingest_seed_files, read_seed_entries, read_typed_json
 from tablerail.sources.store import TableStore, dump_page_text
 from tablerail.session import TEST_NOW
+# workers cannot import test modules
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 SEEDS = [
     {"url": "https://en.example.org/wiki/A", "source": "demo", "tags": ["math", "geometry"]},
@@ -34,10 +39,23 @@ def test_seed_shapes(spark, scratch):
     assert rows["https://d.example.org/"].source is None
 
 
-def test_seed_bad_shape(spark, scratch):
-    _write(os.path.join(scratch, "c.json"), {"links": [1, 2]})
-    with pytest.raises(ValueError):
-        read_seed_entries(spark, os.path.join(scratch, "c.json"))
+def test_bad_seeds_raise_or_are_reported(spark, scratch):
+    from tablerail.sources.seeds import seed_rejects
+    _write(os.path.join(scratch, "good.json"), SEEDS[:1])
+    _write(os.path.join(scratch, "shape.json"), {"links": [1, 2]})
+    _write(os.path.join(scratch, "rows.json"), [{"url": "https://ok.example/"}, {"link": "x"}, {"url": "  "}, {"url": 7}, 5, None])
+    with open(os.path.join(scratch, "cut.json"), "w") as f:
+        f.write('[{"url": "https://x.exa')
+    with pytest.raises(Exception, match="bad seed in"):
+        read_seed_entries(spark, scratch).collect()
+    with pytest.raises(Exception, match="bad seed in"):
+        ingest_seed_files(spark, scratch, spark.createDataFrame([], S.URL.schema), TEST_NOW).collect()
+    got = {r.url for r in flatten_seeds(read_seed_entries(spark, scratch, bad="skip")).collect()}
+    assert got == {"https://en.example.org/wiki/A", "https://ok.example/"}
+    bad = sorted((os.path.basename(r.file), -1 if r.pos is None else r.pos, r.reason) for r in seed_rejects(spark, scratch).collect())
+    url, entry = "url is missing or blank", "entry is not an object"
+    assert bad == [("cut.json", -1, "not valid JSON"), ("rows.json", 1, url), ("rows.json", 2, url), ("rows.json", 3, url),
+                   ("rows.json", 4, entry), ("rows.json", 5, entry), ("shape.json", -1, "neither a list of entries nor {urls: [...]}")]
 
 
 def test_ingest_missing_file_is_noop(spark, scratch):
@@ -101,7 +119,93 @@ def test_store_vacuum(spark, scratch):
         store.write("url", rows)
     assert store.vacuum("url", keep=2) == [0, 1]
     assert store.read("url").count() == 1
+    with pytest.raises(ValueError):
+        store.vacuum("url", keep=0)
+
+
+def test_upsert_rewrites_only_the_buckets_of_its_keys(spark, scratch):
+    from tablerail.operators.upsert import upsert
+    store = TableStore(spark, os.path.join(scratch, "tables"), buckets=32)
+    rows = spark.range(500).select(F.concat(F.lit("u"), "id").alias("url"), F.lit("s").alias("source"), *[
+        F.lit(None).cast(S.URL.dtype(c)).alias(c) for c in ("tags", "created_at", "updated_at")])
+    store.write("url", rows)
+    before = store._manifest("url")["folders"]
+    batch = rows.where("url IN ('u1', 'u2')").withColumn("source", F.lit("new")).unionByName(
+        rows.limit(1).withColumn("url", F.lit("other")).withColumn("source", F.lit("new")))
+    hit = store.touched("url", batch)
+    store.upsert("url", batch, lambda old, b: upsert(old, b, S.URL, TEST_NOW))
+    after = store._manifest("url")["folders"]
+    assert 1 <= len(hit) <= 3 and {int(b) for b in after if after[b] != before[b]} == set(hit)
+    new = os.path.join(scratch, "tables", "url", after[str(hit[0])])
+    assert sorted(d for d in os.listdir(new) if d.startswith("_bucket")) == sorted(f"_bucket={b}" for b in hit)
+    got = {r.url: r.source for r in store.read("url").collect()}
+    assert len(got) == 501 and {u for u, s in got.items() if s == "new"} == {"u1", "u2", "other"}
+    assert store.upsert("url", batch.limit(0), lambda old, b: old) == 1  # nothing to write: the version stays
+
+
+def test_a_write_that_died_blocks_nothing(spark, scratch):
+    store = TableStore(spark, os.path.join(scratch, "tables"))
+    store.bootstrap(["url"])
+    rows = spark.createDataFrame([("u", "s", None, None, None)], S.URL.schema)
+    broken = rows.withColumn("source", F.raise_error(F.lit("killed")).cast("string"))
+    for _ in range(2):
+        with pytest.raises(Exception, match="killed"):
+            store.write("url", broken)
+    assert store.read("url").count() == 0
+    assert store.write("url", rows) == 1 and store.read("url").count() == 1
+    store.vacuum("url", keep=1)
+    left = [d for d in os.listdir(os.path.join(scratch, "tables", "url")) if d.startswith("data-")]
+    assert left == [store._manifest("url")["folders"]["0"]] and store.read("url").count() == 1
+
+
+def test_materialized_folders_are_released(spark, scratch):
+    from tablerail.sources import store as st
+    df = st.materialize(spark.range(3).toDF("id"), scratch)
+    path = st._MATERIALIZED[-1].removeprefix("file:")
+    assert df.count() == 3 and os.path.exists(path)
+    st.release_materialized(spark)
+    assert not os.path.exists(path)
+
+
+def test_table_fetcher_with_repeated_urls(spark):
+    pages = spark.createDataFrame([("u", "<p>old</p>", 1), ("u", "<p>new</p>", 2), ("u", "<p>mid</p>", 1)], "url string, html string, at int")
+    keys = spark.createDataFrame([("u", 0), ("u", 1)], "url string, iteration int")
+    got = TableFetcher(pages, version_col="at").fetch(keys).collect()
+    assert sorted((r.iteration, r.html) for r in got) == [(0, "<p>new</p>"), (1, "<p>new</p>")]
+
+
+class _Answer:
+    """What a URL opener returns, without a network."""
+    status = 200
+
+    def __init__(self, body):
+        import email.message
+        self.body, self.headers = body, email.message.Message()
+
+    def read(self):
+        return self.body
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *a):
+        return False
+
+
+def _stub_open(request, timeout):
+    if request.full_url.endswith("missing"):
+        raise OSError("no route")
+    assert timeout == 8.0 and request.headers["User-agent"].startswith("tablerail")
+    return _Answer(f"<p>{request.full_url}</p>".encode())
+
 
+def test_http_fetcher_with_a_stub_opener(spark):
+    from tablerail.sources.pages import HttpFetcher
+    keys = spark.range(100).select(F.when(F.col("id") == 7, F.lit("http://h/missing")).otherwise(F.concat(F.lit("http://h/"), "id")).alias("url"),
+                                   F.lit(0).alias("iteration"))
+    got = {r.url: r for r in HttpFetcher(partitions=3, open_url=_stub_open).fetch(keys).collect()}
+    assert len(got) == 100 and got["http://h/missing"].error == "OSError: no route" and got["http://h/missing"].html is None
+    assert got["http://h/5"].html == "<p>http://h/5</p>" and got["http://h/5"].status_code == 200
 
 def test_ingest_collapses_copies_and_rejects_conflicts(spark, scratch):
     import pytest
@@ -111,5 +215,5 @@ def test_ingest_collapses_copies_and_rejects_conflicts(spark, scratch):
     out = ingest_seed_files(spark, [os.path.join(scratch, "x.json"), os.path.join(scratch, "y.json")], empty, TEST_NOW)
     assert out.count() == 1
     _write(os.path.join(scratch, "z.json"), [{"url": "https://a.example/1", "tags": ["other"]}])
-    with pytest.raises(ValueError, match="duplicate primary keys"):
-        ingest_seed_files(spark, [os.path.join(scratch, "x.json"), os.path.join(scratch, "z.json")], empty, TEST_NOW)
+    with pytest.raises(Exception, match="duplicate primary keys"):
+        ingest_seed_files(spark, [os.path.join(scratch, "x.json"), os.path.join(scratch, "z.json")], empty, TEST_NOW).collect()

@@ -25,3 +25,18 @@ def test_stream_incremental_and_idempotent(spark, scratch):
                                                  {"url": "https://b.example/2"}]})
     t3 = {r.url: r.tags for r in run_seed_stream(spark, src, store, ckpt, TEST_NOW).collect()}
     assert t3 == {"https://a.example/1": "y,z", "https://b.example/2": None}
+
+
+def test_stream_reports_bad_files_and_conflicts(spark, scratch):
+    from tablerail.streaming.seed_stream import read_rejects
+    src, store, ckpt = (os.path.join(scratch, d) for d in ("in", "tables", "ckpt"))
+    os.makedirs(src)
+    _seed(os.path.join(src, "a.json"), [{"url": "https://a.example/1"}, {"url": "https://b.example/1", "tags": ["x"]},
+                                        {"url": "https://b.example/1", "tags": ["y"]}, {"link": 1}])
+    with open(os.path.join(src, "cut.json"), "w") as f:
+        f.write('{"urls": [')
+    table = run_seed_stream(spark, src, store, ckpt, TEST_NOW)
+    assert [r.url for r in table.collect()] == ["https://a.example/1"]
+    bad = sorted((os.path.basename(r.file or ""), r.url or "", r.reason) for r in read_rejects(spark, store).collect())
+    assert bad == [("", "https://b.example/1", "conflicting entries for one url"), ("a.json", "", "url is missing or blank"),
+                   ("cut.json", "", "not valid JSON")]
