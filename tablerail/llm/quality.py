@@ -14,8 +14,8 @@ logit of an average is the average of logits; so the model sent to the tasks is
 one array of fixed size and whole texts are scored array-wise.
 
 Defined results: a text without features (null, empty, blanks alone) scores by
-the bias alone, that is about as common as label 1 is; rows with a null doc_id are scored and
-never held out; without labels of both classes every score is 0.5.  Repeated
+the bias alone, that is about as common as label 1 is; rows with a null doc_id
+are scored and never held out; without labels of both classes every score is 0.5.  Repeated
 rows are scored each.  Columns other than doc_id and text are ignored."""
 
 from __future__ import annotations
@@ -63,7 +63,7 @@ def feature_arrays(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     inner = ~blank[1:]
     for n in (3, 4, 5):
         if len(codes) < n:
-            return
+            break
         m = len(codes) - n + 1
         h = h[:m] + codes[n - 1:] * _POWERS[n - 1]
         # codes[i + 1] to codes[i + n - 2] are not blank
