@@ -72,8 +72,10 @@ def _raked(cells: DataFrame, margin: str, targets: DataFrame) -> DataFrame:
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` with weight ``w`` fitted to the targets of every margin."""
-    spark = cells.sparkSession
+    """``cells`` with weight ``w`` fitted to the targets of every margin.
+
+    Each step is written before the next one reads it: the plans stay small and
+    alike, where a chain of steps would double with every one."""
     # targets on one scale: shares of the values that have tokens
     scaled = {}
     for m, t in targets.items():
@@ -84,9 +86,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     now = common.keep(cells.withColumn("w", F.col("tokens").cast("double")), "mix-cells")
     for _ in range(rounds):
         for m in targets:
-            now = _raked(now, m, scaled[m])
-        now = common.keep(now, "mix-cells")
-    del spark
+            now = common.keep(_raked(now, m, scaled[m]), "mix-cells")
     return now
 
 
