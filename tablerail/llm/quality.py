@@ -155,11 +155,26 @@ def train(texts: list[str], labels: list[int], seed: int = 1) -> Model:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 4, held: int = 2,
         per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Model:
-    """A model from the labelled rows outside the held-out fold (bounded sample)."""
+    """A model from the labelled rows outside the held-out fold (bounded sample).
+
+    Training runs in one task over at most 2 * ``per_class`` texts, in an order
+    that depends on the texts alone; only the model comes to the driver."""
     sample = common.labelled_sample(docs, labels, label, folds, held, per_class, max_chars)
-    rows = sample.orderBy(F.xxhash64("text"), "doc_id").collect()  # 2 * per_class texts at most
-    model = train([r["text"] for r in rows], [r["label"] for r in rows])
-    if len({r["label"] for r in rows}) == 2:
+    one_task = sample.repartition(1).sortWithinPartitions(F.xxhash64("text"), "doc_id")
+
+    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        texts, marks = [], []
+        for f in frames:
+            texts += f["text"].to_list()
+            marks += f["label"].to_list()
+        m = train(texts, marks)
+        yield pd.DataFrame({"logit": [m.logit.tobytes()], "bias": [m.bias], "classes": [len(set(marks))]})
+
+    r = one_task.mapInPandas(learn, "logit binary, bias double, classes int").collect()
+    if not r:
+        return train([], [])
+    model = Model(np.frombuffer(r[0]["logit"], dtype=np.float32), r[0]["bias"])
+    if r[0]["classes"] == 2:
         # training weighs both classes alike; the score is for their true shares
         counts = (labels.where(common.id_fold("doc_id", folds) != held).groupBy(label).agg(F.count("*").alias("n"))
                   .where(F.col(label).isin(0, 1)).collect())  # two rows
