@@ -92,10 +92,8 @@ NULLGATE_SQL = with_fixtures(
 
 def control_nullgate(spark, sf_dir):
     """Control rows plus copies (new iterations) of signup rows with a NULL gate."""
-    c = control_fx(spark, sf_dir, with_event_id=True, with_flags=False)
-    copies = c.join(read_table(spark, sf_dir, "events").where(F.col("event_type") == "signup").select("event_id"),
-                    "event_id", "left_semi")
-    copies = copies.withColumn("iteration", F.col("iteration") + 200000).withColumn(
+    # in the fixture a signup event is a row with status SKIPPED, an error event one in ERROR
+    copies = control_base(spark, sf_dir).where(F.col("status") == "SKIPPED").withColumn("iteration", F.col("iteration") + 200000).withColumn(
         "task_state", F.lit(None).cast("string"))
     return control_base(spark, sf_dir).unionByName(copies.select(*S.PIPELINE_CONTROL.columns))
 
@@ -210,10 +208,7 @@ DUP_SQL = with_fixtures(
 
 def control_with_dupes(spark, sf_dir):
     """Control rows plus an altered copy (same key) of every error row."""
-    c = control_fx(spark, sf_dir, with_event_id=True, with_flags=False)
-    err = c.join(read_table(spark, sf_dir, "events").where(F.col("event_type") == "error").select("event_id"),
-                 "event_id", "left_semi")
-    copies = (err.withColumn("stage", F.lit("URL"))
+    copies = (control_base(spark, sf_dir).where(F.col("status") == "ERROR").withColumn("stage", F.lit("URL"))
               .withColumn("created_at", F.col("created_at") - F.expr("INTERVAL 1 DAYS"))
               .withColumn("updated_at", F.lit(None).cast("timestamp_ntz")))
     return control_base(spark, sf_dir).unionByName(copies.select(*S.PIPELINE_CONTROL.columns))
@@ -238,9 +233,7 @@ def agg6_first_per_pk(spark, sf_dir):
     "FROM control_fx_id WHERE event_id IN (SELECT event_id FROM events WHERE event_type = 'error')) t", "control_base", "control_fx_id"))
 def agg7_exact_dedup(spark, sf_dir):
     """AGG7: exact-row dedup."""
-    c = control_fx(spark, sf_dir, with_event_id=True, with_flags=False)
-    err = c.join(read_table(spark, sf_dir, "events").where(F.col("event_type") == "error").select("event_id"),
-                 "event_id", "left_semi").select(*S.PIPELINE_CONTROL.columns)
+    err = control_base(spark, sf_dir).where(F.col("status") == "ERROR")
     return Q.exact_dedup(control_base(spark, sf_dir).unionByName(err))
 
 
@@ -399,9 +392,8 @@ HOT_SQL = with_fixtures(
 def control_hot(spark, sf_dir):
     """Control rows where every view/click event belongs to one URL (iteration = event id)."""
     c = control_fx(spark, sf_dir, with_event_id=True, with_flags=False)
-    e = read_table(spark, sf_dir, "events").select("event_id", "event_type")
-    hot = F.col("event_type").isin("view", "click")
-    return c.join(e, "event_id").select(
+    hot = F.col("status").isin("NEW", "COMPLETED")  # views and clicks
+    return c.select(
         F.when(hot, F.lit(HOT_URL)).otherwise(F.col("url")).alias("url"),
         F.when(hot, F.col("event_id").cast("int")).otherwise(F.col("iteration")).alias("iteration"),
         *[c for c in S.PIPELINE_CONTROL.columns if c not in ("url", "iteration")])
