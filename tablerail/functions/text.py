@@ -1,12 +1,11 @@
-"""Text column functions (STR1–STR5, STR8–STR10).  All are JVM expressions except
-entity decoding, which runs as an Arrow-batched pandas UDF."""
+"""Text column functions (STR1–STR5, STR8–STR10), all JVM expressions."""
 
 from __future__ import annotations
 
-import html as _html
-import html.entities  # noqa: F401  (the HTML5 entity table)
+import json
+import re
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,12 +55,6 @@ def clean_page_text(col) -> Column:
     return F.trim(c)
 
 
-@F.pandas_udf(T.StringType())
-def decode_entities(s: pd.Series) -> pd.Series:
-    """HTML character references → characters (stdlib rules), per Arrow batch."""
-    return s.map(lambda v: _html.unescape(v) if isinstance(v, str) and "&" in v else v)
-
-
 def strip_markup(col) -> Column:
     """STR2 without entity decoding: comments and hidden elements removed, block
     tags become a newline, all other tags vanish.
@@ -76,28 +69,62 @@ def strip_markup(col) -> Column:
     return c
 
 
-# Named character references decoded in the JVM (their characters come from
-# the standard HTML5 entity table); any other reference goes to Python.
+# Frequent named references, decoded by plain replacement (their characters come
+# from the standard HTML5 entity table).
 COMMON_ENTITIES = ("lt", "gt", "quot", "apos", "nbsp", "copy", "reg", "middot", "hellip", "mdash", "ndash",
                    "lsquo", "rsquo", "ldquo", "rdquo", "bull", "trade", "euro", "laquo", "raquo", "amp")
+# Anything that can be a reference, as HTML5 reads it.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32}+;?)"
+
+
+def _character(code: Column) -> Column:
+    """The character of a numeric reference by the HTML5 rules: codes 128–159 mean
+    Windows-1252, invalid ones U+FFFD, and control codes vanish."""
+    windows = {c: bytes([c]).decode("cp1252") for c in range(0x80, 0xA0) if c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+    table = F.from_json(F.lit(json.dumps({str(k): v for k, v in windows.items()})), "map<string,string>")
+    text = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    # noncharacters, and control codes that are no white space
+    gone = (code.between(1, 8) | code.between(0xE, 0x1F) | code.between(0x7F, 0x9F) | code.between(0xFDD0, 0xFDEF)
+            | (code == 0xB) | (code % 0x10000).isin(0xFFFE, 0xFFFF))
+    return (F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), "\ufffd")
+            .when(code == 0xD, "\r").when(code.isin(0x81, 0x8D, 0x8F, 0x90, 0x9D), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+            .when(code.between(0x80, 0x9F), F.try_element_at(table, code.cast("string"))).when(gone, "").otherwise(text))
+
+
+def _decoded(ref: Column) -> Column:
+    """The text that one reference stands for (itself if it is none)."""
+    names = F.from_json(F.lit(json.dumps(html5, ensure_ascii=False)), "map<string,string>")
+    name = F.substr(ref, F.lit(2))
+    # names that count without a semicolon, as the beginning of anything
+    short = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+    begin = F.regexp_extract(name, "^(" + "|".join(map(re.escape, short)) + ")", 1)
+    by_begin = F.from_json(F.lit(json.dumps({n: html5[n] for n in short}, ensure_ascii=False)), "map<string,string>")
+    digits = F.regexp_extract(name, "^#0*([0-9]*)", 1)
+    hexes = F.regexp_extract(name, "^#[xX]0*([0-9a-fA-F]*)", 1)
+    big = F.lit(0x110000).cast("long")
+    decimal = F.when(F.length(digits) > 8, big).otherwise(F.coalesce(F.nullif(digits, F.lit("")), F.lit("0")).cast("long"))
+    hexed = F.when(F.length(hexes) > 8, big).otherwise(F.conv(F.coalesce(F.nullif(hexes, F.lit("")), F.lit("0")), 16, 10).cast("long"))
+    return (F.when(name.rlike("^#[xX]"), _character(hexed)).when(name.startswith("#"), _character(decimal))
+            .otherwise(F.coalesce(F.try_element_at(names, name),
+                                  F.concat(F.try_element_at(by_begin, begin), F.substr(name, F.length(begin) + 1)), ref)))
 
 
 def unescape_entities(col) -> Column:
     """HTML character references → characters, with stdlib ``html.unescape`` rules.
 
     A row whose only references are common named ones is decoded by ``replace``
-    in the JVM (``&amp;`` last, so decoding stays single-pass); only rows with
-    other references (numeric, rare names, missing semicolons) are handed to
-    the Arrow UDF, and the UDF receives NULL for every other row."""
+    (``&amp;`` last, so decoding stays single-pass).  In other rows the references
+    are taken out, decoded one by one and put back between the text around them."""
     c = _c(col)
     simple = r"&(?:" + "|".join(COMMON_ENTITIES) + ");"
-    needs_python = F.regexp_replace(c, simple, "").contains("&")
-    jvm = c
+    others = F.regexp_replace(c, simple, "").contains("&")
+    plain = c
     for name in COMMON_ENTITIES:
-        jvm = F.replace(jvm, F.lit(f"&{name};"), F.lit(_html.entities.html5[f"{name};"]))
-    return (F.when(~c.contains("&"), c)
-            .when(~needs_python, jvm)
-            .otherwise(decode_entities(F.when(needs_python, c))))
+        plain = F.replace(plain, F.lit(f"&{name};"), F.lit(html5[f"{name};"]))
+    parts = F.arrays_zip(F.split(c, REFERENCE, -1).alias("gap"), F.regexp_extract_all(c, F.lit(REFERENCE), F.lit(0)).alias("ref"))
+    full = F.array_join(F.transform(parts, lambda x: F.concat(
+        x["gap"], F.when(x["ref"].isNull(), "").otherwise(_decoded(x["ref"])))), "")
+    return F.when(~c.contains("&"), c).when(~others, plain).otherwise(full)
 
 
 def html_to_text(col) -> Column:

@@ -108,3 +108,37 @@ def test_unescape_matches_stdlib(spark):
              "&lt;p&gt;", "plain", None, "&AMP;", "&ampx;", "&#0;", "&#128;"]
     got = _one(spark, TX.unescape_entities, cases)
     assert got == [None if c is None else html.unescape(c) for c in cases]
+
+
+def test_references_decode_like_the_standard_library(spark):
+    import html
+    import random
+    cases = ["a &amp b", "&notit; &notin;", "&#65;&#x42;&#X43; &#99", "&#0; &#128; &#x81; &#55296; &#1114112; &#99999999999;", "&#11;x&#13;y&#xFFFF;",
+             "&amp;lt; &amp;amp;", "&nosuch; &; & &# &#; &#x;", "&copy2024 &COPY; &AElig &ampx;y", "&fjlig; &NotEqualTilde;", "&#x1F600; \U0001f600 é &eacute;",
+             "&lt;&gt &quot", "&CounterClockwiseContourIntegral;", "&" * 50, "&ampamp;", "x&#xA0;y&#160;z", "&#159; &#150;"]
+    rng = random.Random(1)
+    bits = ["&", "amp", ";", "#", "x", "41", "lt", "not", "in", " ", "é", "8364", "a", "&#", "&#x"]
+    cases += ["".join(rng.choice(bits) for _ in range(12)) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, t string")
+    got = {r.i: r.o for r in df.select("i", TX.unescape_entities("t").alias("o")).collect()}
+    bad = [(t, html.unescape(t), got[i]) for i, t in enumerate(cases) if got[i] != html.unescape(t)]
+    assert not bad, bad[:5]
+
+
+def test_page_text_runs_no_python(spark):
+    from conftest import SF001
+    pages = spark.read.parquet(f"{SF001}/pages.parquet")
+    plan = TX.with_page_text(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "PythonUDF" not in plan
+
+
+def test_comments_and_scripts_in_one_pass(spark):
+    cases = ['<script>var a="<!--";</script><p>KEEP ME</p><!-- c --><p>tail</p>', "<!-- <script> --><p>a</p><script>x</script>", "<style>p{}</style>b"]
+    df = spark.createDataFrame([(c,) for c in cases], "h string")
+    got = [r.t for r in TX.with_page_text(df, "h", "t").select(TX.clean_page_text("t").alias("t")).collect()]
+    assert got == ["KEEP ME tail", "a", "b"]
+
+
+def test_bracketed_csv_tags(spark):
+    df = spark.createDataFrame([("[draft], bio",), ('["a"," "]',), ("[]",)], "t string")
+    assert [r.t for r in df.select(TX.join_tags(TX.normalize_tags("t")).alias("t")).collect()] == ["[draft],bio", "a", None]
