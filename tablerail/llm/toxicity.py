@@ -204,22 +204,31 @@ def _cover(docs: list[set[int]], names: list[str], weights: dict[str, float]) ->
     is chance or a copy's vocabulary."""
     least = min(MIN_DOCS, max(3, len(docs) // 50))
     open_, chosen = [d for d in docs if d], []
+    often = Counter(t for d in docs for t in d)
+
+    def longest(t: int) -> int:
+        """The longest form that nearly as many texts hold: a beginning shorter than
+        the words it stands for would also meet others."""
+        forms = [k for k in often if names[k].startswith(names[t]) and often[k] >= 0.95 * often[t]]
+        return max(forms, key=lambda k: (len(names[k]), often[k], names[k]))
+
     while open_:
         gain = Counter(t for d in open_ for t in d)
         # of beginnings that explain as much, the longest
         t = max(gain, key=lambda k: (round(gain[k] * weights[names[k]], 1), len(names[k]), names[k]))
         if gain[t] < least:
             break
+        t = longest(t)
         chosen.append(names[t])
         open_ = [d for d in open_ if t not in d]
     # entries in wide use that are no variant of a chosen one count too: they add
     # weight in texts that hold several
-    often = Counter(t for d in docs for t in d)
     have = set(chosen)
     for k, n in often.most_common():
         t = names[k]
         if n >= max(5 * least, len(docs) // 50) and weights[t] >= 1.5 * MIN_WEIGHT and not any(
                 t.startswith(c) or c.startswith(t) for c in have):
+            t = names[longest(k)]
             have.add(t)
             chosen.append(t)
     return chosen
