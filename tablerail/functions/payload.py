@@ -41,14 +41,6 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def strict_json(text: Column) -> Column:
-    """The VARIANT of ``text`` when the whole text is exactly one JSON value, else NULL."""
-    arr = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    obj = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    single = arr.isNotNull() & obj.isNotNull() & F.try_variant_get(arr, "$[1]", "variant").isNull()
-    return F.when(single, F.try_variant_get(obj, "$.v", "variant"))
-
-
 def repaired_text(text: Column) -> Column:
     """The repair candidate: leftmost greedy object/array span, trailing commas removed."""
     span = F.regexp_extract(text, JSON_SPAN, 1)
@@ -56,19 +48,26 @@ def repaired_text(text: Column) -> Column:
 
 
 def extract_json(df: DataFrame, text_col: str = "response", out: str = "payload") -> DataFrame:
-    """LLM4: adds ``{out}`` (VARIANT, NULL = no JSON) and ``{out}_text`` (the accepted text)."""
+    """LLM4: adds ``{out}`` (VARIANT, NULL = no JSON) and ``{out}_text`` (the accepted text).
+
+    Each parse is a column of its own, so a long response is parsed once, and the
+    repair is tried only where the text as it is does not parse."""
     t = _c(text_col)
-    direct = strict_json(t)
+
+    def parsed(d: DataFrame, text: Column, name: str) -> DataFrame:
+        d = d.withColumns({"_a": F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))),
+                           "_o": F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))})
+        single = F.col("_a").isNotNull() & F.col("_o").isNotNull() & F.try_variant_get("_a", "$[1]", "variant").isNull()
+        return d.withColumn(name, F.when(single, F.try_variant_get("_o", "$.v", "variant"))).drop("_a", "_o")
+
+    d = parsed(df, t, "_direct").withColumn("_span", F.when(F.col("_direct").isNull(), repaired_text(t)))
+    d = parsed(d, F.col("_span"), "_fixed")
+    d = d.withColumn("_value", F.coalesce("_direct", "_fixed"))
     # JSON null: parse "succeeds" but yields nothing usable, and no repair is tried
-    direct_ok = direct.isNotNull()
-    fixed_text = repaired_text(t)
-    fixed = strict_json(fixed_text)
-    value = F.when(direct_ok, direct).otherwise(fixed)
-    accepted = F.when(direct_ok, t).otherwise(F.when(fixed.isNotNull(), fixed_text))
-    return (df.withColumn(f"{out}_text", accepted)
-            .withColumn(out, F.when(F.col(f"{out}_text").isNotNull(), value))
-            .withColumn(f"{out}_text", F.when(F.is_variant_null(F.col(out)), None).otherwise(F.col(f"{out}_text")))
-            .withColumn(out, F.when(F.is_variant_null(F.col(out)), None).otherwise(F.col(out))))
+    usable = F.col("_value").isNotNull() & ~F.is_variant_null("_value")
+    accepted = F.when(F.col("_direct").isNotNull(), t).otherwise(F.col("_span"))
+    return d.withColumns({f"{out}_text": F.when(usable, accepted), out: F.when(usable, F.col("_value"))}).drop(
+        "_direct", "_span", "_fixed", "_value")
 
 
 def variant_kind(v: Column) -> Column:
