@@ -146,3 +146,18 @@ def test_fetch_keys_hash_on_the_whole_key(spark):
     got = TableFetcher(pages).fetch(keys)
     assert re.search(r"hashpartitioning\(url#\d+, iteration#\d+", plan(got))
     assert got.count() == 200 and got.where(F.col("html").isNull()).count() == 0
+
+
+def test_empty_lists_match_nothing(spark):
+    c = control_base(spark, SF001)
+    assert C.worklist(c, "URL", [], TEST_NOW).count() == 0
+    assert Q.load_table(c, S.PIPELINE_CONTROL, status=[]).count() == 0
+
+
+def test_worklist_and_runner_have_no_default_cap(spark):
+    from tablerail.plans.runs import run_url_stage
+    rows = spark.range(3000).select(F.concat(F.lit("u"), "id").alias("url"), F.lit(0).alias("iteration"), F.lit("URL").alias("stage"),
+                                    F.lit("NEW").alias("status"), F.lit("READY").alias("task_state"), F.lit(False).alias("is_claimed"), *[
+        F.lit(None).cast(S.PIPELINE_CONTROL.dtype(x)).alias(x) for x in S.PIPELINE_CONTROL.columns[6:]])
+    assert C.worklist(rows, "URL", ["NEW"], TEST_NOW).count() == 3000
+    assert run_url_stage(rows, TEST_NOW, TEST_WORKER).counters().first()["enqueued_next"] == 3000
