@@ -21,6 +21,7 @@ Columns other than doc_id and text are ignored."""
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -51,19 +52,28 @@ class Encoder:
     LONG_RUN = re.compile(r"\S{1000}|\s{1000}")
 
     def __init__(self, path: str, ranks: str | None = None, pattern: str | None = None) -> None:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-        self.exact, self.fast = Tokenizer.from_file(path), None
-        self.size = self.exact.get_vocab_size(with_added_tokens=True)
+        self.path, self._exact, self.fast = path, None, None
+        with open(path, encoding="utf-8") as f:
+            described = json.load(f)
+        special = {t["content"]: t["id"] for t in described["added_tokens"]}
+        self.size = 1 + max([*special.values(), *described["model"]["vocab"].values()])
         if ranks:
             import base64
 
             import tiktoken
             with open(ranks, "rb") as f:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            special = {t.content: i for i, t in self.exact.get_added_tokens_decoder().items()}
             self.fast = tiktoken.Encoding("same", pat_str=pattern, mergeable_ranks=table, special_tokens=special)
 
+    @property
+    def exact(self):
+        """The ``tokenizers`` object, loaded when a text first needs it."""
+        if self._exact is None:
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            from tokenizers import Tokenizer
+            self._exact = Tokenizer.from_file(self.path)
+        return self._exact
+
     def __call__(self, text: str) -> np.ndarray:
         if self.fast is not None and self.PLAIN.fullmatch(text) and not self.LONG_RUN.search(text):
             return self.fast.encode_to_numpy(text, allowed_special="all")
