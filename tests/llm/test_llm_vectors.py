@@ -66,6 +66,29 @@ def test_recall_on_more_rows():
     assert hits / (20 * len(q)) >= 0.95
 
 
+@pytest.mark.parametrize("case", ["one outlier of 2", "one outlier of 100", "uniform", "log-normal", "two norms"])
+def test_recall_on_mixed_norms(case):
+    """The registered factor where norms differ, over one shard."""
+    rng = np.random.default_rng(0)
+    m = rng.normal(size=(8192, 64)) + 2.0 * rng.normal(size=(10, 64))[rng.integers(0, 10, 8192)]
+    m /= np.linalg.norm(m, axis=1)[:, None]
+    if case.startswith("one outlier"):
+        m[17] *= float(case.split()[-1])
+    elif case == "uniform":
+        m *= rng.uniform(0.5, 1.5, len(m))[:, None]
+    elif case == "log-normal":
+        m *= np.exp(0.5 * rng.normal(size=len(m)))[:, None]
+    else:
+        m *= np.where(rng.random(len(m)) < 0.5, 1.0, 3.0)[:, None]
+    ids, q = np.arange(len(m)), np.arange(0, len(m), 80)
+    for factor, least in ((4.0, 0.95), (1.0, 1.0)):
+        got = {}
+        for a, b, s in vptree.search_shard(ids, m, ids[q], m[q], float(np.linalg.norm(m, axis=1).max()), 20, factor):
+            got.setdefault(a, set()).add(b)
+        hits = sum(len(got[i] & {a for a, _ in ranked(m @ m[i], ids, i, 20)}) for i in q)
+        assert hits / (20 * len(q)) >= least
+
+
 ROWS = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [1.0, None]), (6, [math.nan, 1.0]),
         (7, [math.inf, 1.0]), (8, [0.5, 0.5]), (8, [0.25, 0.5]), (9, [1.0]), (10, []), (None, [1.0, 1.0]), (11, [-1.0, 0.5])]
 
