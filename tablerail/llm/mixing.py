@@ -1,11 +1,13 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Documents fall into cells (source, language, topic).  The cells' token weights
-are raked to target shares of each margin in turn, round after round, until the
-table meets all three.  The raked weight of a cell over its share of the tokens
-is how much the mixture wants of it; scaled so that the expected sample holds the
-asked share of all tokens, with no probability above one, that is the
-probability by which each of its documents is sampled.  The draw is the hash of
+are raked to target shares of each margin in turn, round after round (ROUNDS at
+least), until the table meets all three to a relative error of TOLERANCE.  Targets
+that the cells cannot meet, told by an error that hardly falls, are reported by
+a warning.  The raked weight of a cell over its share of the tokens
+is how much the mixture wants of it; scaled, until no more cells reach one, so
+that the expected sample holds the asked share of all tokens, with no probability
+above one, that is the probability by which each of its documents is sampled.  The draw is the hash of
 the id, so it can be repeated and does not depend on partitions.
 
 Only SQL functions run: the cell table (small beside the documents) is written to
@@ -21,6 +23,8 @@ none.  An empty table gives an empty result.  All columns of the input stay."""
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +32,8 @@ from tablerail.llm import common
 
 MARGINS = ("source", "lang", "topic")
 ROUNDS, SCALINGS = 6, 6
+TOLERANCE = 1e-4
+STALLED = 3  # rounds in which the error has to fall by a tenth
 BROADCAST_CELLS = 50_000
 
 
@@ -71,8 +77,22 @@ def _raked(cells: DataFrame, margin: str, targets: DataFrame) -> DataFrame:
             .withColumn("w", F.col("w") * F.col("f")).drop("f"))
 
 
+def margin_error(cells: DataFrame, targets: dict[str, DataFrame]) -> float:
+    """The largest relative error of any margin's share of ``w`` (targets add up to one)."""
+    total = cells.agg(F.sum("w")).first()[0]
+    if not total:
+        return 0.0
+    worst = 0.0
+    for m, t in targets.items():
+        now = cells.groupBy(m).agg((F.sum("w") / F.lit(float(total))).alias("s"))
+        off = t.where("target > 0").join(now, m, "left").agg(F.max(F.abs(F.coalesce("s", F.lit(0.0)) / F.col("target") - 1)))
+        worst = max(worst, float(off.first()[0] or 0.0))  # one number
+    return worst
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` with weight ``w`` fitted to the targets of every margin.
+    """``cells`` with weight ``w`` fitted to the targets of every margin, in
+    ``rounds`` or as many more as TOLERANCE takes.
 
     Each step is written before the next one reads it: the plans stay small and
     alike, where a chain of steps would double with every one."""
@@ -84,29 +104,40 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
         total = have.agg(F.sum("target")).first()[0] or 1.0  # one number
         scaled[m] = common.keep(have.withColumn("target", F.col("target") / F.lit(float(total))), "mix-targets")
     now = common.keep(cells.withColumn("w", F.col("tokens").cast("double")), "mix-cells")
-    for _ in range(rounds):
-        for m in targets:
-            now = common.keep(_raked(now, m, scaled[m]), "mix-cells")
+    errors: list[float] = []
+    while not errors or errors[-1] > TOLERANCE:
+        if len(errors) > STALLED and errors[-1] > 0.9 * errors[-1 - STALLED]:
+            warnings.warn(f"mixing: the margins cannot all be met; largest relative error {errors[-1]:.2g}", stacklevel=2)
+            break
+        for _ in range(1 if errors else rounds):
+            for m in targets:
+                now = common.keep(_raked(now, m, scaled[m]), "mix-cells")
+        errors.append(margin_error(now, scaled))
     return now
 
 
 def probabilities(raked: DataFrame, share: float) -> DataFrame:
     """``raked`` with the sampling probability of each cell: proportional to
-    w / tokens, at most one, and scaled (a fixed number of times, for the cells
-    that reach one) so that the expected tokens are ``share`` of all."""
+    w / tokens, at most one, and scaled (until no more cells reach one) so that
+    the expected tokens are ``share`` of all."""
     sums = raked.agg(F.sum("w"), F.sum("tokens")).first()
     weight, tokens = float(sums[0] or 0.0), float(sums[1] or 0)
     if not weight:
         return raked.withColumn("probability", F.lit(1.0))
     ratio = F.col("w") / F.lit(weight) / (F.col("tokens") / F.lit(tokens))
     cells = raked.withColumn("ratio", F.when(F.col("tokens") > 0, ratio))
-    scale = share
-    for _ in range(SCALINGS):
+    scale, reached = share, -1
+    while True:  # the tokens of cells that reach one only grow
         full = F.lit(scale) * F.col("ratio") >= 1
         row = cells.where("tokens > 0").agg(F.sum(F.when(full, F.col("tokens"))), F.sum(F.when(~full, F.col("ratio") * F.col("tokens")))).first()
+        now = int(row[0] or 0)
+        if now <= reached:
+            break
         if not row[1]:
+            if now < share * tokens * (1 - TOLERANCE):
+                warnings.warn(f"mixing: the cells with a target hold {now / tokens:.2g} of the tokens, {share:.2g} are asked", stacklevel=2)
             break
-        scale = (share * tokens - float(row[0] or 0)) / float(row[1])
+        scale, reached = (share * tokens - now) / float(row[1]), now
     return cells.withColumn("probability", F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.lit(scale) * F.col("ratio")))
                             .otherwise(F.lit(1.0)))
 
@@ -140,8 +171,8 @@ def sample(docs: DataFrame, share: float = 0.7, power: float = 0.8, seed: str =
 # ------------------------------------------------------------------------ the SQL
 
 def oracle_sql(share: float, power: float, seed: str) -> str:
-    """DuckDB SQL of the sample with the same number of rounds (for the tests'
-    and the driver's comparison)."""
+    """DuckDB SQL of the sample with ROUNDS rounds and SCALINGS scalings (for the
+    tests' and the driver's comparison): the same where these reach TOLERANCE."""
     topic = ("CASE WHEN contains(coalesce(text, ''), 'License') OR contains(coalesce(text, ''), 'Copyright') THEN 'legal' "
              "WHEN regexp_matches(coalesce(text, ''), '[0-9]') THEN 'figures' ELSE 'prose' END")
     tokens = r"CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT)"

@@ -1,4 +1,5 @@
 """Mixing: marginals after raking, calibrated probabilities, the SQL."""
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,6 +27,34 @@ def test_raked_marginals_meet_the_targets(spark):
         assert (got - want).abs().max() < 1e-3
 
 
+def test_margins_and_scale_of_skewed_sparse_cells(spark):
+    """With the registered parameters, where six rounds leave errors of over a hundredth."""
+    rng = np.random.default_rng(3)
+    t = np.exp(rng.normal(size=(12, 5, 3)) * 2 + 6)
+    t[0] *= t[1:].sum() / t[0].sum() / 2
+    t = np.where(rng.random(t.shape) < 0.5, 0, t).astype(int)
+    c = spark.createDataFrame([(f"s{a}", f"l{b}", f"t{d}", int(t[a, b, d]), 1) for a, b, d in np.ndindex(t.shape) if t[a, b, d]],
+                              "m_source string, m_lang string, m_topic string, tokens long, docs long")
+    targets = {k: M.tempered(c, k, 0.8) for k in KEYS}
+    kept = M.rake(c, targets)
+    raked = kept.toPandas()
+    for k in KEYS:
+        want = targets[k].toPandas().set_index(k).target
+        want = want / want.sum()
+        got = raked.groupby(k).w.sum() / raked.w.sum()
+        assert ((got - want) / want).abs().max() <= M.TOLERANCE
+    p = M.probabilities(kept, 0.7).toPandas()
+    assert (p.probability * p.tokens).sum() / p.tokens.sum() == pytest.approx(0.7, abs=1e-9)
+
+
+def test_targets_that_cannot_be_met_are_reported(spark):
+    c = spark.createDataFrame([("a", "en", "x", 10, 1), ("b", "fr", "x", 90, 1)], "m_source string, m_lang string, m_topic string, tokens long, docs long")
+    targets = {k: spark.createDataFrame(rows, f"{k} string, target double") for k, rows in (
+        ("m_source", [("a", 0.5), ("b", 0.5)]), ("m_lang", [("en", 0.1), ("fr", 0.9)]))}
+    with pytest.warns(UserWarning, match="cannot all be met"):
+        M.rake(c, targets)
+
+
 def test_probabilities_are_calibrated(spark):
     _, c = cells(spark)
     raked = M.rake(c, {k: M.tempered(c, k, 0.5) for k in KEYS})
