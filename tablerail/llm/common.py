@@ -27,9 +27,13 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def new_name(name: str) -> str:
+    return f"{name}-{uuid.uuid4().hex}"
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder; nothing is created."""
-    path = f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark).rstrip('/')}/{new_name(name)}"
     _WRITTEN.append(path)
     return path
 
@@ -79,6 +83,19 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, spread_by: list[str]
     return b.join(s, [key, "__salt"], how).drop("__salt")
 
 
+def join_back(rows: DataFrame, per_key: DataFrame, key: str) -> DataFrame:
+    """Left join of ``rows`` with ``per_key`` (one row a key), hot keys apart.
+
+    A key with over a thousandth of all rows is hot: there are under 1,000 of
+    them, so their rows of ``per_key`` are broadcast; no other key can fill a
+    task.  ``rows`` is read four times: pass a stored, narrow table."""
+    total = rows.count()
+    hot = F.broadcast(rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > max(1000, total // 1000))
+                      .where(F.col(key).isNotNull()).select(key))
+    warm = rows.join(hot, key, "left_semi").join(F.broadcast(per_key.join(hot, key, "left_semi")), key, "left")
+    return rows.join(hot, key, "left_anti").join(per_key, key, "left").unionAll(warm)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, per_class: int,
                     max_chars: int) -> DataFrame:
     """Training rows: (text, label), at most ``per_class`` documents a class.

@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablerail.llm import kdtree, mixing, packing, pii, quality, sharding, simhash, toxicity, vptree, warc
-from tablerail.llm.common import read
+from tablerail.llm import (codebooks, kdtree, ledger, mixing, packing, pii, quality, sharding, simhash, toxicity, variants,
+                           vptree, warc)
+from tablerail.llm.common import read, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -111,3 +112,22 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into windows of 2048 tokens."""
     return packing.digests(packing.pack(read(spark, sf_dir, "documents"), vocabulary(), window=2048))
+
+
+@query("op11_secrets", ledger.oracle_sql())
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, each distinct text scanned once by a new ledger."""
+    versions = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return ledger.digests(ledger.scan(versions, shared_path(spark, "secret-ledger")))
+
+
+@query("op12_codebooks", codebooks.oracle_sql())
+def op12_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as eight codes of sixteen entries, six Lloyd rounds."""
+    return codebooks.digests(read(spark, sf_dir, "embeddings"))
+
+
+@query("op13_variants", variants.oracle_sql())
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents."""
+    return variants.variants(read(spark, sf_dir, "documents"))
