@@ -9,6 +9,8 @@ result before branching on it (see ``plans.stages``)."""
 
 from __future__ import annotations
 
+import json
+import math
 import random
 import time
 from collections.abc import Callable, Iterator
@@ -22,6 +24,7 @@ from pyspark.sql import types as T
 from tablerail import schemas as S
 from tablerail.functions.payload import validate_responses
 from tablerail.functions.text import normalize_provider
+from tablerail.sources.store import materialize
 
 # ---------------------------------------------------------------------------
 # Fixed values
@@ -145,24 +148,23 @@ def _client_partition(client_factory, params: InferenceParams, rate_share: float
 
 
 def infer(df: DataFrame, prompt: Column | str, client_factory: Callable[[], object], params: InferenceParams,
-          keep: tuple[str, ...] = ("url", "iteration"), stored: DataFrame | None = None) -> DataFrame:
+          keep: tuple[str, ...] = ("url", "iteration"), tasks: int | None = None) -> DataFrame:
     """LLM2 + LLM3: one model call per row of ``df``.
 
     ``prompt``: a column name or an expression over ``df``; it is evaluated after
-    the rows are dealt out, so no rendered prompt is shuffled.  ``stored``: keys
-    already answered by an earlier run; they are not called again.  Output:
-    ``keep`` columns, ``response``, ``call_error``, ``attempts``."""
+    the rows are dealt out, so no rendered prompt is shuffled.  ``tasks``: how many
+    tasks the calls are dealt over, if more than run at once.  Output: ``keep``
+    columns, ``response``, ``call_error``, ``attempts``."""
     provider = check_provider(params.provider)
     params = InferenceParams(**{**params.__dict__, "provider": provider})
     parts = params.partitions or df.sparkSession.sparkContext.defaultParallelism
     # a client may declare its own budget (an offline model has none)
     client_rate = getattr(client_factory, "rate_per_minute", "provider")
     rate = params.rate_per_minute or (RATE_PER_MINUTE.get(provider) if client_rate == "provider" else client_rate)
+    # the rate is shared by the tasks that run at the same time
     share = (rate / parts) if rate else None
-    if stored is not None:
-        df = df.join(stored.select(*keep), list(keep), "left_anti")
     prompt_col = "_prompt"
-    src = df.repartition(parts, *keep).select(*keep, (F.col(prompt) if isinstance(prompt, str) else prompt).alias(prompt_col))
+    src = df.repartition(tasks or parts, *keep).select(*keep, (F.col(prompt) if isinstance(prompt, str) else prompt).alias(prompt_col))
     fields = [src.schema[k] for k in keep] + [
         T.StructField("response", T.StringType()), T.StructField("call_error", T.StringType()),
         T.StructField("attempts", T.IntegerType())]
@@ -174,31 +176,53 @@ def _path(spark, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def infer_stored(df: DataFrame, prompt: Column | str, client_factory: Callable[[], object], params: InferenceParams,
-                 folder: str, slices: int = 16, keep: tuple[str, ...] = ("url", "iteration")) -> DataFrame:
-    """``infer`` in ``slices`` by the hash of the key, each stored when done.
+# Calls in one task of a stored run, about: what a lost task repeats.
+TASK_CALLS = 2_000
+ANSWER = "ask string, response string, call_error string, attempts int"
 
-    A run that dies leaves its finished slices; the next run with the same
-    ``folder`` calls only for keys that are not stored (failed calls count as
-    not answered).  At most one slice's calls are ever repeated."""
-    spark = df.sparkSession
-    schema = T.StructType([df.schema[k] for k in keep] + [
-        T.StructField("response", T.StringType()), T.StructField("call_error", T.StringType()),
-        T.StructField("attempts", T.IntegerType())])
-
-    def stored() -> DataFrame | None:
-        p, fs = _path(spark, folder)
-        return spark.read.schema(schema).parquet(folder) if fs.exists(p) else None
-
-    done = stored()
-    todo = df if done is None else df.join(done.where("call_error IS NULL").select(*keep).distinct(), list(keep), "left_anti")
-    for k in range(slices):
-        part = todo.where(F.pmod(F.xxhash64(*keep), F.lit(slices)) == k)
-        infer(part, prompt, client_factory, params, keep).write.mode("append").parquet(folder)
-    # a key may have a failed call stored beside a later answer: the answer counts
+
+def ask_key(prompt: Column, params: InferenceParams) -> Column:
+    """The address of a question: a hash of everything the answer depends on."""
+    fixed = json.dumps([check_provider(params.provider), params.model_id, params.temperature, params.max_tokens,
+                        SYSTEM_TEXT[check_provider(params.provider)]])
+    return F.sha2(F.concat(F.lit(fixed + "\n"), F.coalesce(prompt, F.lit(""))).cast("binary"), 256)
+
+
+def read_answers(spark, folder: str) -> DataFrame:
+    """(ask, response, call_error, attempts): the log, one row a question; an
+    answer counts before failed calls."""
+    p, fs = _path(spark, folder)
+    log = spark.read.schema(ANSWER).parquet(folder) if fs.exists(p) else spark.createDataFrame([], ANSWER)
     best = F.min(F.struct(F.col("call_error").isNotNull().alias("failed"), "response", "call_error", "attempts")).alias("b")
-    answers = stored().join(df.select(*keep), list(keep), "left_semi")
-    return answers.groupBy(*keep).agg(best).select(*keep, "b.response", "b.call_error", "b.attempts")
+    return log.groupBy("ask").agg(best).select("ask", "b.response", "b.call_error", "b.attempts")
+
+
+def infer_stored(df: DataFrame, prompt: Column | str, client_factory: Callable[[], object], params: InferenceParams,
+                 folder: str, keep: tuple[str, ...] = ("url", "iteration"), task_calls: int = TASK_CALLS) -> DataFrame:
+    """``infer`` with a log of answers in ``folder``, by the content of the question.
+
+    The log's key is a hash of the prompt and all parameters, so another text,
+    model or setting is another question, and rows that ask the same are one call.
+    The input plan runs once and is stored; one job then calls for the questions
+    without an answer.  Its tasks commit their answers one by one as they end, so a
+    run that dies repeats only the calls of its unfinished tasks (of about
+    ``task_calls`` each).  Failed calls count as not answered."""
+    spark = df.sparkSession
+    asked = materialize(df.withColumn("_ask", ask_key(F.col(prompt) if isinstance(prompt, str) else prompt, params)))
+    answered = read_answers(spark, folder).where("call_error IS NULL").select(F.col("ask").alias("_ask"))
+    inputs = [c for c in asked.columns if c != "_ask"]
+    todo = (asked.join(answered, "_ask", "left_anti").groupBy("_ask")
+            .agg(F.first(F.struct(*inputs)).alias("_in")).select("_ask", "_in.*"))
+    todo = materialize(todo)
+    calls = todo.count()
+    if calls:
+        at_once = params.partitions or spark.sparkContext.defaultParallelism
+        said = infer(todo, prompt, client_factory, params, ("_ask",), tasks=max(at_once, math.ceil(calls / task_calls)))
+        # algorithm 2: a task's file is in its place when the task ends, not when the job does
+        (said.withColumnRenamed("_ask", "ask").write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+         .parquet(folder))
+    answers = read_answers(spark, folder).withColumnRenamed("ask", "_ask")
+    return asked.select(*keep, "_ask").join(answers, "_ask", "left").select(*keep, "response", "call_error", "attempts")
 
 
 def forget_answers(spark, folder: str) -> None:

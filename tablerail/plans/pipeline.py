@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablerail import schemas as S
 from tablerail.operators.control import advance_all_completed, sync_from_registry
-from tablerail.operators.inference import InferenceParams
+from tablerail.operators.inference import InferenceParams, forget_answers
 from tablerail.operators.queries import progress_counts
 from tablerail.plans.runs import run_url_stage
 from tablerail.operators.upsert import upsert
@@ -93,15 +93,17 @@ class Pipeline:
     def summarize(self, client_factory, params: InferenceParams | None = None, max_rows: int | None = None,
                   retry_errors: bool = False, filter_urls: DataFrame | None = None) -> dict:
         """RUN3: WEB_SUMMARY → DONE for every claimable row, or at most ``max_rows``."""
+        answers = f"{self.root.rstrip('/')}/_answers"
         run = run_summary_stage(self.table("pipeline_control"), self.table("web_page"), self.table("web_summary"),
                                 client_factory, params or InferenceParams(), self._now(),
                                 f"{self.worker_prefix}-summaries", max_rows=max_rows,
                                 filter_urls=filter_urls, retry_errors=retry_errors, scratch_dir=self.scratch_dir,
-                                answers=f"{self.root.rstrip('/')}/_answers")
+                                answers=answers)
         now = self._now()
         self.store.upsert("web_summary", run.extra["good"], lambda old, rows: upsert(old, rows, S.WEB_SUMMARY, now))
         counters = run.counters().collect()[0].asDict()
         self._store_control(run)
+        forget_answers(self.spark, answers)
         return counters
 
     def advance_completed(self) -> int:

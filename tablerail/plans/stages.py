@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tablerail import schemas as S
 from tablerail.functions.prompts import SUMMARIZE_JSON_TEMPLATE, render
 from tablerail.operators.control import PK, sync_from_registry
-from tablerail.operators.inference import (RAW_RESPONSE_COLUMNS, InferenceParams, check_provider, forget_answers,
-                                           infer, infer_stored, summary_rows)
+from tablerail.operators.inference import (RAW_RESPONSE_COLUMNS, InferenceParams, check_provider, infer,
+                                           infer_stored, summary_rows)
 from tablerail.operators.predicates import has_text
 from tablerail.operators.queries import newest_page
 from tablerail.operators.upsert import upsert
@@ -58,8 +58,9 @@ def run_summary_stage(control: DataFrame, web_page: DataFrame, web_summary: Data
     reject blank text (FLT2), prompt (STR6), call the model (LLM2/3), validate
     (LLM4–6), derive text (STR7), store summaries (LLM8); per key: ok →
     DONE/NEW/PAUSED, anything else → ERROR.  Every claimable row is processed
-    unless ``max_rows`` is given.  ``answers``: a folder where answers are stored
-    slice by slice, so that a run that died repeats no stored call."""
+    unless ``max_rows`` is given.  ``answers``: a folder where answers are logged as
+    tasks end, so that a run that died repeats no logged call; the caller forgets
+    it when the results are stored."""
     check_provider(params.provider)
     listed = stage_listing(control, "WEB_SUMMARY", now, max_rows, retry_errors, filter_urls)
     work = claimed_keys(control, listed, now, "WEB_SUMMARY")
@@ -71,12 +72,10 @@ def run_summary_stage(control: DataFrame, web_page: DataFrame, web_summary: Data
     # so neither branch (summary table, control update) repeats a call or the
     # JSON checks
     if answers:
-        said = infer_stored(ready, prompt, client_factory, params, f"{answers.rstrip('/')}/{worker_id}")
+        said = infer_stored(ready, prompt, client_factory, params, answers)
     else:
         said = infer(ready, prompt, client_factory, params)
     checked = materialize(summary_rows(said, params, now, keep_raw=True), scratch_dir)
-    if answers:
-        forget_answers(checked.sparkSession, f"{answers.rstrip('/')}/{worker_id}")
     rows = checked.drop(*RAW_RESPONSE_COLUMNS)
     responses = checked.select(*PK, *RAW_RESPONSE_COLUMNS)
     good = rows.where(F.col("error").isNull()).drop("error")
@@ -101,9 +100,10 @@ def run_all(registry_rows: DataFrame, fetcher, now, *, url_table: DataFrame | No
             control: DataFrame | None = None, web_page: DataFrame | None = None,
             web_summary: DataFrame | None = None, client_factory=None,
             params: InferenceParams | None = None, max_rows: int | None = None, append_only_urls: bool = True,
-            worker_prefix: str = "run", scratch_dir: str | None = None) -> FullRun:
+            worker_prefix: str = "run", scratch_dir: str | None = None, answers: str | None = None) -> FullRun:
     """RUN4: ingest registry rows, sync control, then URL → page → summary; all
-    rows unless ``max_rows`` limits each stage's batch.  A model client is required.
+    rows unless ``max_rows`` limits each stage's batch.  A model client is required;
+    it is asked only what the log in the folder ``answers`` does not hold.
 
     Every table version is materialised before the next stage reads it, so a
     lost executor only recomputes the current stage."""
@@ -130,7 +130,7 @@ def run_all(registry_rows: DataFrame, fetcher, now, *, url_table: DataFrame | No
     control = materialize(r2.control, scratch_dir)
     web_page = materialize(r2.extra["web_page"], scratch_dir)
     r3 = run_summary_stage(control, web_page, web_summary, client_factory, params, now, f"{worker_prefix}-summaries",
-                           max_rows=max_rows, scratch_dir=scratch_dir)
+                           max_rows=max_rows, scratch_dir=scratch_dir, answers=answers)
     control = materialize(r3.control, scratch_dir)
     web_summary = materialize(r3.extra["web_summary"], scratch_dir)
     return FullRun(url_table, control, web_page, web_summary, {"urls": r1, "pages": r2, "summaries": r3})

@@ -3,8 +3,9 @@
 Accepted shapes per file: a JSON array of ``{url, source?, tags?}`` or an
 object ``{"urls": [...]}``.  Many files are one read; mixed ``tags`` (list in
 one file, CSV string in another) arrive as text and are normalised by STR3.
-Files are read whole and parsed to VARIANT, so one bad file or entry is known by
-its name and place and hides no other."""
+Files of any size are read in byte ranges (``json_split``); their entries are
+parsed to VARIANT, so one bad file or entry is known by its name and place and
+hides no other."""
 
 from __future__ import annotations
 
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 from tablerail import schemas as S
 from tablerail.functions.text import join_tags, normalize_tags, strip_ws
 from tablerail.operators.upsert import upsert
+from tablerail.sources import json_split
 
 log = logging.getLogger(__name__)
 
@@ -27,37 +29,27 @@ def _matched(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p))
 
 
-def seed_items(files: DataFrame) -> DataFrame:
-    """Entries of whole seed files (file, value): file, pos, url, source, tags and
-    ``reason`` (NULL for a good entry).  A file that is no JSON, or of another
-    shape, is one row with a reason; so is each entry without a usable url."""
-    doc = F.try_parse_json("value")
-    kind = F.regexp_extract(F.schema_of_variant("_doc"), "^([A-Z]+)", 1)
-    wrapped = F.try_variant_get("_doc", "$.urls", "array<variant>")
-    listed = F.when(kind == "ARRAY", F.try_variant_get("_doc", "$", "array<variant>")).when(kind == "OBJECT", wrapped)
-    files = files.select("file", doc.alias("_doc")).select("file", "_doc", listed.alias("_items"))
-    bad_file = (F.when(F.col("_doc").isNull(), F.lit("not valid JSON"))
-                .when(F.col("_items").isNull(), F.lit("neither a list of entries nor {urls: [...]}")))
-    rows = files.select("file", bad_file.alias("_bad"), F.posexplode_outer("_items").alias("pos", "_item"))
-    rows = rows.where(F.col("_bad").isNotNull() | F.col("_item").isNotNull() | F.col("pos").isNotNull())
-
+def seed_items(raw: DataFrame) -> DataFrame:
+    """Entries of seed files (``raw``: ``json_split.records``): file, pos, url, source,
+    tags and ``reason`` (NULL for a good entry).  A file that is no JSON, or of
+    another shape, is one row with a reason; so is each entry without a usable url."""
     def text_of(name: str):
-        return F.try_variant_get("_item", f"$.{name}", "string")
+        return F.try_variant_get("item", f"$.{name}", "string")
 
-    entry_kind = F.regexp_extract(F.schema_of_variant("_item"), "^([A-Z]+)", 1)
-    url_kind = F.regexp_extract(F.schema_of_variant(F.try_variant_get("_item", "$.url", "variant")), "^([A-Z]+)", 1)
-    reason = (F.when(F.col("_bad").isNotNull(), F.col("_bad"))
+    entry_kind = F.regexp_extract(F.schema_of_variant("item"), "^([A-Z]+)", 1)
+    url_kind = F.regexp_extract(F.schema_of_variant(F.try_variant_get("item", "$.url", "variant")), "^([A-Z]+)", 1)
+    reason = (F.when(F.col("reason").isNotNull(), F.col("reason"))
               .when(F.coalesce(entry_kind, F.lit("")) != "OBJECT", F.lit("entry is not an object"))
               .when((F.coalesce(url_kind, F.lit("")) != "STRING") | (F.coalesce(strip_ws(text_of("url")), F.lit("")) == ""),
                     F.lit("url is missing or blank")))
-    listed_tags = F.to_json(F.try_variant_get("_item", "$.tags", "array<string>"))
-    return rows.select("file", "pos", text_of("url").alias("url"), text_of("source").alias("source"),
-                       F.coalesce(listed_tags, text_of("tags")).alias("tags"), reason.alias("reason"))
+    listed_tags = F.to_json(F.try_variant_get("item", "$.tags", "array<string>"))
+    return json_split.elements(raw).select("file", "pos", text_of("url").alias("url"), text_of("source").alias("source"),
+                                           F.coalesce(listed_tags, text_of("tags")).alias("tags"), reason.alias("reason"))
 
 
-def seed_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file, value): seed files as whole texts."""
-    return spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
+def _items_of(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The entries of seed files; a file without a byte has none and is no row."""
+    return seed_items(json_split.records(spark.read, paths))
 
 
 def read_seed_entries(spark: SparkSession, paths: str | list[str], bad: str = "raise") -> DataFrame:
@@ -67,7 +59,7 @@ def read_seed_entries(spark: SparkSession, paths: str | list[str], bad: str = "r
     rows are computed; with ``bad="skip"`` it is left to ``seed_rejects``."""
     if bad not in ("raise", "skip"):
         raise ValueError(f"unknown mode: {bad!r}")
-    items = seed_items(seed_files(spark, paths))
+    items = _items_of(spark, paths)
     if bad == "skip":
         items = items.where(F.col("reason").isNull())
     else:
@@ -79,7 +71,7 @@ def read_seed_entries(spark: SparkSession, paths: str | list[str], bad: str = "r
 
 def seed_rejects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """The files and entries that are no seeds: file, pos (NULL: the whole file), reason."""
-    return seed_items(seed_files(spark, paths)).where(F.col("reason").isNotNull()).select("file", "pos", "reason")
+    return _items_of(spark, paths).where(F.col("reason").isNotNull()).select("file", "pos", "reason")
 
 
 def read_typed_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

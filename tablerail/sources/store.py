@@ -105,24 +105,35 @@ class TableStore:
         """Write the whole table as the next version; returns its number."""
         buckets = self._manifest(table)["buckets"] if self.exists(table) else self.buckets
         folder = self._put(table, df, buckets)
-        return self._commit(table, {"buckets": buckets, "folders": {b: folder for b in range(buckets)}})
+        return self._commit(table, {"buckets": buckets, "folders": {b: folder for b in range(buckets)},
+                                    "marks": self.marks(table) if self.exists(table) else {}})
 
     def touched(self, table: str, keys: DataFrame) -> list[int]:
         """The buckets that ``keys`` (with the key columns) fall into."""
         spec, m = S.table_spec(table), self._manifest(table)
         return sorted(r[0] for r in keys.select(self._bucket(spec, m["buckets"])).distinct().collect())  # buckets at most
 
-    def upsert(self, table: str, batch: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+    def marks(self, table: str) -> dict[str, int]:
+        """What writers noted with the live version (see ``upsert``)."""
+        return self._manifest(table).get("marks", {})
+
+    def upsert(self, table: str, batch: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame],
+               marks: dict[str, int] | None = None) -> int:
         """Write ``apply(existing rows, batch)`` for the batch's buckets only.
 
-        ``apply`` sees the whole rows of those buckets and must not move a key."""
+        ``apply`` sees the whole rows of those buckets and must not move a key.
+        ``marks`` are noted in the same commit: a writer that finds its own mark
+        knows that this batch is in."""
         m = self._manifest(table)
+        noted = m.get("marks", {}) | (marks or {})
         hit = self.touched(table, batch)
-        if not hit:
+        if not hit and noted == m.get("marks", {}):
             return self._versions(table)[-1]
         folders = {int(b): f for b, f in m["folders"].items()}
-        folder = self._put(table, apply(self._get(table, {b: folders[b] for b in hit}), batch), m["buckets"])
-        return self._commit(table, {"buckets": m["buckets"], "folders": folders | {b: folder for b in hit}})
+        if hit:
+            folder = self._put(table, apply(self._get(table, {b: folders[b] for b in hit}), batch), m["buckets"])
+            folders |= {b: folder for b in hit}
+        return self._commit(table, {"buckets": m["buckets"], "folders": folders, "marks": noted})
 
     def replace_rows(self, table: str, new_table: DataFrame, changed: DataFrame) -> int:
         """Write the buckets of the ``changed`` keys from ``new_table``, a next
@@ -133,7 +144,7 @@ class TableStore:
             return self._versions(table)[-1]
         rows = new_table.where(self._bucket(S.table_spec(table), m["buckets"]).isin(hit))
         folder = self._put(table, rows, m["buckets"])
-        return self._commit(table, {"buckets": m["buckets"], "folders": m["folders"] | {str(b): folder for b in hit}})
+        return self._commit(table, m | {"folders": m["folders"] | {str(b): folder for b in hit}})
 
     def vacuum(self, table: str, keep: int = 2) -> list[int]:
         """Delete all but the newest ``keep`` versions (readers of an older one must

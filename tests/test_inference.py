@@ -2,12 +2,14 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 import sys
 
 from pyspark import cloudpickle
 
 from tablerail.operators.inference import (BACKOFF_CAP, InferenceParams, RateLimiter, RetriableError, backoff_seconds,
-                                           call_with_retry, check_provider, forget_answers, infer, infer_stored)
+                                           call_with_retry, check_provider, forget_answers, infer, infer_stored,
+                                           read_answers)
 from tablerail.testing import OfflineClient
 
 # workers cannot import test modules
@@ -96,23 +98,66 @@ class CountingClient:
         return f"answer to {prompt}"
 
 
-def test_a_failed_run_repeats_no_stored_call(spark, scratch):
+def questions(spark, log=None):
+    """40 rows of 30 questions; each row read from the input is a line of the log."""
+    def read(frames):
+        for f in frames:
+            with open(log, "a") as out:
+                out.write("".join(f"{u}\n" for u in f["url"]))
+            yield f
+    df = spark.range(40).selectExpr("concat('u', id) AS url", "0 AS iteration", "concat('p', id % 30) AS prompt")
+    return df.mapInPandas(read, df.schema) if log else df
+
+
+def test_a_failed_run_repeats_only_unfinished_tasks(spark, scratch):
     import os
     from functools import partial
-    log, trap, folder = (os.path.join(scratch, x) for x in ("calls", "trap", "answers"))
+    log, trap, folder, rows = (os.path.join(scratch, x) for x in ("calls", "trap", "answers", "rows"))
     open(trap, "w").close()
-    df = spark.range(40).selectExpr("concat('u', id) AS url", "0 AS iteration", "concat('p', id) AS prompt")
     make, params = partial(CountingClient, log, trap), InferenceParams(partitions=2, rate_per_minute=1e9)
     with pytest.raises(Exception):
-        infer_stored(df, "prompt", make, params, folder, slices=8).collect()
-    stored = {r.url for r in spark.read.parquet(folder).collect()} if os.path.exists(folder) else set()
+        infer_stored(questions(spark, rows), "prompt", make, params, folder, task_calls=3).collect()
+    # the input was read once, though it is asked, dealt out and joined back
+    assert sorted(open(rows).read().split()) == sorted(f"u{i}" for i in range(40))
+    stored = {r.response.split()[-1] for r in read_answers(spark, folder).collect()}
     before = open(log).read().split()
+    assert 0 < len(stored) < 30 and "p13" not in stored
     os.remove(trap)
-    out = infer_stored(df, "prompt", make, params, folder, slices=8).collect()
+    out = infer_stored(questions(spark), "prompt", make, params, folder, task_calls=3).collect()
     after = open(log).read().split()[len(before):]
-    assert {r.url: r.response for r in out} == {f"u{i}": f"answer to p{i}" for i in range(40)}
-    assert not {f"p{u[1:]}" for u in stored} & set(after) and len(after) == 40 - len(stored)
-    again = infer_stored(df, "prompt", make, params, folder, slices=8).count()
-    assert again == 40 and len(open(log).read().split()) == len(before) + len(after)
+    assert {r.url: r.response for r in out} == {f"u{i}": f"answer to p{i % 30}" for i in range(40)}
+    assert sorted(after) == sorted({f"p{i}" for i in range(30)} - stored)  # one call a question
+    assert infer_stored(questions(spark), "prompt", make, params, folder).count() == 40
+    assert len(open(log).read().split()) == len(before) + len(after)
     forget_answers(spark, folder)
     assert not os.path.exists(folder)
+
+
+class NamedClient:
+    def __init__(self, name):
+        self.name = name
+
+    def complete(self, system, prompt, temperature, max_tokens):
+        if prompt == "p7" and self.name == "bad":
+            raise ValueError("no")
+        return f"{self.name}: {prompt}"
+
+
+def test_answers_belong_to_prompt_and_model(spark, scratch):
+    import os
+    from functools import partial
+    folder = os.path.join(scratch, "answers")
+
+    def run(name, df, **params):
+        p = InferenceParams(partitions=2, rate_per_minute=1e9, **params)
+        return {r.url: r.response for r in infer_stored(df, "prompt", partial(NamedClient, name), p, folder).collect()}
+    df = questions(spark)
+    assert run("a", df)["u3"] == "a: p3"
+    assert run("b", df)["u3"] == "a: p3"  # the same question: stored
+    assert run("b", df, model_id="other")["u3"] == "b: p3"
+    assert run("c", df, temperature=0.9)["u3"] == "c: p3"
+    assert run("d", df.withColumn("prompt", F.concat("prompt", F.lit("!"))))["u3"] == "d: p3!"
+    # a failed call is not an answer
+    first = run("bad", df, max_tokens=5)
+    assert first["u7"] is None and first["u8"] == "bad: p8"
+    assert run("good", df, max_tokens=5)["u7"] == "good: p7"
