@@ -1,7 +1,7 @@
 """Command line: ``python -m tablerail --store DIR <command> ...``.
 
 Commands mirror the pipeline: ``bootstrap``, ``ingest``, ``sync``, ``urls``,
-``scrape``, ``summarize``, ``all``, ``advance-completed``, ``progress``.
+``scrape``, ``summarize``, ``all``, ``advance-completed``, ``progress``, ``status``.
 The model client is ``module:callable``; commands that call a model require it."""
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tablerail", description="table-driven URL → page → summary pipeline")
     p.add_argument("--store", required=True, help="root folder of the versioned tables")
     p.add_argument("--master", default=None)
+    p.add_argument("--bucket-rows", type=int, default=None, help="rows from which a bucket of a stored table splits")
     sub = p.add_subparsers(dest="command", required=True)
     sub.add_parser("bootstrap")
     ing = sub.add_parser("ingest")
@@ -64,6 +65,8 @@ def build_parser() -> argparse.ArgumentParser:
     _model_arguments(a)
     sub.add_parser("advance-completed")
     sub.add_parser("progress")
+    st = sub.add_parser("status", help="control rows of some URLs")
+    st.add_argument("urls", nargs="+")
     return p
 
 
@@ -73,7 +76,7 @@ def main(argv=None) -> None:
     from tablerail.plans.pipeline import Pipeline
     from tablerail.session import build_session
     spark = build_session(args.master)
-    pipe = Pipeline(spark, args.store)
+    pipe = Pipeline(spark, args.store, bucket_rows=args.bucket_rows)
     cmd = args.command
     if cmd == "bootstrap":
         out = pipe.bootstrap()
@@ -94,6 +97,8 @@ def main(argv=None) -> None:
                            args.max_scrape, args.max_summarize, args.retry_errors)
     elif cmd == "advance-completed":
         out = {"control_version": pipe.advance_completed()}
+    elif cmd == "status":
+        out = [r.asDict() for r in pipe.status(spark.createDataFrame([(u,) for u in args.urls], "url string")).orderBy("url", "iteration").collect()]
     else:
         out = [r.asDict() for r in pipe.progress().collect()]  # bounded: one row per (stage, status)
     print(json.dumps(out, default=str))

@@ -13,15 +13,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tablerail import schemas as S
-from tablerail.operators.control import advance_all_completed, sync_from_registry
+from tablerail.operators.control import PK, advance_all_completed, sync_from_registry
 from tablerail.operators.inference import InferenceParams, forget_answers
-from tablerail.operators.queries import progress_counts
 from tablerail.plans.runs import run_url_stage
 from tablerail.operators.upsert import upsert
 from tablerail.plans.stages import run_page_stage, run_summary_stage
 from tablerail.session import utc_now_str
 from tablerail.sources.seeds import ingest_seed_files
-from tablerail.sources.store import TableStore, release_materialized
+from tablerail.sources.store import TableStore, materialize, release_materialized
 
 
 @dataclass
@@ -31,10 +30,11 @@ class Pipeline:
     scratch_dir: str | None = None
     now: str | None = None              # fixed clock (tests); default: UTC now per command
     worker_prefix: str = "runner"
+    bucket_rows: int | None = None      # rows from which a bucket of a table splits
     store: TableStore = field(init=False)
 
     def __post_init__(self):
-        self.store = TableStore(self.spark, self.root)
+        self.store = TableStore(self.spark, self.root, self.bucket_rows)
         # side-effect results (fetches, model responses) go next to the tables: a shared folder
         if self.scratch_dir is None:
             self.scratch_dir = f"{self.root.rstrip('/')}/_scratch"
@@ -62,9 +62,16 @@ class Pipeline:
         return self.store.upsert("url", rows, lambda old, batch: upsert(old, batch, S.URL, now))
 
     def sync(self, iteration: int = 0, mode: str = "append") -> int:
-        """SYNC1: registry → control rows at URL/NEW/READY."""
-        out = sync_from_registry(self.table("url"), self.table("pipeline_control"), self._now(), iteration, mode)
-        return self.store.write("pipeline_control", out)
+        """SYNC1: registry → control rows at URL/NEW/READY.  Appending writes the
+        buckets of the new rows only."""
+        control = self.table("pipeline_control")
+        out = sync_from_registry(self.table("url"), control, self._now(), iteration, mode)
+        if mode == "replace":
+            return self.store.write("pipeline_control", out)
+        new = materialize(out.join(control.select(*PK), list(PK), "left_anti"))
+        version = self.store.upsert("pipeline_control", new, lambda old, rows: old.unionByName(rows))
+        release_materialized(self.spark)
+        return version
 
     def run_urls(self, max_batch: int | None = None) -> dict:
         """RUN1 (+AGG9 counters)."""
@@ -128,5 +135,11 @@ class Pipeline:
         return out
 
     def progress(self) -> DataFrame:
-        """AGG1 over the current control table."""
-        return progress_counts(self.table("pipeline_control"))
+        """AGG1 of the current control table, from the counts kept with its buckets:
+        no data is read."""
+        return self.spark.createDataFrame(self.store.counts("pipeline_control"), "stage string, status string, count long")
+
+    def status(self, urls: DataFrame) -> DataFrame:
+        """SRC6: the control rows of the given URLs (column ``url``); only the buckets
+        they can be in are opened."""
+        return self.store.lookup("pipeline_control", urls)

@@ -1,37 +1,120 @@
 """Table storage on immutable files (SNK2–SNK4) and lineage cuts.
 
-The rows of a table are dealt into buckets by the hash of the primary key.  A
-write puts whole new buckets into a folder of its own; a version is a small
-manifest that names the folder of each bucket.  An upsert reads and rewrites the
-buckets its keys fall into and no others.  Nothing that is being read is ever
-overwritten (a single writer is assumed; with a transactional table format the
-same DataFrames go into ``MERGE``); a write that dies leaves an unnamed folder
-behind, which ``vacuum`` removes, and the next write goes ahead."""
+The rows of a table lie in buckets by extendible hashing.  A bucket is a prefix of
+the hash of the key's first column (the URL) and, where one URL alone is too much
+for a bucket, a prefix of the hash of the whole key.  A bucket that would pass its
+size splits before it is written, so one task writes one file of bounded size; the
+directory of all buckets is part of the version's manifest.
+
+A write puts whole new buckets into a folder of its own; a version is its manifest,
+which names each bucket's folder.  An upsert reads and rewrites the buckets its
+keys fall into and no others; a lookup of URLs opens only the buckets they can be
+in.  The manifest also holds each bucket's rows by stage and status, so progress
+is read from it alone.  Nothing that is being read is ever overwritten (a single
+writer is assumed; with a transactional table format the same DataFrames go into
+``MERGE``); a write that dies leaves an unnamed folder behind, which ``vacuum``
+removes, and the next write goes ahead."""
 
 from __future__ import annotations
 
 import json
+import math
 import re
 import uuid
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablerail import schemas as S
 from tablerail.session import checkpoint_dir
 
 _VERSION = re.compile(r"^v=(\d+)$")
 BUCKET = "_bucket"
+HASH_BITS = 40
+# Rows of a bucket: some hundred MB.
+BUCKET_ROWS = {"url": 2_000_000, "pipeline_control": 2_000_000, "web_page": 50_000, "web_summary": 50_000}
+# Counted for each bucket when it is written.
+COUNTED = {"pipeline_control": ("stage", "status")}
+# Splits look at so many bits of the hash at most beyond the bucket's own.
+LOOK_AHEAD = 14
+# Buckets up to this number are dealt to tasks by their place in a list.
+LISTED_BUCKETS = 4096
+
+
+@dataclass(frozen=True)
+class Bucket:
+    """The rows whose URL hash ends in the ``ubits`` bits ``uval``, and whose key hash
+    ends in the ``kbits`` bits ``kval`` (0 bits: all)."""
+
+    ubits: int = 0
+    uval: int = 0
+    kbits: int = 0
+    kval: int = 0
+    folder: str | None = None  # None: no rows
+    rows: int = 0
+    counts: list = field(default_factory=list, compare=False)  # [[stage, status, rows], …]
+
+    @property
+    def id(self) -> str:
+        return f"u{self.ubits}-{self.uval}.k{self.kbits}-{self.kval}"
+
+
+def _hash(salt: int, columns: Sequence[str]) -> Column:
+    return F.xxhash64(F.lit(salt), *columns).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+
+
+def url_hash(spec: S.TableSpec) -> Column:
+    return _hash(1, spec.primary_keys[:1])
+
+
+def key_hash(spec: S.TableSpec) -> Column:
+    return _hash(2, spec.primary_keys)
+
+
+def bucket_of(spec: S.TableSpec, buckets: Sequence[Bucket]) -> Column:
+    """The id of a row's bucket among the given ones; NULL if it is in none."""
+    kinds: dict[tuple[int, int], list[str]] = {}
+    for b in buckets:
+        kinds.setdefault((b.ubits, b.kbits), []).append(b.id)
+
+    def name(u: int, k: int) -> Column:
+        part = lambda h, bits: h.bitwiseAND(F.lit((1 << bits) - 1)).cast("string")
+        return F.concat(F.lit(f"u{u}-"), part(url_hash(spec), u), F.lit(f".k{k}-"), part(key_hash(spec), k))
+    choices = []
+    for (u, k), ids in kinds.items():
+        whole = len(ids) == 1 << (u + k)
+        choices.append(name(u, k) if whole else F.when(name(u, k).isin(ids), name(u, k)))
+    return F.coalesce(*choices) if choices else F.lit(None).cast("string")
+
+
+def split(b: Bucket, sizes: dict[int, int], limit: int, top: int) -> list[Bucket]:
+    """``b`` cut until no part is expected to pass ``limit`` rows.
+
+    ``sizes``: rows by URL hash, of which the lowest ``top`` bits are known.  Where
+    one such value alone is too much (a hot URL) the whole key's hash goes on."""
+    n = sum(sizes.values())
+    if n <= limit:
+        return [replace(b, folder=None, rows=0)]
+    if b.kbits or b.ubits >= top or len(sizes) == 1:
+        bits = max(1, math.ceil(math.log2(n / limit)))
+        return [replace(b, kbits=b.kbits + bits, kval=b.kval | i << b.kbits, folder=None, rows=0) for i in range(1 << bits)]
+    out = []
+    for bit in (0, 1):
+        part = {v: c for v, c in sizes.items() if v >> b.ubits & 1 == bit}
+        out += split(replace(b, ubits=b.ubits + 1, uval=b.uval | bit << b.ubits), part, limit, top)
+    return out
 
 
 class TableStore:
-    """Tables under ``root``.  ``buckets``: how finely a table is cut, fixed when
-    its first version is written (16 for tests and small tables; choose it so that
-    a bucket is some hundred MB)."""
+    """Tables under ``root``.  ``bucket_rows``: rows from which a bucket splits, for
+    all tables (default: by table, so that a bucket is some hundred MB)."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, root: str, bucket_rows: int | None = None):
+        self.spark, self.root, self.bucket_rows = spark, root.rstrip("/"), bucket_rows
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._io = jvm.org.apache.commons.io.IOUtils
@@ -74,48 +157,107 @@ class TableStore:
     def exists(self, table: str) -> bool:
         return bool(self._versions(table))
 
-    # -- buckets --------------------------------------------------------------
-    @staticmethod
-    def _bucket(spec: S.TableSpec, buckets: int) -> Column:
-        return F.pmod(F.xxhash64(*spec.primary_keys), F.lit(buckets)).cast("int")
+    def buckets(self, table: str, version: int | None = None) -> list[Bucket]:
+        """The directory of a version."""
+        return [Bucket(*b["at"], b["folder"], b["rows"], b["counts"]) for b in self._manifest(table, version)["buckets"]]
+
+    def marks(self, table: str) -> dict[str, int]:
+        """What writers noted with the live version (see ``upsert``)."""
+        return self._manifest(table).get("marks", {})
+
+    def _next(self, table: str, buckets: Sequence[Bucket], marks: dict[str, int]) -> int:
+        return self._commit(table, {"marks": marks, "buckets": [
+            {"at": [b.ubits, b.uval, b.kbits, b.kval], "folder": b.folder, "rows": b.rows, "counts": b.counts} for b in buckets]})
 
-    def _put(self, table: str, df: DataFrame, buckets: int) -> str:
-        """Write rows by bucket into a new folder; returns its name."""
+    # -- buckets --------------------------------------------------------------
+    def _limit(self, table: str) -> int:
+        return self.bucket_rows or BUCKET_ROWS.get(table, 1_000_000)
+
+    def _sizes(self, table: str, keys: DataFrame, buckets: Sequence[Bucket]) -> dict[str, int]:
+        """Rows of ``keys`` by bucket (as many numbers as there are buckets, at most)."""
+        return {r[0]: r[1] for r in keys.groupBy(bucket_of(S.table_spec(table), buckets).alias("b")).count().collect() if r[0] is not None}
+
+    def touched(self, table: str, keys: DataFrame) -> list[str]:
+        """The ids of the buckets that ``keys`` (with the key columns) fall into."""
+        return sorted(self._sizes(table, keys, self.buckets(table)))
+
+    def _grown(self, table: str, buckets: list[Bucket], expected: dict[str, int], keys: DataFrame) -> list[Bucket]:
+        """``buckets`` with those split that are expected to pass their size.
+
+        ``keys``: the key columns of the rows to come; they are counted by more bits
+        of the URL's hash, and only for buckets that split."""
+        spec, limit = S.table_spec(table), self._limit(table)
+        over = [b for b in buckets if expected[b.id] > limit]
+        if not over:
+            return buckets
+        ahead = min(LOOK_AHEAD, 3 + max(math.ceil(math.log2(expected[b.id] / limit)) for b in over))
+        top = min(HASH_BITS, max(b.ubits for b in over) + ahead)
+        low = url_hash(spec).bitwiseAND(F.lit((1 << top) - 1)).alias("low")
+        seen: dict[str, dict[int, int]] = {b.id: {} for b in over}
+        for r in keys.groupBy(bucket_of(spec, over).alias("b"), low).count().where("b IS NOT NULL").collect():
+            seen[r[0]][r[1]] = r[2]
+        return [p for b in buckets for p in (split(b, seen[b.id], limit, top) if b.id in seen else [b])]
+
+    def _put(self, table: str, df: DataFrame, buckets: Sequence[Bucket]) -> list[Bucket]:
+        """Write rows by bucket into a new folder; returns the buckets as written."""
         spec = S.table_spec(table)
         folder = f"data-{uuid.uuid4().hex}"
-        rows = df.select(*spec.columns).withColumn(BUCKET, self._bucket(spec, buckets))
-        # one file a bucket; the bucket is a hash of the whole key, so none is hot
-        rows.repartition(buckets, BUCKET).write.mode("error").partitionBy(BUCKET).parquet(f"{self.root}/{table}/{folder}")
-        return folder
-
-    def _get(self, table: str, folders: dict[int, str]) -> DataFrame:
+        path = f"{self.root}/{table}/{folder}"
+        own = F.coalesce(bucket_of(spec, buckets), F.raise_error(F.lit(f"a row of {table} left its buckets")).cast("string"))
+        rows = df.select(*spec.columns).withColumn(BUCKET, own)
+        # one task and one file a bucket
+        if len(buckets) <= LISTED_BUCKETS:
+            place = F.create_map(*[F.lit(x) for i, b in enumerate(buckets) for x in (b.id, i)])
+            rows = rows.repartitionById(len(buckets), place[F.col(BUCKET)])
+        else:
+            rows = rows.repartition(len(buckets), BUCKET)
+        rows.sortWithinPartitions(BUCKET, *spec.primary_keys).write.mode("error").partitionBy(BUCKET).parquet(path)
+        kinds = COUNTED.get(table, ())
+        schema = T.StructType([*spec.schema.fields, T.StructField(BUCKET, T.StringType())])
+        found: dict[str, list] = {}
+        for r in self.spark.read.schema(schema).parquet(path).groupBy(BUCKET, *kinds).count().collect():
+            found.setdefault(r[0], []).append([*r[1:-1], r[-1]])
+        return [replace(b, folder=folder if b.id in found else None, rows=sum(c[-1] for c in found.get(b.id, [])), counts=found.get(b.id, []))
+                for b in buckets]
+
+    def _get(self, table: str, buckets: Sequence[Bucket]) -> DataFrame:
         spec = S.table_spec(table)
-        paths = [f"{self.root}/{table}/{f}/{BUCKET}={b}" for b, f in sorted(folders.items())]
-        there = [p for p in paths if self._fs.exists(self._Path(p))]  # a bucket without rows has no folder
-        if not there:
+        paths = [f"{self.root}/{table}/{b.folder}/{BUCKET}={b.id}" for b in buckets if b.folder]
+        if not paths:
             return self.spark.createDataFrame([], spec.schema)
-        return self.spark.read.schema(spec.schema).parquet(*there).select(*spec.columns)
+        return self.spark.read.schema(spec.schema).parquet(*paths).select(*spec.columns)
 
     # -- tables ---------------------------------------------------------------
     def read(self, table: str, version: int | None = None) -> DataFrame:
-        m = self._manifest(table, version)
-        return self._get(table, {int(b): f for b, f in m["folders"].items()})
+        return self._get(table, self.buckets(table, version))
+
+    def lookup(self, table: str, urls: DataFrame) -> DataFrame:
+        """The rows of the given URLs (column ``url``): only buckets whose part of
+        the URL hash holds one of them are opened."""
+        spec, buckets = S.table_spec(table), self.buckets(table)
+        first = spec.primary_keys[0]
+        wanted = urls.select(F.col("url").alias(first)).distinct()
+        widest = max(b.ubits for b in buckets)
+        # as many values as there are buckets, at most
+        values = [r[0] for r in wanted.select(url_hash(spec).bitwiseAND(F.lit((1 << widest) - 1))).distinct().collect()]
+        ends = {bits: {v & ((1 << bits) - 1) for v in values} for bits in {b.ubits for b in buckets}}
+        return self._get(table, [b for b in buckets if b.uval in ends[b.ubits]]).join(wanted, first, "left_semi")
+
+    def counts(self, table: str) -> list[tuple]:
+        """Rows by the table's counted columns, from the manifest alone."""
+        total: Counter = Counter()
+        for b in self.buckets(table):
+            for *kind, n in b.counts:
+                total[tuple(kind)] += n
+        return [(*k, n) for k, n in sorted(total.items(), key=str)]
 
     def write(self, table: str, df: DataFrame) -> int:
         """Write the whole table as the next version; returns its number."""
-        buckets = self._manifest(table)["buckets"] if self.exists(table) else self.buckets
-        folder = self._put(table, df, buckets)
-        return self._commit(table, {"buckets": buckets, "folders": {b: folder for b in range(buckets)},
-                                    "marks": self.marks(table) if self.exists(table) else {}})
-
-    def touched(self, table: str, keys: DataFrame) -> list[int]:
-        """The buckets that ``keys`` (with the key columns) fall into."""
-        spec, m = S.table_spec(table), self._manifest(table)
-        return sorted(r[0] for r in keys.select(self._bucket(spec, m["buckets"])).distinct().collect())  # buckets at most
-
-    def marks(self, table: str) -> dict[str, int]:
-        """What writers noted with the live version (see ``upsert``)."""
-        return self._manifest(table).get("marks", {})
+        there = self.exists(table)
+        buckets = [replace(b, folder=None, rows=0, counts=[]) for b in self.buckets(table)] if there else [Bucket()]
+        sizes = self._sizes(table, df, buckets)
+        grown = self._grown(table, buckets, {b.id: sizes.get(b.id, 0) for b in buckets}, df)
+        return self._next(table, self._put(table, df, grown), self.marks(table) if there else {})
 
     def upsert(self, table: str, batch: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame],
                marks: dict[str, int] | None = None) -> int:
@@ -124,27 +266,29 @@ class TableStore:
         ``apply`` sees the whole rows of those buckets and must not move a key.
         ``marks`` are noted in the same commit: a writer that finds its own mark
         knows that this batch is in."""
-        m = self._manifest(table)
-        noted = m.get("marks", {}) | (marks or {})
-        hit = self.touched(table, batch)
-        if not hit and noted == m.get("marks", {}):
-            return self._versions(table)[-1]
-        folders = {int(b): f for b, f in m["folders"].items()}
-        if hit:
-            folder = self._put(table, apply(self._get(table, {b: folders[b] for b in hit}), batch), m["buckets"])
-            folders |= {b: folder for b in hit}
-        return self._commit(table, {"buckets": m["buckets"], "folders": folders, "marks": noted})
+        keys = list(S.table_spec(table).primary_keys)
+        return self._rewrite(table, batch, lambda old: apply(old, batch), lambda old: old.select(*keys).unionByName(batch.select(*keys)), marks)
 
     def replace_rows(self, table: str, new_table: DataFrame, changed: DataFrame) -> int:
         """Write the buckets of the ``changed`` keys from ``new_table``, a next
         version of the whole table that differs at those keys only."""
-        m = self._manifest(table)
-        hit = self.touched(table, changed)
-        if not hit:
+        return self._rewrite(table, changed, lambda old: new_table, lambda old: new_table, None)
+
+    def _rewrite(self, table: str, changed: DataFrame, rows: Callable[[DataFrame], DataFrame], keys: Callable[[DataFrame], DataFrame],
+                 marks: dict[str, int] | None) -> int:
+        spec, buckets = S.table_spec(table), self.buckets(table)
+        had = self.marks(table)
+        more = self._sizes(table, changed, buckets)
+        if not more and had == had | (marks or {}):
             return self._versions(table)[-1]
-        rows = new_table.where(self._bucket(S.table_spec(table), m["buckets"]).isin(hit))
-        folder = self._put(table, rows, m["buckets"])
-        return self._commit(table, m | {"folders": m["folders"] | {str(b): folder for b in hit}})
+        hit = [b for b in buckets if b.id in more]
+        new: list[Bucket] = []
+        if hit:
+            old = self._get(table, hit)
+            grown = self._grown(table, hit, {b.id: b.rows + more[b.id] for b in hit}, keys(old))
+            out = rows(old)
+            new = self._put(table, out.where(bucket_of(spec, grown).isNotNull()) if len(hit) < len(buckets) else out, grown)
+        return self._next(table, [b for b in buckets if b.id not in more] + new, had | (marks or {}))
 
     def vacuum(self, table: str, keep: int = 2) -> list[int]:
         """Delete all but the newest ``keep`` versions (readers of an older one must
@@ -154,7 +298,7 @@ class TableStore:
             raise ValueError("keep at least the live version")
         vs = self._versions(table)
         old, live = vs[:-keep], vs[-keep:]
-        named = {f for v in live for f in self._manifest(table, v)["folders"].values()}
+        named = {b.folder for v in live for b in self.buckets(table, v)}
         for v in old:
             self._fs.delete(self._Path(f"{self.root}/{table}/v={v}"), False)
         for st in self._fs.listStatus(self._Path(f"{self.root}/{table}")):

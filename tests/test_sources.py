@@ -123,26 +123,101 @@ def test_store_vacuum(spark, scratch):
         store.vacuum("url", keep=0)
 
 
+def _urls(spark, n):
+    return spark.range(n).select(F.concat(F.lit("u"), "id").alias("url"), F.lit("s").alias("source"), *[
+        F.lit(None).cast(S.URL.dtype(c)).alias(c) for c in ("tags", "created_at", "updated_at")])
+
+
+def _control(spark, keys):
+    """(url, iteration, stage, status) as control rows."""
+    rows = spark.createDataFrame(keys, "url string, iteration int, stage string, status string")
+    return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(S.PIPELINE_CONTROL.dtype(c)).alias(c)
+                         for c in S.PIPELINE_CONTROL.columns])
+
+
 def test_upsert_rewrites_only_the_buckets_of_its_keys(spark, scratch):
     from tablerail.operators.upsert import upsert
-    store = TableStore(spark, os.path.join(scratch, "tables"), buckets=32)
-    rows = spark.range(500).select(F.concat(F.lit("u"), "id").alias("url"), F.lit("s").alias("source"), *[
-        F.lit(None).cast(S.URL.dtype(c)).alias(c) for c in ("tags", "created_at", "updated_at")])
+    store = TableStore(spark, os.path.join(scratch, "tables"), bucket_rows=40)
+    rows = _urls(spark, 500)
     store.write("url", rows)
-    before = store._manifest("url")["folders"]
+    before = {b.id: b for b in store.buckets("url")}
+    assert len(before) >= 13 and all(b.rows <= 40 for b in before.values()) and sum(b.rows for b in before.values()) == 500
     batch = rows.where("url IN ('u1', 'u2')").withColumn("source", F.lit("new")).unionByName(
         rows.limit(1).withColumn("url", F.lit("other")).withColumn("source", F.lit("new")))
     hit = store.touched("url", batch)
     store.upsert("url", batch, lambda old, b: upsert(old, b, S.URL, TEST_NOW))
-    after = store._manifest("url")["folders"]
-    assert 1 <= len(hit) <= 3 and {int(b) for b in after if after[b] != before[b]} == set(hit)
-    new = os.path.join(scratch, "tables", "url", after[str(hit[0])])
-    assert sorted(d for d in os.listdir(new) if d.startswith("_bucket")) == sorted(f"_bucket={b}" for b in hit)
+    after = {b.id: b for b in store.buckets("url")}
+    assert 1 <= len(hit) <= 3 and {i for i, b in before.items() if i not in after or after[i].folder != b.folder} == set(hit)
     got = {r.url: r.source for r in store.read("url").collect()}
     assert len(got) == 501 and {u for u, s in got.items() if s == "new"} == {"u1", "u2", "other"}
     assert store.upsert("url", batch.limit(0), lambda old, b: old) == 1  # nothing to write: the version stays
 
 
+def test_buckets_split_as_a_table_grows(spark, scratch):
+    """Loaded step by step: buckets split, each file stays bounded, no row is lost."""
+    from tablerail.operators.upsert import upsert
+    store = TableStore(spark, os.path.join(scratch, "tables"), bucket_rows=50)
+    store.bootstrap(["url"])
+    sizes = []
+    for n in (30, 90, 400, 1000):
+        store.upsert("url", _urls(spark, n).where(f"int(substr(url, 2)) >= {n // 4}"), lambda old, b: upsert(old, b, S.URL, TEST_NOW))
+        buckets = store.buckets("url")
+        sizes.append(len(buckets))
+        assert all(b.rows <= 50 for b in buckets)
+        for b in buckets:
+            # the directory covers every key exactly once
+            assert sum(o.uval == b.uval & ((1 << o.ubits) - 1) for o in buckets if o.ubits <= b.ubits and not o.kbits) == 1
+    assert sizes == sorted(sizes) and sizes[0] == 1 and sizes[-1] > 16
+    want = {f"u{i}" for n in (30, 90, 400, 1000) for i in range(n // 4, n)}
+    assert {r.url for r in store.read("url").collect()} == want
+
+
+def test_a_hot_url_is_cut_by_the_whole_key(spark, scratch):
+    store = TableStore(spark, os.path.join(scratch, "tables"), bucket_rows=50)
+    rows = _control(spark, [("hot", i, "URL", "NEW") for i in range(600)] + [(f"u{i}", 0, "DONE", "NEW") for i in range(300)])
+    store.write("pipeline_control", rows)
+    buckets = store.buckets("pipeline_control")
+    assert any(b.kbits for b in buckets) and max(b.rows for b in buckets) < 120
+    more = _control(spark, [("hot", i, "URL", "NEW") for i in range(600, 900)])
+    store.upsert("pipeline_control", more, lambda old, b: old.unionByName(b))
+    assert store.read("pipeline_control").count() == 1200 and max(b.rows for b in store.buckets("pipeline_control")) < 120
+    assert store.lookup("pipeline_control", spark.createDataFrame([("hot",)], "url string")).count() == 900
+
+
+def test_a_lookup_opens_only_buckets_of_its_urls(spark, scratch):
+    store = TableStore(spark, os.path.join(scratch, "tables"), bucket_rows=40)
+    store.write("url", _urls(spark, 1000))
+    wanted = spark.createDataFrame([("u5",), ("u6",), ("u5",), ("none",)], "url string")
+    found = store.lookup("url", wanted)
+    assert sorted(r.url for r in found.collect()) == ["u5", "u6"]
+    opened = {f.split("_bucket=")[1].split("/")[0] for f in store._get("url", store.buckets("url")).inputFiles()}
+    some = {f.split("_bucket=")[1].split("/")[0] for f in found.inputFiles() if "_bucket=" in f}
+    assert len(opened) > 25 and 1 <= len(some) <= 3
+
+
+def test_progress_is_kept_with_the_buckets(spark, scratch):
+    """After random commits the counts equal a recount, and need no data file."""
+    import random
+    import shutil
+
+    from tablerail.operators.queries import progress_counts
+    from tablerail.plans.pipeline import Pipeline
+    rng = random.Random(4)
+    pipe = Pipeline(spark, os.path.join(scratch, "tables"), bucket_rows=20)
+    pipe.bootstrap()
+    for _ in range(5):
+        keys = {(f"u{rng.randrange(60)}", rng.randrange(3)) for _ in range(30)}
+        batch = _control(spark, [(u, i, rng.choice(["URL", "DONE", None]), rng.choice(["NEW", "ERROR"])) for u, i in keys])
+        pipe.store.upsert("pipeline_control", batch,
+                          lambda old, b: old.join(b.select("url", "iteration"), ["url", "iteration"], "left_anti").unionByName(b))
+        recount = sorted(map(str, progress_counts(pipe.table("pipeline_control")).select("stage", "status", "count").collect()))
+        assert sorted(map(str, pipe.progress().collect())) == recount
+    for d in os.listdir(os.path.join(scratch, "tables", "pipeline_control")):
+        if d.startswith("data-"):
+            shutil.move(os.path.join(scratch, "tables", "pipeline_control", d), os.path.join(scratch, d))
+    assert sorted(map(str, pipe.progress().collect())) == recount
+
+
 def test_a_write_that_died_blocks_nothing(spark, scratch):
     store = TableStore(spark, os.path.join(scratch, "tables"))
     store.bootstrap(["url"])
@@ -155,7 +230,7 @@ def test_a_write_that_died_blocks_nothing(spark, scratch):
     assert store.write("url", rows) == 1 and store.read("url").count() == 1
     store.vacuum("url", keep=1)
     left = [d for d in os.listdir(os.path.join(scratch, "tables", "url")) if d.startswith("data-")]
-    assert left == [store._manifest("url")["folders"]["0"]] and store.read("url").count() == 1
+    assert left == [store.buckets("url")[0].folder] and store.read("url").count() == 1
 
 
 def test_materialized_folders_are_released(spark, scratch):
