@@ -3,8 +3,8 @@
 A rehydrator is a pandas function applied per URL (``applyInPandas``).  A
 URL's rows are cut into slices of at most ``chunk`` iterations so that one
 URL with a huge history never lands whole in one Python worker; a function
-that needs the whole URL combines its per-slice outputs afterwards (they
-carry ``part``)."""
+that needs the whole URL joins its slices' objects in a tree, a bounded number
+at a time."""
 
 from __future__ import annotations
 
@@ -30,19 +30,72 @@ def stage_history(pdf: pd.DataFrame) -> pd.DataFrame:
     })
 
 
+# Slice objects that one call of a combine function sees at most.
+FAN_IN = 64
+
+
+def _one(combine):
+    """``combine`` with its rule: one object for the objects it is given."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = combine(pdf.sort_values("part"))
+        if len(out) != 1:
+            raise ValueError(f"a combine function must return one row for its {len(pdf)}, not {len(out)}")
+        return out.assign(part=pdf["_to"].iloc[0])
+    return run
+
+
 def rehydrate_by_url(df: DataFrame, fn=stage_history, schema: T.StructType = SLICE_SCHEMA, chunk: int = 1000,
-                     combine=None, combined: T.StructType | str | None = None) -> DataFrame:
+                     combine=None, fan_in: int = FAN_IN) -> DataFrame:
     """UDF1: ``fn`` over each (url, iteration-range) slice; then, if given,
-    ``combine`` over the outputs of all slices of a URL (in order of ``part``),
-    which sees the whole URL as its slices' small results (schema ``combined``)."""
-    slices = (df.withColumn("part", F.floor(F.col("iteration") / F.lit(chunk)).cast("bigint"))
-              .groupBy("url", "part").applyInPandas(fn, schema))
+    ``combine`` over neighbouring slices' objects, round by round, until each URL
+    has one.
+
+    ``combine`` gets at most ``fan_in`` objects of one URL (the same columns, in
+    order of ``part``) and must return one, which stands for them in the next
+    round: it has to be associative, and its object should be no larger than what
+    it replaces.  The number of rounds is the logarithm of the widest range of
+    parts, so a URL with a third of all rows costs a round or two more, and no
+    group passes ``fan_in`` objects or ``chunk`` iterations."""
+    if chunk < 1 or fan_in < 2:
+        raise ValueError("slices hold at least one iteration, and rounds join at least two slices")
+    part = F.floor(F.col("iteration") / F.lit(chunk)).cast("bigint")
     if combine is None:
-        return slices
-    return slices.groupBy("url").applyInPandas(lambda pdf: combine(pdf.sort_values("part")), combined or schema)
+        return df.withColumn("part", part).groupBy("url", "part").applyInPandas(fn, schema)
+    low, high = df.agg(F.min(part), F.max(part)).first()
+    low, span = low or 0, (high or 0) - (low or 0) + 1
+    # a row without an iteration comes first
+    out = df.withColumn("part", F.coalesce(part - F.lit(low), F.lit(0))).groupBy("url", "part").applyInPandas(fn, schema)
+    more = T.StructType(schema.fields)
+    while span > 1:
+        to = F.floor(F.col("part") / F.lit(fan_in)).cast("bigint")
+        out = out.withColumn("_to", to).groupBy("url", "_to").applyInPandas(_one(combine), more)
+        span = -(-span // fan_in)
+    return out
 
 
 def whole_history(pdf: pd.DataFrame) -> pd.DataFrame:
     """Example combine step: one object per URL from its slices' objects."""
     return pd.DataFrame({"url": [pdf["url"].iloc[0]], "part": [0], "n_rows": [int(pdf["n_rows"].sum())],
                          "stages": [",".join(pdf["stages"])], "last_iteration": [int(pdf["last_iteration"].max())]})
+
+
+SUMMARY_SCHEMA = T.StructType([
+    T.StructField("url", T.StringType()), T.StructField("part", T.LongType()), T.StructField("n_rows", T.LongType()),
+    T.StructField("changes", T.LongType()), T.StructField("first_stage", T.StringType()), T.StructField("last_stage", T.StringType()),
+])
+
+
+def stage_summary(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Rehydrator with an object of fixed size: rows, changes of stage, first and last stage."""
+    stages = pdf.sort_values("iteration")["stage"].astype(str).tolist()
+    return pd.DataFrame({"url": [pdf["url"].iloc[0]], "part": [int(pdf["part"].iloc[0])], "n_rows": [len(stages)],
+                         "changes": [sum(a != b for a, b in zip(stages, stages[1:], strict=False))],
+                         "first_stage": [stages[0]], "last_stage": [stages[-1]]})
+
+
+def joined_summary(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Combine step of ``stage_summary``: a change may lie between two objects."""
+    between = sum(a != b for a, b in zip(pdf["last_stage"], pdf["first_stage"].iloc[1:], strict=False))
+    return pd.DataFrame({"url": [pdf["url"].iloc[0]], "part": [0], "n_rows": [int(pdf["n_rows"].sum())],
+                         "changes": [int(pdf["changes"].sum()) + between], "first_stage": [pdf["first_stage"].iloc[0]],
+                         "last_stage": [pdf["last_stage"].iloc[-1]]})

@@ -26,19 +26,29 @@ def _shown(pk: Sequence[str]):
     return F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit("NULL"))) for k in pk])
 
 
+def row_digest(columns: Sequence[str]) -> tuple:
+    """128 bits of a row's values as two longs; which values are NULL counts."""
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns]) if columns else F.lit("")
+    return F.xxhash64(F.lit(1), nulls, *columns), F.xxhash64(F.lit(2), *reversed(columns), nulls)
+
+
 def one_row_per_key(batch: DataFrame, pk: Sequence[str]) -> DataFrame:
     """``batch`` with one row per key (one exchange, on the key).
 
     Equal rows collapse; a key with different rows, or with a NULL in it (also
-    one that could not be cast), raises when the plan runs."""
+    one that could not be cast), raises when the plan runs.  Digests of 128 bits
+    decide what is equal, so each row passes the exchange once."""
     rest = [c for c in batch.columns if c not in pk]
     values = F.struct(*rest) if rest else F.lit(True)
-    g = batch.groupBy(*pk).agg(F.min(values).alias("_least"), F.max(values).alias("_most"))
+    low, high = row_digest(rest)
+    d = batch.select(*pk, values.alias("_row"), low.alias("_low"), high.alias("_high"))
+    g = d.groupBy(*pk).agg(F.first("_row").alias("_row"), *[f(c).alias(f"{c}{n}") for c in ("_low", "_high") for n, f in enumerate((F.min, F.max))])
     null_key = F.lit(False)
     for k in pk:
         null_key = null_key | F.col(k).isNull()
+    equal = (F.col("_low0") == F.col("_low1")) & (F.col("_high0") == F.col("_high1"))
     one = (F.when(null_key, F.raise_error(F.concat(F.lit("NULL in primary key: "), _shown(pk))))
-           .when(F.col("_least") == F.col("_most"), F.col("_least"))
+           .when(equal, F.col("_row"))
            .otherwise(F.raise_error(F.concat(F.lit("duplicate primary keys with different rows: "), _shown(pk)))))
     out = g.select(*pk, one.alias("_one"))
     return out.select(*[F.col(c) if c in pk else F.col("_one")[c].alias(c) for c in batch.columns])
@@ -134,10 +144,24 @@ def _batch_rows(j: DataFrame, spec: S.TableSpec, now) -> DataFrame:
 
 
 def insert_only_new(existing: DataFrame, batch: DataFrame, pk: Sequence[str]) -> DataFrame:
-    """JN2/JN3/UPS3: batch rows whose key is not in ``existing``."""
+    """JN2/UPS3: batch rows whose key is not in ``existing``."""
     return batch.join(existing.select(*pk), list(pk), "left_anti")
 
 
+# Keys of a batch that may be sent to all tasks.
+FEW_KEYS = 100_000
+
+
+def insert_only_new_bounded(existing: DataFrame, batch: DataFrame, pk: Sequence[str], few: int = FEW_KEYS) -> DataFrame:
+    """JN3: ``insert_only_new`` for a batch of at most ``few`` rows.  Its keys are
+    sent to the table, so the table is scanned and not exchanged; a larger batch
+    takes the plain way."""
+    if batch.limit(few + 1).count() > few:
+        return insert_only_new(existing, batch, pk)
+    there = existing.select(*pk).join(F.broadcast(batch.select(*pk)), list(pk), "left_semi")
+    return batch.join(there, list(pk), "left_anti")
+
+
 def delete_matching(existing: DataFrame, batch: DataFrame, pk: Sequence[str]) -> DataFrame:
     """JN4: existing rows whose key is not in ``batch``."""
     return existing.join(batch.select(*pk), list(pk), "left_anti")

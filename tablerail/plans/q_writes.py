@@ -169,10 +169,9 @@ def jn2_anti_insert(spark, sf_dir):
 
 @register("jn3_anti_insert_bounded", _sql(NEW_ONLY))
 def jn3_anti_insert_bounded(spark, sf_dir):
-    """JN3 with a bounded batch: matched keys found by a broadcast semi join first."""
-    # the batch a runner would insert: claimed rows only, a narrow key set
+    """JN3 with a bounded batch: its keys are broadcast to the table, which is not exchanged."""
     batch = U.prepare_batch(incoming_fx(spark, sf_dir), S.PIPELINE_CONTROL, TEST_NOW)
-    return U.insert_only_new(control_base(spark, sf_dir).where(F.col("url").isNotNull()), batch, ["url", "iteration"])
+    return U.insert_only_new_bounded(control_base(spark, sf_dir).where(F.col("url").isNotNull()), batch, ["url", "iteration"])
 
 
 @register("jn4_delete_matching", _sql(UNTOUCHED_SQL))

@@ -38,14 +38,24 @@ class TableFetcher:
     ``version`` column if one is named, else the greatest html text (so the
     choice depends on the data alone)."""
 
+    # A batch of so many keys is sent to all tasks, and only its pages are shuffled.
+    FEW_KEYS = 100_000
+
     def __init__(self, pages: DataFrame, url_col: str = "url", html_col: str = "html", version_col: str | None = None):
         rank = F.struct(*([F.col(version_col)] if version_col else []), F.col(html_col).alias("html"))
+        self.crawl = pages.select(F.col(url_col).alias("url"), rank.alias("_page"))
+
+    def pages_of(self, keys: DataFrame) -> DataFrame:
+        """(url, html): the pages of the keys' URLs; of all URLs if the keys are many."""
+        crawl = self.crawl
+        if keys.limit(self.FEW_KEYS + 1).count() <= self.FEW_KEYS:
+            crawl = crawl.join(F.broadcast(keys.select("url").distinct()), "url", "left_semi")
         # partial maxima before the shuffle: a URL crawled very often is no hot task
-        self.pages = (pages.groupBy(F.col(url_col).alias("url")).agg(F.max(rank).alias("_best"))
-                      .select("url", F.col("_best.html").alias("html")))
+        return crawl.groupBy("url").agg(F.max("_page").alias("_best")).select("url", F.col("_best.html").alias("html"))
 
     def fetch(self, keys: DataFrame) -> DataFrame:
         k = keys.select("url", "iteration")
+        pages = self.pages_of(k)
         # The key set is narrow but every key expands into a page to clean.
         # Hash it on the whole key into the shuffle width, so the cleaning
         # that follows never runs in the one task AQE would coalesce a
@@ -54,7 +64,7 @@ class TableFetcher:
         # sort-merge join on url whose own shuffle AQE may split for skew.
         n = int(k.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         k = k.repartition(n, "url", "iteration")
-        j = k.join(self.pages, "url", "left")
+        j = k.join(pages, "url", "left")
         return j.select("url", "iteration",
                         F.when(F.col("html").isNotNull(), F.lit(200)).cast("int").alias("status_code"),
                         "html", F.when(F.col("html").isNull(), F.lit("not found")).alias("error"))
