@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tablerail.llm import common, vectors as V
 
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query_row long, query_id long, vec_id long, score long"
 LEAF = 256
 LIMIT = float(2**53)
 
@@ -68,28 +68,31 @@ def _exact_as_float(m: np.ndarray, q: np.ndarray) -> bool:
     return not m.size or not q.size or m.shape[1] * float(np.abs(m).max()) * float(np.abs(q).max()) < LIMIT
 
 
-def _search_large(ids: np.ndarray, m: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int) -> list[tuple]:
+def _search_large(ids: np.ndarray, m: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int, names: np.ndarray) -> list[tuple]:
     """All products with Python integers, for components beyond 53 bits."""
     rows, out = [[int(x) for x in r] for r in m], []
-    for qid, qr in zip(qids.tolist(), q, strict=True):
+    for qid, name, qr in zip(qids.tolist(), names.tolist(), q, strict=True):
         ints = [int(x) for x in qr]
         scored = ((-sum(x * y for x, y in zip(r, ints, strict=True)), int(i))
                   for r, i in zip(rows, ids, strict=True) if i != qid)
-        out += [(qid, i, max(-2**63, min(2**63 - 1, -s))) for s, i in heapq.nsmallest(k, scored)]
+        out += [(name, i, max(-2**63, min(2**63 - 1, -s))) for s, i in heapq.nsmallest(k, scored)]
     return out
 
 
-def search_shard(ids: np.ndarray, m: np.ndarray, qids: np.ndarray, q: np.ndarray, kth: np.ndarray, k: int) -> list[tuple]:
-    """The rows of one shard that can be among the k best of each query.
+def search_shard(ids: np.ndarray, m: np.ndarray, qids: np.ndarray, q: np.ndarray, kth: np.ndarray, k: int,
+                 names: np.ndarray | None = None) -> list[tuple]:
+    """(query, id, score): the rows of one shard that can be among the k best of each
+    query, which goes by its id or by its entry in ``names``.
 
     ``kth``: the k-th score a query already has elsewhere (-inf if none); rows
     that only tie with it are kept, since a tie goes to the smaller id."""
+    names = qids if names is None else names
     if not _exact_as_float(m, q):
-        return _search_large(ids, m, qids, q, k)
+        return _search_large(ids, m, qids, q, k, names)
     tree, out = KDTree(m), []
     limits = tree.bounds(q)
     ordered, oids = m[tree.order], ids[tree.order]
-    for n, (qid, vec) in enumerate(zip(qids.tolist(), q, strict=True)):
+    for n, (qid, name, vec) in enumerate(zip(qids.tolist(), names.tolist(), q, strict=True)):
         bound, limit = float(kth[n]), limits[n]
         score, at = np.zeros(0), np.zeros(0, dtype=np.int64)
         frontier = [(-limit[0], 0)]
@@ -110,7 +113,7 @@ def search_shard(ids: np.ndarray, m: np.ndarray, qids: np.ndarray, q: np.ndarray
                 keep = V.keep_top(score, at, k)
                 score, at = score[keep], at[keep]
                 bound = max(bound, float(score[-1]))
-        out += [(qid, int(i), int(s)) for s, i in zip(score, at, strict=True)]
+        out += [(name, int(i), int(s)) for s, i in zip(score, at, strict=True)]
     return out
 
 
@@ -120,9 +123,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
     embedding; its own id is no candidate) against all ``vectors``."""
     def quantised(df: DataFrame, name: str) -> DataFrame:
         ready = V.usable(df, zero_ok=True)
-        # floor in double: exact, since scaling by a power of two is
-        return common.keep(ready.withColumn("v", F.transform(
-            "v", lambda x: F.rint(x * F.lit(scale) - F.pmod(x * F.lit(scale), F.lit(1.0))))), name)
+        # scaling by a power of two is exact; from 2^52 on every double is whole
+        floor = lambda x: F.when(F.abs(x) < F.lit(2.0**52), F.floor(x).cast("double")).otherwise(x)
+        return V.prepare(ready.withColumn("v", F.transform("v", lambda x: floor(x * F.lit(scale)))), name)
 
     v, q, shards, chunks = V.chunked(quantised(vectors, "kd-vectors"), quantised(queries, "kd-queries"),
                                      shard_rows, query_rows)
@@ -135,8 +138,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
                 if d in mine:
                     ids, m, _ = mine[d]
                     kth = rows["kth"].to_numpy(dtype=np.float64) if "kth" in rows else np.full(len(qids), -np.inf)
-                    out += search_shard(ids, m, qids, qm, np.where(np.isnan(kth), -np.inf, kth), k)
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
+                    out += search_shard(ids, m, qids, qm, np.where(np.isnan(kth), -np.inf, kth), k, rows["row"].to_numpy(dtype=np.int64))
+        return V.found_frame(out, right, "int64")
 
     # first pass: chunk c searches shard c mod shards
     lane = F.sequence(F.lit(0), F.lit(chunks - 1))
@@ -145,10 +148,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
                             F.array(F.pmod(F.col(c), F.lit(shards)).cast("int"))), search, FOUND), "kd-first")
     # its k-th scores bound the second pass over all other shards
     bounds = (V.best(first, k).where(F.col("rank") == k)
-              .select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("kth")))
+              .select(F.col("query_row").alias("row"), F.col("score").cast("double").alias("kth")))
     every = F.sequence(F.lit(0), F.lit(shards - 1))
     rest = V.meet(
-        v, q.join(bounds, "vec_id", "left"),
+        v, q.join(bounds, "row", "left"),
         lambda s, c: (F.filter(lane, lambda x: F.pmod(x, F.lit(shards)) != F.col(s)),
                       F.filter(every, lambda x: x != F.pmod(F.col(c), F.lit(shards)))), search, FOUND)
-    return V.best(first.unionAll(rest), k)
+    return V.best(first.unionAll(rest), k).drop("query_row")

@@ -86,13 +86,13 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op8_kdtree", """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
-           FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v,
+                  row_number() OVER () AS row FROM (SELECT DISTINCT vec_id, embedding FROM embeddings) WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
              AND NOT list_contains(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)), true)),
-s AS (SELECT q.vec_id AS query_id, c.vec_id,
+s AS (SELECT q.row, q.vec_id AS query_id, c.vec_id,
              CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
       FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
-r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INT) AS rank,
              vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
 def op8_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:

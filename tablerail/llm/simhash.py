@@ -199,12 +199,15 @@ def keep_first(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
     smallest id.  All columns stay.  Of rows that repeat this id the one with
     the smallest text (null first) stays; rows with a null id stay."""
     comp = near_duplicates(docs, words, max_bits)
-    firsts = comp.where("doc_id = component_id").select("doc_id").distinct().withColumnRenamed("doc_id", "__first")
-    kept = docs.join(firsts, F.col("doc_id").cast("long") == F.col("__first"), "left_semi")
-    again = kept.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__id"))
-    same = F.col("doc_id") == F.col("__id")
-    once = kept.join(again, same, "left_anti")
+    first = comp.where("doc_id = component_id").select(F.col("doc_id").alias("first")).distinct()
+    # the caller's columns travel in one struct: their names never meet ours
+    rows = docs.select(F.col("doc_id").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    kept = rows.join(first, F.col("id").cast("long") == F.col("first"), "left_semi")
+    again = kept.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("again"))
+    same = F.col("id") == F.col("again")
+    once = kept.join(again, same, "left_anti").select("row")
     # repeated ids: a partial min keeps one row each, however many there are
-    row = F.min(F.struct(F.col("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]))).alias("r")
-    repeated = kept.join(again, same, "left_semi").groupBy("doc_id").agg(row).select("r.col2.*")
-    return once.unionAll(repeated).unionAll(docs.where("doc_id is null"))
+    least = F.min(F.struct(F.col("row")["text"].alias("text"), "row")).alias("least")
+    repeated = kept.join(again, same, "left_semi").groupBy("id").agg(least).select("least.row")
+    out = once.unionAll(repeated).unionAll(rows.where("id IS NULL").select("row"))
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])

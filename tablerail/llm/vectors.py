@@ -18,8 +18,8 @@ def usable(vectors: DataFrame, zero_ok: bool) -> DataFrame:
     """(vec_id, v): rows that take part.
 
     Null ids, null vectors and vectors with null or non-finite components take
-    no part (nor zero vectors, unless ``zero_ok``).  Of rows that share an id
-    the one with the smallest vector (compared component by component) counts."""
+    no part (nor zero vectors, unless ``zero_ok``).  Rows equal in id and vector
+    are one; an id that occurs with several vectors is a row for each."""
     v = F.col("embedding").cast("array<double>")
     src = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(
         F.col("vec_id").isNotNull() & F.col("v").isNotNull())
@@ -27,7 +27,7 @@ def usable(vectors: DataFrame, zero_ok: bool) -> DataFrame:
     src = src.where(F.coalesce(fine, F.lit(False)))
     if not zero_ok:
         src = src.where(F.exists("v", lambda x: x != 0.0))
-    return src.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return src.distinct()
 
 
 def chunked(vectors: DataFrame, queries: DataFrame, shard_rows: int, query_rows: int) -> tuple[DataFrame, DataFrame, int, int]:
@@ -68,10 +68,10 @@ def matrices(frame: pd.DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, pd.
 
 
 def best(found: DataFrame, k: int) -> DataFrame:
-    """Merge: the ``k`` highest scores of each query, ties to the smaller id."""
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    """Merge: the ``k`` highest scores of each query row, ties to the smaller id."""
+    w = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_row", "query_id", "rank", "vec_id", "score"))
 
 
 def keep_top(score: np.ndarray, ids: np.ndarray, k: int, slack: float = 0.0) -> np.ndarray:
@@ -86,5 +86,14 @@ def keep_top(score: np.ndarray, ids: np.ndarray, k: int, slack: float = 0.0) ->
     return order if slack else order[:k]
 
 
-def prepare(vectors: DataFrame, zero_ok: bool, name: str) -> DataFrame:
-    return common.keep(usable(vectors, zero_ok), name)
+def prepare(rows: DataFrame, name: str) -> DataFrame:
+    """Stored rows with a number each (``row``), so that rows of one id stay apart."""
+    return common.keep(rows.withColumn("row", F.monotonically_increasing_id()), name)
+
+
+def found_frame(found: list[tuple], rows: pd.DataFrame, score: str) -> pd.DataFrame:
+    """Results (query row, id, score) beside the queries' ids."""
+    ids = dict(zip(rows["row"].tolist(), rows["vec_id"].tolist(), strict=True))
+    out = pd.DataFrame(found, columns=["query_row", "vec_id", "score"])
+    out.insert(1, "query_id", [ids[r] for r in out["query_row"]])
+    return out.astype({"query_row": "int64", "query_id": "int64", "vec_id": "int64", "score": score})

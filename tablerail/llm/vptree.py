@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tablerail.llm import vectors as V
 
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query_row long, query_id long, vec_id long, score double"
 LEAF = 512
 
 
@@ -108,8 +108,9 @@ class _Walk:
 
 
 def search_shard(ids: np.ndarray, m: np.ndarray, qids: np.ndarray, q: np.ndarray, largest: float, k: int,
-                 factor: float) -> list[tuple]:
-    """(query, id, score) of the k nearest that the walk finds in one shard.
+                 factor: float, names: np.ndarray | None = None) -> list[tuple]:
+    """(query, id, score) of the k nearest that the walk finds in one shard; a query
+    goes by its id, or by its entry in ``names``.
     ``largest``, about the largest component of the table, is its unit of length."""
     # equal vectors are one point with its ids in order, so ties cannot crowd a search;
     # k + 1 ids are all that a query (less its own) can need of one point
@@ -126,11 +127,12 @@ def search_shard(ids: np.ndarray, m: np.ndarray, qids: np.ndarray, q: np.ndarray
     walk = _Walk(m / largest, alone, has_one, queries, qids, 2 * k, factor)
     walk.run()
     out = []
-    for n, qid in enumerate(qids.tolist()):
+    names = qids if names is None else names
+    for n, (qid, name) in enumerate(zip(qids.tolist(), names.tolist(), strict=True)):
         at = walk.best_i[n][np.isfinite(walk.best_s[n])]
         score = (m[at] * q[n]).sum(axis=1)  # the measure itself, in the same order for every row
         found = [(float(s), int(i)) for s, p in zip(score, at, strict=True) for i in members[p] if i != qid]
-        out += [(qid, i, s) for s, i in sorted(found, key=lambda x: (-x[0], x[1]))[:k]]
+        out += [(name, i, s) for s, i in sorted(found, key=lambda x: (-x[0], x[1]))[:k]]
     return out
 
 
@@ -138,19 +140,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
             query_rows: int = 2048) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of every row of
     ``queries`` (vec_id, embedding; its own id is no candidate) among ``vectors``."""
-    ready = V.prepare(vectors, False, "vp-vectors")
+    ready = V.prepare(V.usable(vectors, False), "vp-vectors")
     largest = ready.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0] or 1.0  # one number
-    v, q, shards, chunks = V.chunked(ready, V.prepare(queries, False, "vp-queries"), shard_rows, query_rows)
+    v, q, shards, chunks = V.chunked(ready, V.prepare(V.usable(queries, False), "vp-queries"), shard_rows, query_rows)
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(left) and len(right):
             mine = V.matrices(left)
-            for d, (qids, qm, _) in V.matrices(right).items():
+            for d, (qids, qm, rows) in V.matrices(right).items():
                 if d in mine:
-                    out += search_shard(mine[d][0], mine[d][1], qids, qm, largest, k, factor)
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(
-            {"query_id": "int64", "vec_id": "int64", "score": "float64"})
+                    out += search_shard(mine[d][0], mine[d][1], qids, qm, largest, k, factor, rows["row"].to_numpy(dtype=np.int64))
+        return V.found_frame(out, right, "float64")
 
     every_chunk, every_shard = F.sequence(F.lit(0), F.lit(chunks - 1)), F.sequence(F.lit(0), F.lit(shards - 1))
-    return V.best(V.meet(v, q, lambda s, c: (every_chunk, every_shard), search, FOUND), k)
+    return V.best(V.meet(v, q, lambda s, c: (every_chunk, every_shard), search, FOUND), k).drop("query_row")

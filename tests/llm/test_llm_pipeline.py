@@ -80,3 +80,20 @@ def test_every_operator_is_registered():
     names = e.queries()
     assert [k.split("_")[0] for k in names if re.match(r"op\d+_", k)] == [f"op{n}" for n in range(1, 11)] and "pipeline" in names
     assert {k for k in e.oracle_sql() if k.startswith("op")} == {"op6_mixing", "op7_warc", "op8_kdtree"}
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named like the operators' own, ids that repeat, and ties."""
+    from tablerail.llm import pii, simhash
+    names = ["__base", "__all", "__added", "__first", "__id", "id", "row", "first", "again", "least", "n", "changed", "a.b"]
+    rows = [(1, "mail bob@example.com now", *names), (1, "mail bob@example.com now", *names), (2, "another text altogether, quite long", *names),
+            (None, None, *names), (3, "", *names)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    out = pii.redact(df, pii.train(df))
+    assert out.columns == df.columns
+    got = sorted(out.collect(), key=str)
+    assert all([r[c] for c in names] == names for r in got) and [r.text for r in got if r.doc_id == 1] == ["mail [EMAIL] now"] * 2
+    kept = simhash.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "None"]
+    assert all([r[c] for c in names] == names for r in kept.collect())

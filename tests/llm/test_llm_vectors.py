@@ -101,8 +101,8 @@ def test_edge_rows_exact(spark):
     df = frame(spark)
     got = [tuple(r) for r in kdtree.top_k(df, df.where("vec_id in (0, 3, 4, 9, 10)"), k=3).collect()]
     by = {q: sorted(x[1:] for x in got if x[0] == q) for q in {x[0] for x in got}}
-    # 8 counts with its smaller vector; 9 and 10 have no partner of their length
-    assert by[0] == [(1, 1, 65536), (2, 2, 65536), (3, 8, 16384)]
+    # 8 counts with both vectors; 9 and 10 have no partner of their length
+    assert by[0] == [(1, 1, 65536), (2, 2, 65536), (3, 8, 32768)]
     assert by[3] == [(1, 0, 0), (2, 1, 0), (3, 2, 0)] and set(by) == {0, 3}
     assert kdtree.top_k(df.limit(0), df).count() == 0 and kdtree.top_k(df, df.limit(0)).count() == 0
 
@@ -110,7 +110,7 @@ def test_edge_rows_exact(spark):
 def test_edge_rows_nearest(spark):
     df = frame(spark)
     got = [tuple(r) for r in vptree.nearest(df, df.where("vec_id in (0, 3, 4, 9, 10)"), k=3).collect()]
-    assert sorted(got) == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 8, 0.25)]
+    assert sorted(got) == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 8, 0.5)]
     assert vptree.nearest(df.limit(0), df).count() == 0
 
 
@@ -126,3 +126,24 @@ def test_components_beyond_double_precision():
     big = np.array([[2.0**40, 3.0], [2.0**40, 1.0], [-(2.0**40), 0.0]])
     got = kdtree.search_shard(np.arange(3), big, np.array([0]), big[:1], np.array([-np.inf]), 2)
     assert got == [(0, 1, 2**63 - 1), (0, 2, -2**63)]
+
+
+def test_rows_of_one_id_stay_apart(spark):
+    """An id with several vectors: each is a candidate and a query of its own; rows
+    equal in both are one."""
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [0.0, 1.0]), (2, [0.5, 0.0]), (2, [0.0, 0.75]), (3, [0.25, 0.25])]
+    df = frame(spark, rows)
+    got = sorted(tuple(r) for r in kdtree.top_k(df, df.where("vec_id = 1"), k=2, shard_rows=2, query_rows=1).collect())
+    assert got == sorted([(1, 1, 2, 256 * 128), (1, 2, 3, 256 * 64), (1, 1, 2, 256 * 192), (1, 2, 3, 256 * 64)])
+    got = sorted(tuple(r) for r in vptree.nearest(df, df.where("vec_id IN (1, 3)"), k=3, shard_rows=2, query_rows=1).collect())
+    assert got == sorted([(1, 1, 2, 0.5), (1, 2, 3, 0.25), (1, 3, 2, 0.0), (1, 1, 2, 0.75), (1, 2, 3, 0.25), (1, 3, 2, 0.0),
+                          (3, 1, 1, 0.25), (3, 2, 1, 0.25), (3, 3, 2, 0.1875)])
+
+
+def test_floors_go_down(spark):
+    """Also for tiny negative components, which a remainder would round away."""
+    tiny = [-1e-20, -0.0, 0.0, 1e-20, -5e-324, 5e-324, -1 / 512, 1 / 512, -1.0, 3e15, -2.0**50]
+    rows = [(0, [256.0])] + [(i + 1, [x]) for i, x in enumerate(tiny)]
+    df = frame(spark, [(i, [1 / 256] if i == 0 else v) for i, v in rows])
+    got = {r.vec_id: r.score for r in kdtree.top_k(df, df.where("vec_id = 0"), k=20).collect()}
+    assert got == {i + 1: math.floor(x * 256) for i, x in enumerate(tiny)}
