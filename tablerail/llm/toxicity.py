@@ -37,6 +37,7 @@ from tablerail.llm import common
 
 PER_CLASS, MAX_CHARS = 6000, 100_000
 MIN_DOCS, MIN_WEIGHT, MAX_ENTRIES = 4, 3.0, 3000
+SUPPORT = 20  # toxic texts from which a term counts that others explain already
 SHORTEST, LONGEST = 3, 8  # letters of a word beginning
 
 # fixed values: letters and signs that look like plain letters
@@ -165,8 +166,10 @@ def learn(sample: DataFrame, exceptions: tuple[str, ...] = ()) -> Lexicon:
     weight = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))
     top = (terms.where(F.col("docs") >= MIN_DOCS).withColumn("w", weight).where(F.col("w") >= MIN_WEIGHT)
            .orderBy((F.col("w") * F.col("docs")).desc(), F.length("term"), "term").limit(MAX_ENTRIES).collect())
-    # a whole word counts only where it is longer than every beginning kept of it
-    weights = {r["term"].rstrip(): float(r["w"]) for r in top if not r["term"].endswith(" ") or len(r["term"]) > LONGEST + 1}
+    # a whole word counts where it is longer than every beginning kept of it, or too
+    # short to have one: then with its closing blank, so that it is no beginning
+    weights = {r["term"] if len(r["term"]) <= SHORTEST else r["term"].rstrip(): float(r["w"]) for r in top
+               if not r["term"].endswith(" ") or not SHORTEST + 1 <= len(r["term"]) <= LONGEST + 1}
     # which toxic texts hold which candidates: pairs of numbers, bounded by the sample
     names = list(weights)
     candidates = Lexicon({t: float(k + 1) for k, t in enumerate(names)})
@@ -200,9 +203,8 @@ def learn(sample: DataFrame, exceptions: tuple[str, ...] = ()) -> Lexicon:
 
 def _cover(docs: list[set[int]], names: list[str], weights: dict[str, float]) -> list[str]:
     """Greedy: the entry that explains most toxic texts not yet explained, counted
-    by weight; one that adds fewer than MIN_DOCS texts (three, in small samples)
-    is chance or a copy's vocabulary."""
-    least = min(MIN_DOCS, max(3, len(docs) // 50))
+    by weight; one that adds fewer than MIN_DOCS texts is chance or a copy's
+    vocabulary.  Terms that stand beside chosen ones are kept by their own support."""
     open_, chosen = [d for d in docs if d], []
     often = Counter(t for d in docs for t in d)
 
@@ -216,7 +218,7 @@ def _cover(docs: list[set[int]], names: list[str], weights: dict[str, float]) ->
         gain = Counter(t for d in open_ for t in d)
         # of beginnings that explain as much, the longest
         t = max(gain, key=lambda k: (round(gain[k] * weights[names[k]], 1), len(names[k]), names[k]))
-        if gain[t] < least:
+        if gain[t] < MIN_DOCS:
             break
         t = longest(t)
         chosen.append(names[t])
@@ -226,7 +228,7 @@ def _cover(docs: list[set[int]], names: list[str], weights: dict[str, float]) ->
     have = set(chosen)
     for k, n in often.most_common():
         t = names[k]
-        if n >= max(5 * least, len(docs) // 50) and weights[t] >= 1.5 * MIN_WEIGHT and not any(
+        if n >= SUPPORT and weights[t] >= 1.5 * MIN_WEIGHT and not any(
                 t.startswith(c) or c.startswith(t) for c in have):
             t = names[longest(k)]
             have.add(t)

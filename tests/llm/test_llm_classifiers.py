@@ -107,3 +107,70 @@ def test_toxicity_edge_rows(spark, lexicon):
 def test_whole_texts_are_read(lexicon):
     auto = lexicon.automaton()
     assert lexicon.features(auto, "plain " * 200000 + "idiot")[0] > 0
+
+
+def plain_features(text):
+    """The classifier's features of one text, one by one with Python's integers."""
+    mask, blank = 2**32 - 1, lambda c: c <= 32 or c in (0xA0, 0x3000)
+    codes = [32] + [32 if blank(ord(c)) else ord(c) for c in text] + [32]
+    power = [pow(0x9E3779B1, j + 1, 2**32) for j in range(64)]
+
+    def bucket(h, salt):
+        h = (h + salt * 0x27D4EB2F) * 0x85EBCA6B & mask
+        h ^= h >> 15
+        return (h * 0xC2B2AE35 & mask) >> (32 - quality.BITS)
+    out = [bucket(sum(c * p for c, p in zip(codes[i:i + n], power, strict=False)) & mask, n)
+           for n in (3, 4, 5) for i in range(len(codes) - n + 1) if all(c != 32 for c in codes[i + 1:i + n - 1])]
+    last = None
+    for word in "".join(map(chr, codes)).split(" "):
+        if word:
+            h = sum(ord(c) * power[j % 64] for j, c in enumerate(word)) & mask
+            out += [bucket(h, 1)] + [quality.REPEAT] * (len(word) if h == last else 0)
+            last = h
+    return out
+
+
+def test_quality_equals_plain_loops(tables, model):
+    """Features averaged per document and scored one text at a time."""
+    import math
+    texts = [r.text for r in tables[0].orderBy("doc_id").limit(60).collect()] + ["", None, " \u3000 ", "a", "aa aa aa", "x" * 200, "日本 語 語\xa0語"]
+    for t, got in zip(texts, model.scores(texts), strict=True):
+        found = plain_features(t or "")
+        z = model.bias + sum(float(model.logit[f]) for f in found) / (len(found) + quality.NEUTRAL)
+        assert got == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-6), (t or "")[:80]
+
+
+def test_matches_equal_a_plain_scan():
+    """Aho-Corasick against looking for every entry at every place."""
+    import random
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abox1") for _ in range(rng.randint(1, 4)))
+    for _ in range(400):
+        entries = {toxicity.fold(word()) + rng.choice(["", " "]): float(rng.randint(1, 9)) for _ in range(rng.randint(0, 6))}
+        exceptions = tuple({" ".join(toxicity.words_of(f"{word()} {word()}")) for _ in range(rng.randint(0, 2))})
+        lex = toxicity.Lexicon(entries, exceptions)
+        text = " ".join(word() for _ in range(rng.randint(0, 25)))
+        words = toxicity.words_of(text)
+        joined = f" {' '.join(words)} " if words else ""
+        best = {}
+        for i in range(len(joined)):
+            here = [w for e, w in entries.items() if joined.startswith(f" {e}", i)]
+            if here:
+                best[i] = max(here)
+        for x in exceptions:
+            for a in range(len(joined)):
+                if joined.startswith(f" {x} ", a):
+                    best = {k: w for k, w in best.items() if not a <= k < a + len(x) + 1}
+        assert lex.features(lex.automaton(), text) == (sum(best.values()), len(words)), (entries, exceptions, text)
+
+
+@pytest.mark.parametrize("toxic", [500, 6000])
+def test_kept_terms_do_not_depend_on_the_sample(spark, toxic):
+    """A term in 100 toxic texts, always beside a commoner one, and a word of two letters."""
+    base = "plain words stand here and there in every text of this small table"
+    rows = [(i, f"{base} grolk{' vexnar' if i < 100 else ''}{' qz' if i % 5 == 0 else ''} n{i}", 1) for i in range(toxic)]
+    rows += [(toxic + i, f"{base} fine n{i}", 0) for i in range(toxic)]
+    lex = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(4))
+    auto = lex.automaton()
+    assert all(lex.features(auto, f"a clean start then {w} ends")[0] > 0 for w in ("grolk", "vexnar", "qz"))
+    assert lex.features(auto, base)[0] == 0 and lex.features(auto, "qzar")[0] == 0
