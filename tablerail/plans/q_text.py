@@ -197,7 +197,7 @@ def _w(i: int):
 
 def doc_responses(spark, sf_dir):
     """Model-like responses built from documents in six shapes (valid, repairable,
-    wrong types, prose only, array, full object)."""
+    wrong types, prose only, array, full object), each with its whole text."""
     d = read_table(spark, sf_dir, "documents")
     w1, w2, w3 = _w(1), _w(2), _w(3)
     k = F.col("doc_id") % 6
@@ -205,9 +205,9 @@ def doc_responses(spark, sf_dir):
     resp = (F.when(k == 0, F.concat(F.lit('{"title":"'), w1, F.lit('","bullets":["'), w2, F.lit('","'), w3, F.lit('"]}')))
             .when(k == 1, F.concat(F.lit('Here you go:\n{"title":"'), w1, F.lit('","bullets":["'), w2, F.lit('","'), w3,
                                    F.lit('",],}\nThanks')))
-            .when(k == 2, F.concat(F.lit('{"bullets":["'), w1, F.lit('",'), F.col("n_chars").cast("string"), F.lit("]}")))
-            .when(k == 3, F.concat(F.lit("no json "), w1))
-            .when(k == 4, F.concat(F.lit('[{"title":"'), w1, F.lit('"}]')))
+            .when(k == 2, F.concat(F.lit('{"bullets":["'), w2, F.lit('",'), F.col("n_chars").cast("string"), F.lit("]}")))
+            .when(k == 3, F.concat(F.lit("no json "), w2))
+            .when(k == 4, F.concat(F.lit('[{"title":"'), w2, F.lit('"}]')))
             .otherwise(F.concat(F.lit('{"title":"'), w1, F.lit('","key_points":["'), w2, F.lit('"],"sections":{'), q, w3,
                                 F.lit('":["'), w1, F.lit('"," "]}}'))))
     # the JSON checks that follow are the heavy part: spread the short responses, not the texts
