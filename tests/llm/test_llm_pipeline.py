@@ -78,8 +78,8 @@ def test_entry_works_without_the_optional_part(tmp_path):
 def test_every_operator_is_registered():
     import __spark_entry__ as e
     names = e.queries()
-    assert [k.split("_")[0] for k in names if re.match(r"op\d+_", k)] == [f"op{n}" for n in range(1, 11)] and "pipeline" in names
-    assert {k for k in e.oracle_sql() if k.startswith("op")} == {"op6_mixing", "op7_warc", "op8_kdtree"}
+    assert [k.split("_")[0] for k in names if re.match(r"op\d+_", k)] == [f"op{n}" for n in range(1, 14)] and "pipeline" in names
+    assert {k for k in e.oracle_sql() if k.startswith("op")} == {"op6_mixing", "op7_warc", "op8_kdtree", "op11_secrets", "op12_codebooks", "op13_variants"}
 
 
 def test_stages_keep_columns_of_any_name(spark):
