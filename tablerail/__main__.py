@@ -20,12 +20,13 @@ def _fetcher(spark, args):
     from tablerail.sources.pages import HttpFetcher, TableFetcher
     if args.pages_table:
         return TableFetcher(spark.read.parquet(args.pages_table))
-    return HttpFetcher(partitions=args.fetch_tasks)
+    return HttpFetcher(partitions=args.fetch_tasks, per_host=args.per_host)
 
 
 def _fetch_arguments(p: argparse.ArgumentParser) -> None:
     p.add_argument("--pages-table", default=None, help="parquet table (url, html) used as the fetcher")
     p.add_argument("--fetch-tasks", type=int, default=None, help="tasks the URLs are dealt over (default: shuffle width)")
+    p.add_argument("--per-host", type=float, default=None, help="requests a second that one host gets at most (default: no pace)")
 
 
 def _model_arguments(p: argparse.ArgumentParser) -> None:
@@ -48,6 +49,10 @@ def build_parser() -> argparse.ArgumentParser:
     sy.add_argument("--mode", choices=["append", "replace"], default="append")
     u = sub.add_parser("urls")
     u.add_argument("--max", type=int, default=None)
+    cl = sub.add_parser("claim", help="lease the oldest claimable rows of a stage to a worker")
+    cl.add_argument("stage", choices=["URL", "WEB_PAGE", "WEB_SUMMARY"])
+    cl.add_argument("--worker", required=True)
+    cl.add_argument("--max-rows", type=int, default=None, help="claim at most so many rows (default: all)")
     for name in ("scrape", "summarize"):
         s = sub.add_parser(name)
         s.add_argument("--max-rows", type=int, default=None, help="process at most so many rows (default: all)")
@@ -86,6 +91,8 @@ def main(argv=None) -> None:
         out = {"control_version": pipe.sync(args.iteration, args.mode)}
     elif cmd == "urls":
         out = pipe.run_urls(args.max)
+    elif cmd == "claim":
+        out = {"claimed": pipe.claim(args.worker, args.stage, max_rows=args.max_rows).count()}
     elif cmd == "scrape":
         out = pipe.scrape(_fetcher(spark, args), args.max_rows, args.retry_errors)
     elif cmd == "summarize":

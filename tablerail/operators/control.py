@@ -155,19 +155,20 @@ def keyed_update(control: DataFrame, keys: DataFrame, cond: Column, values: dict
     return Updated(j.select(*cols), j.where(F.col("_apply")).select(*cols))
 
 
-def worklist(control: DataFrame, stage: str, statuses=("NEW",), now=None, max_rows: int | None = None) -> DataFrame:
-    """WRK1: claimable (url, iteration) keys, oldest first (``created_at`` NULLs
+def worklist(control: DataFrame, stage: str, statuses=("NEW",), now=None, max_rows: int | None = None,
+             columns: Sequence[str] = PK) -> DataFrame:
+    """WRK1: claimable (url, iteration) keys (or other ``columns``), oldest first (``created_at`` NULLs
     last, then url, iteration); all of them unless the caller asks for ``max_rows``.
 
     With a limit Spark plans ``TakeOrderedAndProject``: every partition keeps
     its best ``max_rows`` rows, so the result is a bounded set.  Without one
     the claimable set is returned unsorted (no global sort of the table)."""
-    rows = control.where(claimable(stage, statuses, now)).select("url", "iteration", "created_at")
+    rows = control.where(claimable(stage, statuses, now)).select(*dict.fromkeys((*PK, "created_at", *columns)))
     if not max_rows:
         # the whole claimable set: a set needs no global sort
-        return rows.select("url", "iteration")
+        return rows.select(*columns)
     rows = rows.orderBy(F.col("created_at").asc_nulls_last(), F.col("url").asc(), F.col("iteration").asc())
-    return rows.limit(int(max_rows)).select("url", "iteration")
+    return rows.limit(int(max_rows)).select(*columns)
 
 
 def claim(control: DataFrame, keys: DataFrame, worker_id: str, now, lease_minutes: int = S.LEASE_DEFAULT_MIN) -> Updated:

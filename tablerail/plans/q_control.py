@@ -66,11 +66,14 @@ def lse1_claimed_rows(spark, sf_dir):
     return C.claim(c, _keys(c, "WEB_PAGE"), TEST_WORKER, TEST_NOW).rows
 
 
-@register("lse1_claim_bounded", with_fixtures(
+LSE1_BOUNDED_SQL = with_fixtures(
     _select(CLAIM, f"(url, iteration) IN (SELECT (url, iteration) FROM (SELECT url, iteration FROM control_base "
                    f"WHERE stage = 'WEB_PAGE' AND status IN ('NEW') AND task_state = 'READY' AND {FREE} "
                    "ORDER BY created_at NULLS LAST, url, iteration LIMIT 20) w) "
-                   f"AND task_state = 'READY' AND {FREE}"), "control_base"))
+                   f"AND task_state = 'READY' AND {FREE}"), "control_base")
+
+
+@register("lse1_claim_bounded", LSE1_BOUNDED_SQL)
 def lse1_claim_bounded(spark, sf_dir):
     """WRK1 → LSE1 with an explicit batch of 20 keys."""
     c = control_base(spark, sf_dir)

@@ -12,6 +12,7 @@ how a competing worker's lease is modelled."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,13 @@ from tablerail.session import ts
 URL_DONE_NOTE = "URL stage done"
 
 
+def run_counters() -> list[Column]:
+    """AGG9 over the flags of ``outcome_rows``, for the write that carries them."""
+    hit, claimed, at, ok = (F.col(c) for c in ("_hit", "_claimed", "_at", "_okrow"))
+    return [F.count_if(hit.isNotNull()).alias("found"), F.count_if(claimed).alias("claimed"),
+            F.count_if(claimed & at & ok).alias("completed"), F.count_if(claimed & ok).alias("enqueued_next")]
+
+
 @dataclass
 class StageRun:
     """Outcome of one runner pass."""
@@ -34,6 +42,8 @@ class StageRun:
     control: DataFrame        # next version of the control table
     outcomes: DataFrame       # one row per listed key: url, iteration, claimed, ok, final stage/status
     extra: dict               # stage outputs (web_page / web_summary tables)
+    # control rows → the same rows after the run, with the flags RUN_COUNTERS counts
+    apply: Callable[[DataFrame], DataFrame] | None = None
 
     def counters(self) -> DataFrame:
         """AGG9: found / claimed / completed / enqueued_next as one row."""
@@ -51,10 +61,14 @@ class StageRun:
 class Listing:
     """What a runner listed: a condition on control rows (the whole claimable
     set, decided in the pass that updates them) or, where a limit, an include
-    list or another table version needs it, an explicit key set."""
+    list or another table version needs it, an explicit key set.
+
+    ``queue``: rows of the same version to take the work from, where these are
+    kept apart from the control table (their state columns and keys suffice)."""
 
     condition: Column | None = None
     keys: DataFrame | None = None
+    queue: DataFrame | None = None
 
     def hit(self, control: DataFrame) -> DataFrame:
         """``control`` with ``_hit`` where a row is listed."""
@@ -72,13 +86,13 @@ def list_claimable(control: DataFrame, stage: str, statuses: list[str], now, max
     return Listing(keys=include_urls(worklist(control, stage, statuses, now, max_rows=max_rows), filter_urls))
 
 
-def claim_outcome(control: DataFrame, listed: Listing, now, stage: str, work_ok: DataFrame | None, ok_values: dict,
-                  fail_values: dict) -> tuple[DataFrame, DataFrame]:
+def outcome_rows(control: DataFrame, listed: Listing, now, stage: str, work_ok: DataFrame | None, ok_values: dict,
+                 fail_values: dict) -> DataFrame:
     """Claim the listed rows of ``control`` and apply each claimed key's end state.
 
     ``work_ok`` is (url, iteration, ok) for keys whose work ran; claimed keys
-    at ``stage`` without a row count as failed.  Returns (new control, outcomes)."""
-    cols = control.columns
+    at ``stage`` without a row count as failed.  Every row of ``control`` is there
+    after it, with the flags _hit (listed), _claimed, _at (at ``stage``), _okrow."""
     j = listed.hit(control)
     if work_ok is not None:
         j = j.join(work_ok.select(*PK, F.col("ok").alias("_ok")), PK, "left")
@@ -99,7 +113,11 @@ def claim_outcome(control: DataFrame, listed: Listing, now, stage: str, work_ok:
         if c == "updated_at":
             okv = fv = ts(now)
         new_vals[c] = F.when(F.col("_okrow"), okv).when(fail, fv).otherwise(F.col(c))
-    out = j.withColumns(new_vals)
+    return j.withColumns(new_vals)
+
+
+def claim_outcome(control: DataFrame, listed: Listing, out: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(new control, outcomes) of ``outcome_rows`` over the whole ``control``."""
     outcomes = out.where(F.col("_hit").isNotNull()).select(
         *PK, F.col("_claimed").alias("claimed"), F.col("_at").alias("at_stage"), F.col("_okrow").alias("ok"),
         F.col("stage").alias("final_stage"), F.col("status").alias("final_status"))
@@ -109,7 +127,15 @@ def claim_outcome(control: DataFrame, listed: Listing, now, stage: str, work_ok:
         outcomes = outcomes.unionByName(gone.select(
             *PK, F.lit(False).alias("claimed"), F.lit(False).alias("at_stage"), F.lit(False).alias("ok"),
             F.lit(None).cast("string").alias("final_stage"), F.lit(None).cast("string").alias("final_status")))
-    return out.select(*cols), outcomes
+    return out.select(*control.columns), outcomes
+
+
+def stage_run(control: DataFrame, listed: Listing, now, stage: str, work_ok: DataFrame | None, ok_values: dict,
+              fail_values: dict, extra: dict) -> StageRun:
+    """A run's result for the whole table, and as a change to any part of it."""
+    def apply(rows: DataFrame) -> DataFrame:
+        return outcome_rows(rows, listed, now, stage, work_ok, ok_values, fail_values)
+    return StageRun(*claim_outcome(control, listed, apply(control)), extra, apply)
 
 
 def _released() -> dict:
@@ -118,31 +144,33 @@ def _released() -> dict:
 
 
 def run_url_stage(control: DataFrame, now, worker_id: str, max_batch: int | None = None,
-                  claim_view: DataFrame | None = None) -> StageRun:
+                  claim_view: DataFrame | None = None, listed: Listing | None = None) -> StageRun:
     """RUN1: URL → WEB_PAGE for claimable URL/NEW rows; all of them unless
     ``max_batch`` is given.  Without a limit this is one narrow pass, no shuffle.
 
     ok: WEB_PAGE / NEW / READY, lease cleared, note ``[ts] URL stage done``;
     claimed but not at URL: ERROR, lease cleared."""
-    listed = list_claimable(control, "URL", ["NEW"], now, max_batch, own_version=claim_view is None)
+    listed = listed or list_claimable(control, "URL", ["NEW"], now, max_batch, own_version=claim_view is None)
     target = control if claim_view is None else claim_view
     ok_values = {"stage": F.lit("WEB_PAGE"), "status": F.lit("NEW"), "task_state": F.lit("READY"),
                  "notes": prepend_note("notes", ts(now), URL_DONE_NOTE)}
     fail_values = {"status": F.lit("ERROR")}
-    new_control, outcomes = claim_outcome(target, listed, now, "URL", None, ok_values, fail_values)
-    return StageRun(new_control, outcomes, {})
+    return stage_run(target, listed, now, "URL", None, ok_values, fail_values, {})
 
 
 def claimed_keys(control: DataFrame, listed: Listing | DataFrame, now, stage: str) -> DataFrame:
     """Keys of the listing that a claim would take and that sit at ``stage`` (the work set)."""
     if isinstance(listed, DataFrame):
         listed = Listing(keys=listed)
-    return listed.hit(control).where(
+    return listed.hit(control if listed.queue is None else listed.queue).where(
         F.col("_hit").isNotNull() & ready_gate() & lease_free(now) & (F.col("stage") == stage)).select(*PK)
 
 
 def stage_listing(control: DataFrame, stage: str, now, max_rows: int | None, retry_errors: bool,
                   filter_urls: DataFrame | None) -> Listing:
     """Listing of a work stage: NEW (plus ERROR, IN_PROGRESS when retrying)."""
-    statuses = ["NEW", "ERROR", "IN_PROGRESS"] if retry_errors else ["NEW"]
-    return list_claimable(control, stage, statuses, now, max_rows, filter_urls)
+    return list_claimable(control, stage, listed_statuses(retry_errors), now, max_rows, filter_urls)
+
+
+def listed_statuses(retry_errors: bool) -> list[str]:
+    return ["NEW", "ERROR", "IN_PROGRESS"] if retry_errors else ["NEW"]

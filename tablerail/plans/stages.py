@@ -15,27 +15,28 @@ from tablerail.operators.inference import (RAW_RESPONSE_COLUMNS, InferenceParams
 from tablerail.operators.predicates import has_text
 from tablerail.operators.queries import newest_page
 from tablerail.operators.upsert import upsert
-from tablerail.plans.runs import StageRun, claim_outcome, claimed_keys, run_url_stage, stage_listing
+from tablerail.plans.runs import Listing, StageRun, claimed_keys, run_url_stage, stage_listing, stage_run
 from tablerail.sources.pages import fetch_pages, page_rows
 from tablerail.sources.store import materialize
 
 
 def run_page_stage(control: DataFrame, web_page: DataFrame, fetcher, now, worker_id: str, *,
                    max_rows: int | None = None, filter_urls: DataFrame | None = None, retry_errors: bool = False,
-                   keep_html: bool = False, scratch_dir: str | None = None) -> StageRun:
+                   keep_html: bool = False, scratch_dir: str | None = None, listed: Listing | None = None) -> StageRun:
     """RUN2 (WEB_PAGE → WEB_SUMMARY): list, claim, fetch, clean, store pages,
     then per key: ok → WEB_SUMMARY/NEW/READY, fetch failed or wrong stage → ERROR.
 
-    Every claimable row is processed unless ``max_rows`` is given."""
-    listed = stage_listing(control, "WEB_PAGE", now, max_rows, retry_errors, filter_urls)
+    Every claimable row is processed unless ``max_rows`` is given; ``listed``: a
+    listing made elsewhere (from a stored table's queue)."""
+    listed = listed or stage_listing(control, "WEB_PAGE", now, max_rows, retry_errors, filter_urls)
     work = claimed_keys(control, listed, now, "WEB_PAGE")
     # fetching has side effects: persist before anything branches on it
     pages = materialize(page_rows(fetch_pages(work, fetcher), now, keep_html), scratch_dir)
     new_pages = upsert(web_page, pages.drop("ok"), S.WEB_PAGE, now)
     ok_values = {"stage": F.lit("WEB_SUMMARY"), "status": F.lit("NEW"), "task_state": F.lit("READY")}
     fail_values = {"status": F.lit("ERROR")}
-    new_control, outcomes = claim_outcome(control, listed, now, "WEB_PAGE", pages.select(*PK, "ok"), ok_values, fail_values)
-    return StageRun(new_control, outcomes, {"web_page": new_pages, "fetched": pages})
+    return stage_run(control, listed, now, "WEB_PAGE", pages.select(*PK, "ok"), ok_values, fail_values,
+                     {"web_page": new_pages, "fetched": pages})
 
 
 def claimed_pages(work: DataFrame, web_page: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def claimed_pages(work: DataFrame, web_page: DataFrame) -> DataFrame:
 def run_summary_stage(control: DataFrame, web_page: DataFrame, web_summary: DataFrame, client_factory,
                       params: InferenceParams, now, worker_id: str, *, max_rows: int | None = None,
                       filter_urls: DataFrame | None = None, retry_errors: bool = False,
-                      scratch_dir: str | None = None, answers: str | None = None) -> StageRun:
+                      scratch_dir: str | None = None, answers: str | None = None, listed: Listing | None = None) -> StageRun:
     """RUN3 (WEB_SUMMARY → DONE): list, claim, join the newest page row (JN6),
     reject blank text (FLT2), prompt (STR6), call the model (LLM2/3), validate
     (LLM4–6), derive text (STR7), store summaries (LLM8); per key: ok →
@@ -62,7 +63,7 @@ def run_summary_stage(control: DataFrame, web_page: DataFrame, web_summary: Data
     tasks end, so that a run that died repeats no logged call; the caller forgets
     it when the results are stored."""
     check_provider(params.provider)
-    listed = stage_listing(control, "WEB_SUMMARY", now, max_rows, retry_errors, filter_urls)
+    listed = listed or stage_listing(control, "WEB_SUMMARY", now, max_rows, retry_errors, filter_urls)
     work = claimed_keys(control, listed, now, "WEB_SUMMARY")
     page = claimed_pages(work, web_page)
     ready = page.where(F.col("page_found") & has_text("clean_text")).select(*PK, "clean_text")
@@ -83,8 +84,8 @@ def run_summary_stage(control: DataFrame, web_page: DataFrame, web_summary: Data
     ok = rows.select(*PK, F.col("error").isNull().alias("ok"))
     ok_values = {"stage": F.lit("DONE"), "status": F.lit("NEW"), "task_state": F.lit("PAUSED")}
     fail_values = {"status": F.lit("ERROR")}
-    new_control, outcomes = claim_outcome(control, listed, now, "WEB_SUMMARY", ok, ok_values, fail_values)
-    return StageRun(new_control, outcomes, {"web_summary": new_summary, "responses": responses, "checked": rows, "good": good})
+    return stage_run(control, listed, now, "WEB_SUMMARY", ok, ok_values, fail_values,
+                     {"web_summary": new_summary, "responses": responses, "checked": rows, "good": good})
 
 
 @dataclass

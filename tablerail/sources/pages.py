@@ -12,11 +12,14 @@ Neither renders JavaScript: visible text comes from fixed text rules (STR2)."""
 
 from __future__ import annotations
 
+import heapq
+import time
 import urllib.request
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,26 +73,81 @@ class TableFetcher:
                         "html", F.when(F.col("html").isNull(), F.lit("not found")).alias("error"))
 
 
+def url_host(url: str) -> Column:
+    """The host of a URL column in lower case; what has none shares the empty host."""
+    return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+
+
+class HostPace:
+    """The next allowed start of a request by lane (a host's stripe), within a task."""
+
+    def __init__(self, interval_s: float):
+        self.interval_s, self.due = interval_s, {}
+
+    def in_turn(self, lanes: list) -> Iterator[int]:
+        """Positions of ``lanes`` in the order to fetch them: whichever lane may go
+        soonest is next, in its own order, and only if none may go is there a wait."""
+        waiting: dict = {}
+        for i, lane in enumerate(lanes):
+            waiting.setdefault(lane, deque()).append(i)
+        now = time.monotonic()
+        self.due = {lane: at for lane, at in self.due.items() if at > now}  # the past binds nothing
+        ready = [(self.due.get(lane, now), i[0], lane) for lane, i in waiting.items()]
+        heapq.heapify(ready)
+        while ready:
+            at, _, lane = heapq.heappop(ready)
+            time.sleep(max(0.0, at - time.monotonic()))
+            self.due[lane] = time.monotonic() + self.interval_s
+            queue = waiting[lane]
+            yield queue.popleft()
+            if queue:
+                heapq.heappush(ready, (self.due[lane], queue[0], lane))
+
+
 class HttpFetcher:
     """HTTP GET per URL on executors.
 
     The keys are dealt over ``partitions`` tasks (default: the shuffle width);
     how many run at a time, and so fetch in parallel, is the cluster's number of
-    cores.  Bodies are passed on every ``YIELD_ROWS`` pages, so few wait in
+    cores.
+
+    ``per_host``: requests a second that one host gets at most, over the whole
+    cluster.  A host's keys are then dealt over ``stripes`` lanes, each in one task
+    and with an equal part of the host's pace, so that a host with a third of all
+    keys is no single task's work; a task takes its lanes in turn and waits only if
+    none of them may go on.  A rate below one a second is kept in one lane.
+
+      Bodies are passed on every ``YIELD_ROWS`` pages, so few wait in
     memory.  ``open_url(request, timeout)`` can be replaced (tests)."""
 
     YIELD_ROWS = 32
 
     def __init__(self, partitions: int | None = None, timeout_s: float = 8.0, user_agent: str = "tablerail/0.1",
-                 open_url=None):
+                 open_url=None, per_host: float | None = None, stripes: int = 8):
         self.partitions, self.timeout_s, self.user_agent = partitions, timeout_s, user_agent
         self.open_url = open_url
+        if per_host is not None and per_host <= 0:
+            raise ValueError("per_host is a number of requests above 0")
+        self.per_host, self.stripes = per_host, max(1, min(stripes, int(per_host or 0)))
+
+    def lane_interval(self) -> float:
+        """Seconds between the starts of two requests of a lane: all lanes of a host
+        together start at most ``per_host`` in any second."""
+        return 1 / self.per_host if self.stripes == 1 else 1 / (self.per_host // self.stripes)
 
     def _run(self):
         timeout, agent, open_url, rows = self.timeout_s, self.user_agent, self.open_url or _open, self.YIELD_ROWS
+        pace_s = self.lane_interval() if self.per_host else None
+
+        def paced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            """Rows one by one as their lane's turn comes (a batch of narrow rows waits in memory)."""
+            pace = HostPace(pace_s)
+            for b in batches:
+                for i in pace.in_turn(b["_lane"].tolist()):
+                    yield b.iloc[i:i + 1]
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in (b.iloc[k:k + rows] for b in batches for k in range(0, len(b), rows)):
+            for pdf in paced(batches) if pace_s else (b.iloc[k:k + rows] for b in batches for k in range(0, len(b), rows)):
                 codes, bodies, errors = [], [], []
                 for url in pdf["url"].tolist():
                     try:
@@ -110,7 +168,13 @@ class HttpFetcher:
 
     def fetch(self, keys: DataFrame) -> DataFrame:
         n = self.partitions or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        src = keys.select("url", "iteration").repartition(n, "url", "iteration")
+        src = keys.select("url", "iteration")
+        if not self.per_host:
+            return src.repartition(n, "url", "iteration").mapInPandas(self._run(), FETCH_SCHEMA)
+        stripe = F.pmod(F.xxhash64("url", "iteration"), F.lit(self.stripes))
+        # every key of a lane in one task; a hashed order, so that lanes alternate
+        src = (src.withColumn("_lane", F.concat_ws("/", url_host("url"), stripe)).repartition(n, "_lane")
+               .sortWithinPartitions(F.xxhash64(F.lit(1), "url", "iteration")))
         return src.mapInPandas(self._run(), FETCH_SCHEMA)
 
 

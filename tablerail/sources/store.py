@@ -10,7 +10,9 @@ A write puts whole new buckets into a folder of its own; a version is its manife
 which names each bucket's folder.  An upsert reads and rewrites the buckets its
 keys fall into and no others; a lookup of URLs opens only the buckets they can be
 in.  The manifest also holds each bucket's rows by stage and status, so progress
-is read from it alone.  Nothing that is being read is ever overwritten (a single
+is read from it alone.  Beside the control table's buckets lie their rows that a
+worklist can list, narrow and in worklist order, with a few points of that order in
+the manifest: a limited claim reads the head of these and not the table.  Nothing that is being read is ever overwritten (a single
 writer is assumed; with a transactional table format the same DataFrames go into
 ``MERGE``); a write that dies leaves an unnamed folder behind, which ``vacuum``
 removes, and the next write goes ahead."""
@@ -24,8 +26,10 @@ import uuid
 from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +43,21 @@ HASH_BITS = 40
 BUCKET_ROWS = {"url": 2_000_000, "pipeline_control": 2_000_000, "web_page": 50_000, "web_summary": 50_000}
 # Counted for each bucket when it is written.
 COUNTED = {"pipeline_control": ("stage", "status")}
+# The listable rows of a table, kept beside its buckets: the condition, the columns
+# (those of the order last) and the kinds whose rows are found together.
+@dataclass(frozen=True)
+class Queue:
+    condition: str
+    kinds: tuple[str, ...]
+    columns: tuple[str, ...]
+    order: tuple[str, ...]
+
+
+QUEUES = {"pipeline_control": Queue("task_state = 'READY'", ("stage", "status"), ("task_state", "is_claimed", "lease_until"),
+                                    ("created_at", "url", "iteration"))}
+# Shares of a bucket's listable rows whose last place in the order is noted.
+HEAD_SHARES = (1 / 4096, 1 / 1024, 1 / 256, 1 / 64, 1 / 16, 1 / 4, 1.0)
+QUEUE_ROW_GROUP = 1 << 20  # bytes: what a read of a head opens at least
 # Splits look at so many bits of the hash at most beyond the bucket's own.
 LOOK_AHEAD = 14
 # Buckets up to this number are dealt to tasks by their place in a list.
@@ -57,6 +76,7 @@ class Bucket:
     folder: str | None = None  # None: no rows
     rows: int = 0
     counts: list = field(default_factory=list, compare=False)  # [[stage, status, rows], …]
+    heads: list | None = field(default=None, compare=False)  # [[stage, status, dated rows, [first order column at each share]], …]; None: no queue kept
 
     @property
     def id(self) -> str:
@@ -159,7 +179,7 @@ class TableStore:
 
     def buckets(self, table: str, version: int | None = None) -> list[Bucket]:
         """The directory of a version."""
-        return [Bucket(*b["at"], b["folder"], b["rows"], b["counts"]) for b in self._manifest(table, version)["buckets"]]
+        return [Bucket(*b["at"], b["folder"], b["rows"], b["counts"], b.get("heads")) for b in self._manifest(table, version)["buckets"]]
 
     def marks(self, table: str) -> dict[str, int]:
         """What writers noted with the live version (see ``upsert``)."""
@@ -167,7 +187,8 @@ class TableStore:
 
     def _next(self, table: str, buckets: Sequence[Bucket], marks: dict[str, int]) -> int:
         return self._commit(table, {"marks": marks, "buckets": [
-            {"at": [b.ubits, b.uval, b.kbits, b.kval], "folder": b.folder, "rows": b.rows, "counts": b.counts} for b in buckets]})
+            {"at": [b.ubits, b.uval, b.kbits, b.kval], "folder": b.folder, "rows": b.rows, "counts": b.counts, "heads": b.heads}
+            for b in buckets]})
 
     # -- buckets --------------------------------------------------------------
     def _limit(self, table: str) -> int:
@@ -198,28 +219,57 @@ class TableStore:
             seen[r[0]][r[1]] = r[2]
         return [p for b in buckets for p in (split(b, seen[b.id], limit, top) if b.id in seen else [b])]
 
-    def _put(self, table: str, df: DataFrame, buckets: Sequence[Bucket]) -> list[Bucket]:
-        """Write rows by bucket into a new folder; returns the buckets as written."""
+    def _dealt(self, rows: DataFrame, buckets: Sequence[Bucket]) -> DataFrame:
+        """Rows with a BUCKET column, one task (and so one file) a bucket."""
+        if len(buckets) > LISTED_BUCKETS:
+            return rows.repartition(len(buckets), BUCKET)
+        place = F.create_map(*[F.lit(x) for i, b in enumerate(buckets) for x in (b.id, i)])
+        return rows.repartitionById(len(buckets), place[F.col(BUCKET)])
+
+    def _put(self, table: str, df: DataFrame, buckets: Sequence[Bucket], seen: tuple[Observation, Sequence[Column]] | None = None) -> list[Bucket]:
+        """Write rows by bucket into a new folder; returns the buckets as written.
+
+        ``seen``: aggregates over the rows, with whatever columns ``df`` has beside
+        the table's, taken as the rows are written.  They are taken in the writing
+        tasks, behind the exchange: a task that runs again there counts once."""
         spec = S.table_spec(table)
         folder = f"data-{uuid.uuid4().hex}"
         path = f"{self.root}/{table}/{folder}"
         own = F.coalesce(bucket_of(spec, buckets), F.raise_error(F.lit(f"a row of {table} left its buckets")).cast("string"))
-        rows = df.select(*spec.columns).withColumn(BUCKET, own)
-        # one task and one file a bucket
-        if len(buckets) <= LISTED_BUCKETS:
-            place = F.create_map(*[F.lit(x) for i, b in enumerate(buckets) for x in (b.id, i)])
-            rows = rows.repartitionById(len(buckets), place[F.col(BUCKET)])
-        else:
-            rows = rows.repartition(len(buckets), BUCKET)
-        rows.sortWithinPartitions(BUCKET, *spec.primary_keys).write.mode("error").partitionBy(BUCKET).parquet(path)
+        rows = (df if seen else df.select(*spec.columns)).withColumn(BUCKET, own)
+        rows = self._dealt(rows, buckets).sortWithinPartitions(BUCKET, *spec.primary_keys)
+        if seen:
+            rows = rows.observe(seen[0], *seen[1]).select(*spec.columns, BUCKET)
+        rows.write.mode("error").partitionBy(BUCKET).parquet(path)
         kinds = COUNTED.get(table, ())
         schema = T.StructType([*spec.schema.fields, T.StructField(BUCKET, T.StringType())])
+        written = self.spark.read.schema(schema).parquet(path)
         found: dict[str, list] = {}
-        for r in self.spark.read.schema(schema).parquet(path).groupBy(BUCKET, *kinds).count().collect():
+        for r in written.groupBy(BUCKET, *kinds).count().collect():
             found.setdefault(r[0], []).append([*r[1:-1], r[-1]])
-        return [replace(b, folder=folder if b.id in found else None, rows=sum(c[-1] for c in found.get(b.id, [])), counts=found.get(b.id, []))
+        heads = self._put_queue(table, written, folder, buckets) if table in QUEUES else {}
+        return [replace(b, folder=folder if b.id in found else None, rows=sum(c[-1] for c in found.get(b.id, [])), counts=found.get(b.id, []),
+                        heads=heads.get(b.id, []) if table in QUEUES else None)
                 for b in buckets]
 
+    def _queue_path(self, table: str, folder: str) -> str:
+        return f"{self.root}/{table}/{folder.replace('data-', 'queue-', 1)}"
+
+    def _put_queue(self, table: str, written: DataFrame, folder: str, buckets: Sequence[Bucket]) -> dict[str, list]:
+        """Write the listable rows of a folder's buckets beside it; returns the heads
+        by bucket (a few numbers for each)."""
+        q, path = QUEUES[table], self._queue_path(table, folder)
+        order = [F.col(c).asc_nulls_last() for c in q.order]
+        rows = written.where(q.condition).select(BUCKET, *q.kinds, *q.columns, *q.order)
+        (self._dealt(rows, buckets).sortWithinPartitions(BUCKET, *q.kinds, *order)
+         .write.mode("error").option("parquet.block.size", QUEUE_ROW_GROUP).partitionBy(BUCKET).parquet(path))
+        first = q.order[0]
+        points = F.percentile_approx(first, [*HEAD_SHARES], 10_000)
+        heads: dict[str, list] = {}
+        for r in self.spark.read.schema(rows.schema).parquet(path).groupBy(BUCKET, *q.kinds).agg(F.count(first), points).collect():
+            heads.setdefault(r[0], []).append([*r[1:-1], [t.isoformat(sep=" ", timespec="microseconds") for t in r[-1] or []]])
+        return heads
+
     def _get(self, table: str, buckets: Sequence[Bucket]) -> DataFrame:
         spec = S.table_spec(table)
         paths = [f"{self.root}/{table}/{b.folder}/{BUCKET}={b.id}" for b in buckets if b.folder]
@@ -243,6 +293,45 @@ class TableStore:
         ends = {bits: {v & ((1 << bits) - 1) for v in values} for bits in {b.ubits for b in buckets}}
         return self._get(table, [b for b in buckets if b.uval in ends[b.ubits]]).join(wanted, first, "left_semi")
 
+    def queue(self, table: str, kinds: Sequence[tuple]) -> DataFrame:
+        """The listable rows of the given kinds (for control: stage and status), from
+        the narrow files kept beside the buckets; a bucket without one is read itself."""
+        q, spec = QUEUES[table], S.table_spec(table)
+        names = [*q.kinds, *q.columns, *q.order]
+        schema = T.StructType([spec.schema[c] for c in names])
+        wanted = {tuple(k) for k in kinds}
+        kept = [b for b in self.buckets(table) if b.folder and b.heads is not None and any(tuple(h[:-2]) in wanted for h in b.heads)]
+        plain = [b for b in self.buckets(table) if b.folder and b.heads is None]
+        paths = [f"{self._queue_path(table, b.folder)}/{BUCKET}={b.id}" for b in kept]
+        rows = self.spark.read.schema(schema).parquet(*paths).select(*names) if paths else self.spark.createDataFrame([], schema)
+        if plain:
+            rows = rows.unionByName(self._get(table, plain).select(*names))
+        one = [reduce(and_, [F.col(c) == F.lit(v) for c, v in zip(q.kinds, k, strict=True)]) for k in kinds]
+        return rows.where(q.condition).where(reduce(or_, one, F.lit(False)))
+
+    def head_bounds(self, table: str, kinds: Sequence[tuple], n: int) -> list[str | None]:
+        """Bounds of the queue's first order column to read ``n`` rows of the given
+        kinds: the first that should hold them by the manifest's points, then wider
+        ones, at last None (all rows, those without a value too)."""
+        wanted = {tuple(k) for k in kinds}
+        buckets = [b for b in self.buckets(table) if b.folder]
+        if any(b.heads is None for b in buckets):
+            return [None]
+        points = []  # (bound, rows it adds): a few for each bucket and kind
+        for h in (h for b in buckets for h in b.heads if tuple(h[:-2]) in wanted):
+            before = 0.0
+            for share, at in zip(HEAD_SHARES, h[-1], strict=False):
+                points.append((at, h[-2] * share - before))
+                before = h[-2] * share
+        out: list[str | None] = []
+        have, want = 0.0, float(n)
+        for at, more in sorted(points):
+            have += more
+            if have >= want and at not in out:
+                out.append(at)
+                want = have * 8
+        return [*out, None]
+
     def counts(self, table: str) -> list[tuple]:
         """Rows by the table's counted columns, from the manifest alone."""
         total: Counter = Counter()
@@ -274,6 +363,25 @@ class TableStore:
         version of the whole table that differs at those keys only."""
         return self._rewrite(table, changed, lambda old: new_table, lambda old: new_table, None)
 
+    def revise(self, table: str, ids: Sequence[str], change: Callable[[DataFrame], DataFrame], measures: Sequence[Column] = ()) -> dict:
+        """Write ``change(rows)`` for the buckets ``ids`` (see ``touched``), in one pass
+        over them; returns ``measures``, named aggregates over what ``change`` gave,
+        which may have columns beside the table's.
+
+        ``change`` keeps every key and adds none, so no bucket grows and nothing is
+        counted beforehand.  Without a bucket nothing is written."""
+        live, wanted = self.buckets(table), set(ids)
+        hit = [b for b in live if b.id in wanted and b.folder]
+        if not hit:
+            return {}
+        seen = Observation()
+        new = self._put(table, change(self._get(table, hit)), hit, (seen, list(measures)) if measures else None)
+        rows = {b.id: b.rows for b in new}
+        if any(rows[b.id] != b.rows for b in hit):
+            raise RuntimeError(f"the rows of {table} changed in number under a revision")
+        self._next(table, [b for b in live if b not in hit] + new, self.marks(table))
+        return dict(seen.get) if measures else {}
+
     def _rewrite(self, table: str, changed: DataFrame, rows: Callable[[DataFrame], DataFrame], keys: Callable[[DataFrame], DataFrame],
                  marks: dict[str, int] | None) -> int:
         spec, buckets = S.table_spec(table), self.buckets(table)
@@ -298,12 +406,13 @@ class TableStore:
             raise ValueError("keep at least the live version")
         vs = self._versions(table)
         old, live = vs[:-keep], vs[-keep:]
-        named = {b.folder for v in live for b in self.buckets(table, v)}
+        named = {b.folder for v in live for b in self.buckets(table, v) if b.folder}
+        named |= {n.replace("data-", "queue-", 1) for n in named}
         for v in old:
             self._fs.delete(self._Path(f"{self.root}/{table}/v={v}"), False)
         for st in self._fs.listStatus(self._Path(f"{self.root}/{table}")):
             name = st.getPath().getName()
-            if name.startswith(("data-", "_new-")) and name not in named:
+            if name.startswith(("data-", "queue-", "_new-")) and name not in named:
                 self._fs.delete(st.getPath(), True)
         return old
 
