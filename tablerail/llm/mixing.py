@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tablerail.llm import common
 
 MARGINS = ("source", "lang", "topic")
-ROUNDS, SCALINGS = 6, 6
+ROUNDS = 6
 TOLERANCE = 1e-4
 STALLED = 3  # rounds in which the error has to fall by a tenth
 BROADCAST_CELLS = 50_000
@@ -171,8 +171,8 @@ def sample(docs: DataFrame, share: float = 0.7, power: float = 0.8, seed: str =
 # ------------------------------------------------------------------------ the SQL
 
 def oracle_sql(share: float, power: float, seed: str) -> str:
-    """DuckDB SQL of the sample with ROUNDS rounds and SCALINGS scalings (for the
-    tests' and the driver's comparison): the same where these reach TOLERANCE."""
+    """DuckDB SQL of the sample (for the tests' and the driver's comparison), with as
+    many rounds and scalings as the operator takes, by the same rules."""
     topic = ("CASE WHEN contains(coalesce(text, ''), 'License') OR contains(coalesce(text, ''), 'Copyright') THEN 'legal' "
              "WHEN regexp_matches(coalesce(text, ''), '[0-9]') THEN 'figures' ELSE 'prose' END")
     tokens = r"CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT)"
@@ -183,21 +183,31 @@ def oracle_sql(share: float, power: float, seed: str) -> str:
     for k in keys:
         ctes += [f"p_{k} AS (SELECT {k}, pow(CAST(sum(tokens) AS DOUBLE), {power}) AS target FROM c GROUP BY {k} HAVING sum(tokens) > 0)",
                  f"t_{k} AS (SELECT {k}, target / sum(target) OVER () AS target FROM p_{k})"]
-    ctes.append("w0 AS (SELECT *, CAST(tokens AS DOUBLE) AS w FROM c)")
-    n = 0
-    for _ in range(ROUNDS):
-        for k in keys:
-            ctes.append(f"w{n + 1} AS (SELECT x.* EXCLUDE (w), CASE WHEN sum(x.w) OVER (PARTITION BY x.{k}) > 0 THEN "
-                        f"x.w * coalesce(t.target, 0) / sum(x.w) OVER (PARTITION BY x.{k}) ELSE 0 END AS w "
-                        f"FROM w{n} x LEFT JOIN t_{k} t ON x.{k} = t.{k})")
-            n += 1
-    ctes += [f"r AS (SELECT *, CASE WHEN tokens > 0 THEN (w / sum(w) OVER ()) / (tokens / CAST(sum(tokens) OVER () AS DOUBLE)) END AS ratio FROM w{n})",
-             f"s0 AS (SELECT CAST({share} AS DOUBLE) AS s)"]
-    for i in range(SCALINGS):
-        ctes.append(f"s{i + 1} AS (SELECT ({share} * sum(tokens) - coalesce(sum(tokens) FILTER (s * ratio >= 1), 0)) "
-                    f"/ sum(ratio * tokens) FILTER (s * ratio < 1) AS s FROM r, s{i})")
+    cell = ", ".join([*keys, "tokens", *[f"t{i}" for i in range(len(keys))]])
+    ctes.append(f"w0 AS (SELECT c.*, {', '.join(f't_{k}.target AS t{i}' for i, k in enumerate(keys))} FROM c "
+                + " ".join(f"LEFT JOIN t_{k} ON c.{k} = t_{k}.{k}" for k in keys) + ")")
+    # one round scales to each margin in turn; the errors from round ROUNDS on tell when to stop
+    step = "(SELECT * FROM rounds WHERE n < {0} OR (errors[-1] > {1} AND NOT (len(errors) > {2} AND errors[-1] > 0.9 * errors[-1 - {2}])))".format(
+        ROUNDS, TOLERANCE, STALLED)
+    for i, k in enumerate(keys):
+        step = (f"(SELECT n, errors, {cell}, CASE WHEN sum(w) OVER (PARTITION BY {k}) > 0 THEN w * coalesce(t{i}, 0) / "
+                f"sum(w) OVER (PARTITION BY {k}) ELSE 0 END AS w FROM {step})")
+    off = ", ".join(f"CASE WHEN sum(w) OVER () > 0 THEN abs(sum(w) OVER (PARTITION BY {k}) / sum(w) OVER () / t{i} - 1) END AS e{i}"
+                    for i, k in enumerate(keys))
+    worst = f"coalesce(max(greatest({', '.join(f'e{i}' for i in range(len(keys)))})) OVER (), 0)"
+    ctes += [f"rounds AS (SELECT 0 AS n, CAST([] AS DOUBLE[]) AS errors, {cell}, CAST(tokens AS DOUBLE) AS w FROM w0 UNION ALL "
+             f"SELECT n + 1, CASE WHEN n + 1 >= {ROUNDS} THEN list_append(errors, {worst}) ELSE errors END, {cell}, w "
+             f"FROM (SELECT *, {off} FROM {step}))",
+             "raked AS (SELECT * FROM rounds WHERE n = (SELECT max(n) FROM rounds))",
+             "r AS (SELECT *, CASE WHEN tokens > 0 THEN (w / sum(w) OVER ()) / (tokens / CAST(sum(tokens) OVER () AS DOUBLE)) END AS ratio FROM raked)",
+             # the scale, until no more cells reach one
+             f"""scales AS (SELECT 0 AS i, CAST({share} AS DOUBLE) AS s, CAST(-1 AS DOUBLE) AS reached UNION ALL
+  SELECT i + 1, ({share} * total - held) / rest, held FROM (SELECT i, s, reached, CAST(sum(tokens) AS DOUBLE) AS total,
+    CAST(coalesce(sum(tokens) FILTER (s * ratio >= 1), 0) AS DOUBLE) AS held, sum(ratio * tokens) FILTER (s * ratio < 1) AS rest
+    FROM r, scales GROUP BY i, s, reached) WHERE held > reached AND rest > 0)""",
+             "scale AS (SELECT s FROM scales WHERE i = (SELECT max(i) FROM scales))"]
     u = f"CAST(CAST('0x' || substr(md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656.0"
-    return ("WITH " + ",\n".join(ctes) + f"\nSELECT d.doc_id, d.m_source AS source, d.m_lang AS lang, d.m_topic AS topic, d.tokens, "
+    return ("WITH RECURSIVE " + ",\n".join(ctes) + f"\nSELECT d.doc_id, d.m_source AS source, d.m_lang AS lang, d.m_topic AS topic, d.tokens, "
             f"round(CASE WHEN r.tokens > 0 THEN least(1.0, s * ratio) ELSE 1.0 END, 6) AS probability FROM d JOIN r "
-            f"ON d.m_source = r.m_source AND d.m_lang = r.m_lang AND d.m_topic = r.m_topic, s{SCALINGS} "
+            f"ON d.m_source = r.m_source AND d.m_lang = r.m_lang AND d.m_topic = r.m_topic, scale "
             f"WHERE {u} < CASE WHEN r.tokens > 0 THEN least(1.0, s * ratio) ELSE 1.0 END")
