@@ -1,18 +1,19 @@
 """Exact top-k by integer inner product with KD-trees per shard.
 
-Vectors are quantised, dealt into shards of bounded size, and each task builds
-one shard's tree: the widest side of a node's tight bounding box is split at the
-median.  A query visits the nodes best first, by the largest inner product the
+Vectors are quantised and dealt into shards of bounded size by median splits of
+space (fitted on a bounded sample; every row is placed), and each task builds one
+shard's tree: the widest side of a node's tight bounding box is split at the median.
+A query visits the nodes best first, by the largest inner product the
 node's box allows, and stops at a box below its k-th best score so far.  The
 k-th score propagates in two ways: within a tree from leaf to leaf, and from a
-first pass, in which each query chunk searches one shard, to the second pass
-over all other shards, where it starts as the bound.  Only exact comparisons
-prune, so results are exact.
+first wave, in which each query searches one shard of the cell that promises most,
+to the second wave over the shards whose boxes or balls can still reach it, where
+it starts as the bound.  Only safe bounds prune, so results are exact.
 
 Defined results: vectors that are null or hold null or non-finite components
 take no part, nor do rows with a null id.  Zero and empty vectors do (score 0).
-Only vectors of equal length meet.  Of rows repeating an id, the one with the
-smallest vector counts.  Components or products too large for a double's 53 bits
+Only vectors of equal length meet.  Rows equal in id and vector are one; an id with
+several vectors is a candidate, and a query, for each.  Components or products too large for a double's 53 bits
 are computed with Python integers; a score outside 64 bits is set to the limit.
 An empty table gives an empty result.  Other columns are ignored."""
 
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablerail.llm import common, vectors as V
+from tablerail.llm import vectors as V
 
 FOUND = "query_row long, query_id long, vec_id long, score long"
 LEAF = 256
@@ -127,9 +128,6 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
         floor = lambda x: F.when(F.abs(x) < F.lit(2.0**52), F.floor(x).cast("double")).otherwise(x)
         return V.prepare(ready.withColumn("v", F.transform("v", lambda x: floor(x * F.lit(scale)))), name)
 
-    v, q, shards, chunks = V.chunked(quantised(vectors, "kd-vectors"), quantised(queries, "kd-queries"),
-                                     shard_rows, query_rows)
-
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(left) and len(right):
@@ -141,17 +139,5 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
                     out += search_shard(ids, m, qids, qm, np.where(np.isnan(kth), -np.inf, kth), k, rows["row"].to_numpy(dtype=np.int64))
         return V.found_frame(out, right, "int64")
 
-    # first pass: chunk c searches shard c mod shards
-    lane = F.sequence(F.lit(0), F.lit(chunks - 1))
-    first = common.keep(V.meet(
-        v, q, lambda s, c: (F.filter(lane, lambda x: F.pmod(x, F.lit(shards)) == F.col(s)),
-                            F.array(F.pmod(F.col(c), F.lit(shards)).cast("int"))), search, FOUND), "kd-first")
-    # its k-th scores bound the second pass over all other shards
-    bounds = (V.best(first, k).where(F.col("rank") == k)
-              .select(F.col("query_row").alias("row"), F.col("score").cast("double").alias("kth")))
-    every = F.sequence(F.lit(0), F.lit(shards - 1))
-    rest = V.meet(
-        v, q.join(bounds, "row", "left"),
-        lambda s, c: (F.filter(lane, lambda x: F.pmod(x, F.lit(shards)) != F.col(s)),
-                      F.filter(every, lambda x: x != F.pmod(F.col(c), F.lit(shards)))), search, FOUND)
-    return V.best(first.unionAll(rest), k).drop("query_row")
+    space = V.Space(quantised(vectors, "kd-vectors"), shard_rows)
+    return V.best(space.search(quantised(queries, "kd-queries"), k, query_rows, search, FOUND, "kd"), k).drop("query_row")

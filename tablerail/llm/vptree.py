@@ -4,8 +4,9 @@ Inner products are not a metric, so a search works in bands of nearly equal
 norms.  With M the largest norm of a band and the query scaled to norm M, a row
 x whose inner product is at least s lies within sqrt(2 M^2 - 2 s) of the query,
 whatever the norms of other bands are; and a band whose M is below s holds no
-such row at all.  Vectors are dealt into shards of bounded size; a task cuts one
-shard into bands, builds each band's tree (a vantage point, its median distance,
+such row at all.  Vectors are dealt into shards of bounded size by cells of space
+(``vectors.Space``: fitted on a bounded sample, every row is placed), and a query is
+sent only to shards whose bound reaches its k-th score; a task cuts one shard into bands, builds each band's tree (a vantage point, its median distance,
 the nearer half inside, the rest outside) and walks them with a whole chunk of
 queries at once, bands of large norms and nearer sides first.
 
@@ -20,8 +21,8 @@ vectors in double.
 
 Defined results: vectors that are null, zero or empty, or hold null or
 non-finite components take no part, nor do rows with a null id.  Only vectors of
-equal length meet.  Of rows repeating an id, the one with the smallest vector
-counts.  Ties go to the smaller id; fewer candidates than k give fewer rows.  An
+equal length meet.  Rows equal in id and vector are one; an id with several vectors is
+a candidate, and a query, for each.  Ties go to the smaller id; fewer candidates than k give fewer rows.  An
 empty table gives an empty result.  Other columns are ignored."""
 
 from __future__ import annotations
@@ -142,8 +143,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
     ``queries`` (vec_id, embedding; its own id is no candidate) among ``vectors``."""
     ready = V.prepare(V.usable(vectors, False), "vp-vectors")
     largest = ready.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0] or 1.0  # one number
-    v, q, shards, chunks = V.chunked(ready, V.prepare(V.usable(queries, False), "vp-queries"), shard_rows, query_rows)
-
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(left) and len(right):
@@ -153,5 +152,5 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
                     out += search_shard(mine[d][0], mine[d][1], qids, qm, largest, k, factor, rows["row"].to_numpy(dtype=np.int64))
         return V.found_frame(out, right, "float64")
 
-    every_chunk, every_shard = F.sequence(F.lit(0), F.lit(chunks - 1)), F.sequence(F.lit(0), F.lit(shards - 1))
-    return V.best(V.meet(v, q, lambda s, c: (every_chunk, every_shard), search, FOUND), k).drop("query_row")
+    space = V.Space(ready, shard_rows)
+    return V.best(space.search(V.prepare(V.usable(queries, False), "vp-queries"), k, query_rows, search, FOUND, "vp"), k).drop("query_row")

@@ -147,3 +147,76 @@ def test_floors_go_down(spark):
     df = frame(spark, [(i, [1 / 256] if i == 0 else v) for i, v in rows])
     got = {r.vec_id: r.score for r in kdtree.top_k(df, df.where("vec_id = 0"), k=20).collect()}
     assert got == {i + 1: math.floor(x * 256) for i, x in enumerate(tiny)}
+
+
+def clustered(n, centres, seed=0, d=16):
+    rng = np.random.default_rng(seed)
+    c = rng.normal(size=(centres, d)) * 4
+    return c[rng.integers(0, centres, n)] + 0.05 * rng.normal(size=(n, d))
+
+
+def counting(monkeypatch, module, folder):
+    """Make each task note how many (row, query) pairs it is given."""
+    import os
+    import uuid
+    plain = module.search_shard
+
+    def noted(ids, m, qids, q, *rest):
+        with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+            f.write(str(len(ids) * len(qids)))
+        return plain(ids, m, qids, q, *rest)
+    monkeypatch.setattr(module, "search_shard", noted)
+
+
+def noted_pairs(folder):
+    import os
+    return sum(int(open(os.path.join(folder, f)).read()) for f in os.listdir(folder))
+
+
+@pytest.mark.parametrize("module", [kdtree, vptree])
+def test_queries_go_only_where_a_bound_can_reach(spark, module, tmp_path, monkeypatch):
+    """On clustered vectors few of the pairs are searched, and nothing is lost."""
+    import sys
+
+    from pyspark import cloudpickle
+    m = clustered(3000, 30)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(m)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    # tasks import the module anew: send it as it is here
+    cloudpickle.register_pickle_by_value(sys.modules[module.__name__])
+    try:
+        counting(monkeypatch, module, str(tmp_path))
+        run = module.top_k if module is kdtree else module.nearest
+        more = {} if module is kdtree else {"factor": 1.0}
+        got = {}
+        for r in run(df, df.where("vec_id % 20 = 0"), k=5, shard_rows=100, query_rows=20, **more).collect():
+            got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    finally:
+        cloudpickle.unregister_pickle_by_value(sys.modules[module.__name__])
+    x = np.floor(m * 256) if module is kdtree else m
+    ids = np.arange(len(m))
+    for i in range(0, 3000, 20):
+        want = ranked(x @ x[i], ids, i, 5)
+        assert [got[i][n + 1][0] for n in range(5)] == [a for a, _ in want]
+    pairs = noted_pairs(str(tmp_path))
+    assert 0 < pairs < 0.35 * 3000 * 150
+
+
+def test_bounds_hold_for_every_row(spark):
+    """Boxes and balls against all products, for lengths in and outside the sample."""
+    from tablerail.llm import vectors as V
+    rng = np.random.default_rng(5)
+    mats = {4: clustered(500, 5, 1, 4), 3: rng.normal(size=(200, 3)) * np.exp(rng.normal(size=(200, 1)) * 3), 1: np.full((150, 1), -2.0)}
+    rows = [(i, [float(x) for x in v]) for m in mats.values() for i, v in enumerate(m)]
+    df = V.prepare(V.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), True), "bounds")
+    space = V.Space(df, 40)
+    assert space.extents["n"].sum() == df.count() and len(space.first) > 10
+    placed = space.vectors.toPandas()
+    for d, (_, m, part) in V.matrices(placed).items():
+        cells, most = space.bounds(m)
+        at = {c: i for i, c in enumerate(cells.tolist())}
+        own = np.array([at[c] for c in part["cell"]])
+        assert (m @ m.T <= most[:, own]).all() and len(m) == len(mats[d])
+        assert (space.cells.place(m) == part["cell"].to_numpy()).all()
+    # the cell of the very common vector is dealt over several shards
+    assert max(space.parts.values()) == 4
