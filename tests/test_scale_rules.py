@@ -46,6 +46,28 @@ def test_a_combine_must_return_one_object(spark):
         udf.rehydrate_by_url(history(spark), udf.stage_summary, udf.SUMMARY_SCHEMA, 20, keeps_all, 4).collect()
 
 
+@pytest.mark.parametrize("batch", ["3", "10000"])
+def test_many_slices_share_a_call(spark, batch):
+    """A function for many slices is called once a batch, not once a slice, and gives what
+    slice by slice calls give, wherever the batches end."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @udf.many_slices
+    def counted(pdf):
+        calls.add(1)
+        return udf.stage_summary(pdf)
+    rows = spark.createDataFrame([(f"u{i % 40}" if i % 41 else None, i // 40, "ABC"[i * i % 3]) for i in range(4000)], "url string, iteration int, stage string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = udf.rehydrate_by_url(rows, counted, udf.SUMMARY_SCHEMA, 10).collect()
+        plain = udf.rehydrate_by_url(rows, lambda pdf: udf.stage_summary(pdf), udf.SUMMARY_SCHEMA, 10).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted(map(str, got)) == sorted(map(str, plain)) and len({(r.url, r.part) for r in got}) == len(got)
+    assert sum(r.n_rows for r in got) == 4000 and (batch == "3" or calls.value < len(got) / 10)
+
+
 def test_rows_pass_the_exchange_once(spark):
     b = spark.createDataFrame([("k", "x" * 10, None), ("k", "x" * 10, None), ("j", None, "y")], "url string, source string, tags string")
     df = one_row_per_key(b, ["url"])
