@@ -41,6 +41,9 @@ BUCKET = "_bucket"
 HASH_BITS = 40
 # Rows of a bucket: some hundred MB.
 BUCKET_ROWS = {"url": 2_000_000, "pipeline_control": 2_000_000, "web_page": 50_000, "web_summary": 50_000}
+# Buckets of a directory, about, from which on a store that was asked for smaller
+# buckets than the table's makes them larger instead of more (up to the table's).
+FULL_DIRECTORY = 256
 # Counted for each bucket when it is written.
 COUNTED = {"pipeline_control": ("stage", "status")}
 # The listable rows of a table, kept beside its buckets: the condition, the columns
@@ -131,7 +134,10 @@ def split(b: Bucket, sizes: dict[int, int], limit: int, top: int) -> list[Bucket
 
 class TableStore:
     """Tables under ``root``.  ``bucket_rows``: rows from which a bucket splits, for
-    all tables (default: by table, so that a bucket is some hundred MB)."""
+    all tables (default: by table, so that a bucket is some hundred MB).  A table of
+    more than FULL_DIRECTORY such buckets splits later, so the files of a write and
+    the directory on the driver do not grow with the table until its buckets have
+    the table's own size."""
 
     def __init__(self, spark: SparkSession, root: str, bucket_rows: int | None = None):
         self.spark, self.root, self.bucket_rows = spark, root.rstrip("/"), bucket_rows
@@ -191,8 +197,12 @@ class TableStore:
             for b in buckets]})
 
     # -- buckets --------------------------------------------------------------
-    def _limit(self, table: str) -> int:
-        return self.bucket_rows or BUCKET_ROWS.get(table, 1_000_000)
+    def _limit(self, table: str, rows: int) -> int:
+        """Rows of a bucket in a table of ``rows`` rows."""
+        own = BUCKET_ROWS.get(table, 1_000_000)
+        if not self.bucket_rows:
+            return own
+        return max(self.bucket_rows, min(own, math.ceil(rows / FULL_DIRECTORY)))
 
     def _sizes(self, table: str, keys: DataFrame, buckets: Sequence[Bucket]) -> dict[str, int]:
         """Rows of ``keys`` by bucket (as many numbers as there are buckets, at most)."""
@@ -202,12 +212,13 @@ class TableStore:
         """The ids of the buckets that ``keys`` (with the key columns) fall into."""
         return sorted(self._sizes(table, keys, self.buckets(table)))
 
-    def _grown(self, table: str, buckets: list[Bucket], expected: dict[str, int], keys: DataFrame) -> list[Bucket]:
-        """``buckets`` with those split that are expected to pass their size.
+    def _grown(self, table: str, buckets: list[Bucket], expected: dict[str, int], keys: DataFrame, rows: int) -> list[Bucket]:
+        """``buckets`` with those split that are expected to pass their size in a
+        table of ``rows`` rows.
 
         ``keys``: the key columns of the rows to come; they are counted by more bits
         of the URL's hash, and only for buckets that split."""
-        spec, limit = S.table_spec(table), self._limit(table)
+        spec, limit = S.table_spec(table), self._limit(table, rows)
         over = [b for b in buckets if expected[b.id] > limit]
         if not over:
             return buckets
@@ -345,7 +356,7 @@ class TableStore:
         there = self.exists(table)
         buckets = [replace(b, folder=None, rows=0, counts=[]) for b in self.buckets(table)] if there else [Bucket()]
         sizes = self._sizes(table, df, buckets)
-        grown = self._grown(table, buckets, {b.id: sizes.get(b.id, 0) for b in buckets}, df)
+        grown = self._grown(table, buckets, {b.id: sizes.get(b.id, 0) for b in buckets}, df, sum(sizes.values()))
         return self._next(table, self._put(table, df, grown), self.marks(table) if there else {})
 
     def upsert(self, table: str, batch: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame],
@@ -393,7 +404,8 @@ class TableStore:
         new: list[Bucket] = []
         if hit:
             old = self._get(table, hit)
-            grown = self._grown(table, hit, {b.id: b.rows + more[b.id] for b in hit}, keys(old))
+            grown = self._grown(table, hit, {b.id: b.rows + more[b.id] for b in hit}, keys(old),
+                                sum(b.rows for b in buckets) + sum(more.values()))
             out = rows(old)
             new = self._put(table, out.where(bucket_of(spec, grown).isNotNull()) if len(hit) < len(buckets) else out, grown)
         return self._next(table, [b for b in buckets if b.id not in more] + new, had | (marks or {}))

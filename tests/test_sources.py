@@ -172,6 +172,23 @@ def test_buckets_split_as_a_table_grows(spark, scratch):
     assert {r.url for r in store.read("url").collect()} == want
 
 
+def test_a_large_table_has_a_bounded_directory(spark, scratch, monkeypatch):
+    """Small buckets asked for: from a full directory on they grow instead of their number,
+    up to the table's own size; no row is lost and counts hold."""
+    from tablerail.sources import store as ST
+    monkeypatch.setattr(ST, "FULL_DIRECTORY", 8)
+    monkeypatch.setitem(ST.BUCKET_ROWS, "pipeline_control", 60)
+    store = TableStore(spark, os.path.join(scratch, "tables"), bucket_rows=5)
+    store.bootstrap(["pipeline_control"])
+    for n in range(3):
+        rows = _control(spark, [(f"u{i}", n, "URL", "NEW") for i in range(100)])
+        store.upsert("pipeline_control", rows, lambda old, b: old.unionByName(b))
+        buckets = store.buckets("pipeline_control")
+        assert 5 < max(b.rows for b in buckets) <= 60 and len(buckets) <= 2 * 8
+    assert store.counts("pipeline_control") == [("URL", "NEW", 300)] and store.read("pipeline_control").distinct().count() == 300
+    assert store._limit("pipeline_control", 10**6) == 60 and TableStore(spark, scratch)._limit("pipeline_control", 10) == 60
+
+
 def test_a_hot_url_is_cut_by_the_whole_key(spark, scratch):
     store = TableStore(spark, os.path.join(scratch, "tables"), bucket_rows=50)
     rows = _control(spark, [("hot", i, "URL", "NEW") for i in range(600)] + [(f"u{i}", 0, "DONE", "NEW") for i in range(300)])
