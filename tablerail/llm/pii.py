@@ -15,9 +15,9 @@ known top-level domain, parts up to 255, Luhn and brand, an area code.  Figures
 pass by chance now and then, personal data always, so the share that passes among
 proposals written alike, in a like context, tells the two apart.  Boosted trees of
 depth two estimate that share from counts per combination of features.  They are
-fitted on a bounded sample of documents chosen by hash (``SAMPLE_DOCS``); one fold
-of it trains, the other calibrates (isotonic: shares fall with the score): a
-kind's threshold is the last score at which the share still reaches the precision.
+fitted on the proposals of all documents; one fold of them trains, the other
+calibrates (isotonic: shares fall with the score): a kind's threshold is the last
+score at which the share still reaches the precision.
 Proposals above it that pass the check are added unless they lie within a base
 span, so a span may extend one of the base.
 
@@ -334,16 +334,15 @@ def _isotonic(groups: list[list[float]]) -> list[list[float]]:
     return out
 
 
-# Documents whose proposals train and calibrate, about.
-SAMPLE_DOCS = 50_000
+def train(docs: DataFrame, sample: int | None = None) -> Trees:
+    """Trees from the proposals of every document.  Cells of equal features are
+    counted on the executors; the features have few values each, so the number of
+    cells has a bound that the documents do not move.
 
-
-def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Trees:
-    """Trees from the proposals of about ``sample`` documents, chosen by a hash of
-    id and text (all, if there are fewer).  Cells of equal features are counted on
-    the executors, and there are no more of them than proposals in the sample."""
-    total = docs.count()
-    if total > sample:
+    ``sample``: for a caller that asks for it, about so many documents, chosen by a
+    hash of id and text (all, if there are fewer)."""
+    total = docs.count() if sample is not None else 0
+    if sample is not None and total > sample:
         part = F.pmod(F.xxhash64(F.lit(9), "doc_id", "text"), F.lit(1_000_000))
         docs = docs.where(part < int(1_000_000 * sample / total) + 1)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))

@@ -191,3 +191,14 @@ def test_the_training_sample_is_bounded(spark):
     whole, part = P.train(rows), P.train(rows, sample=400)
     assert whole.trees.keys() == part.trees.keys() == {3}
     assert P.train(rows, sample=4000).trees == whole.trees
+
+
+def test_every_document_trains(spark, monkeypatch):
+    """Counts, trees and thresholds come from all documents, however many there are."""
+    seen = []
+    boost = P.boost
+    monkeypatch.setattr(P, "boost", lambda cells, *a, **k: seen.append(cells) or boost(cells, *a, **k))
+    n = 60_000
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("ip 1.2.3."), (F.col("id") % 256).cast("string")).alias("text"))
+    trees = P.train(rows)
+    assert sum(c["n"] for c in seen[0]) == n and trees.threshold.keys() == {1}
